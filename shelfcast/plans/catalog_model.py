@@ -1 +1,380 @@
-"""Registered queries."""
+"""Registered queries: forecasts and backtests (L14-L20, oracle-checked with a
+fixed-coefficient model), model fitting (L1-L13, K5, G3, G4: rows-only),
+PACF (M2) and sinks (A6-A8)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from shelfcast.operators import diagnostics as M
+from shelfcast.operators import split as K
+from shelfcast.operators import windows as W
+from shelfcast.plans import forecast as FC
+from shelfcast.plans import models as ML
+from shelfcast.plans.catalog_reshape import TR_LAST, hash_sql
+from shelfcast.plans.oracle_views import with_views
+from shelfcast.plans.registry import register
+from shelfcast.plans.sqlfrag import over, rolling
+from shelfcast.sources import sinks as SK
+from shelfcast.sources import views as V
+
+ORIGIN = TR_LAST + 1
+H = 28
+MAX_LAGS = 57
+BT_DAYS = 15
+ALPHAS = [1.025, 1.023, 1.0175]
+MODEL = FC.FIXED_MODEL
+
+
+# -- SQL text of the recursion (DuckDB recursive CTE over lists) --------------------
+
+def _feat_sql(h: str, day: str) -> dict[str, str]:
+    vals = f"[x.s FOR x IN {h} IF x.d >= {day} - {MAX_LAGS}]"
+    m = f"len({vals})"
+    out = {}
+    for lag in FC.DEFAULT_LAGS:
+        out[f"lag_{lag}"] = f"(CASE WHEN {m} >= {lag} THEN ({vals})[{m} - {lag} + 1] END)"
+        for k in FC.DEFAULT_WINS:
+            sl = f"({vals})[{m} - {lag} - {k} + 2 : {m} - {lag} + 1]"
+            out[f"rmean_{lag}_{k}"] = (
+                f"(CASE WHEN {m} >= {lag + k - 1} AND len([y FOR y IN {sl} IF y IS NOT NULL]) = {k} "
+                f"THEN list_reduce(list_prepend(0.0::DOUBLE, {sl}), lambda a, b: a + coalesce(b, 0.0)) / {k} END)")
+    return out
+
+
+def _pred_sql(feats: dict[str, str]) -> str:
+    expr = f"{float(MODEL.intercept)!r}::DOUBLE"
+    for name, coef in MODEL.coefs.items():
+        expr = f"({expr} + {float(coef)!r}::DOUBLE * coalesce({feats[name]}, 0.0))"
+    return expr
+
+
+def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | None = None) -> str:
+    day = f"({origin} + t)"
+    pred = _pred_sql(_feat_sql("h", day))
+    alpha = "alpha" if alphas else "1.0::DOUBLE"
+    new = f"list_append(h, struct_pack(d := {day}, s := {pred} * {alpha}))"
+    if active:
+        new = f"CASE WHEN list_contains(act, {day}) THEN {new} ELSE h END"
+    act_join = ""
+    if active:
+        act_join = (f" LEFT JOIN (SELECT id, list(d_num) AS act FROM v_sales WHERE d_num BETWEEN "
+                    f"{origin} AND {origin + horizon - 1} GROUP BY id) a USING (id)")
+    alpha_src = (f", (SELECT unnest([{', '.join(repr(float(a)) + '::DOUBLE' for a in alphas)}]) AS alpha) al"
+                 if alphas else "")
+    return f"""hist0 AS (
+  SELECT id, list(struct_pack(d := d_num, s := CAST(sales AS DOUBLE)) ORDER BY d_num) AS h
+  FROM v_sales WHERE d_num BETWEEN {origin - MAX_LAGS} AND {origin - 1} GROUP BY id),
+start AS (SELECT hist0.id, hist0.h{', a.act' if active else ''}{', al.alpha' if alphas else ''}
+          FROM hist0{act_join}{alpha_src}),
+rec AS (
+  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}0 AS t, h FROM start
+  UNION ALL
+  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}t + 1, {new} FROM rec WHERE t < {horizon}),
+fc AS (SELECT id, {'alpha, ' if alphas else ''}x.d AS d_num, x.s AS pred FROM (
+  SELECT id, {'alpha, ' if alphas else ''}unnest(h) AS x FROM rec WHERE t = {horizon}) WHERE x.d >= {origin})"""
+
+
+def _recursive_with(*extra: str, active=False, alphas=None, origin=ORIGIN, horizon=H) -> str:
+    return with_views("v_sales", extra=[_rec_sql(origin, horizon, active, alphas), *extra]) \
+        .replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _sales(spark, sf_dir):
+    return V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
+
+
+# -- L14-L20 ---------------------------------------------------------------------
+
+@register("recursive_forecast", _recursive_with() + "SELECT id, d_num, round(pred, 6) AS pred FROM fc")
+def q_recursive_forecast(spark, sf_dir):
+    out = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
+
+
+_BT_START = TR_LAST - BT_DAYS + 1
+
+
+@register("backtest_recursive", _recursive_with(active=True, origin=_BT_START, horizon=BT_DAYS) + f"""
+SELECT v.id, v.d_num, v.sales AS sales_original, round(fc.pred, 6) AS sales
+FROM v_sales v LEFT JOIN fc USING (id, d_num) WHERE v.d_num BETWEEN {_BT_START} AND {TR_LAST}""")
+def q_backtest_recursive(spark, sf_dir):
+    out = FC.backtest_recursive(_sales(spark, sf_dir), TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
+    return out.select("id", "d_num", "sales_original", F.round("sales", 6).alias("sales"))
+
+
+def _one_step_sql() -> str:
+    feats = {}
+    for lag in FC.DEFAULT_LAGS:
+        feats[f"lag_{lag}"] = f"lag(sales, {lag}) {over()}"
+        for k in FC.DEFAULT_WINS:
+            feats[f"rmean_{lag}_{k}"] = rolling("sales", "avg", k, lag)
+    return f"""one AS (SELECT id, d_num, sales_2 FROM (
+  SELECT id, d_num, {_pred_sql(feats)} AS sales_2 FROM v_sales)
+  WHERE d_num BETWEEN {_BT_START} AND {TR_LAST})"""
+
+
+@register("backtest_one_step", with_views("v_sales", extra=[_one_step_sql()]) +
+          "SELECT id, d_num, round(sales_2, 6) AS sales_2 FROM one")
+def q_backtest_one_step(spark, sf_dir):
+    out = FC.backtest_one_step(_sales(spark, sf_dir), TR_LAST, BT_DAYS, MODEL)
+    return out.select("id", "d_num", F.round("sales_2", 6).alias("sales_2"))
+
+
+_CMP_FROM = TR_LAST - 9
+
+
+@register("backtest_compare", _recursive_with(_one_step_sql(), active=True, origin=_BT_START,
+                                              horizon=BT_DAYS) + f"""
+, rec_bt AS (SELECT v.id, v.d_num, v.sales AS sales_original, fc.pred AS sales
+             FROM v_sales v LEFT JOIN fc USING (id, d_num) WHERE v.d_num BETWEEN {_BT_START} AND {TR_LAST})
+SELECT d_num, round(avg(sales), 6) AS media_pred1, round(avg(sales_2), 6) AS media_pred2,
+       round(avg(sales_original), 6) AS media_real
+FROM rec_bt FULL OUTER JOIN one USING (id, d_num)
+WHERE d_num >= {_CMP_FROM} AND sales IS NOT NULL AND sales_2 IS NOT NULL AND sales_original IS NOT NULL
+GROUP BY d_num""")
+def q_backtest_compare(spark, sf_dir):
+    s = _sales(spark, sf_dir)
+    rec = FC.backtest_recursive(s, TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
+    one = FC.backtest_one_step(s, TR_LAST, BT_DAYS, MODEL)
+    out = FC.backtest_compare(rec, one, _CMP_FROM)
+    return out.select("d_num", *[F.round(c, 6).alias(c) for c in ("media_pred1", "media_pred2",
+                                                                 "media_real")])
+
+
+_FACTOR = FC.blend_factor(ALPHAS)
+
+
+@register("multiplier_blend", _recursive_with() +
+          f"SELECT id, d_num, round(pred * {_FACTOR!r}::DOUBLE, 6) AS pred_blend FROM fc")
+def q_multiplier_blend(spark, sf_dir):
+    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    out = FC.multiplier_blend(preds, ALPHAS)
+    return out.select("id", "d_num", F.round("pred_blend", 6).alias("pred_blend"))
+
+
+@register("multiplier_in_loop", _recursive_with(alphas=ALPHAS) +
+          "SELECT id, d_num, round(avg(pred), 6) AS pred FROM fc GROUP BY id, d_num")
+def q_multiplier_in_loop(spark, sf_dir):
+    out = FC.multiplier_in_loop(_sales(spark, sf_dir), ORIGIN, ALPHAS, H, MAX_LAGS, MODEL)
+    return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
+
+
+_F_COLS = [f"F{i}" for i in range(1, H + 1)]
+
+
+@register("submission_build", _recursive_with(f"""wide AS (
+  SELECT id, {', '.join(f"round(coalesce(max(pred) FILTER (WHERE F = 'F{i}'), 0.0) * {_FACTOR!r}::DOUBLE, 6) AS F{i}"
+                        for i in range(1, H + 1))}
+  FROM (SELECT id, pred, 'F' || CAST(row_number() OVER (PARTITION BY id ORDER BY d_num) AS VARCHAR) AS F
+        FROM fc) GROUP BY id)""") + """
+SELECT * FROM wide UNION ALL
+SELECT * REPLACE (regexp_replace(id, 'validation$', 'evaluation') AS id) FROM wide""")
+def q_submission_build(spark, sf_dir):
+    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    out = FC.submission_build(preds, ORIGIN, H, ALPHAS)
+    return out.select("id", *[F.round(c, 6).alias(c) for c in _F_COLS])
+
+
+# -- model layer (rows-only checks) ----------------------------------------------------
+
+FEATURES = ["lag_7", "lag_28", "rmean_7_7", "rmean_7_28", "rmean_28_7", "rmean_28_28", "wday", "month"]
+
+
+def _training_rows(spark, sf_dir):
+    """Features of the daily brand series, with key-hash holdout flags."""
+    s = V.v_sales(spark, sf_dir)
+    w = W.series_window()
+    feats = W.rolling_mean_of_lag(W.lag_features(s, (7, 28), w=w), (7, 28), (7, 28), w=w)
+    feats = feats.withColumn("wday", F.dayofweek("date").cast("double")) \
+                 .withColumn("month", F.month("date").cast("double"))
+    rows = ML.assemble_features(feats, FEATURES, "sales", keep=["id", "d_num"])
+    return K.holdout_fraction(rows, 25, ["id", "d_num"]).withColumn(
+        "is_val", K.key_bucket(100, "id", "d_num") % 4 == 1)
+
+
+def _pred_rows(df):
+    return df.select("id", "d_num", "label", F.round("prediction", 6).alias("prediction"))
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    return rows.select("id", "d_num", vector_to_array("features").alias("features"), "label")
+
+
+@register("fit_poisson")
+def q_fit_poisson(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_poisson(rows.where(~F.col("is_holdout")))
+    return _pred_rows(m.transform(rows.where("is_holdout")))
+
+
+@register("fit_gbt_early_stop")
+def q_fit_gbt(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_gbt_early_stop(rows.where(~F.col("is_holdout")), max_iter=15, max_depth=4)
+    return _pred_rows(m.transform(rows.where("is_holdout")))
+
+
+@register("fit_random_forest")
+def q_fit_random_forest(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_random_forest(rows.where(~F.col("is_holdout")), trees=10, max_depth=4)
+    return _pred_rows(m.transform(rows.where("is_holdout")))
+
+
+@register("fit_tree")
+def q_fit_tree(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_tree(rows.where(~F.col("is_holdout")), max_depth=4)
+    return _pred_rows(m.transform(rows.where("is_holdout")))
+
+
+@register("fit_linear")
+def q_fit_linear(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_linear(rows.where(~F.col("is_holdout")))
+    return _pred_rows(m.transform(rows.where("is_holdout")))
+
+
+@register("vote_mean")
+def q_vote_mean(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    train, test = rows.where(~F.col("is_holdout")), rows.where("is_holdout")
+    a = ML.predict_as(ML.fit_linear(train), test, "p_lin")
+    b = ML.predict_as(ML.fit_tree(train, 4), a, "p_tree")
+    return ML.vote_mean(b, ["p_lin", "p_tree"]).select(
+        "id", "d_num", "label", F.round("pred_vote", 6).alias("pred_vote"))
+
+
+@register("stack_models")
+def q_stack_models(spark, sf_dir):
+    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+    rows = _training_rows(spark, sf_dir).withColumn("fold", K.key_bucket(2, "id", "d_num"))
+    meta, final = ML.stack_models(
+        rows, "fold", {"p_lin": lambda: LinearRegression(),
+                       "p_tree": lambda: DecisionTreeRegressor(maxDepth=4)},
+        lambda: GBTRegressor(maxIter=10, maxDepth=3, seed=7), ["id", "d_num"])
+    from pyspark.ml.feature import VectorAssembler
+    scored = final.transform(VectorAssembler(inputCols=["p_lin", "p_tree"], outputCol="features")
+                             .transform(meta))
+    return _pred_rows(scored)
+
+
+@register("two_stage_model")
+def q_two_stage_model(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir).select(
+        "id", "d_num", "label", "is_holdout", vector_to_array("features").alias("f"))
+    flat = rows.select("id", "d_num", "label", "is_holdout",
+                       *[F.col("f")[i].alias(n) for i, n in enumerate(FEATURES)])
+    first, second = ML.two_stage(flat.where(~F.col("is_holdout")), flat.where("is_holdout"),
+                                 FEATURES, ["wday", "month"])
+    stage1 = first.transform(flat.where("is_holdout")).withColumnRenamed("prediction", "pred1") \
+        .drop("features")
+    return _pred_rows(second.transform(stage1))
+
+
+def _trials(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir).where(~F.col("is_holdout"))
+    return ML.random_search(rows, n_iter=3, folds=2, parallelism=3)
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    return _trials(spark, sf_dir).withColumn("rmse", F.round("rmse", 6))
+
+
+@register("best_trial")
+def q_best_trial(spark, sf_dir):
+    from shelfcast.operators.aggs import best_trial
+    return best_trial(_trials(spark, sf_dir))
+
+
+@register("top_importances")
+def q_top_importances(spark, sf_dir):
+    from shelfcast.operators.aggs import top_importances
+    rows = _training_rows(spark, sf_dir)
+    imps = None
+    for f in range(2):
+        part = rows.where(K.key_bucket(2, "id", "d_num") != f)
+        m = ML.fit_tree(part, 4)
+        imp = ML.importances(m, FEATURES, spark, f)
+        imps = imp if imps is None else imps.unionByName(imp)
+    return top_importances(imps, 30)
+
+
+@register("fold_mean_predictions")
+def q_fold_mean_predictions(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    test = rows.where("is_holdout")
+    preds = None
+    for f in range(2):
+        train = rows.where(~F.col("is_holdout") & (K.key_bucket(2, "id", "d_num") != f))
+        p = ML.fit_linear(train).transform(test).select("id", "d_num",
+                                                        F.col("prediction").alias("pred"))
+        preds = p if preds is None else preds.unionByName(p)
+    out = ML.fold_mean_predictions(preds, ["id", "d_num"])
+    return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
+
+
+@register("persist_model")
+def q_persist_model(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    m = ML.fit_linear(rows.where(~F.col("is_holdout")))
+    loaded = ML.persist_model(m, spark, "linear_demo")
+    return _pred_rows(loaded.transform(rows.where("is_holdout")))
+
+
+@register("kfold_cv")
+def q_kfold_cv(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir).withColumn("fold", K.key_bucket(2, "id", "d_num").cast("int"))
+    rmse = ML.kfold_cv(rows, "fold")
+    return spark.createDataFrame([(2, round(rmse, 6))], "folds int, rmse double")
+
+
+@register("pacf")
+def q_pacf(spark, sf_dir):
+    out = M.pacf(M.acf(_sales(spark, sf_dir), 40))
+    return out.select("id", "lag", F.round("pacf", 6).alias("pacf"))
+
+
+@register("recursive_forecast_ml")
+def q_recursive_forecast_ml(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir)
+    feats6 = FEATURES[:6]
+    from pyspark.ml.feature import VectorAssembler
+    flat = rows.select("id", "d_num", "label", vector_to_array("features").alias("f"))
+    train = VectorAssembler(inputCols=feats6, outputCol="features").transform(
+        flat.select("label", *[F.col("f")[i].alias(n) for i, n in enumerate(feats6)]))
+    model = ML.fit_tree(train, 4)
+    out = FC.recursive_forecast_ml(_sales(spark, sf_dir), ORIGIN, model, feats6, H, MAX_LAGS)
+    return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
+
+
+# -- sinks -------------------------------------------------------------------------
+
+@register("sink_wide")
+def q_sink_wide(spark, sf_dir):
+    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    sub = FC.submission_build(preds, ORIGIN, H, ALPHAS)
+    return SK.sink_wide(sub, SK.output_path(spark, "submission"), read_back=True)
+
+
+@register("sink_per_variant")
+def q_sink_per_variant(spark, sf_dir):
+    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    variants = preds.select("*", F.posexplode(F.array(*[F.lit(a) for a in ALPHAS])).alias("variant", "alpha")) \
+        .withColumn("pred", F.col("pred") * F.col("alpha")).drop("alpha")
+    return SK.sink_per_variant(variants, SK.output_path(spark, "variants"), read_back=True)
+
+
+@register("sink_training_extract")
+def q_sink_training_extract(spark, sf_dir):
+    s = V.v_panel(spark, sf_dir)
+    extract = s.where(F.col("id").contains("STORE_1"))
+    return SK.sink_training_extract(extract, SK.output_path(spark, "extracts"), read_back=True)
+
+
+__all__ = ["hash_sql"]
