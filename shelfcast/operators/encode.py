@@ -12,13 +12,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordering import dense_codes
+from shelfcast.session import cut_lineage
 
 SMALL_CODE_TABLE = 100_000   # distinct values broadcast below this bound
 MAX_ONE_HOT_VALUES = 1_000   # one column per value: the width must be bounded
 
 
-def _attach_codes(df: DataFrame, col: str, out: str) -> DataFrame:
-    codes, small = dense_codes(df, col, "_code", small_max=SMALL_CODE_TABLE)
+def _profile(df: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """Exact distinct counts and NULL presence of all columns in one
+    aggregation job (one row comes back).  The counts decide per column
+    between a broadcast and a shuffled code table."""
+    row = df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols],
+                 *[F.max(F.col(c).isNull().cast("int")).alias(f"z_{c}") for c in cols]).first()
+    return ({c: int(row[f"n_{c}"]) for c in cols},
+            {c: int(row[f"z_{c}"] or 0) for c in cols})
+
+
+def _materialized(df: DataFrame, materialize: bool) -> DataFrame:
+    """The input is read once per code table plus once for the profile; a
+    reliable checkpoint makes those reads cheap when the input is itself an
+    expensive plan (joins, aggregations)."""
+    return cut_lineage(df) if materialize else df
+
+
+def _attach_codes(df: DataFrame, col: str, out: str, known: int | None = None) -> DataFrame:
+    codes, small = dense_codes(df, col, "_code", small_max=SMALL_CODE_TABLE, known_count=known)
     side = F.broadcast(codes) if small else codes
     # NULL keys find no match: their code stays NULL.
     return df.join(side.withColumnRenamed(col, "_val"),
@@ -26,24 +44,30 @@ def _attach_codes(df: DataFrame, col: str, out: str) -> DataFrame:
              .withColumnRenamed("_code", out)
 
 
-def category_codes(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
+def category_codes(df: DataFrame, cols: list[str], suffix: str = "",
+                   materialize: bool = True) -> DataFrame:
     """Sorted category code as short; with NULLs present NULL -> 0 and
     values 1..k, without NULLs values 0..k-1 (code -1 for NULL, then the
     column minimum subtracted)."""
+    df = _materialized(df, materialize)
     out = df
+    card, nulls = _profile(df, cols)
     for c in cols:
-        has_null = df.agg(F.max(F.col(c).isNull().cast("int"))).scalar()
-        out = _attach_codes(out, c, "_c")
+        has_null = F.lit(nulls[c])
+        out = _attach_codes(out, c, "_c", card[c])
         out = out.withColumn(c + suffix, (F.coalesce(F.col("_c"), F.lit(-1)) + has_null)
                              .cast("short")).drop("_c")
     return out
 
 
-def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
+def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "",
+                           materialize: bool = True) -> DataFrame:
     """Codes 0..k-1 in sorted order for non-NULL values; NULL stays NULL."""
+    df = _materialized(df, materialize)
     out = df
+    card, _ = _profile(df, cols)
     for c in cols:
-        out = _attach_codes(out, c, "_c")
+        out = _attach_codes(out, c, "_c", card[c])
         out = out.withColumn(c + suffix, F.col("_c").cast("int")).drop("_c")
     return out
 

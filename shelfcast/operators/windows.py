@@ -68,6 +68,91 @@ def rolling_kurt(col: str, k: int, w: WindowSpec, shift: int = 0) -> Column:
                   F.lit(a) * (F.lit(n + 1) * g2 + F.lit(6.0)))
 
 
+def rolling_sums_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int]],
+                        w: WindowSpec, mean: bool = True) -> DataFrame:
+    """Rolling sums (or means) of an integer-valued column in O(rows).
+
+    Spark evaluates a sliding ROWS frame by re-aggregating the whole frame
+    for every row (O(rows x k)).  For whole-number data the same sums come
+    from running totals: with C(j) the running sum up to row j,
+    ``sum(rows r-s-k+1 .. r-s) = C(r-s) - C(r-s-k)``, and the same for the
+    running count of non-NULL values (the full-window guard).  Sums of whole
+    numbers are exact in 64-bit integers, so the result equals the direct
+    frame aggregate bit for bit.  ``specs``: (output name, k, shift).
+
+    Two Window operators with the same partitioning and ordering: one
+    Exchange and one Sort in total.
+    """
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    staged = df.select("*", F.coalesce(F.sum(F.col(col).cast("long")).over(run), F.lit(0))
+                       .alias("_cs"), F.count(col).over(run).alias("_cn"))
+
+    def at(c: str, back: int) -> Column:
+        return F.col(c) if back == 0 else F.lag(c, back).over(w)
+
+    out = []
+    for name, k, shift in specs:
+        s = at("_cs", shift) - F.coalesce(at("_cs", shift + k), F.lit(0))
+        n = at("_cn", shift) - F.coalesce(at("_cn", shift + k), F.lit(0))
+        val = s.cast("double") / k if mean else s.cast("double")
+        out.append(F.when(n == k, val).alias(name))
+    return staged.select("*", *out).drop("_cs", "_cn")
+
+
+def rolling_moments_prefix(df: DataFrame, col: str, specs: list[tuple[str, str, int, int]],
+                           w: WindowSpec) -> DataFrame:
+    """Rolling std / skew / kurt of an integer-valued column in O(rows).
+
+    Window power sums S_p = sum(x^p), p = 1..4, come from running totals in
+    DECIMAL(38,0), so they are exact.  With n = k the central-moment
+    numerators are exact integers too:
+        A = n S2 - S1^2                      (n^2 * population variance)
+        C = n^2 S3 - 3 n S1 S2 + 2 S1^3     (n^3 * third moment)
+        B = n^3 S4 - 4 n^2 S1 S3 + 6 n S1^2 S2 - 3 S1^4
+    sample std = sqrt(A / (n (n-1))), g1 = C / A^1.5, g2 = B / A^2 - 3, then
+    the pandas bias corrections.  A = 0 (a flat window) gives NULL for
+    skew and kurt.  ``specs``: (output name, "std"|"skew"|"kurt", k, shift).
+    """
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    dec = "decimal(38,0)"
+    x = F.col(col).cast(dec)
+    top = max({"std": 2, "skew": 3, "kurt": 4}[kind] for _, kind, _, _ in specs)
+    pows = {1: x, 2: x * x, 3: x * x * x, 4: x * x * x * x}
+    staged = df.select("*", F.count(col).over(run).alias("_rn"),
+                       *[F.coalesce(F.sum(pows[p]).over(run), F.lit(0).cast(dec)).alias(f"_r{p}")
+                         for p in range(1, top + 1)])
+
+    def win_sum(c: str, k: int, shift: int) -> Column:
+        cur = F.col(c) if shift == 0 else F.lag(c, shift).over(w)
+        return cur - F.coalesce(F.lag(c, shift + k).over(w), F.lit(0).cast(dec) if c != "_rn"
+                                else F.lit(0))
+
+    out = []
+    for name, kind, k, shift in specs:
+        n = float(k)
+        cnt = win_sum("_rn", k, shift)
+        s1, s2 = win_sum("_r1", k, shift), win_sum("_r2", k, shift)
+        a = (F.lit(k) * s2 - s1 * s1).cast("double")
+        if kind == "std":
+            val = F.sqrt(a / (n * (n - 1)))
+            ok = cnt == k
+        else:
+            s3 = win_sum("_r3", k, shift)
+            ok = (cnt == k) & (a > 0)
+            if kind == "skew":
+                c3 = (F.lit(k * k) * s3 - F.lit(3 * k) * s1 * s2 + F.lit(2) * s1 * s1 * s1)
+                g1 = c3.cast("double") / F.pow(a, 1.5)
+                val = g1 * F.lit((n * (n - 1)) ** 0.5 / (n - 2))
+            else:
+                s4 = win_sum("_r4", k, shift)
+                b = (F.lit(k ** 3) * s4 - F.lit(4 * k * k) * s1 * s3
+                     + F.lit(6 * k) * s1 * s1 * s2 - F.lit(3) * s1 * s1 * s1 * s1)
+                g2 = b.cast("double") / (a * a) - F.lit(3.0)
+                val = F.lit((n - 1) / ((n - 2) * (n - 3))) * (F.lit(n + 1) * g2 + F.lit(6.0))
+        out.append(F.when(ok, val).alias(name))
+    return staged.select("*", *out).drop("_rn", *[f"_r{p}" for p in range(1, top + 1)])
+
+
 # --- F1 / F5 ---------------------------------------------------------------
 
 def lag_features(df: DataFrame, lags: Iterable[int], col: str = "sales",
@@ -89,12 +174,21 @@ def shift_horizon(df: DataFrame, horizon: int = 28, extra: Iterable[int] = (0, 1
 
 def rolling_mean_of_lag(df: DataFrame, lags: Iterable[int], wins: Iterable[int],
                         col: str = "sales", w: WindowSpec | None = None,
-                        round_to: int | None = None) -> DataFrame:
+                        round_to: int | None = None, integral: bool = False) -> DataFrame:
     """F2 (and F3 with ``round_to``): ``rmean_{lag}_{win}`` for lags x wins.
 
-    F3 rounds half-even (pandas ``round``), i.e. ``bround``.
+    F3 rounds half-even (pandas ``round``), i.e. ``bround``.  ``integral``:
+    the column holds whole numbers (units sold), so the O(rows) running-total
+    form is used (exactly equal results).
     """
     w = w or series_window()
+    if integral:
+        specs = [(f"rmean_{lag}_{win}", win, lag) for lag in lags for win in wins]
+        out = rolling_sums_prefix(df, col, specs, w)
+        if round_to is not None:
+            out = out.select(*[F.bround(c, round_to).alias(c) if c in {n for n, _, _ in specs}
+                               else F.col(c) for c in out.columns])
+        return out
     out = []
     for lag in lags:
         for win in wins:
@@ -106,9 +200,12 @@ def rolling_mean_of_lag(df: DataFrame, lags: Iterable[int], wins: Iterable[int],
 
 
 def rolling_std_of_lag(df: DataFrame, lag: int, wins: Iterable[int], col: str = "sales",
-                       w: WindowSpec | None = None) -> DataFrame:
+                       w: WindowSpec | None = None, integral: bool = False) -> DataFrame:
     """sample std (n-1) of the lagged column over ``win`` rows."""
     w = w or series_window()
+    if integral:
+        return rolling_moments_prefix(df, col, [(f"rstd_{lag}_{win}", "std", win, lag)
+                                                for win in wins], w)
     return df.select("*", *[rolling(col, F.stddev_samp, win, w, shift=lag)
                             .alias(f"rstd_{lag}_{win}") for win in wins])
 
@@ -119,9 +216,22 @@ def rolling_horizon_features(df: DataFrame, horizon: int = 28,
                              mean_wins: Iterable[int] = (7, 30, 60, 90, 180),
                              std_wins: Iterable[int] = (7, 30, 60, 90, 180),
                              moment_win: int | None = 30, col: str = "demand",
-                             w: WindowSpec | None = None) -> DataFrame:
-    """F6 mean, F7 std, F8 skew, F9 kurt of ``col`` shifted by the horizon."""
+                             w: WindowSpec | None = None, integral: bool = False) -> DataFrame:
+    """F6 mean, F7 std, F8 skew, F9 kurt of ``col`` shifted by the horizon.
+
+    ``integral``: whole-number demand; every statistic then comes from exact
+    running totals (``rolling_sums_prefix`` / ``rolling_moments_prefix``),
+    O(rows) instead of O(rows x window)."""
     w = w or series_window()
+    if integral:
+        if mean_wins:
+            df = rolling_sums_prefix(df, col, [(f"rolling_mean_t{k}", k, horizon)
+                                               for k in mean_wins], w)
+        specs = [(f"rolling_std_t{k}", "std", k, horizon) for k in std_wins]
+        if moment_win:
+            specs += [(f"rolling_skew_t{moment_win}", "skew", moment_win, horizon),
+                      (f"rolling_kurt_t{moment_win}", "kurt", moment_win, horizon)]
+        return rolling_moments_prefix(df, col, specs, w) if specs else df
     cols = [rolling(col, F.avg, k, w, shift=horizon).alias(f"rolling_mean_t{k}")
             for k in mean_wins]
     cols += [rolling(col, F.stddev_samp, k, w, shift=horizon).alias(f"rolling_std_t{k}")

@@ -75,7 +75,7 @@ SELECT id, d_num,
 FROM v_sales""")
 def q_rolling_mean_of_lag(spark, sf_dir):
     df = V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
-    return W.rolling_mean_of_lag(df, (7, 28), (7, 28)).drop("sales")
+    return W.rolling_mean_of_lag(df, (7, 28), (7, 28), integral=True).drop("sales")
 
 
 @register("rolling_mean_rounded", with_views("v_sales") + f"""
@@ -87,7 +87,7 @@ SELECT id, d_num,
 FROM v_sales""")
 def q_rolling_mean_rounded(spark, sf_dir):
     df = V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
-    return W.rolling_mean_of_lag(df, (1, 7), (7, 28), round_to=2).drop("sales")
+    return W.rolling_mean_of_lag(df, (1, 7), (7, 28), round_to=2, integral=True).drop("sales")
 
 
 @register("rolling_std_of_lag", with_views("v_sales") + f"""
@@ -97,7 +97,7 @@ SELECT id, d_num,
 FROM v_sales""")
 def q_rolling_std_of_lag(spark, sf_dir):
     df = V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
-    out = W.rolling_std_of_lag(df, 1, (7, 30))
+    out = W.rolling_std_of_lag(df, 1, (7, 30), integral=True)
     return out.select("id", "d_num", *[F.round(c, 6).alias(c) for c in ("rstd_1_7", "rstd_1_30")])
 
 
@@ -128,7 +128,8 @@ SELECT id, d_num, """ + ",\n  ".join(
     f"{rolling('demand', 'avg', k, 28)} AS rolling_mean_t{k}" for k in _MEAN_WINS) + """
 FROM pd""")
 def q_rolling_mean_horizon(spark, sf_dir):
-    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, _MEAN_WINS, (), None)
+    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, _MEAN_WINS, (), None,
+                                     integral=True)
     return out.drop("demand")
 
 
@@ -138,7 +139,8 @@ SELECT id, d_num, """ + ",\n  ".join(
     for k in _MEAN_WINS) + """
 FROM pd""")
 def q_rolling_std_horizon(spark, sf_dir):
-    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, (), _MEAN_WINS, None)
+    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, (), _MEAN_WINS, None,
+                                     integral=True)
     return out.select("id", "d_num", *[F.round(f"rolling_std_t{k}", 6).alias(f"rolling_std_t{k}")
                                        for k in _MEAN_WINS])
 
@@ -147,20 +149,16 @@ def q_rolling_std_horizon(spark, sf_dir):
 SELECT id, d_num, round({rolling_moment('demand', 'skewness', 30, 28)}, 6) AS rolling_skew_t30
 FROM pd""")
 def q_rolling_skew_horizon(spark, sf_dir):
-    df = _panel_demand(spark, sf_dir)
-    w = W.series_window()
-    return df.select("id", "d_num",
-                     F.round(W.rolling_skew("demand", 30, w, 28), 6).alias("rolling_skew_t30"))
+    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, (), (), 30, integral=True)
+    return out.select("id", "d_num", F.round("rolling_skew_t30", 6).alias("rolling_skew_t30"))
 
 
 @register("rolling_kurt_horizon", with_views("v_panel", extra=[_PANEL_DEMAND]) + f"""
 SELECT id, d_num, round({rolling_moment('demand', 'kurtosis', 30, 28)}, 6) AS rolling_kurt_t30
 FROM pd""")
 def q_rolling_kurt_horizon(spark, sf_dir):
-    df = _panel_demand(spark, sf_dir)
-    w = W.series_window()
-    return df.select("id", "d_num",
-                     F.round(W.rolling_kurt("demand", 30, w, 28), 6).alias("rolling_kurt_t30"))
+    out = W.rolling_horizon_features(_panel_demand(spark, sf_dir), 28, (), (), 30, integral=True)
+    return out.select("id", "d_num", F.round("rolling_kurt_t30", 6).alias("rolling_kurt_t30"))
 
 
 # -- F10-F13 price features -----------------------------------------------------

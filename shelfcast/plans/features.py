@@ -13,11 +13,14 @@ DEFAULT_WINS = (7, 28)
 
 def demand_features(df: DataFrame, lags=DEFAULT_LAGS, wins=DEFAULT_WINS,
                     id_col: str = "id", order_col: str = "d_num",
-                    col: str = "sales") -> DataFrame:
-    """lag_{L} and rmean_{L}_{k} for the cross product, one window group."""
+                    col: str = "sales", integral: bool = True) -> DataFrame:
+    """lag_{L} and rmean_{L}_{k} for the cross product, one window group.
+
+    Units sold are whole numbers, so by default the rolling means use the
+    exact running-total form (O(rows) instead of O(rows x window))."""
     w = W.series_window(id_col, order_col)
     out = W.lag_features(df, lags, col=col, w=w)
-    return W.rolling_mean_of_lag(out, lags, wins, col=col, w=w)
+    return W.rolling_mean_of_lag(out, lags, wins, col=col, w=w, integral=integral)
 
 
 def feature_summary(df: DataFrame, lags=DEFAULT_LAGS, wins=DEFAULT_WINS) -> DataFrame:

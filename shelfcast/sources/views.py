@@ -78,37 +78,46 @@ def _brand_number(col: str = "p_brand") -> F.Column:
 
 
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with its item/store hierarchy attributes attached."""
+    """lineitem with the compact keys of its series: brand, region key, day.
+
+    The hierarchy strings (dept, cat, store, state, id) are derived from
+    these keys *after* aggregation (``_hierarchy``), so the shuffle and the
+    hash aggregation work on two short keys and a date.
+    """
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                      "l_discount", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
-    # nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions.
+    # nation (25 rows) is a fixed-size TPC-H dimension: broadcast.
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
-    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    bn = _brand_number()
     return (li.join(part, li.l_partkey == part.p_partkey)
               .join(supp, li.l_suppkey == supp.s_suppkey)
-              .join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey"))
-              .select(
-                  F.col("p_brand").alias("item_id"),
-                  F.concat(F.lit("DEPT_"), (bn % 6).cast("string")).alias("dept_id"),
-                  F.concat(F.lit("CAT_"), (bn % 3).cast("string")).alias("cat_id"),
-                  F.concat(F.lit("STORE_"), F.col("r_regionkey").cast("string")).alias("store_id"),
-                  F.concat(F.lit("STATE_"), (F.col("r_regionkey") % 2).cast("string")).alias("state_id"),
-                  F.to_date("l_shipdate").alias("date"),
-                  "l_quantity", "l_extendedprice", "l_discount"))
+              .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+              .select(F.col("p_brand").alias("item_id"), F.col("n_regionkey").alias("region"),
+                      F.to_date("l_shipdate").alias("date"),
+                      "l_quantity", "l_extendedprice", "l_discount"))
+
+
+def _hierarchy(df: DataFrame) -> list:
+    """item -> dept -> cat and store -> state columns from (item_id, region)."""
+    bn = _brand_number("item_id")
+    return [
+        "item_id",
+        F.concat(F.lit("DEPT_"), (bn % 6).cast("string")).alias("dept_id"),
+        F.concat(F.lit("CAT_"), (bn % 3).cast("string")).alias("cat_id"),
+        F.concat(F.lit("STORE_"), F.col("region").cast("string")).alias("store_id"),
+        F.concat(F.lit("STATE_"), (F.col("region") % 2).cast("string")).alias("state_id"),
+    ]
 
 
 def v_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, item_id, dept_id, cat_id, store_id, state_id, d, d_num, date, sales)."""
-    facts = line_facts(spark, sf_dir)
-    keys = ["item_id", "dept_id", "cat_id", "store_id", "state_id", "date"]
-    daily = facts.groupBy(*keys).agg(F.sum("l_quantity").alias("sales"))
+    daily = (line_facts(spark, sf_dir).groupBy("item_id", "region", "date")
+             .agg(F.sum("l_quantity").alias("sales")))
     d_num = day_number(F.col("date"))
-    return daily.select(
+    named = daily.select(*_hierarchy(daily), "date", "sales")
+    return named.select(
         F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"),
         "item_id", "dept_id", "cat_id", "store_id", "state_id",
         F.concat(F.lit("d_"), d_num.cast("string")).alias("d"),
@@ -130,9 +139,11 @@ def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     facts = line_facts(spark, sf_dir).where(F.col("l_discount") <= PRICE_MAX_DISCOUNT)
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return (facts.groupBy("item_id", "store_id",
-                          wm_yr_wk(day_number(F.col("date"))).alias("wm_yr_wk"))
-                 .agg((F.sum(cents) / F.sum("l_quantity") / 100.0).alias("sell_price")))
+    weekly = (facts.groupBy("item_id", "region",
+                            wm_yr_wk(day_number(F.col("date"))).alias("wm_yr_wk"))
+                   .agg((F.sum(cents) / F.sum("l_quantity") / 100.0).alias("sell_price")))
+    return weekly.select("item_id", F.concat(F.lit("STORE_"), F.col("region").cast("string"))
+                         .alias("store_id"), "wm_yr_wk", "sell_price")
 
 
 def v_calendar(spark: SparkSession) -> DataFrame:
