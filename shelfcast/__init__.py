@@ -1 +1,3 @@
+"""shelfcast: retail-demand features and forecasting as Spark DataFrame jobs."""
 
+__version__ = "0.1.0"

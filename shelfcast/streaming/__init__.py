@@ -1 +1,7 @@
+"""No streaming operators.
 
+The forecasting job reads whole files and has no event-time windows,
+watermarks or state; its only iteration, the day-by-day recursive forecast,
+is batch recursion (``shelfcast.plans.forecast``).  This package stays empty
+on purpose.
+"""
