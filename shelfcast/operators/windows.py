@@ -153,6 +153,36 @@ def rolling_moments_prefix(df: DataFrame, col: str, specs: list[tuple[str, str,
     return staged.select("*", *out).drop("_rn", *[f"_r{p}" for p in range(1, top + 1)])
 
 
+def rolling_extreme(df: DataFrame, col: str, k: int, w: WindowSpec, shift: int = 0,
+                    out: str = "rolling_max", largest: bool = True) -> DataFrame:
+    """Exact rolling max (or min) over k rows in O(rows x log k).
+
+    Block extremes by doubling: M_0 = x, M_{j+1}(i) = max(M_j(i), M_j(i-2^j))
+    covers the 2^{j+1} rows ending at i.  With 2^J <= k < 2^{J+1} the k rows
+    ending at e are the union of the blocks ending at e and at e - k + 2^J.
+    Each level is a lag over the same window spec, so the levels add Window
+    operators but no Exchange or Sort.  NULL unless all k rows are non-NULL
+    (running counts, as ``rolling_sums_prefix``).
+    """
+    pick = F.greatest if largest else F.least
+    levels = max(k.bit_length() - 1, 0)
+    staged = df.withColumn("_m0", F.col(col).cast("double"))
+    for j in range(levels):
+        staged = staged.withColumn(f"_m{j + 1}", pick(F.col(f"_m{j}"),
+                                                      F.lag(f"_m{j}", 2 ** j).over(w)))
+    top = f"_m{levels}"
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    staged = staged.withColumn("_cn", F.count(col).over(run))
+
+    def at(c: str, back: int) -> Column:
+        return F.col(c) if back == 0 else F.lag(c, back).over(w)
+
+    n = at("_cn", shift) - F.coalesce(at("_cn", shift + k), F.lit(0))
+    val = pick(at(top, shift), at(top, shift + k - 2 ** levels))
+    return staged.withColumn(out, F.when(n == k, val)) \
+                 .drop("_cn", *[f"_m{j}" for j in range(levels + 1)])
+
+
 # --- F1 / F5 ---------------------------------------------------------------
 
 def lag_features(df: DataFrame, lags: Iterable[int], col: str = "sales",
@@ -259,14 +289,15 @@ def price_change_features(df: DataFrame, col: str = "sell_price", year_rows: int
     highest of the previous ``year_rows`` prices, F13 rolling price std."""
     w = w or series_window()
     prev = F.lag(col, 1).over(w)
-    year_max = rolling(col, F.max, year_rows, w, shift=1)
+    df = rolling_extreme(df, col, year_rows, w, shift=1, out="_year_max")
+    year_max = F.col("_year_max")
     cols = [
         F.try_divide(prev - F.col(col), prev).alias("price_change_t1"),
         F.try_divide(year_max - F.col(col), year_max).alias("price_change_t365"),
     ]
     cols += [rolling(col, F.stddev_samp, k, w).alias(f"rolling_price_std_t{k}")
              for k in std_wins]
-    return df.select("*", *cols)
+    return df.select("*", *cols).drop("_year_max")
 
 
 # --- F14 ---------------------------------------------------------------------

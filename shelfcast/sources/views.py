@@ -111,10 +111,23 @@ def _hierarchy(df: DataFrame) -> list:
     ]
 
 
+def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, region, date, sales, price_cents, price_units): one pass over
+    lineitem feeds both the panel and the weekly prices.  Built the same way
+    in both, the aggregation is one reused exchange when a query needs the
+    panel and the prices together."""
+    facts = line_facts(spark, sf_dir)
+    shelf = F.col("l_discount") <= PRICE_MAX_DISCOUNT
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return facts.groupBy("item_id", "region", "date").agg(
+        F.sum("l_quantity").alias("sales"),
+        F.sum(F.when(shelf, cents)).alias("price_cents"),
+        F.sum(F.when(shelf, F.col("l_quantity"))).alias("price_units"))
+
+
 def v_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, item_id, dept_id, cat_id, store_id, state_id, d, d_num, date, sales)."""
-    daily = (line_facts(spark, sf_dir).groupBy("item_id", "region", "date")
-             .agg(F.sum("l_quantity").alias("sales")))
+    daily = daily_facts(spark, sf_dir)
     d_num = day_number(F.col("date"))
     named = daily.select(*_hierarchy(daily), "date", "sales")
     return named.select(
@@ -137,11 +150,10 @@ def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     no price row, so inner and left price joins differ (§1.4.1).  Integer
     cents keep the value identical in any summation order.
     """
-    facts = line_facts(spark, sf_dir).where(F.col("l_discount") <= PRICE_MAX_DISCOUNT)
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    weekly = (facts.groupBy("item_id", "region",
+    daily = daily_facts(spark, sf_dir).where(F.col("price_units").isNotNull())
+    weekly = (daily.groupBy("item_id", "region",
                             wm_yr_wk(day_number(F.col("date"))).alias("wm_yr_wk"))
-                   .agg((F.sum(cents) / F.sum("l_quantity") / 100.0).alias("sell_price")))
+                   .agg((F.sum("price_cents") / F.sum("price_units") / 100.0).alias("sell_price")))
     return weekly.select("item_id", F.concat(F.lit("STORE_"), F.col("region").cast("string"))
                          .alias("store_id"), "wm_yr_wk", "sell_price")
 
