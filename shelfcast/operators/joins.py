@@ -66,6 +66,21 @@ def join_full_outer(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "full")
 
 
+def join_group_stat_back(df: DataFrame, keys: list[str], col: str, out: str,
+                         agg=F.avg) -> DataFrame:
+    """A per-group statistic attached to every detail row.
+
+    Written as a partial + final aggregation joined back on the keys, not as
+    a window partitioned by the group: a group holding a large share of the
+    rows is pre-reduced inside each map task, the aggregated side has one
+    row per group (AQE broadcasts it when small), and a skewed join
+    partition is split by AQE.  Rows with a NULL key get NULL (pandas drops
+    NULL group keys as well).
+    """
+    stat = df.groupBy(*keys).agg(agg(col).alias(out))
+    return df.join(stat, keys, "left")
+
+
 def anti_keys(rows: DataFrame, holdout: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are not in the holdout."""
     return rows.join(holdout.select(*keys), keys, "left_anti")

@@ -305,14 +305,15 @@ def price_change_features(df: DataFrame, col: str = "sell_price", year_rows: int
 def group_mean_rolling(df: DataFrame, group_keys: list[str], value_col: str,
                        out_col: str = "Sales_1", win: int = 7, round_to: int = 2,
                        w: WindowSpec | None = None) -> DataFrame:
-    """mean of ``value_col`` over the group (E1, joined back as a window,
-    no join), then its ``win``-row rolling mean per series, rounded half-even.
+    """mean of ``value_col`` over the group (E1, joined back: D8), then
+    its ``win``-row rolling mean per series, rounded half-even.
 
-    Two exchanges: one by the group keys, one by series id.
+    The group mean is an aggregation joined back (skew-safe: a hot group is
+    pre-reduced per map task), then one exchange by series id.
     """
+    from shelfcast.operators.joins import join_group_stat_back
     w = w or series_window()
-    g = Window.partitionBy(*group_keys)
-    with_mean = df.withColumn(out_col, F.avg(value_col).over(g))
+    with_mean = join_group_stat_back(df, group_keys, value_col, out_col)
     return with_mean.withColumn(
         f"rmean_{out_col}_{win}", F.bround(rolling(out_col, F.avg, win, w), round_to))
 

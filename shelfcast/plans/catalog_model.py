@@ -81,15 +81,20 @@ def _recursive_with(*extra: str, active=False, alphas=None, origin=ORIGIN, horiz
         .replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def _sales(spark, sf_dir):
-    return V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
+def _sales(spark, sf_dir, since_day: int | None = None):
+    return V.v_sales(spark, sf_dir, since_day).select("id", "d_num", "sales")
+
+
+def _recent(spark, sf_dir):
+    """History the recursive forecast reads: the max_lags days before the origin."""
+    return _sales(spark, sf_dir, ORIGIN - MAX_LAGS)
 
 
 # -- L14-L20 ---------------------------------------------------------------------
 
 @register("recursive_forecast", _recursive_with() + "SELECT id, d_num, round(pred, 6) AS pred FROM fc")
 def q_recursive_forecast(spark, sf_dir):
-    out = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    out = FC.recursive_forecast(_recent(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
     return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
 
 
@@ -149,7 +154,7 @@ _FACTOR = FC.blend_factor(ALPHAS)
 @register("multiplier_blend", _recursive_with() +
           f"SELECT id, d_num, round(pred * {_FACTOR!r}::DOUBLE, 6) AS pred_blend FROM fc")
 def q_multiplier_blend(spark, sf_dir):
-    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    preds = FC.recursive_forecast(_recent(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
     out = FC.multiplier_blend(preds, ALPHAS)
     return out.select("id", "d_num", F.round("pred_blend", 6).alias("pred_blend"))
 
@@ -157,7 +162,7 @@ def q_multiplier_blend(spark, sf_dir):
 @register("multiplier_in_loop", _recursive_with(alphas=ALPHAS) +
           "SELECT id, d_num, round(avg(pred), 6) AS pred FROM fc GROUP BY id, d_num")
 def q_multiplier_in_loop(spark, sf_dir):
-    out = FC.multiplier_in_loop(_sales(spark, sf_dir), ORIGIN, ALPHAS, H, MAX_LAGS, MODEL)
+    out = FC.multiplier_in_loop(_recent(spark, sf_dir), ORIGIN, ALPHAS, H, MAX_LAGS, MODEL)
     return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
 
 
@@ -172,7 +177,7 @@ _F_COLS = [f"F{i}" for i in range(1, H + 1)]
 SELECT * FROM wide UNION ALL
 SELECT * REPLACE (regexp_replace(id, 'validation$', 'evaluation') AS id) FROM wide""")
 def q_submission_build(spark, sf_dir):
-    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    preds = FC.recursive_forecast(_recent(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
     out = FC.submission_build(preds, ORIGIN, H, ALPHAS)
     return out.select("id", *[F.round(c, 6).alias(c) for c in _F_COLS])
 
@@ -357,14 +362,14 @@ def q_recursive_forecast_ml(spark, sf_dir):
 
 @register("sink_wide")
 def q_sink_wide(spark, sf_dir):
-    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    preds = FC.recursive_forecast(_recent(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
     sub = FC.submission_build(preds, ORIGIN, H, ALPHAS)
     return SK.sink_wide(sub, SK.output_path(spark, "submission"), read_back=True)
 
 
 @register("sink_per_variant")
 def q_sink_per_variant(spark, sf_dir):
-    preds = FC.recursive_forecast(_sales(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
+    preds = FC.recursive_forecast(_recent(spark, sf_dir), ORIGIN, H, MAX_LAGS, MODEL)
     variants = preds.select("*", F.posexplode(F.array(*[F.lit(a) for a in ALPHAS])).alias("variant", "alpha")) \
         .withColumn("pred", F.col("pred") * F.col("alpha")).drop("alpha")
     return SK.sink_per_variant(variants, SK.output_path(spark, "variants"), read_back=True)

@@ -424,10 +424,9 @@ _GROUP_KEYS = ["dept_id", "store_id", "cat_id", "state_id", "date"]
 SELECT id, d_num, sales, avg(sales) OVER (PARTITION BY {', '.join(_GROUP_KEYS)}) AS group_mean
 FROM v_panel""")
 def q_join_group_stat_back(spark, sf_dir):
-    from pyspark.sql import Window
     p = V.v_panel(spark, sf_dir)
-    return p.select("id", "d_num", "sales",
-                    F.avg("sales").over(Window.partitionBy(*_GROUP_KEYS)).alias("group_mean"))
+    out = J.join_group_stat_back(p, _GROUP_KEYS, "sales", "group_mean")
+    return out.select("id", "d_num", "sales", "group_mean")
 
 
 _HASH = "CAST(('0x' || substr(md5({k}), 1, 8)) AS BIGINT)"

@@ -55,15 +55,25 @@ def day_number(date_col) -> F.Column:
     return (F.datediff(date_col, F.lit(CALENDAR_START).cast("date")) + 1).cast("int")
 
 
-def v_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def day_start_ts(day: int) -> F.Column:
+    """Midnight of day ``day`` (d_1 = CALENDAR_START) as a timestamp literal."""
+    d = _START + _dt.timedelta(days=day - 1)
+    return F.lit(_dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+
+
+def v_sales(spark: SparkSession, sf_dir: str, since_day: int | None = None) -> DataFrame:
     """(id, date, d_num, sales): daily units per brand.
 
     lineitem is joined to part on the part key; the planner picks the join
     (AQE turns it into a broadcast only when part is measured small).  The
     aggregate is partial before the shuffle, so a hot brand is pre-summed
-    per map task.
+    per map task.  ``since_day``: keep days >= since_day only, as a filter on
+    the raw ship timestamp, so it reaches the Parquet reader (row-group and
+    partition pruning) instead of staying above the aggregation.
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity", "l_shipdate"])
+    if since_day is not None:
+        li = li.where(F.col("l_shipdate") >= day_start_ts(since_day))
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
     return (li.join(part, li.l_partkey == part.p_partkey)
               .groupBy(F.col("p_brand").alias("id"),
