@@ -123,3 +123,39 @@ def test_narrow_types_strict_limits(spark):
     assert plan == {"a": "tinyint", "b": "smallint"}
     narrowed = E.narrow_types(df)
     assert dict(narrowed.dtypes) == {"a": "tinyint", "b": "smallint"}
+
+
+@pytest.mark.parametrize("largest", [True, False])
+@pytest.mark.parametrize("k,shift", [(7, 0), (30, 1), (365, 1), (5, 3)])
+def test_rolling_extreme_matches_frame(spark, largest, k, shift):
+    rng = np.random.default_rng(k + shift)
+    rows = []
+    for s in range(3):
+        for d in range(1, 420):
+            v = None if rng.random() < 0.01 else float(rng.normal(10, 3))
+            rows.append((f"s{s}", d, v))
+    df = spark.createDataFrame(rows, "id string, d_num int, x double")
+    w = W.series_window()
+    agg = F.max if largest else F.min
+    exp = df.select("id", "d_num", W.rolling("x", agg, k, w, shift).alias("m"))
+    got = W.rolling_extreme(df, "x", k, w, shift, "m", largest).select("id", "d_num", "m")
+    assert exp.exceptAll(got).count() == 0 and got.exceptAll(exp).count() == 0
+
+
+def test_running_total_means_equal_frame_means(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"s{s}", d, None if rng.random() < 0.02 else float(rng.integers(0, 50)))
+            for s in range(4) for d in range(1, 300)]
+    df = spark.createDataFrame(rows, "id string, d_num int, sales double")
+    a = W.rolling_mean_of_lag(df, (0, 7, 28), (7, 28, 90), integral=True)
+    b = W.rolling_mean_of_lag(df, (0, 7, 28), (7, 28, 90), integral=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_group_stat_back_equals_window(spark):
+    from pyspark.sql import Window
+    rows = [(i, f"g{i % 3}", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "i int, g string, x double")
+    got = J.join_group_stat_back(df, ["g"], "x", "m").select("i", "m")
+    exp = df.select("i", F.avg("x").over(Window.partitionBy("g")).alias("m"))
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
