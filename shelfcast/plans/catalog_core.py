@@ -127,8 +127,8 @@ def q_count_nulls(spark, sf_dir):
 , sub AS (SELECT DISTINCT id FROM v_panel WHERE date >= DATE '{FDAY}')
 , net AS (SELECT id, sum(s) AS d FROM (
     SELECT id, 1 AS s FROM template UNION ALL SELECT id, -1 AS s FROM sub) GROUP BY id)
-SELECT coalesce(sum(CASE WHEN d > 0 THEN d END), 0) AS only_left,
-       coalesce(sum(CASE WHEN d < 0 THEN -d END), 0) AS only_right,
+SELECT CAST(coalesce(sum(CASE WHEN d > 0 THEN d END), 0) AS BIGINT) AS only_left,
+       CAST(coalesce(sum(CASE WHEN d < 0 THEN -d END), 0) AS BIGINT) AS only_right,
        coalesce(sum(CASE WHEN d > 0 THEN d END), 0) = 0
          AND coalesce(sum(CASE WHEN d < 0 THEN -d END), 0) = 0 AS aligned
 FROM net""")

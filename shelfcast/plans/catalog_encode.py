@@ -134,7 +134,7 @@ _CV_N, _CV_TRAIN, _CV_TEST, _CV_STEP = 3, 730, 28, 28
 
 @register("timeseries_cv", with_views("v_sales") + f"""
 , b AS (SELECT min(d_num) AS first, max(d_num) - min(d_num) AS dur FROM v_sales)
-, folds AS (SELECT i AS fold,
+, folds AS (SELECT CAST(i AS INTEGER) AS fold,
                    dur - {_CV_TRAIN + _CV_TEST} - ({_CV_N} - (i + 1)) * {_CV_STEP} AS s
             FROM b, range({_CV_N}) r(i))
 SELECT v.id, v.d_num, f.fold, CASE WHEN v.d_num - b.first > f.s AND v.d_num - b.first <= f.s + {_CV_TRAIN}
