@@ -18,6 +18,14 @@ TYPE_WIDTH = {
 }
 
 
+def profile_table(df: DataFrame, date_col: str = "date", id_col: str = "id") -> DataFrame:
+    """Shape and span of a table in one aggregation: rows, columns,
+    first and last date, distinct series."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols"),
+                  F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
+                  F.count_distinct(id_col).alias("n_series"))
+
+
 def group_mean_multi(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
     """Mean per group (NULLs skipped)."""
     return df.groupBy(*keys).agg(F.avg(col).alias(out))

@@ -11,7 +11,6 @@ from shelfcast.functions import numeric as N
 from shelfcast.functions import strings as S
 from shelfcast.operators import aggs as A
 from shelfcast.operators import encode as E
-from shelfcast.operators import project as P
 from shelfcast.operators import windows as W
 from shelfcast.plans.catalog_reshape import (
     _FEATS_SQL, _TEMPLATE_SQL, FDAY, FDAY_NUM, HORIZON, _feats, _template_ids)
@@ -69,10 +68,7 @@ def q_scan_inferred(spark, sf_dir):
 SELECT count(*) AS n_rows, 4 AS n_cols, min(date) AS min_date, max(date) AS max_date,
        count(DISTINCT id) AS n_series FROM v_sales""")
 def q_profile_table(spark, sf_dir):
-    df = V.v_sales(spark, sf_dir)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols"),
-                  F.min("date").alias("min_date"), F.max("date").alias("max_date"),
-                  F.count_distinct("id").alias("n_series"))
+    return A.profile_table(V.v_sales(spark, sf_dir))
 
 
 # -- E* ---------------------------------------------------------------------------
@@ -309,6 +305,3 @@ def q_date_offset(spark, sf_dir):
     days = ids.select("id", F.explode(D.horizon_dates(F.lit(FDAY).cast("date"), HORIZON)).alias("date"))
     return days.withColumn("history_from", D.date_offset(F.col("date"), -57))
 
-
-# P is used by other catalogs through this module's namespace.
-__all__ = ["P"]

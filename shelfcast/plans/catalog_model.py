@@ -12,7 +12,7 @@ from shelfcast.operators import split as K
 from shelfcast.operators import windows as W
 from shelfcast.plans import forecast as FC
 from shelfcast.plans import models as ML
-from shelfcast.plans.catalog_reshape import TR_LAST, hash_sql
+from shelfcast.plans.catalog_reshape import TR_LAST
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling
@@ -381,5 +381,3 @@ def q_sink_training_extract(spark, sf_dir):
     extract = s.where(F.col("id").contains("STORE_1"))
     return SK.sink_training_extract(extract, SK.output_path(spark, "extracts"), read_back=True)
 
-
-__all__ = ["hash_sql"]

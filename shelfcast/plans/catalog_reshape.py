@@ -13,6 +13,7 @@ from shelfcast.operators import windows as W
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling
+from shelfcast.sources import tables as TB
 from shelfcast.sources import views as V
 
 # Fixed run parameters (the reference's tr_last / fday / max_lags / first_day).
@@ -35,15 +36,13 @@ def _unpivot_sql(view: str, days: range, extra: str = "") -> str:
 @register("scan_pruned", with_views("v_wide_user") +
           f"SELECT id, {', '.join(f'd_{d}' for d in range(5, 21))} FROM v_wide_user")
 def q_scan_pruned(spark, sf_dir):
-    from shelfcast.sources.tables import scan_pruned
-    return scan_pruned(V.v_wide(spark, sf_dir, "user_id"), ["id"], first_day=5, last_day=20)
+    return TB.scan_pruned(V.v_wide(spark, sf_dir, "user_id"), ["id"], first_day=5, last_day=20)
 
 
 @register("scan_limited", with_views("v_wide_user") +
           "SELECT * FROM v_wide_user ORDER BY id LIMIT 10")
 def q_scan_limited(spark, sf_dir):
-    from shelfcast.sources.tables import scan_limited
-    return scan_limited(V.v_wide(spark, sf_dir, "user_id"), ["id"], 10)
+    return TB.scan_limited(V.v_wide(spark, sf_dir, "user_id"), ["id"], 10)
 
 
 _TEMPLATE_SQL = """template AS (
@@ -59,8 +58,7 @@ def _template_ids(spark, sf_dir):
 
 @register("scan_template", with_views("v_panel", extra=[_TEMPLATE_SQL]) + "SELECT id FROM template")
 def q_scan_template(spark, sf_dir):
-    from shelfcast.sources.tables import scan_template
-    return scan_template(_template_ids(spark, sf_dir))
+    return TB.scan_template(_template_ids(spark, sf_dir))
 
 
 @register("unpivot_days", with_views("v_wide_user") + _unpivot_sql("v_wide_user", range(1, EV_DAYS + 1)))
