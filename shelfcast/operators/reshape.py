@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from shelfcast.functions.strings import extract_day_number
 from shelfcast.operators.ordering import global_row_number
 
+
 def day_columns(df: DataFrame, prefix: str = "d_") -> list[str]:
     """B2: value columns chosen by name prefix, in day order."""
     cols = [c for c in df.columns if c.startswith(prefix) and c[len(prefix):].isdigit()]
     return sorted(cols, key=lambda c: int(c[len(prefix):]))
 
+
 def unpivot_days(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None,
                  var_name: str = "d", value_name: str = "sales") -> DataFrame:
     """B1 (B2 when ``value_cols`` is None): wide day columns -> (d, value) rows.
@@ -26,9 +28,11 @@ def unpivot_days(df: DataFrame, id_cols: list[str], value_cols: list[str] | None
     values = value_cols or day_columns(df)
     return df.unpivot(id_cols, values, var_name, value_name)
 
+
 def with_day_number(df: DataFrame, d_col: str = "d", out: str = "d_num") -> DataFrame:
     return df.withColumn(out, extract_day_number(d_col))
 
+
 def extend_horizon_wide(df: DataFrame, last_day: int, horizon: int = 28,
                         prefix: str = "d_") -> DataFrame:
     """B3 (wide form): append ``horizon`` empty day columns after ``last_day``."""
@@ -36,6 +40,7 @@ def extend_horizon_wide(df: DataFrame, last_day: int, horizon: int = 28,
            for d in range(last_day + 1, last_day + horizon + 1)]
     return df.select("*", *new)
 
+
 def extend_horizon_long(series: DataFrame, id_cols: list[str], last_day: int,
                         horizon: int = 28, value_name: str = "sales") -> DataFrame:
     """B3 (long form): one NULL row per series and future day.
@@ -48,12 +53,14 @@ def extend_horizon_long(series: DataFrame, id_cols: list[str], last_day: int,
                   .withColumn("d", F.concat(F.lit("d_"), F.col("d_num").cast("string")))
                   .withColumn(value_name, F.lit(None).cast("double")))
 
+
 def training_window(df: DataFrame, tr_last: int, max_lags: int, first_day: int,
                     is_train: bool, day_col: str = "d_num") -> DataFrame:
     """First day = max(1 if training else tr_last - max_lags, first_day)."""
     start = max(1 if is_train else tr_last - max_lags, first_day)
     return df.where(F.col(day_col) >= start)
 
+
 def pivot_horizon(df: DataFrame, id_col: str = "id", label_col: str = "F",
                   value_col: str = "sales", horizon: int = 28,
                   prefix: str = "F") -> DataFrame:
@@ -64,6 +71,7 @@ def pivot_horizon(df: DataFrame, id_col: str = "id", label_col: str = "F",
     labels = [f"{prefix}{i}" for i in range(1, horizon + 1)]
     return df.groupBy(id_col).pivot(label_col, labels).agg(F.max(value_col))
 
+
 def pivot_dates(df: DataFrame, id_col: str = "id", date_col: str = "date",
                 value_col: str = "demand", horizon: int = 28) -> DataFrame:
     """Long by date -> wide, columns renamed F1.. in date order.
@@ -78,6 +86,7 @@ def pivot_dates(df: DataFrame, id_col: str = "id", date_col: str = "date",
     labelled = df.join(F.broadcast(dates), date_col)
     return pivot_horizon(labelled, id_col, "F", value_col, horizon)
 
+
 def template_to_days(wide: DataFrame, suffix: str, first_day: int,
                      horizon: int = 28, id_col: str = "id") -> DataFrame:
     """Rows whose id ends in ``suffix``, F1..F{h} renamed d_{first_day}..."""
@@ -85,6 +94,7 @@ def template_to_days(wide: DataFrame, suffix: str, first_day: int,
     cols = [F.col(f"F{i}").alias(f"d_{first_day + i - 1}") for i in range(1, horizon + 1)]
     return part.select(id_col, *cols)
 
+
 def label_parts(parts: dict[str, DataFrame], col: str = "part") -> DataFrame:
     """Tag each frame with its part name and stack them by column name."""
     out = None
@@ -93,6 +103,7 @@ def label_parts(parts: dict[str, DataFrame], col: str = "part") -> DataFrame:
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     return out
 
+
 def tail_after_n(df: DataFrame, n: int, day_col: str = "d_num", id_col: str = "id") -> DataFrame:
     """Drop the first ``n`` rows in (day, id) order; keep the rest.
 
@@ -117,6 +128,7 @@ def tail_after_n(df: DataFrame, n: int, day_col: str = "d_num", id_col: str = "i
     kept = numbered.where(F.col("_rn") > F.lit(n) - dropped_before).drop("_rn")
     return after.unionByName(kept)
 
+
 def zip_columns(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Put two frames side by side, aligned on explicit keys (Spark has
     no row position; the reference's index alignment becomes a key join)."""
