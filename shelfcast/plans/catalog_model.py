@@ -381,3 +381,20 @@ def q_sink_training_extract(spark, sf_dir):
     extract = s.where(F.col("id").contains("STORE_1"))
     return SK.sink_training_extract(extract, SK.output_path(spark, "extracts"), read_back=True)
 
+
+
+# -- the whole job ---------------------------------------------------------------
+
+FIRST_TRAIN_DAY = 1200  # the reference's default first training day
+
+
+@register("forecast_job")
+def q_forecast_job(spark, sf_dir):
+    """Train on the brand series, forecast 28 days with the fitted model, and
+    return the checked, blended wide submission (validation + evaluation ids)."""
+    from shelfcast.operators.project import replicate_with_new_id
+    from shelfcast.plans.job import train_and_forecast
+    sales = _sales(spark, sf_dir).withColumn("id", F.concat("id", F.lit("_validation")))
+    template = replicate_with_new_id(sales.select("id").distinct())
+    result = train_and_forecast(sales, TR_LAST, first_day=FIRST_TRAIN_DAY, template_ids=template)
+    return result.submission.select("id", *[F.round(c, 6).alias(c) for c in _F_COLS])

@@ -74,3 +74,19 @@ def test_horizon_one_equals_one_step_on_dense_history(spark):
     one = FC.backtest_one_step(df, 199, 1).select("id", "d_num", F.col("sales_2").alias("pred"))
     diff = rec.join(one, ["id", "d_num"]).where(F.abs(rec.pred - one.pred) > 1e-9)
     assert rec.count() == 3 and diff.count() == 0
+
+
+def test_forecast_job_checks_template(spark):
+    import pytest
+    from shelfcast.operators.project import replicate_with_new_id
+    from shelfcast.plans.job import train_and_forecast
+    sales = V.v_sales(spark, SF_SMALL).select(
+        F.concat("id", F.lit("_validation")).alias("id"), "d_num", "sales")
+    template = replicate_with_new_id(sales.select("id").distinct())
+    res = train_and_forecast(sales, 2500, first_day=1200, template_ids=template)
+    assert res.submission.count() == 2 * sales.select("id").distinct().count()
+    assert res.holdout_rmse > 0 and set(res.model.coefs) == {
+        "lag_7", "lag_28", "rmean_7_7", "rmean_7_28", "rmean_28_7", "rmean_28_28"}
+    with pytest.raises(ValueError):
+        train_and_forecast(sales, 2500, first_day=1200,
+                           template_ids=template.where(~F.col("id").startswith("Brand#1_")))
