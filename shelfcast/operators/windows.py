@@ -28,6 +28,32 @@ def series_window(id_col: str | list[str] = "id", order_col: str = "d_num") -> W
     return Window.partitionBy(*ids).orderBy(order_col)
 
 
+def series_layout(df: DataFrame, id_col: str = "id", order_col: str = "d_num",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition rows by series and sort each partition by (series, day),
+    then write them once with a reliable checkpoint.
+
+    A checkpointed DataFrame keeps the partitioning and ordering of the plan
+    that produced it, so every later per-series step on it (window features,
+    history arrays, distinct ids, aggregations by series) runs without
+    another Exchange or Sort.  An adaptive plan reports its partitioning as
+    unknown, so this one materialisation is planned with AQE off (restored
+    right after); the explicit partition count makes AQE unnecessary here.
+    Use it when several such steps read the same panel.
+    """
+    from shelfcast.session import cut_lineage
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = df.repartition(n, id_col).sortWithinPartitions(id_col, order_col)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return cut_lineage(laid)
+    finally:
+        spark.conf.set(key, before)
+
+
 def frame(w: WindowSpec, k: int, shift: int = 0) -> WindowSpec:
     """The ``k`` rows ending ``shift`` rows before the current row."""
     return w.rowsBetween(-(k - 1) - shift, -shift)

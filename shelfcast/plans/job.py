@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import aggs as A
 from shelfcast.operators import reshape as R
 from shelfcast.operators import split as K
+from shelfcast.operators import windows as W
 from shelfcast.plans import features as FE
 from shelfcast.plans import forecast as FC
 from shelfcast.plans import models as ML
@@ -38,7 +39,8 @@ def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
                        out_path: str | None = None, id_col: str = "id") -> JobResult:
     """``sales``: (id, d_num, sales) daily history up to ``tr_last``.
 
-    1. training window (B4) and demand features (F1, F2), warm-up rows
+    1. training window (B4), laid out by series (one shuffle, checkpointed),
+       and demand features (F1, F2), warm-up rows
        dropped (C12); 2. key-hash holdout (K2); 3. elastic-net linear model
        (L1, L6) and its holdout RMSE (E8); 4. recursive forecast of the next
        ``horizon`` days with the fitted coefficients (L14, one expression);
@@ -48,6 +50,9 @@ def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
     """
     hist = R.training_window(sales.select(id_col, "d_num", "sales"), tr_last, max_lags,
                              first_day, is_train=True).where(F.col("d_num") <= tr_last)
+    # Features, history arrays and the series list all key on the series:
+    # one shuffle, written once, reused by every step below.
+    hist = W.series_layout(hist, id_col)
     feats = FE.demand_features(hist, id_col=id_col)
     rows = ML.assemble_features(feats, FEATURES, "sales", keep=[id_col, "d_num"])
     rows = K.holdout_fraction(rows, holdout_pct, [id_col, "d_num"])

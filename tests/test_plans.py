@@ -51,3 +51,17 @@ def test_recursive_forecast_has_no_per_step_shuffle(spark):
         assert "aggregate(" in plan.lower() or "Generate" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_series_layout_removes_window_exchange(spark):
+    from shelfcast.operators import windows as W
+    s = V.v_sales(spark, SF_SMALL).select("id", "d_num", "sales")
+    laid = W.series_layout(s)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    feats = FE.demand_features(laid)
+    feats.write.format("noop").mode("overwrite").save()
+    plan = _plan(feats)
+    assert "Exchange" not in plan and "Sort [" not in plan
+    # same rows as without the layout
+    plain = FE.demand_features(s)
+    assert feats.exceptAll(plain).count() == 0 and plain.exceptAll(feats).count() == 0
