@@ -119,13 +119,16 @@ def tail_after_n(df: DataFrame, n: int, day_col: str = "d_num", id_col: str = "i
         Window.unboundedPreceding, 0)).alias("_cum"))
     # Whole days inside the first n rows are dropped; the first day whose
     # running count passes n is cut, losing its first r rows in id order.
-    cut_day = cum.where(F.col("_cum") > n).agg(F.min(day_col)).scalar()
-    dropped_before = cum.where(F.col("_cum") <= n).agg(
-        F.coalesce(F.max("_cum"), F.lit(0))).scalar()
-    after = df.where(F.col(day_col) > cut_day)
-    on_cut = df.where(F.col(day_col) == cut_day)
+    # Both values from one scalar subquery: the cut day and the rows before it.
+    cut = cum.agg(F.struct(
+        F.min(F.when(F.col("_cum") > n, F.col(day_col))).alias("day"),
+        F.coalesce(F.max(F.when(F.col("_cum") <= n, F.col("_cum"))), F.lit(0)).alias("before")
+    )).scalar()
+    tagged = df.withColumn("_cut", cut)
+    after = tagged.where(F.col(day_col) > F.col("_cut.day")).drop("_cut")
+    on_cut = tagged.where(F.col(day_col) == F.col("_cut.day"))
     numbered = global_row_number(on_cut, [id_col], out="_rn")
-    kept = numbered.where(F.col("_rn") > F.lit(n) - dropped_before).drop("_rn")
+    kept = numbered.where(F.col("_rn") > F.lit(n) - F.col("_cut.before")).drop("_rn", "_cut")
     return after.unionByName(kept)
 
 

@@ -60,10 +60,13 @@ def timeseries_cv(df: DataFrame, n_splits: int, train_days: int, test_days: int,
     The two scalars (first and last day) are one aggregate; each row expands
     into the folds it belongs to with an array generator, so no join.
     """
-    bounds = df.agg(F.min(day_col).alias("_first"), F.max(day_col).alias("_last"))
-    first = bounds.select("_first").scalar()
-    last = bounds.select("_last").scalar()
-    base = df.withColumn("_t", F.col(day_col) - first).withColumn("_dur", last - first)
+    # One scalar subquery returning both bounds, referenced once, so the
+    # bounds cost one aggregation pass.
+    bounds = df.agg(F.struct(F.min(day_col).alias("first"), F.max(day_col).alias("last"))).scalar()
+    base = (df.withColumn("_b", bounds)
+              .withColumn("_t", F.col(day_col) - F.col("_b.first"))
+              .withColumn("_dur", F.col("_b.last") - F.col("_b.first"))
+              .drop("_b"))
     t, duration = F.col("_t"), F.col("_dur")
     total = train_days + test_days
     if n_splits == 1:
