@@ -105,7 +105,9 @@ _BT_START = TR_LAST - BT_DAYS + 1
 SELECT v.id, v.d_num, v.sales AS sales_original, round(fc.pred, 6) AS sales
 FROM v_sales v LEFT JOIN fc USING (id, d_num) WHERE v.d_num BETWEEN {_BT_START} AND {TR_LAST}""")
 def q_backtest_recursive(spark, sf_dir):
-    out = FC.backtest_recursive(_sales(spark, sf_dir), TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
+    # history arrays, active days and actuals all read one id-partitioned copy
+    s = W.series_layout(_sales(spark, sf_dir))
+    out = FC.backtest_recursive(s, TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
     return out.select("id", "d_num", "sales_original", F.round("sales", 6).alias("sales"))
 
 
@@ -140,7 +142,8 @@ FROM rec_bt FULL OUTER JOIN one USING (id, d_num)
 WHERE d_num >= {_CMP_FROM} AND sales IS NOT NULL AND sales_2 IS NOT NULL AND sales_original IS NOT NULL
 GROUP BY d_num""")
 def q_backtest_compare(spark, sf_dir):
-    s = _sales(spark, sf_dir)
+    # both backtests read one id-partitioned copy: no re-aggregation per branch
+    s = W.series_layout(_sales(spark, sf_dir))
     rec = FC.backtest_recursive(s, TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
     one = FC.backtest_one_step(s, TR_LAST, BT_DAYS, MODEL)
     out = FC.backtest_compare(rec, one, _CMP_FROM)
