@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor,
@@ -177,5 +177,3 @@ def two_stage(train: DataFrame, holdout: DataFrame, first_cols: list[str],
                               GBTRegressor(maxIter=10, maxDepth=4, seed=7)]).fit(stage1)
     return first, second
 
-
-__all__ = ["PipelineModel"]
