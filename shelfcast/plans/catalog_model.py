@@ -50,6 +50,13 @@ def _pred_sql(feats: dict[str, str]) -> str:
     return expr
 
 
+def _start_sql(active: bool, alphas, act_join: str, alpha_src: str) -> str:
+    if active:
+        return ("SELECT id, coalesce(hist0.h, CAST([] AS STRUCT(d INTEGER, s DOUBLE)[])) AS h, "
+                f"coalesce(a.act, CAST([] AS INTEGER[])) AS act FROM hist0{act_join}")
+    return f"SELECT hist0.id, hist0.h{', al.alpha' if alphas else ''} FROM hist0{alpha_src}"
+
+
 def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | None = None) -> str:
     day = f"({origin} + t)"
     pred = _pred_sql(_feat_sql("h", day))
@@ -59,15 +66,14 @@ def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | Non
         new = f"CASE WHEN list_contains(act, {day}) THEN {new} ELSE h END"
     act_join = ""
     if active:
-        act_join = (f" LEFT JOIN (SELECT id, list(d_num) AS act FROM v_sales WHERE d_num BETWEEN "
+        act_join = (f" FULL OUTER JOIN (SELECT id, list(d_num) AS act FROM v_sales WHERE d_num BETWEEN "
                     f"{origin} AND {origin + horizon - 1} GROUP BY id) a USING (id)")
     alpha_src = (f", (SELECT unnest([{', '.join(repr(float(a)) + '::DOUBLE' for a in alphas)}]) AS alpha) al"
                  if alphas else "")
     return f"""hist0 AS (
   SELECT id, list(struct_pack(d := d_num, s := CAST(sales AS DOUBLE)) ORDER BY d_num) AS h
   FROM v_sales WHERE d_num BETWEEN {origin - MAX_LAGS} AND {origin - 1} GROUP BY id),
-start AS (SELECT hist0.id, hist0.h{', a.act' if active else ''}{', al.alpha' if alphas else ''}
-          FROM hist0{act_join}{alpha_src}),
+start AS ({_start_sql(active, alphas, act_join, alpha_src)}),
 rec AS (
   SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}0 AS t, h FROM start
   UNION ALL

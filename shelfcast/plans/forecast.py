@@ -124,7 +124,12 @@ def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags:
     if active_days is not None:
         act = (active_days.where(F.col("d_num").between(origin, origin + horizon - 1))
                           .groupBy(id_col).agg(F.collect_set(F.col("d_num").cast("int")).alias("_act")))
-        hist = hist.join(act, id_col, "left")
+        # A series with active days but no recent history still gets its
+        # forecasts (from an empty history: every feature NULL).
+        hist = (hist.join(act, id_col, "full")
+                    .withColumn("hist", F.coalesce("hist", F.array().cast(
+                        "array<struct<d_num:int,sales:double>>")))
+                    .withColumn("_act", F.coalesce("_act", F.array().cast("array<int>"))))
     else:
         hist = hist.withColumn("_act", F.lit(None).cast("array<int>"))
 
