@@ -8,7 +8,7 @@ partitioning, after a retry, and in the DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordering import global_row_number
@@ -24,13 +24,37 @@ def key_bucket(m: int, *cols: str) -> Column:
     return key_hash(*cols) % m
 
 
+HASH_BUCKET_BITS = 16  # the 32-bit key hash is cut into 65,536 ordered buckets
+
+
 def holdout_exact_n(df: DataFrame, n: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:
-    """K1: exactly ``n`` holdout rows (the n smallest key hashes, ties broken
-    by the key), flagged on every row.  Numbered with the distributed row
-    number, so no task holds more than one range partition."""
-    hashed = df.withColumn("_h", key_hash(*keys))
-    numbered = global_row_number(hashed, ["_h", *keys], out="_rn")
-    return numbered.withColumn(flag, F.col("_rn") <= n).drop("_h", "_rn")
+    """K1: exactly ``n`` holdout rows: the n smallest key hashes (ties broken
+    by the key), flagged on every row.
+
+    No global sort and nothing written: a histogram of the hash's top 16 bits
+    (at most 65,536 rows) locates the bucket holding the n-th row; rows in
+    lower buckets are in, rows in higher buckets are out, and only the rows
+    of that one bucket (about rows / 65,536 for unique keys) are ranked.
+    """
+    h = key_hash(*keys)
+    hashed = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 32 - HASH_BUCKET_BITS))
+    hist = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per bucket: the running count over at most 65,536 rows.
+    cum = hist.select("_b", F.sum("_n").over(Window.orderBy("_b").rowsBetween(
+        Window.unboundedPreceding, 0)).alias("_cum"))
+    cut = cum.agg(F.struct(
+        F.min(F.when(F.col("_cum") >= n, F.col("_b"))).alias("bucket"),
+        F.coalesce(F.max(F.when(F.col("_cum") < n, F.col("_cum"))), F.lit(0)).alias("before")
+    )).scalar()
+    tagged = hashed.withColumn("_cut", cut)
+    bucket = F.col("_cut.bucket")
+    # n >= all rows: no cut bucket, every row is in the holdout.
+    outside = tagged.where(bucket.isNull() | (F.col("_b") != bucket)).withColumn(
+        flag, bucket.isNull() | (F.col("_b") < bucket))
+    ranked = tagged.where(F.col("_b") == bucket).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys)))
+    inside = ranked.withColumn(flag, F.col("_rn") <= F.lit(n) - F.col("_cut.before")).drop("_rn")
+    return outside.unionByName(inside).drop("_h", "_b", "_cut")
 
 
 def holdout_fraction(df: DataFrame, pct: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:

@@ -90,3 +90,14 @@ def test_forecast_job_checks_template(spark):
     with pytest.raises(ValueError):
         train_and_forecast(sales, 2500, first_day=1200,
                            template_ids=template.where(~F.col("id").startswith("Brand#1_")))
+
+
+def test_holdout_exact_n_matches_brute_force(spark):
+    df = spark.range(0, 3000).select(F.col("id").cast("string").alias("k"))
+    ranked = df.withColumn("_h", K.key_hash("k")).withColumn(
+        "rn", F.row_number().over(Window.orderBy("_h", "k")))
+    for n in (0, 1, 1234, 3000, 5000):
+        got = K.holdout_exact_n(df, n, ["k"]).where("is_holdout").select("k")
+        exp = ranked.where(F.col("rn") <= n).select("k")
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+        assert K.holdout_exact_n(df, n, ["k"]).count() == 3000
