@@ -22,6 +22,9 @@ _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of DataFrames that are no longer referenced are
+    # removed, so library checkpoints do not pile up on shared storage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -159,3 +159,17 @@ def test_group_stat_back_equals_window(spark):
     got = J.join_group_stat_back(df, ["g"], "x", "m").select("i", "m")
     exp = df.select("i", F.avg("x").over(Window.partitionBy("g")).alias("m"))
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_pacf_matches_yule_walker():
+    from shelfcast.operators.diagnostics import _durbin_levinson
+    rng = np.random.default_rng(2)
+    x = np.cumsum(rng.normal(size=400)) * 0.1 + rng.normal(size=400)
+    x = x - x.mean()
+    n = len(x)
+    r = np.array([np.dot(x[k:], x[:n - k]) / np.dot(x, x) for k in range(11)])
+    got = _durbin_levinson(r)
+    for k in range(1, 11):
+        toeplitz = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
+        phi = np.linalg.solve(toeplitz, r[1:k + 1])
+        assert abs(got[k] - phi[-1]) < 1e-10
