@@ -2,13 +2,20 @@
 
 All features of one call share one window spec, ``partitionBy(id)
 .orderBy(order)``, so Spark plans a single Exchange (hash on id) and a single
-Sort for any number of lag / rolling columns; each rolling column is only a
-different row frame inside the same Window operator.
+Sort for any number of lag / rolling columns, even when they span several
+Window operators (running totals, lags of them, doubling levels): a Window
+operator keeps its input's partitioning and order.
 
 Rolling statistics follow pandas ``rolling(k)``: the value is NULL unless all
 ``k`` rows of the frame hold a non-NULL value.  A rolling window of a lag is
-written as a shifted frame over the raw column (``rowsBetween(-(L+k-1),
--L)``), which is the same thing without materialising the lag first.
+a shifted frame over the raw column (``rowsBetween(-(L+k-1), -L)``), the same
+thing without materialising the lag first.  Three evaluation strategies:
+
+* frame form (``rolling``): Spark re-aggregates the frame for every row,
+  O(rows x k); any column type;
+* running totals (``rolling_sums_prefix``, ``rolling_moments_prefix``): exact
+  for whole-number columns (units sold), O(rows);
+* doubling (``rolling_extreme``): exact max / min, O(rows x log k).
 
 The per-series partition is bounded by the number of days in the calendar,
 so the rows Spark buffers per key do not grow with the number of series or
