@@ -101,6 +101,14 @@ def rolling_kurt(col: str, k: int, w: WindowSpec, shift: int = 0) -> Column:
                   F.lit(a) * (F.lit(n + 1) * g2 + F.lit(6.0)))
 
 
+def _whole(col: str, to: str) -> Column:
+    """``col`` cast to an integral type; a fractional value raises instead of
+    being truncated (the running-total forms are exact only for whole numbers)."""
+    c = F.col(col)
+    return F.when(c.isNull() | (c == F.floor(c)), c.cast(to)).otherwise(
+        F.raise_error(F.lit(f"{col}: running-total rolling statistics need whole numbers")).cast(to))
+
+
 def rolling_sums_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int]],
                         w: WindowSpec, mean: bool = True) -> DataFrame:
     """Rolling sums (or means) of an integer-valued column in O(rows).
@@ -117,7 +125,7 @@ def rolling_sums_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int
     Exchange and one Sort in total.
     """
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    staged = df.select("*", F.coalesce(F.sum(F.col(col).cast("long")).over(run), F.lit(0))
+    staged = df.select("*", F.coalesce(F.sum(_whole(col, "long")).over(run), F.lit(0))
                        .alias("_cs"), F.count(col).over(run).alias("_cn"))
 
     def at(c: str, back: int) -> Column:
@@ -148,7 +156,7 @@ def rolling_moments_prefix(df: DataFrame, col: str, specs: list[tuple[str, str,
     """
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     dec = "decimal(38,0)"
-    x = F.col(col).cast(dec)
+    x = _whole(col, dec)
     top = max({"std": 2, "skew": 3, "kurt": 4}[kind] for _, kind, _, _ in specs)
     pows = {1: x, 2: x * x, 3: x * x * x, 4: x * x * x * x}
     staged = df.select("*", F.count(col).over(run).alias("_rn"),

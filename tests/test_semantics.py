@@ -173,3 +173,9 @@ def test_pacf_matches_yule_walker():
         toeplitz = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
         phi = np.linalg.solve(toeplitz, r[1:k + 1])
         assert abs(got[k] - phi[-1]) < 1e-10
+
+
+def test_running_totals_refuse_fractional_input(spark):
+    df = spark.createDataFrame([("s", i, 1.5) for i in range(1, 10)], "id string, d_num int, sales double")
+    with pytest.raises(Exception):
+        W.rolling_mean_of_lag(df, (1,), (3,), integral=True).collect()
