@@ -101,3 +101,26 @@ def test_holdout_exact_n_matches_brute_force(spark):
         exp = ranked.where(F.col("rn") <= n).select("k")
         assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
         assert K.holdout_exact_n(df, n, ["k"]).count() == 3000
+
+
+def test_ml_recursion_equals_expression_recursion_for_linear_model(spark):
+    from pyspark.ml.regression import LinearRegression
+    from shelfcast.plans import features as FE
+    from shelfcast.plans import models as ML
+    s = V.v_sales(spark, SF_SMALL).select("id", "d_num", "sales")
+    names = ["lag_7", "lag_28", "rmean_7_7", "rmean_7_28", "rmean_28_7", "rmean_28_28"]
+    rows = ML.assemble_features(FE.demand_features(s), names, "sales")
+    model = LinearRegression(regParam=0.1).fit(rows)
+    a = FC.recursive_forecast_ml(s, 2501, model, names, horizon=10)
+    b = FC.recursive_forecast(s, 2501, 10, model=FC.LinearModelSpec.from_ml(model, names))
+    joined = a.join(b.withColumnRenamed("pred", "p2"), ["id", "d_num"])
+    assert joined.count() == a.count() == b.count()
+    assert joined.where(F.abs(F.col("pred") - F.col("p2")) > 1e-9).count() == 0
+
+
+def test_sink_wide_round_trip(spark):
+    from shelfcast.sources import sinks as SK
+    s = V.v_sales(spark, SF_SMALL).select("id", "d_num", "sales")
+    sub = FC.submission_build(FC.recursive_forecast(s, 2501, 28), 2501, 28, [1.0])
+    back = SK.sink_wide(sub, SK.output_path(spark, "test-sub"), read_back=True)
+    assert back.exceptAll(sub).count() == 0 and sub.exceptAll(back).count() == 0
