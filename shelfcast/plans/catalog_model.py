@@ -12,7 +12,7 @@ from shelfcast.operators import split as K
 from shelfcast.operators import windows as W
 from shelfcast.plans import forecast as FC
 from shelfcast.plans import models as ML
-from shelfcast.plans.catalog_reshape import TR_LAST
+from shelfcast.plans.catalog_reshape import TR_LAST, hash_sql
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling
@@ -407,3 +407,25 @@ def q_forecast_job(spark, sf_dir):
     template = replicate_with_new_id(sales.select("id").distinct())
     result = train_and_forecast(sales, TR_LAST, first_day=FIRST_TRAIN_DAY, template_ids=template)
     return result.submission.select("id", *[F.round(c, 6).alias(c) for c in _F_COLS])
+
+
+# -- L7 ------------------------------------------------------------------------------
+
+KNN_K = 50
+
+
+@register("knn_regress", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
+                  {hash_sql('vec_id')} % 100 AS b FROM embeddings),
+q AS (SELECT vec_id AS query_id, v FROM e WHERE b < 25),
+t AS (SELECT vec_id, v, label FROM e WHERE b >= 25),
+d AS (SELECT q.query_id, t.vec_id, t.label,
+             row_number() OVER (PARTITION BY q.query_id
+                                ORDER BY list_distance(q.v, t.v), t.vec_id) AS rn
+      FROM q, t)
+SELECT query_id, avg(label) AS prediction FROM d WHERE rn <= {KNN_K} GROUP BY query_id""")
+def q_knn_regress(spark, sf_dir):
+    """Embeddings split by key hash: 25 % are queries, the rest training rows."""
+    from shelfcast.operators.neighbors import knn_regress
+    emb = K.holdout_fraction(V.embeddings(spark, sf_dir), 25, ["vec_id"])
+    return knn_regress(emb.where(~F.col("is_holdout")), emb.where("is_holdout"), KNN_K)
