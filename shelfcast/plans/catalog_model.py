@@ -8,9 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfcast.operators import diagnostics as M
+from shelfcast.operators import neighbors as NB
 from shelfcast.operators import split as K
 from shelfcast.operators import windows as W
 from shelfcast.plans import forecast as FC
+from shelfcast.plans import job as JOB
 from shelfcast.plans import models as ML
 from shelfcast.plans.catalog_reshape import TR_LAST, hash_sql
 from shelfcast.plans.oracle_views import with_views
@@ -402,10 +404,9 @@ def q_forecast_job(spark, sf_dir):
     """Train on the brand series, forecast 28 days with the fitted model, and
     return the checked, blended wide submission (validation + evaluation ids)."""
     from shelfcast.operators.project import replicate_with_new_id
-    from shelfcast.plans.job import train_and_forecast
     sales = _sales(spark, sf_dir).withColumn("id", F.concat("id", F.lit("_validation")))
     template = replicate_with_new_id(sales.select("id").distinct())
-    result = train_and_forecast(sales, TR_LAST, first_day=FIRST_TRAIN_DAY, template_ids=template)
+    result = JOB.train_and_forecast(sales, TR_LAST, first_day=FIRST_TRAIN_DAY, template_ids=template)
     return result.submission.select("id", *[F.round(c, 6).alias(c) for c in _F_COLS])
 
 
@@ -426,6 +427,5 @@ d AS (SELECT q.query_id, t.vec_id, t.label,
 SELECT query_id, avg(label) AS prediction FROM d WHERE rn <= {KNN_K} GROUP BY query_id""")
 def q_knn_regress(spark, sf_dir):
     """Embeddings split by key hash: 25 % are queries, the rest training rows."""
-    from shelfcast.operators.neighbors import knn_regress
     emb = K.holdout_fraction(V.embeddings(spark, sf_dir), 25, ["vec_id"])
-    return knn_regress(emb.where(~F.col("is_holdout")), emb.where("is_holdout"), KNN_K)
+    return NB.knn_regress(emb.where(~F.col("is_holdout")), emb.where("is_holdout"), KNN_K)

@@ -28,7 +28,7 @@ def main() -> None:
              "E": "operators.encode", "K": "operators.split", "M": "operators.diagnostics",
              "N": "functions.numeric", "S": "functions.strings", "D": "functions.dates",
              "FC": "plans.forecast", "ML": "plans.models", "SK": "sources.sinks",
-             "TB": "sources.tables"}
+             "TB": "sources.tables", "NB": "operators.neighbors", "JOB": "plans.job"}
     out = ["# Coverage of SURVEY §2", "",
            "Generated by `tools/coverage.py`.  *Oracle*: `sql` = a DuckDB query in "
            "`oracle_sql()` that the Spark result matches (row count, columns, values); "
@@ -42,7 +42,7 @@ def main() -> None:
         fn = qs[key]
         src = inspect.getsource(fn)
         calls = []
-        for m in re.finditer(r"\b(FE|W|R|P|J|A|E|K|M|N|S|D|FC|ML|SK|TB)\.([a-z_]+)\(", src):
+        for m in re.finditer(r"\b(FE|W|R|P|J|A|E|K|M|N|S|D|FC|ML|SK|TB|NB|JOB)\.([a-z_]+)\(", src):
             name = f"{alias[m.group(1)]}.{m.group(2)}"
             if name not in calls:
                 calls.append(name)
