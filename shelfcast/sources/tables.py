@@ -13,9 +13,24 @@ from pyspark.sql.types import StructType
 from shelfcast.session import table_path
 
 
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+               columns: list[str] | None = None, reuse: bool = True) -> DataFrame:
+    """Parquet table ``name`` under ``sf_dir``, pruned to ``columns``.
+
+    The resolved scan (schema read from the file footers, file listing) is
+    kept per session and path, so repeated queries over the same tables do
+    not infer the schema again; ``reuse=False`` re-reads (e.g. after the
+    files changed).
+    """
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _SCANS.get(key) if reuse else None
+    if df is None:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
     return df.select(*columns) if columns else df
 
 
