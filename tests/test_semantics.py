@@ -179,3 +179,27 @@ def test_running_totals_refuse_fractional_input(spark):
     df = spark.createDataFrame([("s", i, 1.5) for i in range(1, 10)], "id string, d_num int, sales double")
     with pytest.raises(Exception):
         W.rolling_mean_of_lag(df, (1,), (3,), integral=True).collect()
+
+
+def test_one_hot_refuses_unbounded_width(spark, monkeypatch):
+    monkeypatch.setattr(E, "MAX_ONE_HOT_VALUES", 5)
+    df = spark.range(0, 20).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        E.one_hot(df, "c")
+    out = E.one_hot(df.where("id < 3"), "c", prefix="c_")
+    assert [c for c in out.columns if c.startswith("c_")] == ["c_0", "c_1", "c_2"]
+
+
+def test_id_alignment_is_multiset(spark):
+    from shelfcast.operators import aggs as A
+    a = spark.createDataFrame([("x",), ("x",), ("y",)], "id string")
+    b = spark.createDataFrame([("x",), ("y",), ("z",)], "id string")
+    r = A.check_id_alignment(a, b).first()
+    assert (r["only_left"], r["only_right"], r["aligned"]) == (1, 1, False)
+    assert A.check_id_alignment(a, a).first()["aligned"]
+
+
+def test_narrow_plan_floats(spark):
+    df = spark.createDataFrame([(1.5, 1e39), (-2.0, 0.0)], "a double, b double")
+    plan = {r["column"]: r["narrow_type"] for r in E.narrow_plan(df).collect()}
+    assert plan == {"a": "float", "b": "double"}
