@@ -19,6 +19,7 @@ only one broadcast without a runtime check.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,28 @@ CALENDAR_DAYS = (_END - _START).days + 1
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Reuse a view's DataFrame per session and arguments.
+
+    A DataFrame is an immutable, lazy plan: handing the same object to
+    several queries only saves rebuilding it (py4j calls and analysis); each
+    query still reads the tables when it runs.
+    """
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, *args, **kwargs):
+        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), args,
+               tuple(sorted(kwargs.items())))
+        df = _PLANS.get(key)
+        if df is None:
+            df = fn(spark, *args, **kwargs)
+            _PLANS[key] = df
+        return df
+    return wrapper
+
+
 def day_number(date_col) -> F.Column:
     """Days since the calendar start, 1-based (``d_1`` = CALENDAR_START)."""
     return (F.datediff(date_col, F.lit(CALENDAR_START).cast("date")) + 1).cast("int")
@@ -61,6 +84,7 @@ def day_start_ts(day: int) -> F.Column:
     return F.lit(_dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
 
 
+@_memo
 def v_sales(spark: SparkSession, sf_dir: str, since_day: int | None = None) -> DataFrame:
     """(id, date, d_num, sales): daily units per brand.
 
@@ -87,6 +111,7 @@ def _brand_number(col: str = "p_brand") -> F.Column:
     return F.regexp_extract(F.col(col), r"#(\d+)$", 1).cast("int")
 
 
+@_memo
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with the compact keys of its series: brand, region key, day.
 
@@ -121,6 +146,7 @@ def _hierarchy(df: DataFrame) -> list:
     ]
 
 
+@_memo
 def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, region, date, sales, price_cents, price_units): one pass over
     lineitem feeds both the panel and the weekly prices.  Built the same way
@@ -135,6 +161,7 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(shelf, F.col("l_quantity"))).alias("price_units"))
 
 
+@_memo
 def v_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, item_id, dept_id, cat_id, store_id, state_id, d, d_num, date, sales)."""
     daily = daily_facts(spark, sf_dir)
@@ -152,6 +179,7 @@ def wm_yr_wk(d_num_col) -> F.Column:
     return (F.floor(d_num_col / 7) + 1).cast("int")
 
 
+@_memo
 def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, store_id, wm_yr_wk, sell_price) from shelf-price lines.
 
@@ -168,6 +196,7 @@ def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .alias("store_id"), "wm_yr_wk", "sell_price")
 
 
+@_memo
 def v_calendar(spark: SparkSession) -> DataFrame:
     """The day dimension: one row per day of [CALENDAR_START, CALENDAR_END].
 
@@ -216,6 +245,7 @@ def _events_daily(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
               .where(F.col("day").between(1, EVENTS_DAYS)))
 
 
+@_memo
 def v_wide(spark: SparkSession, sf_dir: str, by: str = "event_type") -> DataFrame:
     """(id, d_1..d_30): events per day, one row per ``by`` value.
 
@@ -232,5 +262,6 @@ def v_wide(spark: SparkSession, sf_dir: str, by: str = "event_type") -> DataFram
     return wide.select("id", *cols)
 
 
+@_memo
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
