@@ -21,11 +21,17 @@ from shelfcast.plans.sqlfrag import over, rolling
 from shelfcast.sources import sinks as SK
 from shelfcast.sources import views as V
 
-ORIGIN = TR_LAST + 1
+# Fixed values, equal to the reference's run parameters: forecast horizon,
+# history bound of the recursion, backtest length, blend multipliers,
+# first training day, neighbours of the kNN regression.
 H = 28
 MAX_LAGS = 57
 BT_DAYS = 15
 ALPHAS = [1.025, 1.023, 1.0175]
+FIRST_TRAIN_DAY = 1200
+KNN_K = 50
+
+ORIGIN = TR_LAST + 1
 MODEL = FC.FIXED_MODEL
 
 
@@ -396,9 +402,6 @@ def q_sink_training_extract(spark, sf_dir):
 
 # -- the whole job ---------------------------------------------------------------
 
-FIRST_TRAIN_DAY = 1200  # the reference's default first training day
-
-
 @register("forecast_job")
 def q_forecast_job(spark, sf_dir):
     """Train on the brand series, forecast 28 days with the fitted model, and
@@ -412,9 +415,6 @@ def q_forecast_job(spark, sf_dir):
 
 # -- L7 ------------------------------------------------------------------------------
 
-KNN_K = 50
-
-
 @register("knn_regress", f"""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
                   {hash_sql('vec_id')} % 100 AS b FROM embeddings),
