@@ -65,3 +65,19 @@ def test_series_layout_removes_window_exchange(spark):
     # same rows as without the layout
     plain = FE.demand_features(s)
     assert feats.exceptAll(plain).count() == 0 and plain.exceptAll(feats).count() == 0
+
+
+def test_rolling_strategies_keep_one_exchange(spark):
+    from shelfcast.operators import windows as W
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = V.v_panel(spark, SF_SMALL).select("id", "d_num", F.col("sales").alias("demand"))
+        w = W.series_window()
+        out = W.rolling_horizon_features(p, 28, (7, 30), (7, 30), 30, integral=True)
+        out = W.rolling_extreme(out, "demand", 365, w, 1, "mx")
+        plan = _plan(out)
+        # one exchange for the panel aggregation, one for all window work
+        assert plan.count("Exchange hashpartitioning(id") == 1
+        assert len([l for l in plan.split("\n") if "Sort [id" in l]) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
