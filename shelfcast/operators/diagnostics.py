@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 def acf(df: DataFrame, nlags: int = 40, id_col: str = "id", order_col: str = "d_num",
         value_col: str = "sales") -> DataFrame:
     """(id, lag, acf) with acf_k = sum_t x_t x_{t-k} / sum_t x_t^2, x centred."""
-    whole = Window.partitionBy(id_col)
     ordered = Window.partitionBy(id_col).orderBy(order_col)
+    # The mean over the whole series, on the same spec as the lags (one sort).
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     centred = df.select(id_col, order_col,
                         (F.col(value_col) - F.avg(value_col).over(whole)).alias("_x"))
     lagged = centred.select(id_col, "_x", *[F.lag("_x", k).over(ordered).alias(f"_l{k}")
