@@ -18,56 +18,68 @@ SMALL_CODE_TABLE = 100_000   # distinct values broadcast below this bound
 MAX_ONE_HOT_VALUES = 1_000   # one column per value: the width must be bounded
 
 
-def _profile(df: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """Exact distinct counts and NULL presence of all columns in one
-    aggregation job (one row comes back).  The counts decide per column
-    between a broadcast and a shuffled code table."""
-    row = df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols],
-                 *[F.max(F.col(c).isNull().cast("int")).alias(f"z_{c}") for c in cols]).first()
-    return ({c: int(row[f"n_{c}"]) for c in cols},
-            {c: int(row[f"z_{c}"] or 0) for c in cols})
-
-
-def _materialized(df: DataFrame, materialize: bool) -> DataFrame:
-    """The input is read once per code table plus once for the profile; a
-    reliable checkpoint makes those reads cheap when the input is itself an
-    expensive plan (joins, aggregations)."""
-    return cut_lineage(df) if materialize else df
-
-
-def _attach_codes(df: DataFrame, col: str, out: str, known: int | None = None) -> DataFrame:
-    codes, small = dense_codes(df, col, "_code", small_max=SMALL_CODE_TABLE, known_count=known)
+def _value_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct (column, value) pairs of all string columns in one pass,
+    NULL included, written once: a table the size of the category sets."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).alias("_val")) for c in cols])).alias("_p"))
+    return cut_lineage(pairs.select("_p._col", "_p._val").distinct())
+
+
+def _profile(values: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """Distinct non-NULL count and NULL presence per column, from the value
+    table (one small aggregation; one row per column comes back)."""
+    rows = values.groupBy("_col").agg(
+        F.count("_val").alias("n"), F.max(F.col("_val").isNull().cast("int")).alias("z")).collect()
+    got = {r["_col"]: (int(r["n"]), int(r["z"] or 0)) for r in rows}
+    return ({c: got.get(c, (0, 0))[0] for c in cols}, {c: got.get(c, (0, 0))[1] for c in cols})
+
+
+def _attach_codes(df: DataFrame, values: DataFrame, col: str, out: str, known: int) -> DataFrame:
+    distinct = values.where(F.col("_col") == col).select(F.col("_val").alias(col))
+    codes, small = dense_codes(distinct, col, "_code", small_max=SMALL_CODE_TABLE,
+                               known_count=known)
     side = F.broadcast(codes) if small else codes
     # NULL keys find no match: their code stays NULL.
-    return df.join(side.withColumnRenamed(col, "_val"),
-                   F.col(col) == F.col("_val"), "left").drop("_val") \
-             .withColumnRenamed("_code", out)
+    return df.join(side.withColumnRenamed(col, "_v"), F.col(col) == F.col("_v"), "left") \
+             .drop("_v").withColumnRenamed("_code", out)
 
 
-def category_codes(df: DataFrame, cols: list[str], suffix: str = "",
-                   materialize: bool = True) -> DataFrame:
+def _string_cols(df: DataFrame, cols: list[str]) -> None:
+    types = dict(df.dtypes)
+    bad = [c for c in cols if types.get(c) != "string"]
+    if bad:
+        raise TypeError(f"category columns must be strings (cast them first): {bad}")
+
+
+def category_codes(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Sorted category code as short; with NULLs present NULL -> 0 and
     values 1..k, without NULLs values 0..k-1 (code -1 for NULL, then the
-    column minimum subtracted)."""
-    df = _materialized(df, materialize)
+    column minimum subtracted).
+
+    The input is read once for the value table (distinct values of all the
+    columns, written once) and once by the final joins; it is never
+    materialised itself.
+    """
+    _string_cols(df, cols)
+    values = _value_table(df, cols)
+    card, nulls = _profile(values, cols)
     out = df
-    card, nulls = _profile(df, cols)
     for c in cols:
-        has_null = F.lit(nulls[c])
-        out = _attach_codes(out, c, "_c", card[c])
-        out = out.withColumn(c + suffix, (F.coalesce(F.col("_c"), F.lit(-1)) + has_null)
+        out = _attach_codes(out, values, c, "_c", card[c])
+        out = out.withColumn(c + suffix, (F.coalesce(F.col("_c"), F.lit(-1)) + F.lit(nulls[c]))
                              .cast("short")).drop("_c")
     return out
 
 
-def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "",
-                           materialize: bool = True) -> DataFrame:
+def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Codes 0..k-1 in sorted order for non-NULL values; NULL stays NULL."""
-    df = _materialized(df, materialize)
+    _string_cols(df, cols)
+    values = _value_table(df, cols)
+    card, _ = _profile(values, cols)
     out = df
-    card, _ = _profile(df, cols)
     for c in cols:
-        out = _attach_codes(out, c, "_c", card[c])
+        out = _attach_codes(out, values, c, "_c", card[c])
         out = out.withColumn(c + suffix, F.col("_c").cast("int")).drop("_c")
     return out
 

@@ -17,7 +17,7 @@ from shelfcast.operators import windows as W
 
 def _codes(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c string")
-    out = E.category_codes(df, ["c"], materialize=False).orderBy("i")
+    out = E.category_codes(df, ["c"]).orderBy("i")
     return [r["c"] for r in out.collect()]
 
 
@@ -28,7 +28,7 @@ def test_category_codes_null_aware(spark):
 
 def test_label_encode_keeps_null(spark):
     df = spark.createDataFrame([(0, "b"), (1, None), (2, "a")], "i int, c string")
-    out = E.label_encode_keep_null(df, ["c"], materialize=False).orderBy("i")
+    out = E.label_encode_keep_null(df, ["c"]).orderBy("i")
     assert [r["c"] for r in out.collect()] == [1, None, 0]
 
 
@@ -203,3 +203,12 @@ def test_narrow_plan_floats(spark):
     df = spark.createDataFrame([(1.5, 1e39), (-2.0, 0.0)], "a double, b double")
     plan = {r["column"]: r["narrow_type"] for r in E.narrow_plan(df).collect()}
     assert plan == {"a": "float", "b": "double"}
+
+
+def test_category_codes_large_table_path(spark, monkeypatch):
+    vals = ["b", None, "a", "c", "a", "d", "e", None, "b"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, c string")
+    small = [r["c"] for r in E.category_codes(df, ["c"]).orderBy("i").collect()]
+    monkeypatch.setattr(E, "SMALL_CODE_TABLE", 2)
+    large = [r["c"] for r in E.category_codes(df, ["c"]).orderBy("i").collect()]
+    assert small == large == [2, 0, 1, 3, 1, 4, 5, 0, 2]
