@@ -55,3 +55,13 @@ def test_query_matches_oracle(spark, duck, key):
     got = E.queries()[key](spark, SF_SMALL).toPandas()
     exp = duck.sql(E.oracle_sql()[key]).to_arrow_table().to_pandas()
     assert _rows(got) == _rows(exp)
+
+
+def test_every_oracle_sql_plans_in_duckdb(duck):
+    bad = []
+    for key, sql in E.oracle_sql().items():
+        try:
+            duck.execute("EXPLAIN " + sql)
+        except Exception as e:  # noqa: BLE001
+            bad.append((key, str(e)[:200]))
+    assert not bad
