@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import chat, licenses, packing, quality, urls
+from shelfcast.llm import chat, language, licenses, packing, quality, urls
 from shelfcast.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_chat_rotation(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op3_compression_language(spark, sf_dir):
+    return language.language_query(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_link_graph_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -30,7 +34,7 @@ def op10_license_sentences(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sum_of_squares_packing, op2_chat_rotation, op4_link_graph_filter, op9_quality_ledger, op10_license_sentences)}
+    op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter, op9_quality_ledger, op10_license_sentences)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,
            "op9_quality_ledger": quality.ORACLE,
            "op10_license_sentences": licenses.ORACLE}
