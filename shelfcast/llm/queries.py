@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import chat, language, licenses, packing, quality, urls
+from shelfcast.llm import chat, decontaminate, language, licenses, packing, quality, urls
 from shelfcast.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op4_link_graph_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op7_prefix_set_join(spark, sf_dir):
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                       table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
 def op9_quality_ledger(spark, sf_dir):
     return quality.quality_query(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -34,7 +39,9 @@ def op10_license_sentences(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter, op9_quality_ledger, op10_license_sentences)}
+    op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter,
+    op7_prefix_set_join, op9_quality_ledger, op10_license_sentences)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,
+           "op7_prefix_set_join": decontaminate.ORACLE,
            "op9_quality_ledger": quality.ORACLE,
            "op10_license_sentences": licenses.ORACLE}
