@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import chat, decontaminate, language, licenses, packing, quality, urls
+from shelfcast.llm import chat, decontaminate, language, licenses, neardup, packing, quality, urls
 from shelfcast.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op7_prefix_set_join(spark, sf_dir):
                                        table(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
 
+def op8_bottom_k_near_dups(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   shingle=3, percent=85)
+
+
 def op9_quality_ledger(spark, sf_dir):
     return quality.quality_query(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -40,8 +45,9 @@ def op10_license_sentences(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter,
-    op7_prefix_set_join, op9_quality_ledger, op10_license_sentences)}
+    op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,
            "op7_prefix_set_join": decontaminate.ORACLE,
+           "op8_bottom_k_near_dups": neardup.ORACLE,
            "op9_quality_ledger": quality.ORACLE,
            "op10_license_sentences": licenses.ORACLE}
