@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import chat, decontaminate, language, licenses, neardup, packing, quality, substrings, urls
+from shelfcast.llm import chat, decontaminate, htmltext, language, licenses, neardup, packing, quality, substrings, urls
 from shelfcast.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op4_link_graph_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op5_template_extraction(spark, sf_dir):
+    return htmltext.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_fm_index_dedup(spark, sf_dir):
     return substrings.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"),
                                        keep=["doc_id"], with_text=False)
@@ -50,8 +54,9 @@ def op10_license_sentences(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter,
-    op6_fm_index_dedup, op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences)}
+    op5_template_extraction, op6_fm_index_dedup, op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,
+           "op5_template_extraction": htmltext.ORACLE,
            "op6_fm_index_dedup": substrings.ORACLE,
            "op7_prefix_set_join": decontaminate.ORACLE,
            "op8_bottom_k_near_dups": neardup.ORACLE,
