@@ -1,11 +1,65 @@
-"""Corpus pipeline: stages over ``documents``."""
+"""Corpus pipeline over ``documents``: language, near duplicates, repeated
+passages, benchmark passages, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last
+return the columns of ``docs``.  ``run`` writes every stage's result below
+``spark.checkpoint.dir`` and reads it back, so a lost executor costs at most
+one stage.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, functions as F
+
+from shelfcast.llm import decontaminate, language, neardup, packing, substrings
+from shelfcast.llm.common import table, written
+
+
+def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters or with a narrow language margin go."""
+    model = language.fit(docs)
+    found = language.identify(docs, model)
+    return found.filter(~F.col("rejected")).select(*docs.columns)
+
+
+def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five words, 0.8) the smallest id stays."""
+    gone = written(neardup.near_duplicates(docs).filter(~F.col("kept"))
+                   .select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
+    few = gone.count() <= neardup.BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that an earlier document holds are cut."""
+    out = substrings.dedup_substrings(docs, keep=docs.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    changed = F.col("n_removed") > 0
+    return out.select(*[F.when(changed, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+                        for c in docs.columns])
+
+
+def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover a twentieth or more go."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(~F.col("contaminated")).select(*docs.columns)
+
+
+def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language", language_stage), ("near_duplicates", near_duplicate_stage),
+          ("substrings", substring_stage), ("decontamination", decontamination_stage),
+          ("packing", packing_stage)]
+
+#: Compression, tokenisation and packing have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
