@@ -11,9 +11,6 @@ filled; that one is split into sequences whose lengths are powers of two,
 which need no padding.
 
 Tokens: the given ``tokenizers`` file without special tokens, then one end id.
-Text units between blanks are encoded once per worker and looked up after
-that; a unit boundary is a blank with a non-blank on either side, where the
-byte-level pre-tokenizer always cuts, so ids equal those of the whole text.
 
 Edge cases: null and empty texts are the end id alone; repeated rows are each
 packed; an empty table gives no pieces; a document of any length is cut into
@@ -24,7 +21,7 @@ again after a loss writes the same ids for the same input.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -34,55 +31,64 @@ from pyspark.sql import DataFrame
 
 WINDOW = 2048
 END_ID = 1
-CACHE_UNITS = 800_000  # texts of units kept per worker, dropped when full
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
-class UnitEncoder:
-    """text -> little-endian uint32 id bytes, by cached units."""
+# The byte-level pre-tokenizer's pattern.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    _runs = re.compile(r"\s\s")
-    _cut = re.compile(r"(?<=\S)(?= \S)")
+
+def _byte_of() -> dict[str, int]:
+    """Characters that a byte-level vocabulary writes for bytes."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+class Encoder:
+    """text -> ids of a byte-level BPE file, as the tokenizers library gives them.
+
+    The file's vocabulary and merges are run by a faster BPE loop where they
+    allow it (no normaliser, merge order equal to id order); texts with the
+    strings of added tokens, and other files, go through the library itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self._tok = Tokenizer.from_file(path)
-        self._plain: dict[str, bytes] = {}   # unit as it stands
-        self._spaced: dict[str, bytes] = {}  # unit after one blank
-
-    def _ids(self, unit: str) -> bytes:
-        return np.asarray(self._tok.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _look(self, known: dict, units: list[str], lead: str) -> list[bytes]:
-        if len(known) > CACHE_UNITS:
-            known.clear()
-        try:
-            return [known[u] for u in units]
-        except KeyError:
-            for u in set(units):
-                if u not in known:
-                    known[u] = self._ids(lead + u)
-            return [known[u] for u in units]
+
+        self._exact = Tokenizer.from_file(path)
+        spec = json.loads(self._exact.to_str())
+        self._added = [t["content"] for t in spec["added_tokens"]]
+        self._fast = self._ranked(spec)
+
+    def _ranked(self, spec):
+        import tiktoken
+
+        model, split = spec["model"], spec["pre_tokenizer"] or {}
+        plain = (model["type"] == "BPE" and not spec["normalizer"] and split.get("type") == "ByteLevel"
+                 and split.get("use_regex") and not split.get("add_prefix_space")
+                 and not model.get("ignore_merges") and not model.get("dropout"))
+        if not plain:
+            return None
+        vocab, byte = model["vocab"], _byte_of()
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if made != sorted(made):
+            return None
+        known = set(made) | {vocab[c] for c in byte if c in vocab}
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if i in known}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if self._runs.search(text):
-            return b"".join(self._look(self._plain, self._cut.split(text), ""))
-        out, first = [], True
-        # A lone line end between non-blanks is a token of its own.
-        for line in text.split("\n"):
-            if not first:
-                out += self._look(self._plain, ["\n"], "")
-            first = False
-            units = line.split(" ")
-            if units[0]:
-                out += self._look(self._plain, units[:1], "")
-            out += self._look(self._spaced, units[1:], " ")
-        return b"".join(out)
+        if self._fast is None or any(t in text for t in self._added):
+            ids = self._exact.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self._fast.encode_ordinary(text)
+        return np.asarray(ids, "<u4").tobytes()
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}  # one per worker process and file
+_ENCODERS: dict[str, Encoder] = {}  # one per worker process and file
 
 
 class SumOfSquares:
@@ -181,7 +187,7 @@ def pack(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "t
     def run(batches):
         import pyarrow as pa
 
-        encode = _ENCODERS.setdefault(tokenizer_path, None) or UnitEncoder(tokenizer_path)
+        encode = _ENCODERS.setdefault(tokenizer_path, None) or Encoder(tokenizer_path)
         _ENCODERS[tokenizer_path] = encode
         end = np.asarray([end_id], "<u4").tobytes()
         sos = SumOfSquares(window)
