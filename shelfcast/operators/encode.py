@@ -1,9 +1,9 @@
 """Category encoding and type narrowing (ops J1-J6).
 
-Codes are computed from the *distinct* values only (a partial aggregation),
-numbered in sorted order and joined back.  A code table proven small is
-broadcast; a large one is numbered with the distributed row number and
-joined with a shuffle.
+Codes are computed from the *distinct* values only (a partial aggregation of
+all coded columns in one pass), numbered in sorted order by one distributed
+row number and joined back; the planner picks the join from the measured
+size of the code table.  There is one path for every cardinality.
 """
 
 from __future__ import annotations
@@ -11,99 +11,88 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.ordering import dense_codes
-from shelfcast.session import cut_lineage
+from shelfcast.operators.ordering import global_row_number
 
-SMALL_CODE_TABLE = 100_000   # distinct values broadcast below this bound
-MAX_ONE_HOT_VALUES = 1_000   # one column per value: the width must be bounded
 
-
-def _value_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct (column, value) pairs of all string columns in one pass,
-    NULL included, written once: a table the size of the category sets."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(c).alias("_val")) for c in cols])).alias("_p"))
-    return cut_lineage(pairs.select("_p._col", "_p._val").distinct())
-
-
-def _profile(values: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """Distinct non-NULL count and NULL presence per column, from the value
-    table (one small aggregation; one row per column comes back)."""
-    rows = values.groupBy("_col").agg(
-        F.count("_val").alias("n"), F.max(F.col("_val").isNull().cast("int")).alias("z")).collect()
-    got = {r["_col"]: (int(r["n"]), int(r["z"] or 0)) for r in rows}
-    return ({c: got.get(c, (0, 0))[0] for c in cols}, {c: got.get(c, (0, 0))[1] for c in cols})
-
-
-def _attach_codes(df: DataFrame, values: DataFrame, col: str, out: str, known: int) -> DataFrame:
-    distinct = values.where(F.col("_col") == col).select(F.col("_val").alias(col))
-    codes, small = dense_codes(distinct, col, "_code", small_max=SMALL_CODE_TABLE,
-                               known_count=known)
-    side = F.broadcast(codes) if small else codes
-    # NULL keys find no match: their code stays NULL.
-    return df.join(side.withColumnRenamed(col, "_v"), F.col(col) == F.col("_v"), "left") \
-             .drop("_v").withColumnRenamed("_code", out)
-
-
-def _string_cols(df: DataFrame, cols: list[str]) -> None:
+def code_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(col, val, code, has_null): 0-based codes of the distinct non-NULL
+    values of each string column in sorted order; one NULL-free row per value
+    and, for a column that holds NULLs only, one row with a NULL value."""
     types = dict(df.dtypes)
     bad = [c for c in cols if types.get(c) != "string"]
     if bad:
         raise TypeError(f"category columns must be strings (cast them first): {bad}")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).alias("_val")) for c in cols])).alias("_p"))
+    values = pairs.select("_p._col", "_p._val").distinct()
+    # NULL sorts first within its column, so it takes the first number.
+    numbered = global_row_number(values, ["_col", "_val"], out="_rn")
+    first = numbered.groupBy("_col").agg(
+        F.min("_rn").alias("_first"), F.max(F.col("_val").isNull().cast("int")).alias("_null"))
+    return numbered.join(first, "_col").select(
+        "_col", "_val", (F.col("_rn") - F.col("_first") - F.col("_null")).cast("int").alias("_code"),
+        "_null")
+
+
+def _attach(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
+    mine = codes.where(F.col("_col") == col).select(
+        F.col("_val").alias("_v"), "_code", "_null")
+    # NULL meets the NULL row of the table, whose code is -1.
+    return df.join(mine, F.col(col).eqNullSafe(F.col("_v")), "left").drop("_v")
 
 
 def category_codes(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
-    """Sorted category code as short; with NULLs present NULL -> 0 and
+    """Sorted category code as int; with NULLs present NULL -> 0 and
     values 1..k, without NULLs values 0..k-1 (code -1 for NULL, then the
     column minimum subtracted).
 
-    The input is read once for the value table (distinct values of all the
-    columns, written once) and once by the final joins; it is never
-    materialised itself.
+    The input is read once for the distinct values of all the columns and
+    once by the final joins; it is never materialised itself.
     """
-    _string_cols(df, cols)
-    values = _value_table(df, cols)
-    card, nulls = _profile(values, cols)
+    codes = code_table(df, cols)
     out = df
     for c in cols:
-        out = _attach_codes(out, values, c, "_c", card[c])
-        out = out.withColumn(c + suffix, (F.coalesce(F.col("_c"), F.lit(-1)) + F.lit(nulls[c]))
-                             .cast("short")).drop("_c")
+        out = _attach(out, codes, c)
+        out = out.withColumn(c + suffix, F.col("_code") + F.col("_null")).drop("_code", "_null")
     return out
 
 
 def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """Codes 0..k-1 in sorted order for non-NULL values; NULL stays NULL."""
-    _string_cols(df, cols)
-    values = _value_table(df, cols)
-    card, _ = _profile(values, cols)
+    codes = code_table(df, cols)
     out = df
     for c in cols:
-        out = _attach_codes(out, values, c, "_c", card[c])
-        out = out.withColumn(c + suffix, F.col("_c").cast("int")).drop("_c")
+        out = _attach(out, codes, c)
+        out = out.withColumn(c + suffix, F.when(F.col("_code") >= 0, F.col("_code"))).drop("_code", "_null")
     return out
 
 
-def _distinct_values(df: DataFrame, col: str) -> list:
-    """Distinct values of a column whose cardinality must be small (they
-    become column names); raises above MAX_ONE_HOT_VALUES."""
-    rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-              .limit(MAX_ONE_HOT_VALUES + 1).collect())
-    if len(rows) > MAX_ONE_HOT_VALUES:
-        raise ValueError(f"{col}: more than {MAX_ONE_HOT_VALUES} values for one-hot columns")
-    return sorted(r[0] for r in rows)
-
-
 def one_hot(df: DataFrame, col: str, prefix: str | None = None,
             values: list | None = None, drop: bool = False) -> DataFrame:
     """J3 (``prefix`` given, e.g. ``store_``) / J4 (names are the values):
-    one 0/1 byte column per value.  Pass ``values`` to skip the distinct job."""
-    vals = values if values is not None else _distinct_values(df, col)
-    cols = [(F.col(col) == F.lit(v)).cast("byte").alias(f"{prefix or ''}{v}") for v in vals]
+    one 0/1 byte column per value.
+
+    The values become column names, so the schema holds them all; pass
+    ``values`` to skip the distinct job, or use ``one_hot_sparse`` where the
+    set is too wide for columns.
+    """
+    if values is None:
+        values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    cols = [(F.col(col) == F.lit(v)).cast("byte").alias(f"{prefix or ''}{v}") for v in values]
     out = df.select("*", *cols)
     return out.drop(col) if drop else out
 
 
+def one_hot_sparse(df: DataFrame, col: str, out: str = "one_hot") -> DataFrame:
+    """J3/J4 for any number of values: struct(size, index) of the single 1 in
+    sorted value order; index NULL for a NULL value.  Nothing is collected."""
+    codes = code_table(df, [col])
+    size = codes.agg(F.max("_code") + 1).scalar()
+    coded = _attach(df, codes, col)
+    return coded.withColumn(out, F.struct(
+        size.alias("size"), F.when(F.col("_code") >= 0, F.col("_code")).alias("index"))).drop("_code", "_null")
+
+
 def binary_encode(df: DataFrame, col: str, bits: int = 10, prefix: str | None = None) -> DataFrame:
     """Integer -> ``bits`` columns holding its zero-padded binary digits,
     most significant first (the value modulo 2**bits, as the reference keeps

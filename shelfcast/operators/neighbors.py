@@ -4,101 +4,74 @@ The prediction of a query row is the mean label of its ``k`` nearest
 training rows (Euclidean distance, ties broken by the training id), as
 scikit-learn's ``KNeighborsRegressor`` with uniform weights.
 
-Work layout, no cross join and no pair rows:
-
-* queries are cut into batches of at most ``batch_rows`` rows by a hash of
-  their id; each batch (checked against that bound) is broadcast;
-* each training partition streams its rows in chunks through numpy and keeps
-  a running top-k per query (``mapInPandas``); it emits only ``k`` candidate
-  rows per query, once, at the end of the partition;
-* one Spark shuffle by query id merges the per-partition candidates: a
-  ``row_number() <= k`` window (planned with a partial group limit before the
-  exchange) and the mean label.
-
-Exact kNN inspects every (query, training row) distance; that cost is
-inherent to the operator and grows as queries x training rows.  What is
-bounded here is memory: one broadcast batch, one chunk-by-batch distance
-block and one k-wide candidate list per query and task.
+Queries and training rows are hashed into blocks of about ``block_rows``
+rows, and every pair of blocks is one task group (``cogroup``): queries are
+sent once per training block and training rows once per query block.  A task
+holds two blocks, computes true squared differences a few rows at a time and
+returns ``k`` candidates per query; one shuffle by query merges them.
+Nothing is collected or broadcast.  Exact kNN inspects every (query,
+training row) distance; that cost is inherent to the operator.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1024  # training rows per distance block inside a task
+CELLS = 4_000_000  # numbers per block of differences inside a task
 
 
-def _batch_topk(q_ids: np.ndarray, q_vecs: np.ndarray, k: int):
-    """mapInPandas function: running top-k of (distance, train id) per query."""
-    def run(batches):
-        nq = len(q_ids)
-        best_d = np.full((nq, k), np.inf)
-        best_i = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-        best_y = np.zeros((nq, k))
-        q_sq = (q_vecs * q_vecs).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x_all = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            ids_all = pdf["vec_id"].to_numpy(dtype=np.int64)
-            y_all = pdf["label"].to_numpy(dtype=np.float64)
-            for s in range(0, len(pdf), CHUNK_ROWS):
-                x, ids, y = x_all[s:s + CHUNK_ROWS], ids_all[s:s + CHUNK_ROWS], y_all[s:s + CHUNK_ROWS]
-                # exact squared distances, (queries x chunk)
-                d = (q_sq[:, None] + (x * x).sum(axis=1)[None, :] - 2.0 * q_vecs @ x.T)
-                d = np.maximum(d, 0.0)
-                cand_d = np.concatenate([best_d, d], axis=1)
-                cand_i = np.concatenate([best_i, np.broadcast_to(ids, d.shape)], axis=1)
-                cand_y = np.concatenate([best_y, np.broadcast_to(y, d.shape)], axis=1)
-                # order by (distance, id) and keep k
-                order = np.lexsort((cand_i, cand_d), axis=1)[:, :k]
-                best_d = np.take_along_axis(cand_d, order, axis=1)
-                best_i = np.take_along_axis(cand_i, order, axis=1)
-                best_y = np.take_along_axis(cand_y, order, axis=1)
-        keep = np.isfinite(best_d)
-        rows = np.nonzero(keep)
-        yield pd.DataFrame({"query_id": q_ids[rows[0]], "vec_id": best_i[rows],
-                            "dist2": best_d[rows], "label": best_y[rows]})
+def _nearest(k: int):
+    def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        cols = {"query_id": "int64", "vec_id": "int64", "dist2": "float64", "label": "float64"}
+        if q.empty or t.empty:
+            return pd.DataFrame({c: np.empty(0, v) for c, v in cols.items()})
+        x = np.stack(t["v"].to_numpy()).astype(np.float64)
+        ids, y = t["vec_id"].to_numpy(np.int64), t["label"].to_numpy(np.float64)
+        vecs = np.stack(q["v"].to_numpy()).astype(np.float64)
+        out = []
+        for i, qid in enumerate(q["query_id"].to_numpy(np.int64)):
+            d = np.empty(len(x))
+            step = max(1, CELLS // x.shape[1])
+            for s in range(0, len(x), step):
+                diff = x[s:s + step] - vecs[i]
+                d[s:s + step] = np.einsum("ij,ij->i", diff, diff)
+            near = np.lexsort((ids, d))[:k] if len(d) <= 4 * k else _smallest(d, ids, k)
+            out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[near], "dist2": d[near], "label": y[near]}))
+        return pd.concat(out, ignore_index=True)
     return run
 
 
-def knn_regress(train: DataFrame, queries: DataFrame, k: int = 50,
-                batch_rows: int = 20_000, id_col: str = "vec_id",
-                vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def _smallest(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k smallest (distance, id)."""
+    within = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
+    return within[np.lexsort((ids[within], d[within]))[:k]]
+
+
+def knn_regress(train: DataFrame, queries: DataFrame, k: int = 50, block_rows: int = 20_000,
+                id_col: str = "vec_id", vec_col: str = "embedding",
+                label_col: str = "label") -> DataFrame:
     """(query_id, prediction) for every query row.
 
     ``train``: (id, vector, label); ``queries``: (id, vector).  Distances are
     computed in float64 from the stored vectors.
     """
-    spark = train.sparkSession
-    tr = train.select(F.col(id_col).cast("long").alias("vec_id"),
-                      F.col(vec_col).alias("embedding"),
+    tr = train.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"),
                       F.col(label_col).cast("double").alias("label"))
-    qs = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).alias("q"))
-    n_q = qs.count()
-    n_batches = max(1, math.ceil(n_q / batch_rows))
-    schema = "query_id long, vec_id long, dist2 double, label double"
-    cands = None
-    for b in range(n_batches):
-        part = qs if n_batches == 1 else qs.where(
-            F.pmod(F.xxhash64("query_id"), F.lit(n_batches)) == b)
-        # the broadcast batch is bounded: refuse rather than ship an oversized one
-        rows = part.limit(2 * batch_rows + 1).collect()
-        if len(rows) > 2 * batch_rows:
-            raise ValueError("query batch above its bound; lower batch_rows")
-        if not rows:
-            continue
-        q_ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-        q_vecs = np.array([r["q"] for r in rows], dtype=np.float64)
-        out = tr.mapInPandas(_batch_topk(q_ids, q_vecs, k), schema)
-        cands = out if cands is None else cands.unionByName(out)
-    if cands is None:
-        return spark.createDataFrame([], "query_id long, prediction double")
+    qs = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).alias("v"))
+    a = 1 + qs.count() // block_rows
+    b = 1 + tr.count() // block_rows
+
+    def copies(df: DataFrame, key: str, own: int, own_name: str, other: int, other_name: str) -> DataFrame:
+        return df.withColumn(own_name, F.pmod(F.xxhash64(key), F.lit(own))).withColumn(
+            other_name, F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
+
+    left = copies(qs, "query_id", a, "_a", b, "_b").withColumn("_a", F.col("_a").cast("int"))
+    right = copies(tr, "vec_id", b, "_b", a, "_a").withColumn("_b", F.col("_b").cast("int"))
+    cands = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInPandas(
+        _nearest(k), "query_id long, vec_id long, dist2 double, label double")
     w = Window.partitionBy("query_id").orderBy("dist2", "vec_id")
     top = cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
     return top.groupBy("query_id").agg(F.avg("label").alias("prediction"))

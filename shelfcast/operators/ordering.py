@@ -45,23 +45,3 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
     return (ranged.join(F.broadcast(offsets), "_pid")
                   .withColumn(out, F.col("_off") + F.col("_pos") + 1)
                   .drop("_pid", "_pos", "_off"))
-
-
-def dense_codes(values: DataFrame, col: str, out: str = "code",
-                small_max: int = 100_000,
-                known_count: int | None = None) -> tuple[DataFrame, bool]:
-    """0-based code of each distinct non-NULL value of ``col``, in sorted order.
-
-    ``values`` may hold duplicates; they are removed first (partial
-    aggregation).  A distinct set proven to have at most ``small_max`` rows
-    is numbered with a plain window (one small task); a larger one with
-    ``global_row_number``.  Returns (codes, proven_small).  ``known_count``:
-    the exact number of distinct values when already measured.
-    """
-    distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
-    n = known_count if known_count is not None else distinct.limit(small_max + 1).count()
-    if n <= small_max:
-        return distinct.select(col, (F.row_number().over(Window.orderBy(col)) - 1)
-                               .alias(out)), True
-    numbered = global_row_number(distinct, [col], out="_rn")
-    return numbered.select(col, (F.col("_rn") - 1).alias(out)), False

@@ -133,6 +133,9 @@ def set_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 def replicate_with_new_id(df: DataFrame, id_col: str = "id", pattern: str = "validation$",
                           replacement: str = "evaluation") -> DataFrame:
-    """H3: the frame plus a copy with rewritten ids."""
-    copy = df.withColumn(id_col, F.regexp_replace(F.col(id_col), pattern, replacement))
+    """H3: the frame plus a copy with rewritten ids.  An id that the pattern
+    does not change would appear twice, so it raises."""
+    new = F.regexp_replace(F.col(id_col), pattern, replacement)
+    copy = df.withColumn(id_col, F.when(F.col(id_col).isNull() | (new != F.col(id_col)), new).otherwise(
+        F.raise_error(F.concat(F.lit(f"id without {pattern}: "), F.col(id_col)))))
     return df.unionByName(copy)

@@ -13,7 +13,7 @@ thing without materialising the lag first.  Three evaluation strategies:
 
 * frame form (``rolling``): Spark re-aggregates the frame for every row,
   O(rows x k); any column type;
-* running totals (``rolling_sums_prefix``, ``rolling_moments_prefix``): exact
+* running totals (``rolling_sums_prefix``, ``rolling_std_prefix``): exact
   for whole-number columns (units sold), O(rows);
 * doubling (``rolling_extreme``): exact max / min, O(rows x log k).
 
@@ -140,58 +140,35 @@ def rolling_sums_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int
     return staged.select("*", *out).drop("_cs", "_cn")
 
 
-def rolling_moments_prefix(df: DataFrame, col: str, specs: list[tuple[str, str, int, int]],
-                           w: WindowSpec) -> DataFrame:
-    """Rolling std / skew / kurt of an integer-valued column in O(rows).
+def rolling_std_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int]],
+                       w: WindowSpec) -> DataFrame:
+    """Rolling sample std of an integer-valued column in O(rows).
 
-    Window power sums S_p = sum(x^p), p = 1..4, come from running totals in
-    DECIMAL(38,0), so they are exact.  With n = k the central-moment
-    numerators are exact integers too:
-        A = n S2 - S1^2                      (n^2 * population variance)
-        C = n^2 S3 - 3 n S1 S2 + 2 S1^3     (n^3 * third moment)
-        B = n^3 S4 - 4 n^2 S1 S3 + 6 n S1^2 S2 - 3 S1^4
-    sample std = sqrt(A / (n (n-1))), g1 = C / A^1.5, g2 = B / A^2 - 3, then
-    the pandas bias corrections.  A = 0 (a flat window) gives NULL for
-    skew and kurt.  ``specs``: (output name, "std"|"skew"|"kurt", k, shift).
+    Window sums S1, S2 of x and x^2 come from running totals in
+    DECIMAL(38,0), exact for values up to about 1e15 on a series of a few
+    thousand days; with n = k, std = sqrt((n S2 - S1^2) / (n (n - 1))).
+    ``specs``: (output name, k, shift).  Skew and kurtosis are not built this
+    way: their fourth powers outgrow 38 digits on large totals, so they use
+    the frame form (``rolling_skew``, ``rolling_kurt``), which centres first.
     """
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     dec = "decimal(38,0)"
     x = _whole(col, dec)
-    top = max({"std": 2, "skew": 3, "kurt": 4}[kind] for _, kind, _, _ in specs)
-    pows = {1: x, 2: x * x, 3: x * x * x, 4: x * x * x * x}
+    zero = F.lit(0).cast(dec)
     staged = df.select("*", F.count(col).over(run).alias("_rn"),
-                       *[F.coalesce(F.sum(pows[p]).over(run), F.lit(0).cast(dec)).alias(f"_r{p}")
-                         for p in range(1, top + 1)])
+                       F.coalesce(F.sum(x).over(run), zero).alias("_r1"),
+                       F.coalesce(F.sum(x * x).over(run), zero).alias("_r2"))
 
     def win_sum(c: str, k: int, shift: int) -> Column:
         cur = F.col(c) if shift == 0 else F.lag(c, shift).over(w)
-        return cur - F.coalesce(F.lag(c, shift + k).over(w), F.lit(0).cast(dec) if c != "_rn"
-                                else F.lit(0))
+        return cur - F.coalesce(F.lag(c, shift + k).over(w), F.lit(0) if c == "_rn" else zero)
 
     out = []
-    for name, kind, k, shift in specs:
-        n = float(k)
-        cnt = win_sum("_rn", k, shift)
+    for name, k, shift in specs:
         s1, s2 = win_sum("_r1", k, shift), win_sum("_r2", k, shift)
-        a = (F.lit(k) * s2 - s1 * s1).cast("double")
-        if kind == "std":
-            val = F.sqrt(a / (n * (n - 1)))
-            ok = cnt == k
-        else:
-            s3 = win_sum("_r3", k, shift)
-            ok = (cnt == k) & (a > 0)
-            if kind == "skew":
-                c3 = (F.lit(k * k) * s3 - F.lit(3 * k) * s1 * s2 + F.lit(2) * s1 * s1 * s1)
-                g1 = c3.cast("double") / F.pow(a, 1.5)
-                val = g1 * F.lit((n * (n - 1)) ** 0.5 / (n - 2))
-            else:
-                s4 = win_sum("_r4", k, shift)
-                b = (F.lit(k ** 3) * s4 - F.lit(4 * k * k) * s1 * s3
-                     + F.lit(6 * k) * s1 * s1 * s2 - F.lit(3) * s1 * s1 * s1 * s1)
-                g2 = b.cast("double") / (a * a) - F.lit(3.0)
-                val = F.lit((n - 1) / ((n - 2) * (n - 3))) * (F.lit(n + 1) * g2 + F.lit(6.0))
-        out.append(F.when(ok, val).alias(name))
-    return staged.select("*", *out).drop("_rn", *[f"_r{p}" for p in range(1, top + 1)])
+        spread = (F.lit(k) * s2 - s1 * s1).cast("double")
+        out.append(F.when(win_sum("_rn", k, shift) == k, F.sqrt(spread / float(k * (k - 1)))).alias(name))
+    return staged.select("*", *out).drop("_rn", "_r1", "_r2")
 
 
 def rolling_extreme(df: DataFrame, col: str, k: int, w: WindowSpec, shift: int = 0,
@@ -275,8 +252,7 @@ def rolling_std_of_lag(df: DataFrame, lag: int, wins: Iterable[int], col: str =
     """sample std (n-1) of the lagged column over ``win`` rows."""
     w = w or series_window()
     if integral:
-        return rolling_moments_prefix(df, col, [(f"rstd_{lag}_{win}", "std", win, lag)
-                                                for win in wins], w)
+        return rolling_std_prefix(df, col, [(f"rstd_{lag}_{win}", win, lag) for win in wins], w)
     return df.select("*", *[rolling(col, F.stddev_samp, win, w, shift=lag)
                             .alias(f"rstd_{lag}_{win}") for win in wins])
 
@@ -290,29 +266,28 @@ def rolling_horizon_features(df: DataFrame, horizon: int = 28,
                              w: WindowSpec | None = None, integral: bool = False) -> DataFrame:
     """F6 mean, F7 std, F8 skew, F9 kurt of ``col`` shifted by the horizon.
 
-    ``integral``: whole-number demand; every statistic then comes from exact
-    running totals (``rolling_sums_prefix`` / ``rolling_moments_prefix``),
-    O(rows) instead of O(rows x window)."""
+    ``integral``: whole-number demand; means and stds then come from exact
+    running totals (``rolling_sums_prefix`` / ``rolling_std_prefix``), O(rows)
+    instead of O(rows x window).  Skew and kurt always use the frame."""
     w = w or series_window()
     if integral:
         if mean_wins:
             df = rolling_sums_prefix(df, col, [(f"rolling_mean_t{k}", k, horizon)
                                                for k in mean_wins], w)
-        specs = [(f"rolling_std_t{k}", "std", k, horizon) for k in std_wins]
-        if moment_win:
-            specs += [(f"rolling_skew_t{moment_win}", "skew", moment_win, horizon),
-                      (f"rolling_kurt_t{moment_win}", "kurt", moment_win, horizon)]
-        return rolling_moments_prefix(df, col, specs, w) if specs else df
-    cols = [rolling(col, F.avg, k, w, shift=horizon).alias(f"rolling_mean_t{k}")
-            for k in mean_wins]
-    cols += [rolling(col, F.stddev_samp, k, w, shift=horizon).alias(f"rolling_std_t{k}")
-             for k in std_wins]
+        if std_wins:
+            df = rolling_std_prefix(df, col, [(f"rolling_std_t{k}", k, horizon) for k in std_wins], w)
+        cols = []
+    else:
+        cols = [rolling(col, F.avg, k, w, shift=horizon).alias(f"rolling_mean_t{k}")
+                for k in mean_wins]
+        cols += [rolling(col, F.stddev_samp, k, w, shift=horizon).alias(f"rolling_std_t{k}")
+                 for k in std_wins]
     if moment_win:
         cols.append(rolling_skew(col, moment_win, w, shift=horizon)
                     .alias(f"rolling_skew_t{moment_win}"))
         cols.append(rolling_kurt(col, moment_win, w, shift=horizon)
                     .alias(f"rolling_kurt_t{moment_win}"))
-    return df.select("*", *cols)
+    return df.select("*", *cols) if cols else df
 
 
 # --- F10-F13: price features -----------------------------------------------

@@ -85,12 +85,12 @@ def q_group_mean_multi(spark, sf_dir):
 
 
 @register("daily_mean_compare", with_views("v_sales", extra=[_FEATS_SQL]) + f"""
-SELECT d_num, avg(rmean_7_7) AS media_pred1, avg(lag_7) AS media_pred2, avg(sales) AS media_real
+SELECT d_num, avg(rmean_7_7) AS mean_recursive, avg(lag_7) AS mean_one_step, avg(sales) AS mean_actual
 FROM feats WHERE d_num >= {FDAY_NUM} GROUP BY d_num""")
 def q_daily_mean_compare(spark, sf_dir):
     feats = _feats(spark, sf_dir).where(F.col("d_num") >= FDAY_NUM)
-    return A.daily_mean_compare(feats, {"rmean_7_7": "media_pred1", "lag_7": "media_pred2",
-                                        "sales": "media_real"}, date_col="d_num")
+    return A.daily_mean_compare(feats, {"rmean_7_7": "mean_recursive", "lag_7": "mean_one_step",
+                                        "sales": "mean_actual"}, date_col="d_num")
 
 
 @register("column_min_max", with_views("v_panel") + """

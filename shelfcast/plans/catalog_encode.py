@@ -38,7 +38,7 @@ _J_COLS = ["item_id", "store_id", "event_name_1"]
 @register("category_codes", with_views("v_panel", "v_calendar", extra=[_PANEL_CAL] + _codes_sql(_J_COLS)) +
           "SELECT pc.id, pc.d_num, " + ", ".join(
               f"CAST(coalesce(codes_{c}.code, -1) + (SELECT max(CAST({c} IS NULL AS INTEGER)) FROM pc) "
-              f"AS SMALLINT) AS {c}" for c in _J_COLS) + " FROM pc " + " ".join(
+              f"AS INTEGER) AS {c}" for c in _J_COLS) + " FROM pc " + " ".join(
               f"LEFT JOIN codes_{c} ON pc.{c} = codes_{c}.{c}" for c in _J_COLS))
 def q_category_codes(spark, sf_dir):
     out = E.category_codes(_panel_cal(spark, sf_dir), _J_COLS)

@@ -207,9 +207,9 @@ def backtest_compare(rec: DataFrame, one: DataFrame, from_day: int, id_col: str
     """Full join of the two backtests, from ``from_day``, NULL rows
     dropped, then per-day means of both forecasts and the actuals."""
     joined = rec.join(one, [id_col, "d_num"], "full").where(F.col("d_num") >= from_day).na.drop("any")
-    return joined.groupBy("d_num").agg(F.avg("sales").alias("media_pred1"),
-                                       F.avg("sales_2").alias("media_pred2"),
-                                       F.avg("sales_original").alias("media_real"))
+    return joined.groupBy("d_num").agg(F.avg("sales").alias("mean_recursive"),
+                                       F.avg("sales_2").alias("mean_one_step"),
+                                       F.avg("sales_original").alias("mean_actual"))
 
 
 def blend_factor(alphas, weights=None) -> float:

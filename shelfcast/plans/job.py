@@ -20,6 +20,7 @@ from shelfcast.operators import windows as W
 from shelfcast.plans import features as FE
 from shelfcast.plans import forecast as FC
 from shelfcast.plans import models as ML
+from shelfcast.session import cut_lineage
 from shelfcast.sources import sinks as SK
 
 FEATURES = ["lag_7", "lag_28", "rmean_7_7", "rmean_7_28", "rmean_28_7", "rmean_28_28"]
@@ -63,7 +64,8 @@ def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
 
     preds = FC.recursive_forecast(hist, tr_last + 1, horizon, max_lags, spec,
                                   id_col=id_col, series=hist.select(id_col).distinct())
-    sub = FC.submission_build(preds, tr_last + 1, horizon, list(alphas), id_col)
+    # Written once: the checks, the sink and the caller read this copy.
+    sub = cut_lineage(FC.submission_build(preds, tr_last + 1, horizon, list(alphas), id_col))
 
     nulls = A.count_nulls(sub, exclude=[id_col]).first()["n_nulls"]
     if nulls:

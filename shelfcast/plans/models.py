@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators import project as P
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import cut_lineage, ensure_checkpoint_dir
 
 
 def assemble_features(df: DataFrame, feature_cols: list[str], label_col: str = "sales",
@@ -48,7 +48,7 @@ def fit_poisson(train: DataFrame, reg: float = 0.0):
                                        regParam=reg).fit(train)
 
 
-def fit_gbt_early_stop(train: DataFrame, validation_col: str = "is_val", max_iter: int = 20,
+def fit_gbt_early_stop(train: DataFrame, validation_col: str = "is_val", max_iter: int = 100,
                        max_depth: int = 5, step: float = 0.1, tol: float = 0.01, seed: int = 7):
     """L3: boosted trees, squared loss, stops when the validation error stops
     improving (``validationIndicatorCol``)."""
@@ -82,32 +82,46 @@ def predict_as(model, df: DataFrame, name: str) -> DataFrame:
     return model.transform(df).withColumnRenamed("prediction", name)
 
 
+class Stack:
+    """Base models fitted on all training rows and the final model above them."""
+
+    def __init__(self, bases: dict, final):
+        self.bases, self.final = bases, final
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Score new rows: every base model in a chain, then the final one."""
+        for name, model in self.bases.items():
+            rows = model.setPredictionCol(name).transform(rows)
+        vec = VectorAssembler(inputCols=list(self.bases), outputCol="base_preds")
+        return self.final.transform(vec.transform(rows))
+
+
 def stack_models(train: DataFrame, fold_col: str, base_factories: dict, final_factory,
-                 keys: list[str]) -> tuple[DataFrame, object]:
-    """Out-of-fold predictions of each base model (fit on the other
-    folds), joined by key, feed a final model.  Returns (meta rows, final)."""
-    folds = [r[0] for r in train.select(fold_col).distinct().collect()]  # a handful
+                 folds: int) -> Stack:
+    """The final model learns from out-of-fold predictions.
+
+    Per fold, the base models fitted on the other folds score the fold's rows
+    in a chain, so their predictions are columns of one row and nothing is
+    joined; the folds' rows are stacked and written once.
+    """
+    vec = VectorAssembler(inputCols=list(base_factories), outputCol="base_preds")
     meta = None
-    for name, factory in base_factories.items():
-        parts = []
-        for f in folds:
-            m = factory().fit(train.where(F.col(fold_col) != f))
-            parts.append(predict_as(m, train.where(F.col(fold_col) == f), name)
-                         .select(*keys, name))
-        oof = parts[0]
-        for p in parts[1:]:
-            oof = oof.unionByName(p)
-        meta = oof if meta is None else meta.join(oof, keys)
-    meta = meta.join(train.select(*keys, "label"), keys)
-    vec = VectorAssembler(inputCols=list(base_factories), outputCol="features")
-    final = final_factory().fit(vec.transform(meta))
-    return meta, final
-
-
-def random_search(train: DataFrame, n_iter: int = 4, folds: int = 2, seed: int = 767,
-                  parallelism: int = 4) -> DataFrame:
+    for f in range(folds):
+        rows = train.where(F.col(fold_col) == f)
+        for name, factory in base_factories.items():
+            model = factory().setPredictionCol(name).fit(train.where(F.col(fold_col) != f))
+            rows = model.transform(rows)
+        part = vec.transform(rows).select("base_preds", "label")
+        meta = part if meta is None else meta.unionByName(part)
+    final = final_factory().setFeaturesCol("base_preds").fit(cut_lineage(meta))
+    return Stack({n: fac().fit(train) for n, fac in base_factories.items()}, final)
+
+
+def random_search(train: DataFrame, n_iter: int = 10, folds: int = 2, seed: int = 767,
+                  parallelism: int = 4, fold_col: str = "fold") -> DataFrame:
     """L11 (with K5): ``n_iter`` random GBT parameter sets, each scored by
-    ``folds``-fold cross-validation; returns the trials table
+    ``folds``-fold cross-validation on the given fold column (0..folds-1), so
+    scores do not depend on partitioning; returns the trials table
     (trial, max_depth, step_size, max_iter, rmse)."""
     rng = random.Random(seed)
     gbt = GBTRegressor(seed=seed)
@@ -120,7 +134,7 @@ def random_search(train: DataFrame, n_iter: int = 4, folds: int = 2, seed: int =
         grid += pm
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, numFolds=folds,
                         evaluator=RegressionEvaluator(metricName="rmse"),
-                        parallelism=parallelism, seed=seed)
+                        parallelism=parallelism, seed=seed, foldCol=fold_col)
     fitted = cv.fit(train)
     spark = train.sparkSession
     rows = [(i, pm[gbt.maxDepth], float(pm[gbt.stepSize]), pm[gbt.maxIter], float(score))

@@ -46,9 +46,6 @@ CALENDAR_EVENTS = [
 _START = _dt.date.fromisoformat(CALENDAR_START)
 _END = _dt.date.fromisoformat(CALENDAR_END)
 CALENDAR_DAYS = (_END - _START).days + 1
-# Broadcast bound for dimensions: a dimension above this many rows is joined
-# with a shuffle instead.
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 _PLANS: dict[tuple, DataFrame] = {}
@@ -78,6 +75,15 @@ def day_number(date_col) -> F.Column:
     return (F.datediff(date_col, F.lit(CALENDAR_START).cast("date")) + 1).cast("int")
 
 
+def in_calendar(date_col) -> F.Column:
+    """The date, or an error for a day outside the calendar: the range is a
+    run parameter, and a row beyond it must not vanish in a calendar join."""
+    d = F.col(date_col) if isinstance(date_col, str) else date_col
+    ok = d.isNull() | d.between(F.lit(CALENDAR_START).cast("date"), F.lit(CALENDAR_END).cast("date"))
+    return F.when(ok, d).otherwise(F.raise_error(F.concat(
+        F.lit(f"day outside the calendar {CALENDAR_START}..{CALENDAR_END}: "), d.cast("string"))).cast("date"))
+
+
 def day_start_ts(day: int) -> F.Column:
     """Midnight of day ``day`` (d_1 = CALENDAR_START) as a timestamp literal."""
     d = _START + _dt.timedelta(days=day - 1)
@@ -103,6 +109,7 @@ def v_sales(spark: SparkSession, sf_dir: str, since_day: int | None = None) -> D
               .groupBy(F.col("p_brand").alias("id"),
                        F.to_date("l_shipdate").alias("date"))
               .agg(F.sum("l_quantity").alias("sales"))
+              .withColumn("date", in_calendar("date"))
               .withColumn("d_num", day_number(F.col("date")))
               .select("id", "date", "d_num", "sales"))
 
@@ -158,7 +165,8 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.groupBy("item_id", "region", "date").agg(
         F.sum("l_quantity").alias("sales"),
         F.sum(F.when(shelf, cents)).alias("price_cents"),
-        F.sum(F.when(shelf, F.col("l_quantity"))).alias("price_units"))
+        F.sum(F.when(shelf, F.col("l_quantity"))).alias("price_units")).withColumn(
+            "date", in_calendar("date"))
 
 
 @_memo
@@ -233,16 +241,18 @@ def v_calendar(spark: SparkSession) -> DataFrame:
 
 
 def calendar_for_join(spark: SparkSession) -> DataFrame:
-    """The calendar, broadcast: its row count is CALENDAR_DAYS by construction."""
-    cal = v_calendar(spark)
-    return F.broadcast(cal) if CALENDAR_DAYS <= BROADCAST_MAX_ROWS else cal
+    """The calendar, broadcast: it has CALENDAR_DAYS rows (2,557) by construction."""
+    return F.broadcast(v_calendar(spark))
 
 
 def _events_daily(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", [key, "ts"])
     d = (F.datediff(F.to_date("ts"), F.lit(EVENTS_START).cast("date")) + 1).cast("int")
+    # The width is a run parameter; an event outside it raises, as its day has no column.
+    ok = F.col("day").isNull() | F.col("day").between(1, EVENTS_DAYS)
     return (ev.select(F.col(key).cast("string").alias("id"), d.alias("day"))
-              .where(F.col("day").between(1, EVENTS_DAYS)))
+              .withColumn("day", F.when(ok, F.col("day")).otherwise(F.raise_error(F.concat(
+                  F.lit(f"event outside d_1..d_{EVENTS_DAYS}: day "), F.col("day").cast("string"))).cast("int"))))
 
 
 @_memo

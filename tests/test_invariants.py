@@ -120,7 +120,7 @@ def test_ml_recursion_equals_expression_recursion_for_linear_model(spark):
 
 def test_sink_wide_round_trip(spark):
     from shelfcast.sources import sinks as SK
-    s = V.v_sales(spark, SF_SMALL).select("id", "d_num", "sales")
+    s = V.v_sales(spark, SF_SMALL).select(F.concat("id", F.lit("_validation")).alias("id"), "d_num", "sales")
     sub = FC.submission_build(FC.recursive_forecast(s, 2501, 28), 2501, 28, [1.0])
     back = SK.sink_wide(sub, SK.output_path(spark, "test-sub"), read_back=True)
     assert back.exceptAll(sub).count() == 0 and sub.exceptAll(back).count() == 0
@@ -131,7 +131,7 @@ def test_knn_batches_agree(spark):
     emb = K.holdout_fraction(V.embeddings(spark, SF_SMALL), 25, ["vec_id"])
     train, queries = emb.where(~F.col("is_holdout")), emb.where("is_holdout")
     one = knn_regress(train, queries, 50)
-    many = knn_regress(train, queries, 50, batch_rows=30)
+    many = knn_regress(train, queries, 50, block_rows=30)
     assert one.count() == queries.count()
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 

@@ -161,14 +161,15 @@ def test_group_stat_back_equals_window(spark):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
-def test_pacf_matches_yule_walker():
-    from shelfcast.operators.diagnostics import _durbin_levinson
+def test_pacf_matches_yule_walker(spark):
+    from shelfcast.operators.diagnostics import durbin_levinson
     rng = np.random.default_rng(2)
     x = np.cumsum(rng.normal(size=400)) * 0.1 + rng.normal(size=400)
     x = x - x.mean()
     n = len(x)
     r = np.array([np.dot(x[k:], x[:n - k]) / np.dot(x, x) for k in range(11)])
-    got = _durbin_levinson(r)
+    one = spark.createDataFrame([([float(x) for x in r],)], "r array<double>")
+    got = one.select(durbin_levinson("r", len(r) - 1)).first()[0]
     for k in range(1, 11):
         toeplitz = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
         phi = np.linalg.solve(toeplitz, r[1:k + 1])
@@ -181,13 +182,13 @@ def test_running_totals_refuse_fractional_input(spark):
         W.rolling_mean_of_lag(df, (1,), (3,), integral=True).collect()
 
 
-def test_one_hot_refuses_unbounded_width(spark, monkeypatch):
-    monkeypatch.setattr(E, "MAX_ONE_HOT_VALUES", 5)
-    df = spark.range(0, 20).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        E.one_hot(df, "c")
+def test_one_hot_wide_sets(spark):
+    df = spark.range(0, 2000).select(F.col("id").cast("string").alias("c"))
+    assert len(E.one_hot(df, "c", prefix="c_").columns) == 2001
     out = E.one_hot(df.where("id < 3"), "c", prefix="c_")
     assert [c for c in out.columns if c.startswith("c_")] == ["c_0", "c_1", "c_2"]
+    sparse = E.one_hot_sparse(spark.createDataFrame([("b",), (None,), ("a",)], "c string"), "c")
+    assert {r.c: tuple(r.one_hot) for r in sparse.collect()} == {"a": (2, 0), "b": (2, 1), None: (2, None)}
 
 
 def test_id_alignment_is_multiset(spark):
@@ -205,10 +206,59 @@ def test_narrow_plan_floats(spark):
     assert plan == {"a": "float", "b": "double"}
 
 
-def test_category_codes_large_table_path(spark, monkeypatch):
+def test_category_codes_any_size(spark):
     vals = ["b", None, "a", "c", "a", "d", "e", None, "b"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, c string")
-    small = [r["c"] for r in E.category_codes(df, ["c"]).orderBy("i").collect()]
-    monkeypatch.setattr(E, "SMALL_CODE_TABLE", 2)
-    large = [r["c"] for r in E.category_codes(df, ["c"]).orderBy("i").collect()]
-    assert small == large == [2, 0, 1, 3, 1, 4, 5, 0, 2]
+    assert [r["c"] for r in E.category_codes(df, ["c"]).orderBy("i").collect()] == [2, 0, 1, 3, 1, 4, 5, 0, 2]
+    many = spark.range(0, 40_000).select(F.format_string("v%05d", "id").alias("c"), "id")
+    got = E.category_codes(many, ["c"])
+    assert got.where("c <> id").count() == 0 and dict(got.dtypes)["c"] == "int"
+    gap = E.label_encode_keep_null(df, ["c"]).orderBy("i").collect()
+    assert [r["c"] for r in gap] == [1, None, 0, 2, 0, 3, 4, None, 1]
+
+
+def test_moments_of_large_totals(spark):
+    import pandas as pd
+    x = [float((i * 7919 % 13) * 10**9 + i) for i in range(60)]
+    df = spark.createDataFrame([("s", i, v) for i, v in enumerate(x)], "id string, d_num int, demand double")
+    got = W.rolling_horizon_features(df, 0, (), (30,), 30, integral=True).orderBy("d_num").collect()
+    s = pd.Series(x).rolling(30)
+    for r, sd, sk, ku in zip(got, s.std(), s.skew(), s.kurt()):
+        if sd == sd:
+            assert abs(r.rolling_std_t30 / sd - 1) < 1e-9
+            assert abs(r.rolling_skew_t30 - sk) < 1e-6 and abs(r.rolling_kurt_t30 - ku) < 1e-6
+
+
+def test_constant_series_has_no_autocorrelation(spark):
+    from shelfcast.operators import diagnostics as M
+    df = spark.createDataFrame([("flat", i, 3.0) for i in range(20)] + [("x", i, float(i % 5)) for i in range(20)],
+                               "id string, d_num int, sales double")
+    for out, col in ((M.acf(df, 4), "acf"), (M.pacf(df, 4), "pacf")):
+        rows = out.collect()
+        assert all(r[col] is None for r in rows if r.id == "flat")
+        assert all(r[col] is not None for r in rows if r.id == "x")
+
+
+def test_day_outside_the_calendar_raises(spark):
+    from shelfcast.sources import views as V
+    df = spark.sql("SELECT DATE'2002-06-01' AS date")
+    with pytest.raises(Exception, match="outside the calendar"):
+        df.select(V.in_calendar("date")).collect()
+
+
+def test_replicate_refuses_unchanged_ids(spark):
+    from shelfcast.operators import project as P
+    df = spark.createDataFrame([("a_validation",), ("b",)], "id string")
+    with pytest.raises(Exception, match="id without"):
+        P.replicate_with_new_id(df).collect()
+    got = P.replicate_with_new_id(df.where("id <> 'b'")).collect()
+    assert sorted(r.id for r in got) == ["a_evaluation", "a_validation"]
+
+
+def test_knn_true_differences(spark):
+    from shelfcast.operators.neighbors import knn_regress
+    base = 1e8
+    train = spark.createDataFrame([(i, [base + i, base - i, base], float(i)) for i in range(20)],
+                                  "vec_id long, embedding array<double>, label double")
+    query = spark.createDataFrame([(100, [base + 14.2, base - 13.9, base])], "vec_id long, embedding array<double>")
+    assert knn_regress(train, query, 1).first().prediction == 14.0
