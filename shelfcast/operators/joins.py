@@ -1,7 +1,6 @@
 """Joins of the panel to its dimensions and between forecasts (ops D1-D9).
 
-Broadcast is used only for inputs whose size is bounded: the calendar (one
-row per day by construction) and tables checked with ``broadcast_if_small``.
+Broadcast is used only for the calendar (one row per day by construction).
 Everything else is left to the planner; with AQE on, a side measured small at
 run time still becomes a broadcast, and skewed sort-merge partitions are split
 (``spark.sql.adaptive.skewJoin.enabled``).
@@ -15,17 +14,6 @@ from pyspark.sql import functions as F
 PRICE_KEYS = ["store_id", "item_id", "wm_yr_wk"]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    once the bound is passed; above the bound the plain DataFrame is returned
-    and the join shuffles.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_calendar(panel: DataFrame, calendar: DataFrame, how: str = "inner",
                   on: str = "d") -> DataFrame:
     """D1 (inner) / D3 (left): panel x calendar on ``d``.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.ordering import global_row_number
+from shelfcast.session import cut_lineage
 
 
 def key_hash(*cols: str) -> Column:
@@ -24,37 +24,31 @@ def key_bucket(m: int, *cols: str) -> Column:
     return key_hash(*cols) % m
 
 
-HASH_BUCKET_BITS = 16  # the 32-bit key hash is cut into 65,536 ordered buckets
-
-
 def holdout_exact_n(df: DataFrame, n: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:
     """K1: exactly ``n`` holdout rows: the n smallest key hashes (ties broken
     by the key), flagged on every row.
 
-    No global sort and nothing written: a histogram of the hash's top 16 bits
-    (at most 65,536 rows) locates the bucket holding the n-th row; rows in
-    lower buckets are in, rows in higher buckets are out, and only the rows
-    of that one bucket (about rows / 65,536 for unique keys) are ranked.
+    No global sort: two histograms of the 32-bit hash, by its upper and, in
+    the bucket of the n-th row, its lower 16 bits (at most 65,536 rows each),
+    give the hash value of the n-th row; only rows of exactly that value (about
+    rows / 2**32 for unique keys) are ranked.  The hashed rows are written
+    once and every step reads that copy.
     """
-    h = key_hash(*keys)
-    hashed = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 32 - HASH_BUCKET_BITS))
-    hist = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket: the running count over at most 65,536 rows.
-    cum = hist.select("_b", F.sum("_n").over(Window.orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, 0)).alias("_cum"))
-    cut = cum.agg(F.struct(
-        F.min(F.when(F.col("_cum") >= n, F.col("_b"))).alias("bucket"),
-        F.coalesce(F.max(F.when(F.col("_cum") < n, F.col("_cum"))), F.lit(0)).alias("before")
-    )).scalar()
-    tagged = hashed.withColumn("_cut", cut)
-    bucket = F.col("_cut.bucket")
-    # n >= all rows: no cut bucket, every row is in the holdout.
-    outside = tagged.where(bucket.isNull() | (F.col("_b") != bucket)).withColumn(
-        flag, bucket.isNull() | (F.col("_b") < bucket))
-    ranked = tagged.where(F.col("_b") == bucket).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys)))
-    inside = ranked.withColumn(flag, F.col("_rn") <= F.lit(n) - F.col("_cut.before")).drop("_rn")
-    return outside.unionByName(inside).drop("_h", "_b", "_cut")
+    hashed = cut_lineage(df.withColumn("_h", key_hash(*keys)))
+    below, cut = 0, None
+    for bits in (16, 0):
+        part = hashed if cut is None else hashed.where(F.shiftright("_h", 16) == cut)
+        hist = part.groupBy(F.shiftright("_h", bits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        hit = (hist.select("_b", "_n", F.sum("_n").over(run).alias("_cum"))
+               .where(F.col("_cum") >= n - below).orderBy("_b").first())
+        if hit is None:  # fewer than n rows: all are in
+            return hashed.withColumn(flag, F.lit(True)).drop("_h")
+        cut, below = hit["_b"], below + hit["_cum"] - hit["_n"]
+    ties = hashed.where(F.col("_h") == cut).withColumn(
+        flag, F.row_number().over(Window.partitionBy("_h").orderBy(*keys)) <= n - below)
+    rest = hashed.where(F.col("_h") != cut).withColumn(flag, F.col("_h") < cut)
+    return rest.unionByName(ties).drop("_h")
 
 
 def holdout_fraction(df: DataFrame, pct: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:
@@ -117,6 +111,17 @@ def timeseries_cv(df: DataFrame, n_splits: int, train_days: int, test_days: int,
 
 def systematic_sample(df: DataFrame, every: int, order_cols: list[str]) -> DataFrame:
     """K6: every ``every``-th row in the given (total) order, starting with
-    the first: the positional ``iloc[::k]`` over a distributed row number."""
-    numbered = global_row_number(df, order_cols, out="_rn")
-    return numbered.where((F.col("_rn") - 1) % every == 0).drop("_rn")
+    the first: the positional ``iloc[::k]``.
+
+    Rows are counted per value of the first order column (a day), the counts
+    give each day's offset, and rows are numbered within their day: nothing
+    is written and no task sorts more than one day.
+    """
+    first = order_cols[0]
+    days = df.groupBy(F.col(first).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_d", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(first).orderBy(*order_cols)
+    numbered = df.withColumn("_rn", F.row_number().over(within)).join(
+        days, F.col(first).eqNullSafe(F.col("_d")))
+    return numbered.where((F.col("_off") + F.col("_rn") - 1) % every == 0).drop("_rn", "_d", "_off")

@@ -17,7 +17,8 @@ from shelfcast.plans.catalog_reshape import (
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling
-from shelfcast.session import table_path
+from shelfcast.session import cut_lineage
+from shelfcast.sources import sinks as SK
 from shelfcast.sources import tables as TB
 from shelfcast.sources import views as V
 
@@ -34,7 +35,11 @@ LINEITEM_SCHEMA = T.StructType([
 @register("scan_typed", """
 SELECT l_orderkey, l_partkey, l_quantity, CAST(l_shipdate AS DATE) AS ship_date FROM lineitem""")
 def q_scan_typed(spark, sf_dir):
-    df = TB.scan_typed(spark, table_path(sf_dir, "lineitem"), LINEITEM_SCHEMA, fmt="parquet")
+    # The table as a delimited file, read back with the declared schema.
+    cols = [f.name for f in LINEITEM_SCHEMA.fields]
+    path = SK.output_path(spark, "lineitem-csv")
+    TB.read_table(spark, sf_dir, "lineitem", cols).write.option("header", True).csv(path)
+    df = TB.scan_typed(spark, path, LINEITEM_SCHEMA)
     return df.select("l_orderkey", "l_partkey", "l_quantity",
                      F.to_date("l_shipdate").alias("ship_date"))
 
@@ -60,7 +65,9 @@ _ORDERS_NUM = [("o_orderkey", "int"), ("o_custkey", "int"), ("o_totalprice", "fl
 
 @register("scan_inferred", _narrow_plan_sql("orders", _ORDERS_NUM))
 def q_scan_inferred(spark, sf_dir):
-    df = TB.scan_inferred(spark, table_path(sf_dir, "orders"), fmt="parquet")
+    path = SK.output_path(spark, "orders-csv")
+    TB.read_table(spark, sf_dir, "orders", [c for c, _ in _ORDERS_NUM]).write.option("header", True).csv(path)
+    df = TB.scan_inferred(spark, path)
     return E.narrow_plan(df, [c for c, _ in _ORDERS_NUM])
 
 
@@ -151,7 +158,6 @@ def q_absolute_error(spark, sf_dir):
     return f.select("id", "d_num", N.abs_error("rmean_7_7", "sales").alias("abs_error"))
 
 
-_PANEL_NARROW = {"d_num": "smallint", "sales": "float"}
 
 
 @register("memory_estimate", with_views("v_panel") + f"""
@@ -163,7 +169,9 @@ FROM (SELECT strlen(id) + strlen(item_id) + strlen(dept_id) + strlen(cat_id) + s
              + strlen(state_id) + strlen(d) + 2 + 4 + 4 AS w_after
       FROM v_panel)""")
 def q_memory_estimate(spark, sf_dir):
-    out = A.memory_estimate(V.v_panel(spark, sf_dir), _PANEL_NARROW)
+    panel = cut_lineage(V.v_panel(spark, sf_dir))
+    narrow = {r["column"]: r["narrow_type"] for r in E.narrow_plan(panel).collect()}  # a row per column
+    out = A.memory_estimate(panel, narrow)
     return out.select(*[F.round(c, 9).alias(c) for c in out.columns])
 
 

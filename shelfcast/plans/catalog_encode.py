@@ -10,6 +10,7 @@ from shelfcast.operators import split as K
 from shelfcast.plans.catalog_reshape import hash_sql
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
+from shelfcast.session import cut_lineage
 from shelfcast.sources import views as V
 
 _PANEL_CAL = """pc AS (
@@ -86,21 +87,16 @@ _FEAT_TABLE = f"""ft AS (
   FROM v_panel)"""
 
 
-@register("narrow_types", with_views("v_panel", extra=[_FEAT_TABLE]) + "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value, "
-    + (f"CASE WHEN min({c}) > -3.4028234663852886e38 AND max({c}) < 3.4028234663852886e38 THEN 'float' "
-       "ELSE 'double' END" if kind == "float" else
-       f"CASE WHEN min({c}) > -128 AND max({c}) < 127 THEN 'tinyint' WHEN min({c}) > -32768 AND "
-       f"max({c}) < 32767 THEN 'smallint' WHEN min({c}) > -2147483648 AND max({c}) < 2147483647 "
-       "THEN 'int' ELSE 'bigint' END") + " AS narrow_type FROM ft"
-    for c, kind in [("d_num", "int"), ("sales", "float"), ("dow", "int"), ("sales_k", "float"),
-                    ("big", "int")]))
+@register("narrow_types", with_views("v_panel", extra=[_FEAT_TABLE]) + """
+SELECT CAST(d_num AS SMALLINT) AS d_num, CAST(sales AS FLOAT) AS sales, CAST(dow AS TINYINT) AS dow,
+       CAST(sales_k AS FLOAT) AS sales_k, CAST(big AS INTEGER) AS big FROM ft""")
 def q_narrow_types(spark, sf_dir):
+    """The table cast to the narrowest types that its own ranges allow."""
     p = V.v_panel(spark, sf_dir)
     ft = p.select("d_num", "sales", (F.col("d_num") % 7).cast("int").alias("dow"),
                   (F.col("sales") * 1000.0).alias("sales_k"),
                   (F.col("d_num").cast("long") * 100000).alias("big"))
-    return E.narrow_plan(ft)
+    return E.narrow_types(cut_lineage(ft))
 
 
 # -- K* ----------------------------------------------------------------------------

@@ -72,9 +72,12 @@ def _start_sql(active: bool, alphas, act_join: str, alpha_src: str) -> str:
     return f"SELECT hist0.id, hist0.h{', al.alpha' if alphas else ''} FROM hist0{alpha_src}"
 
 
-def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | None = None) -> str:
+def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | None = None,
+             exog: bool = False) -> str:
     day = f"({origin} + t)"
     pred = _pred_sql(_feat_sql("h", day))
+    if exog:
+        pred = f"({pred} + fx[t + 1])"
     alpha = "alpha" if alphas else "1.0::DOUBLE"
     new = f"list_append(h, struct_pack(d := {day}, s := {pred} * {alpha}))"
     if active:
@@ -88,11 +91,13 @@ def _rec_sql(origin: int, horizon: int, active: bool = False, alphas: list | Non
     return f"""hist0 AS (
   SELECT id, list(struct_pack(d := d_num, s := CAST(sales AS DOUBLE)) ORDER BY d_num) AS h
   FROM v_sales WHERE d_num BETWEEN {origin - MAX_LAGS} AND {origin - 1} GROUP BY id),
-start AS ({_start_sql(active, alphas, act_join, alpha_src)}),
+start AS ({_start_sql(active, alphas, act_join, alpha_src) if not exog else
+           "SELECT hist0.id, hist0.h, f.fx FROM hist0 JOIN (SELECT id, list(effect ORDER BY d_num) AS fx "
+           "FROM ex GROUP BY id) f USING (id)"}),
 rec AS (
-  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}0 AS t, h FROM start
+  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}{'fx, ' if exog else ''}0 AS t, h FROM start
   UNION ALL
-  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}t + 1, {new} FROM rec WHERE t < {horizon}),
+  SELECT id, {'alpha, ' if alphas else ''}{'act, ' if active else ''}{'fx, ' if exog else ''}t + 1, {new} FROM rec WHERE t < {horizon}),
 fc AS (SELECT id, {'alpha, ' if alphas else ''}x.d AS d_num, x.s AS pred FROM (
   SELECT id, {'alpha, ' if alphas else ''}unnest(h) AS x FROM rec WHERE t = {horizon}) WHERE x.d >= {origin})"""
 
@@ -119,6 +124,43 @@ def q_recursive_forecast(spark, sf_dir):
     return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
 
 
+# Linear terms of features known ahead: calendar parts, events, flags, the
+# last known price and the category code.
+EXOG = {"wday": 0.2137, "month": -0.0719, "is_event": 1.3193, "snap_CA": 0.4127, "price": 0.0353,
+        "cat_code": 0.1171}
+_EXOG_SQL = f"""pw AS (SELECT item_id, wm_yr_wk, avg(sell_price) AS price FROM v_prices GROUP BY ALL),
+lp AS (SELECT item_id, arg_max(price, wm_yr_wk) AS price FROM pw GROUP BY item_id),
+sr AS (SELECT DISTINCT id, CAST(CAST(regexp_extract(id, '#(\\d+)$', 1) AS INTEGER) % 3 AS DOUBLE) AS cat_code
+       FROM v_sales WHERE d_num BETWEEN {ORIGIN - MAX_LAGS} AND {ORIGIN - 1}),
+ex AS (SELECT sr.id, c.d_num, {' + '.join(f'{w!r}::DOUBLE * coalesce({n}, 0.0)' for n, w in EXOG.items())} AS effect
+       FROM sr JOIN (SELECT *, CAST(event_name_1 IS NOT NULL AS DOUBLE) AS is_event FROM v_calendar
+                     WHERE d_num BETWEEN {ORIGIN} AND {ORIGIN + H - 1}) c ON true
+       LEFT JOIN lp ON lp.item_id = sr.id)"""
+
+
+def _known_ahead(spark, sf_dir, series):
+    """(id, d_num, effect) of every series and horizon day."""
+    weekly = V.v_prices(spark, sf_dir).groupBy("item_id", "wm_yr_wk").agg(F.avg("sell_price").alias("p"))
+    last = weekly.groupBy(F.col("item_id").alias("id")).agg(F.max_by("p", "wm_yr_wk").alias("price"))
+    cal = V.calendar_for_join(spark).select(
+        "d_num", "wday", "month", F.col("event_name_1").isNotNull().cast("double").alias("is_event"), "snap_CA")
+    days = series.select("id", F.explode(F.sequence(F.lit(ORIGIN), F.lit(ORIGIN + H - 1))).alias("d_num"))
+    rows = days.join(cal, "d_num").join(last, "id", "left").withColumn(
+        "cat_code", F.regexp_extract("id", r"#(\d+)$", 1).cast("int") % 3)
+    return FC.exog_effects(rows, EXOG)
+
+
+@register("recursive_forecast_exog", with_views("v_sales", "v_prices", "v_calendar", extra=[
+    _EXOG_SQL, _rec_sql(ORIGIN, H, exog=True)]).replace("WITH ", "WITH RECURSIVE ", 1) +
+    "SELECT id, d_num, round(pred, 6) AS pred FROM fc")
+def q_recursive_forecast_exog(spark, sf_dir):
+    """The recursion with day, price and category terms inside the loop."""
+    recent = _recent(spark, sf_dir)
+    exog = _known_ahead(spark, sf_dir, recent.select("id").distinct())
+    out = FC.recursive_forecast(recent, ORIGIN, H, MAX_LAGS, MODEL, exog=exog)
+    return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
+
+
 _BT_START = TR_LAST - BT_DAYS + 1
 
 
@@ -163,10 +205,10 @@ FROM rec_bt FULL OUTER JOIN one USING (id, d_num)
 WHERE d_num >= {_CMP_FROM} AND sales IS NOT NULL AND sales_2 IS NOT NULL AND sales_original IS NOT NULL
 GROUP BY d_num""")
 def q_backtest_compare(spark, sf_dir):
-    # both backtests read one id-partitioned copy: no re-aggregation per branch
-    s = W.series_layout(_sales(spark, sf_dir))
-    rec = FC.backtest_recursive(s, TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
-    one = FC.backtest_one_step(s, TR_LAST, BT_DAYS, MODEL)
+    # The recursion reads a bounded history; the one-step lags count rows, not
+    # days, so they see the whole series.
+    rec = FC.backtest_recursive(_sales(spark, sf_dir, _BT_START - MAX_LAGS), TR_LAST, BT_DAYS, MAX_LAGS, MODEL)
+    one = FC.backtest_one_step(_sales(spark, sf_dir), TR_LAST, BT_DAYS, MODEL)
     out = FC.backtest_compare(rec, one, _CMP_FROM)
     return out.select("d_num", *[F.round(c, 6).alias(c) for c in ("mean_recursive", "mean_one_step",
                                                                  "mean_actual")])

@@ -14,6 +14,7 @@ from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling
 from shelfcast.sources import tables as TB
+from shelfcast.session import cut_lineage
 from shelfcast.sources import views as V
 
 # Fixed run parameters (the reference's tr_last / fday / max_lags / first_day).
@@ -98,7 +99,8 @@ def q_extend_horizon_long(spark, sf_dir):
 @register("training_window", with_views("v_sales") + f"""
 SELECT id, d_num, sales FROM v_sales WHERE d_num >= {max(TR_LAST - MAX_LAGS, FIRST_DAY)}""")
 def q_training_window(spark, sf_dir):
-    df = V.v_sales(spark, sf_dir).select("id", "d_num", "sales")
+    # The day bound reaches the scan as a filter on the ship timestamp.
+    df = V.v_sales(spark, sf_dir, max(TR_LAST - MAX_LAGS, FIRST_DAY)).select("id", "d_num", "sales")
     return R.training_window(df, TR_LAST, MAX_LAGS, FIRST_DAY, is_train=False)
 
 
@@ -180,7 +182,7 @@ SELECT id, d_num, sales FROM (
   SELECT id, d_num, sales, row_number() OVER (ORDER BY d_num, id) AS rn FROM v_sales)
 WHERE rn > 1000""")
 def q_tail_after_n(spark, sf_dir):
-    return R.tail_after_n(V.v_sales(spark, sf_dir).select("id", "d_num", "sales"), 1000)
+    return R.tail_after_n(cut_lineage(V.v_sales(spark, sf_dir).select("id", "d_num", "sales")), 1000)
 
 
 @register("zip_columns", with_views("v_sales") + f"""
@@ -361,21 +363,22 @@ def q_join_calendar_left(spark, sf_dir):
 _PANEL_WK = "pw AS (SELECT *, CAST(floor(d_num / 7) + 1 AS INTEGER) AS wm_yr_wk FROM v_panel)"
 
 
-def _panel_wk(spark, sf_dir):
-    return V.v_panel(spark, sf_dir).withColumn("wm_yr_wk", V.wm_yr_wk(F.col("d_num")))
+def _panel_and_prices(spark, sf_dir):
+    panel, prices = V.panel_and_prices(spark, sf_dir)
+    return panel.withColumn("wm_yr_wk", V.wm_yr_wk(F.col("d_num"))), prices
 
 
 @register("join_prices_inner", with_views("v_panel", "v_prices", extra=[_PANEL_WK]) + """
 SELECT id, d_num, sales, sell_price FROM pw JOIN v_prices USING (store_id, item_id, wm_yr_wk)""")
 def q_join_prices_inner(spark, sf_dir):
-    out = J.join_prices(_panel_wk(spark, sf_dir), V.v_prices(spark, sf_dir), "inner")
+    out = J.join_prices(*_panel_and_prices(spark, sf_dir), "inner")
     return out.select("id", "d_num", "sales", "sell_price")
 
 
 @register("join_prices_left", with_views("v_panel", "v_prices", extra=[_PANEL_WK]) + """
 SELECT id, d_num, sales, sell_price FROM pw LEFT JOIN v_prices USING (store_id, item_id, wm_yr_wk)""")
 def q_join_prices_left(spark, sf_dir):
-    out = J.join_prices(_panel_wk(spark, sf_dir), V.v_prices(spark, sf_dir), "left")
+    out = J.join_prices(*_panel_and_prices(spark, sf_dir), "left")
     return out.select("id", "d_num", "sales", "sell_price")
 
 
@@ -422,7 +425,8 @@ _GROUP_KEYS = ["dept_id", "store_id", "cat_id", "state_id", "date"]
 SELECT id, d_num, sales, avg(sales) OVER (PARTITION BY {', '.join(_GROUP_KEYS)}) AS group_mean
 FROM v_panel""")
 def q_join_group_stat_back(spark, sf_dir):
-    p = V.v_panel(spark, sf_dir)
+    # Written once: the means and the rows they join back to read it.
+    p = cut_lineage(V.v_panel(spark, sf_dir).select("id", "d_num", "sales", *_GROUP_KEYS))
     out = J.join_group_stat_back(p, _GROUP_KEYS, "sales", "group_mean")
     return out.select("id", "d_num", "sales", "group_mean")
 

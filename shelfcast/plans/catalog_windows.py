@@ -10,6 +10,7 @@ from shelfcast.plans import features as FE
 from shelfcast.plans.oracle_views import with_views
 from shelfcast.plans.registry import register
 from shelfcast.plans.sqlfrag import over, rolling, rolling_moment
+from shelfcast.session import cut_lineage
 from shelfcast.sources import views as V
 
 # Fixed forecast origin used by the horizon labels (28 days before the last
@@ -19,8 +20,8 @@ FDAY = "2001-10-08"
 
 def _priced_panel(spark, sf_dir):
     """v_panel inner-joined to weekly prices (drops unpriced days, §1.4.1)."""
-    panel = V.v_panel(spark, sf_dir).withColumn("wm_yr_wk", V.wm_yr_wk(F.col("d_num")))
-    return J.join_prices(panel, V.v_prices(spark, sf_dir), how="inner")
+    panel, prices = V.panel_and_prices(spark, sf_dir)
+    return J.join_prices(panel.withColumn("wm_yr_wk", V.wm_yr_wk(F.col("d_num"))), prices, how="inner")
 
 
 _PRICED_PANEL_SQL = """priced AS (
@@ -213,7 +214,9 @@ _GROUP_KEYS = ["dept_id", "store_id", "cat_id", "state_id", "date"]
 SELECT id, d_num, Sales_1, round_even({rolling('Sales_1', 'avg', 7)}, 2) AS rmean_Sales_1_7
 FROM grouped""")
 def q_group_mean_rolling(spark, sf_dir):
-    df = W.lag_features(V.v_panel(spark, sf_dir), (1,))
+    # Written once: the group means and the rows they join back to read it.
+    panel = V.v_panel(spark, sf_dir).select("id", "d_num", "sales", *_GROUP_KEYS)
+    df = cut_lineage(W.lag_features(panel, (1,)))
     out = W.group_mean_rolling(df, _GROUP_KEYS, "lag_1")
     return out.select("id", "d_num", "Sales_1", "rmean_Sales_1_7")
 

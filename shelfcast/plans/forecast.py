@@ -87,13 +87,11 @@ def _features(acc: Column, day: Column, max_lags: int, lags, wins) -> dict[str,
 
 
 def history_arrays(df: DataFrame, first_day: int, last_day: int, id_col: str = "id",
-                   day_col: str = "d_num", value_col: str = "sales",
-                   carry: list[str] | None = None) -> DataFrame:
+                   day_col: str = "d_num", value_col: str = "sales") -> DataFrame:
     """(id, hist): each series' rows with day in [first_day, last_day] as a
-    sorted array of (d_num, sales).  The day range bounds the array size.
-    ``carry``: columns constant within a series, kept as extra keys."""
+    sorted array of (d_num, sales).  The day range bounds the array size."""
     rows = df.where(F.col(day_col).between(first_day, last_day))
-    return rows.groupBy(id_col, *(carry or [])).agg(F.array_sort(F.collect_list(F.struct(
+    return rows.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(
         F.col(day_col).cast("int").alias("d_num"),
         F.col(value_col).cast("double").alias("sales")))).alias("hist"))
 
@@ -101,8 +99,9 @@ def history_arrays(df: DataFrame, first_day: int, last_day: int, id_col: str = "
 def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags: int = 57,
                        model: LinearModelSpec = FIXED_MODEL, lags=DEFAULT_LAGS,
                        wins=DEFAULT_WINS, active_days: DataFrame | None = None,
-                       alpha_col: str | None = None, id_col: str = "id",
-                       series: DataFrame | None = None) -> DataFrame:
+                       alphas: list[float] | None = None, id_col: str = "id",
+                       series: DataFrame | None = None,
+                       exog: DataFrame | None = None) -> DataFrame:
     """(id, d_num, pred) for days origin..origin+horizon-1.
 
     ``series``: optional id list to forecast; a listed series without recent
@@ -112,11 +111,14 @@ def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags:
     ``active_days``: optional (id, d_num) rows; a series is forecast only on
     its listed days (inner-join semantics of the reference: a series with no
     row that day is skipped and its later lags see no row).  Without it every
-    series gets every horizon day.  ``alpha_col``: a per-row multiplier
-    applied to each prediction inside the recursion (L19).
+    series gets every horizon day.  ``alphas``: multipliers applied to
+    each prediction inside the recursion (L19), one forecast per value in
+    column ``_alpha``; the variants fan out from one history array per series.
+    ``exog``: optional (id, d_num, effect) rows of the horizon, the model's
+    terms of day and price features (``exog_effects``), added to the day's
+    prediction before it feeds later lags; a missing row adds nothing.
     """
-    hist = history_arrays(df, origin - max_lags, origin - 1, id_col,
-                          carry=[alpha_col] if alpha_col else None)
+    hist = history_arrays(df, origin - max_lags, origin - 1, id_col)
     if series is not None:
         hist = (series.select(id_col).distinct().join(hist, id_col, "left")
                       .withColumn("hist", F.coalesce("hist", F.array().cast(
@@ -133,18 +135,31 @@ def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags:
     else:
         hist = hist.withColumn("_act", F.lit(None).cast("array<int>"))
 
-    alpha = F.col(alpha_col) if alpha_col else F.lit(1.0)
+    if exog is not None:
+        fx = (exog.where(F.col("d_num").between(origin, origin + horizon - 1)).groupBy(id_col)
+                  .agg(F.collect_list(F.struct(F.col("d_num").cast("int").alias("d"), "effect")).alias("_fx")))
+        hist = hist.join(fx, id_col, "left")
+        # One value per horizon day, in day order.
+        hist = hist.withColumn("_fx", F.transform(
+            F.sequence(F.lit(0), F.lit(horizon - 1)), lambda t: F.coalesce(F.get(F.filter(
+                "_fx", lambda x: x["d"] == F.lit(origin) + t), 0)["effect"], F.lit(0.0))))
+    if alphas:
+        hist = hist.withColumn("_alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
+    alpha = F.col("_alpha") if alphas else F.lit(1.0)
 
     def step(acc: Column, t: Column) -> Column:
         day = F.lit(origin) + t
-        pred = model.predict(_features(acc, day, max_lags, lags, wins)) * alpha
+        pred = model.predict(_features(acc, day, max_lags, lags, wins))
+        if exog is not None:
+            pred = pred + F.get(F.col("_fx"), t)
+        pred = pred * alpha
         new = F.array_append(acc, F.struct(day.cast("int").alias("d_num"),
                                            pred.cast("double").alias("sales")))
         on = F.col("_act").isNull() | F.array_contains(F.col("_act"), day.cast("int"))
         return F.when(on, new).otherwise(acc)
 
     final = F.aggregate(F.sequence(F.lit(0), F.lit(horizon - 1)), F.col("hist"), step)
-    keep = [id_col] + ([alpha_col] if alpha_col else [])
+    keep = [id_col] + (["_alpha"] if alphas else [])
     out = hist.select(*keep, F.filter(final, lambda x: x["d_num"] >= origin).alias("_f"))
     return out.select(*keep, F.inline("_f")).withColumnRenamed("sales", "pred")
 
@@ -176,6 +191,14 @@ def recursive_forecast_ml(df: DataFrame, origin: int, fitted, feature_names: lis
     return out.select(id_col, F.inline("_f")).withColumnRenamed("sales", "pred")
 
 
+def exog_effects(rows: DataFrame, coefs: dict, id_col: str = "id") -> DataFrame:
+    """(id, d_num, effect): the model's linear terms of day, price and category
+    features known ahead of the forecast; a NULL feature adds nothing."""
+    effect = sum((F.lit(float(c)) * F.coalesce(F.col(n).cast("double"), F.lit(0.0))
+                  for n, c in coefs.items()), F.lit(0.0))
+    return rows.select(id_col, "d_num", effect.alias("effect"))
+
+
 def backtest_recursive(df: DataFrame, last_day: int, days: int = 15, max_lags: int = 57,
                        model: LinearModelSpec = FIXED_MODEL, id_col: str = "id") -> DataFrame:
     """Re-forecast the last ``days`` known days recursively, only on the
@@ -230,13 +253,10 @@ def multiplier_in_loop(df: DataFrame, origin: int, alphas, horizon: int = 28,
     """The alpha multiplies each prediction inside the recursion (so it
     feeds later lags); one forecast per alpha, averaged per (id, day).
 
-    The alphas become rows by a generator (``explode`` of a literal array),
-    and all variants run in the same single recursive projection.
+    The history arrays are built once per series; the alphas fan out from
+    them, and all variants run in the same single recursive projection.
     """
-    with_alpha = df.select("*", F.explode(F.array(*[F.lit(float(a)) for a in alphas]))
-                           .alias("_alpha"))
-    preds = recursive_forecast(with_alpha, origin, horizon, max_lags, model,
-                               alpha_col="_alpha", id_col=id_col)
+    preds = recursive_forecast(df, origin, horizon, max_lags, model, alphas=list(alphas), id_col=id_col)
     return preds.groupBy(id_col, "d_num").agg(F.avg("pred").alias("pred"))
 
 

@@ -13,21 +13,31 @@ from pyspark.sql.types import StructType
 from shelfcast.session import table_path
 
 
-_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
+
+
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Modification time and length of a table's file or folder; () if absent."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return ()
+    status = fs.getFileStatus(path)
+    return status.getModificationTime(), status.getLen()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None, reuse: bool = True) -> DataFrame:
+               columns: list[str] | None = None) -> DataFrame:
     """Parquet table ``name`` under ``sf_dir``, pruned to ``columns``.
 
     The resolved scan (schema read from the file footers, file listing) is
-    kept per session and path, so repeated queries over the same tables do
-    not infer the schema again; ``reuse=False`` re-reads (e.g. after the
-    files changed).
+    kept per session, path and table version, so repeated queries over the
+    same files do not infer the schema again and rewritten files are listed
+    anew.
     """
     path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _SCANS.get(key) if reuse else None
+    key = (spark.sparkContext.applicationId, id(spark), path, table_version(spark, sf_dir, name))
+    df = _SCANS.get(key)
     if df is None:
         df = spark.read.parquet(path)
         _SCANS[key] = df

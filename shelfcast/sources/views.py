@@ -24,7 +24,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.tables import read_table
+from shelfcast.session import cut_lineage
+from shelfcast.sources.tables import read_table, table_version
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derived views (they must be equal in the DuckDB oracle).
@@ -49,19 +50,23 @@ CALENDAR_DAYS = (_END - _START).days + 1
 
 
 _PLANS: dict[tuple, DataFrame] = {}
+_BASE = ("lineitem", "part", "supplier", "nation", "events", "embeddings")
 
 
 def _memo(fn):
-    """Reuse a view's DataFrame per session and arguments.
+    """Reuse a view's DataFrame per session, arguments and table versions.
 
     A DataFrame is an immutable, lazy plan: handing the same object to
     several queries only saves rebuilding it (py4j calls and analysis); each
-    query still reads the tables when it runs.
+    query still reads the tables when it runs.  Rewritten tables have another
+    version, so a stale file list is never reused.
     """
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args, **kwargs):
+        where = args[0] if args else kwargs.get("sf_dir")
+        version = tuple(table_version(spark, where, t) for t in _BASE) if where else ()
         key = (fn.__name__, spark.sparkContext.applicationId, id(spark), args,
-               tuple(sorted(kwargs.items())))
+               tuple(sorted(kwargs.items())), version)
         df = _PLANS.get(key)
         if df is None:
             df = fn(spark, *args, **kwargs)
@@ -156,9 +161,8 @@ def _hierarchy(df: DataFrame) -> list:
 @_memo
 def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, region, date, sales, price_cents, price_units): one pass over
-    lineitem feeds both the panel and the weekly prices.  Built the same way
-    in both, the aggregation is one reused exchange when a query needs the
-    panel and the prices together."""
+    lineitem feeds both the panel and the weekly prices; a query that needs
+    both takes them from one written copy (``panel_and_prices``)."""
     facts = line_facts(spark, sf_dir)
     shelf = F.col("l_discount") <= PRICE_MAX_DISCOUNT
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -172,7 +176,18 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_memo
 def v_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, item_id, dept_id, cat_id, store_id, state_id, d, d_num, date, sales)."""
-    daily = daily_facts(spark, sf_dir)
+    return panel_of(daily_facts(spark, sf_dir))
+
+
+def panel_and_prices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """v_panel and v_prices from one written copy of ``daily_facts``, so
+    lineitem and its joins run once.  The copy has at most items x regions x
+    days rows."""
+    daily = cut_lineage(daily_facts(spark, sf_dir))
+    return panel_of(daily), prices_of(daily)
+
+
+def panel_of(daily: DataFrame) -> DataFrame:
     d_num = day_number(F.col("date"))
     named = daily.select(*_hierarchy(daily), "date", "sales")
     return named.select(
@@ -196,7 +211,11 @@ def v_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     no price row, so inner and left price joins differ (§1.4.1).  Integer
     cents keep the value identical in any summation order.
     """
-    daily = daily_facts(spark, sf_dir).where(F.col("price_units").isNotNull())
+    return prices_of(daily_facts(spark, sf_dir))
+
+
+def prices_of(daily: DataFrame) -> DataFrame:
+    daily = daily.where(F.col("price_units").isNotNull())
     weekly = (daily.groupBy("item_id", "region",
                             wm_yr_wk(day_number(F.col("date"))).alias("wm_yr_wk"))
                    .agg((F.sum("price_cents") / F.sum("price_units") / 100.0).alias("sell_price")))
