@@ -138,16 +138,20 @@ ex AS (SELECT sr.id, c.d_num, {' + '.join(f'{w!r}::DOUBLE * coalesce({n}, 0.0)'
        LEFT JOIN lp ON lp.item_id = sr.id)"""
 
 
-def _known_ahead(spark, sf_dir, series):
-    """(id, d_num, effect) of every series and horizon day."""
-    weekly = V.v_prices(spark, sf_dir).groupBy("item_id", "wm_yr_wk").agg(F.avg("sell_price").alias("p"))
-    last = weekly.groupBy(F.col("item_id").alias("id")).agg(F.max_by("p", "wm_yr_wk").alias("price"))
+def _known_features(spark, sf_dir, series, first: int, last: int):
+    """(id, d_num, wday, month, is_event, snap_CA, price, cat_code) of every
+    series and day; a week without a price takes the last known one."""
+    weekly = V.v_prices(spark, sf_dir).groupBy(F.col("item_id").alias("id"), "wm_yr_wk").agg(
+        F.avg("sell_price").alias("p"))
+    weekly = cut_lineage(weekly)
+    last_known = weekly.groupBy("id").agg(F.max_by("p", "wm_yr_wk").alias("_last"))
     cal = V.calendar_for_join(spark).select(
-        "d_num", "wday", "month", F.col("event_name_1").isNotNull().cast("double").alias("is_event"), "snap_CA")
-    days = series.select("id", F.explode(F.sequence(F.lit(ORIGIN), F.lit(ORIGIN + H - 1))).alias("d_num"))
-    rows = days.join(cal, "d_num").join(last, "id", "left").withColumn(
-        "cat_code", F.regexp_extract("id", r"#(\d+)$", 1).cast("int") % 3)
-    return FC.exog_effects(rows, EXOG)
+        "d_num", "wm_yr_wk", "wday", "month", F.col("event_name_1").isNotNull().cast("double").alias("is_event"), "snap_CA")
+    days = series.select("id", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("d_num"))
+    rows = days.join(cal, "d_num").join(weekly, ["id", "wm_yr_wk"], "left").join(last_known, "id", "left")
+    return rows.withColumn("price", F.coalesce("p", "_last")).withColumn(
+        "cat_code", (F.regexp_extract("id", r"#(\d+)", 1).cast("int") % 3).cast("double")).drop(
+        "p", "_last", "wm_yr_wk")
 
 
 @register("recursive_forecast_exog", with_views("v_sales", "v_prices", "v_calendar", extra=[
@@ -156,7 +160,8 @@ def _known_ahead(spark, sf_dir, series):
 def q_recursive_forecast_exog(spark, sf_dir):
     """The recursion with day, price and category terms inside the loop."""
     recent = _recent(spark, sf_dir)
-    exog = _known_ahead(spark, sf_dir, recent.select("id").distinct())
+    known = _known_features(spark, sf_dir, recent.select("id").distinct(), ORIGIN, ORIGIN + H - 1)
+    exog = FC.exog_effects(known, EXOG)
     out = FC.recursive_forecast(recent, ORIGIN, H, MAX_LAGS, MODEL, exog=exog)
     return out.select("id", "d_num", F.round("pred", 6).alias("pred"))
 
@@ -565,7 +570,10 @@ def q_forecast_job(spark, sf_dir):
     from shelfcast.operators.project import replicate_with_new_id
     sales = _sales(spark, sf_dir).withColumn("id", F.concat("id", F.lit("_validation")))
     template = replicate_with_new_id(sales.select("id").distinct())
-    result = JOB.train_and_forecast(sales, TR_LAST, template_ids=template)
+    known = _known_features(spark, sf_dir, V.v_sales(spark, sf_dir).select("id").distinct(), 1, ORIGIN + H - 1)
+    known = known.withColumn("id", F.concat("id", F.lit("_validation"))).select(
+        "id", "d_num", *[F.col(c).cast("double").alias(c) for c in EXOG])
+    result = JOB.train_and_forecast(sales, TR_LAST, template_ids=template, known=known)
     finite = sum((F.abs(c) < float("inf")).cast("int") for c in _F_COLS)
     return result.submission.select("id", F.lit(len(_F_COLS)).alias("n_days"), (finite == H).alias("scored"))
 

@@ -37,8 +37,12 @@ class JobResult:
 def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
                        horizon: int = 28, max_lags: int = 57, holdout_pct: int = 25,
                        alphas=(1.025, 1.023, 1.0175), template_ids: DataFrame | None = None,
-                       out_path: str | None = None, id_col: str = "id") -> JobResult:
+                       out_path: str | None = None, id_col: str = "id",
+                       known: DataFrame | None = None) -> JobResult:
     """``sales``: (id, d_num, sales) daily history up to ``tr_last``.
+    ``known``: optional (id, d_num, features...) rows of features known ahead
+    (calendar, price, category), for history and horizon days alike; they are
+    fitted with the lags and act inside the recursion.
 
     1. training window (B4), laid out by series (one shuffle, checkpointed),
        and demand features (F1, F2), warm-up rows
@@ -55,15 +59,21 @@ def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
     # one shuffle, written once, reused by every step below.
     hist = W.series_layout(hist, id_col)
     feats = FE.demand_features(hist, id_col=id_col)
-    rows = ML.assemble_features(feats, FEATURES, "sales", keep=[id_col, "d_num"])
+    ahead = [c for c in known.columns if c not in (id_col, "d_num")] if known is not None else []
+    if ahead:
+        feats = feats.join(known, [id_col, "d_num"], "left").na.fill(0.0, ahead)
+    rows = ML.assemble_features(feats, FEATURES + ahead, "sales", keep=[id_col, "d_num"])
     rows = K.holdout_fraction(rows, holdout_pct, [id_col, "d_num"])
     fitted = ML.fit_linear(rows.where(~F.col("is_holdout")))
     scored = fitted.transform(rows.where("is_holdout"))
     rmse = scored.agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))).first()[0]
-    spec = FC.LinearModelSpec.from_ml(fitted, FEATURES)
+    whole = FC.LinearModelSpec.from_ml(fitted, FEATURES + ahead)
+    spec = FC.LinearModelSpec({n: whole.coefs[n] for n in FEATURES}, whole.intercept)
+    exog = FC.exog_effects(known.where(F.col("d_num") > tr_last),
+                           {n: whole.coefs[n] for n in ahead}, id_col) if ahead else None
 
     preds = FC.recursive_forecast(hist, tr_last + 1, horizon, max_lags, spec,
-                                  id_col=id_col, series=hist.select(id_col).distinct())
+                                  id_col=id_col, series=hist.select(id_col).distinct(), exog=exog)
     # Written once: the checks, the sink and the caller read this copy.
     sub = cut_lineage(FC.submission_build(preds, tr_last + 1, horizon, list(alphas), id_col))
 
