@@ -578,6 +578,30 @@ def q_forecast_job(spark, sf_dir):
     return result.submission.select("id", F.lit(len(_F_COLS)).alias("n_days"), (finite == H).alias("scored"))
 
 
+@register("panel_job", with_views("v_panel", extra=[f"""h AS (
+  SELECT id, d_num, sales FROM v_panel WHERE d_num <= {TR_LAST}
+  UNION ALL SELECT id, CAST(unnest(range({ORIGIN}, {ORIGIN + H})) AS INTEGER), NULL
+  FROM (SELECT DISTINCT id FROM v_panel WHERE d_num <= {TR_LAST})),
+fl AS (SELECT id, d_num, sales, lag(sales, {H}) {over()} AS x FROM h),
+tr AS (SELECT id, d_num, sales AS label, x FROM fl WHERE d_num <= {TR_LAST} AND x IS NOT NULL),
+folds AS (SELECT CAST(i AS INTEGER) AS fold,
+  (SELECT max(d_num) - min(d_num) FROM tr) - 758 - (2 - i) * 28 AS s FROM range(3) r(i)),
+m AS (SELECT fold, regr_slope(label, x) AS b, regr_intercept(label, x) AS a
+      FROM (SELECT *, d_num - (SELECT min(d_num) FROM tr) AS t FROM tr) tr, folds
+      WHERE t > s AND t <= s + 730 GROUP BY fold),
+fc AS (SELECT id, d_num, avg(a + b * coalesce(x, 0.0)) AS pred FROM fl, m WHERE d_num > {TR_LAST} GROUP BY id, d_num),
+wide AS (SELECT id, {', '.join(f"round(max(pred) FILTER (WHERE d_num = {ORIGIN + i - 1}), 2) AS F{i}" for i in range(1, H + 1))}
+         FROM fc GROUP BY id)"""]) + """
+SELECT * FROM wide UNION ALL
+SELECT * REPLACE (regexp_replace(id, 'validation$', 'evaluation') AS id) FROM wide""")
+def q_panel_job(spark, sf_dir):
+    """The panel pipeline; fitted on the shifted demand alone, so that SQL can
+    check every cell (the job's own feature list has prices and calendar)."""
+    panel, prices = V.panel_and_prices(spark, sf_dir)
+    sub = JOB.panel_job(panel, prices, V.calendar_for_join(spark), TR_LAST, features=["shift_t28"], reg=0.0)
+    return sub.select("id", *[F.round(c, 2).alias(c) for c in _F_COLS])
+
+
 # -- L7 ------------------------------------------------------------------------------
 
 @register("knn_regress", f"""

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import aggs as A
+from shelfcast.operators import joins as J
+from shelfcast.operators import project as P
 from shelfcast.operators import reshape as R
 from shelfcast.operators import split as K
 from shelfcast.operators import windows as W
@@ -86,3 +88,54 @@ def train_and_forecast(sales: DataFrame, tr_last: int, first_day: int = 1,
             raise ValueError(f"submission ids differ from the template: {check.asDict()}")
     path = SK.sink_wide(sub, out_path) if out_path else None
     return JobResult(sub, spec, float(rmse) if rmse is not None else float("nan"), path)
+
+
+PANEL_FEATURES = ["shift_t28", "rolling_mean_t7", "wday", "month", "is_event", "sell_price"]
+
+
+def panel_rows(panel: DataFrame, prices: DataFrame, calendar: DataFrame, tr_last: int,
+               horizon: int = 28) -> DataFrame:
+    """History and horizon days with calendar, price and demand features:
+    the horizon rows are appended (B3), the calendar and the weekly price
+    joined left (D3, D4), demand shifted by the horizon (F5, F6) and the last
+    known price carried forward.  Written once."""
+    keys = ["id", "item_id", "store_id"]
+    hist = panel.select(*keys, "d_num", F.col("sales").cast("double").alias("sales")).where(F.col("d_num") <= tr_last)
+    ahead = R.extend_horizon_long(hist, keys, tr_last, horizon).select(*hist.columns)
+    rows = hist.unionByName(ahead)
+    cal = calendar.select("d_num", "wm_yr_wk", F.col("wday").cast("double"), F.col("month").cast("double"),
+                          F.col("event_name_1").isNotNull().cast("double").alias("is_event"))
+    rows = J.join_prices(rows.join(cal, "d_num", "left"), prices, "left")
+    w = W.series_window("id")
+    rows = W.rolling_horizon_features(rows.withColumnRenamed("sales", "demand"), horizon, (7,), (), None, w=w)
+    seen = w.rowsBetween(Window.unboundedPreceding, 0)
+    return cut_lineage(rows.withColumn("shift_t28", F.lag("demand", horizon).over(w)).withColumn(
+        "sell_price", F.last("sell_price", ignorenulls=True).over(seen)))
+
+
+def panel_job(panel: DataFrame, prices: DataFrame, calendar: DataFrame, tr_last: int,
+              features: list[str] | None = None, horizon: int = 28, folds: int = 3,
+              train_days: int = 730, test_days: int = 28, reg: float = 0.01) -> DataFrame:
+    """The panel pipeline as one job: features, time cutoff (C17), rolling-origin
+    folds (K4), one linear model per fold on its training days, the mean of
+    the fold models over the horizon (L12), and the wide submission with its
+    evaluation copy (L20), checked for NULL cells and id alignment (E6, E7)."""
+    features = list(features or PANEL_FEATURES)
+    rows = panel_rows(panel, prices, calendar, tr_last, horizon)
+    train = ML.assemble_features(rows.where(F.col("d_num") <= tr_last), features, "demand", keep=["id", "d_num"])
+    tagged = cut_lineage(K.timeseries_cv(train, folds, train_days, test_days, test_days))
+    ahead = rows.where(F.col("d_num") > tr_last).na.fill(0.0, features)
+    future = ML.assemble_features(ahead.withColumn("demand", F.lit(0.0)), features, "demand", keep=["id", "d_num"])
+    preds = None
+    for f in range(folds):
+        model = ML.fit_linear(tagged.where((F.col("fold") == f) & (F.col("role") == "train")), reg=reg)
+        part = model.transform(future).select("id", "d_num", F.col("prediction").alias("pred"))
+        preds = part if preds is None else preds.unionByName(part)
+    mean = ML.fold_mean_predictions(preds, ["id", "d_num"])
+    sub = cut_lineage(FC.submission_build(mean, tr_last + 1, horizon, [1.0]))
+    ids = rows.select("id").distinct()
+    nulls = A.count_nulls(sub, exclude=["id"]).first()["n_nulls"]
+    check = A.check_id_alignment(sub.select("id"), P.replicate_with_new_id(ids)).first()
+    if nulls or not check["aligned"]:
+        raise ValueError(f"submission: {nulls} NULL cells, ids {check.asDict()}")
+    return sub

@@ -81,3 +81,11 @@ def test_rolling_strategies_keep_one_exchange(spark):
         assert len([l for l in plan.split("\n") if "Sort [id" in l]) == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_price_queries_read_lineitem_once(spark):
+    from shelfcast.plans import registry
+    for key in ("price_change_year", "join_prices_left", "group_mean_rolling", "join_group_stat_back"):
+        plan = _plan(registry.queries()[key](spark, SF_SMALL))
+        # The daily table was written once; the query itself reads that copy.
+        assert "lineitem" not in plan and "Scan ExistingRDD" in plan
