@@ -6,12 +6,24 @@ smallest id.  Inverted lists of retained values give candidate pairs: if two
 sets reach the threshold their sketches share at least ``need`` values (five
 standard deviations below the mean, exact for sets that fit a sketch), so it
 is enough to list each class under its rarest retained values (prefix filter).
-Pairs are taken in two rounds, so that a group of N near copies costs about N
-pairs, not N squared: first every member of a list against the list's smallest
-member of like size; then, only across the components found so far, the rest.
 The union-sketch estimate (shared values among the k smallest of both) drops
 weak pairs, and exact Jaccard on the full sets of both texts decides.
 
+A group of N near copies must not cost N squared pairs, so pairs are taken in
+two rounds.
+
+1. Stars: each list's most connected member is its head, and every member is
+   compared with the heads of its lists.  The head that shares most with a
+   class is its nearest head; following nearest heads upwards (weights grow)
+   leads to a root.  The root, else the nearest head, becomes the class's
+   centre if it covers half of the class; what the class has beyond its centre
+   is its residual.
+2. Only pairs that lie in different components now can matter.  Two classes of
+   one centre C overlap in at most min(|X & C|, |Y & C|) + |shared residual|
+   shingles, so they are compared only if they share a residual shingle, or
+   are so small that the first term suffices.  Classes without a common
+   centre are compared if a list holds both.
+
 Edge cases: null, empty and blank texts have an empty set and link with
 nothing; fewer words than a shingle give one shingle; repeated rows of an id
 are one document (linked through the id); rows with a null id are returned
@@ -81,52 +93,144 @@ def _need(n: Column, t: float, size: int) -> Column:
 
 
 def _postings(classes: DataFrame, t: float, size: int) -> DataFrame:
-    """value, id, n: each class under its rarest retained values."""
+    """value, id, n, weight: each class under its rarest retained values."""
     held = classes.select("id", "n", F.explode("sketch").alias("value"))
-    seen = held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    # Written, so that the join is between two exchanges and can split a hot value.
+    seen = written(held.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "sketch-values")
     mine = (held.join(seen, "value").groupBy("id", "n")
             .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))  # at most ``size``
-            .withColumn("take", F.size("v") - _need(F.col("n"), t, size) + 1).filter("take > 0"))
-    return mine.select("id", "n", F.explode(F.slice("v", F.lit(1), F.col("take"))).alias("v")).select(
-        F.col("v.value").alias("value"), "id", "n")
+            .withColumn("take", F.size("v") - _need(F.col("n"), t, size) + 1).filter("take > 0")
+            .withColumn("weight", F.aggregate("v", F.lit(0).cast("long"), lambda x, y: x + y["df"])))
+    return mine.select("id", "n", "weight", F.explode(F.slice("v", F.lit(1), F.col("take"))).alias("v")).select(
+        F.col("v.value").alias("value"), "id", "n", "weight")
 
 
-def _plausible(pairs: DataFrame, held: DataFrame, t: float, size: int) -> DataFrame:
-    """Pairs whose union sketch shares enough values."""
+def _compared(pairs: DataFrame, held: DataFrame, t: float, size: int) -> DataFrame:
+    """a, b, shared (values of the union sketch in both), plausible."""
     a = held.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
     b = held.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
     both = pairs.join(b, "b").join(a, "a")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, size)
     shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    return both.filter(shared >= _need(F.greatest("na", "nb"), t, size)).select("a", "b")
+    return both.select("a", "b", shared.alias("shared"),
+                       (shared >= _need(F.greatest("na", "nb"), t, size)).alias("plausible"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union on the full sets."""
+def _measured(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """a, b, rank -> also inter, na, nb and, for a centre (rank > 0), b's residual."""
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    both = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
+    both = pairs.join(b, "b").join(a, "a").select("a", "b", "rank", "ta", "tb")
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            ia, ib = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok, sets = [], []
-            for col in (2, 3):
+            rank, rows = batch.column(2).to_pylist(), []
+            sets = []
+            for col in (3, 4):
                 got = []
                 for lo, hi, buf, off in W.chunks(batch.column(col)):
                     got += shingle_sets(W.scan(buf, off, W.BLANK_WORDS, W.LOWER), hi - lo, k)
                 sets.append(got)
             for i, (x, y) in enumerate(zip(*sets)):
                 inter = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * inter >= percent * (len(x) + len(y) - inter) and inter:
-                    ok.append(i)
+                centre = rank[i] > 0 and 2 * inter >= len(y)
+                rows.append((inter, len(x), len(y),
+                             np.setdiff1d(y, x, assume_unique=True).view(np.int64) if centre else None))
+            cols = list(zip(*rows)) or [[]] * 4
+            i64 = pa.int64()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ia[i] for i in ok], pa.int64()), pa.array([ib[i] for i in ok], pa.int64())],
-                names=["a", "b"])
+                [batch.column(0), batch.column(1), batch.column(2)]
+                + [pa.array(c, t) for c, t in zip(cols, (i64, i64, i64, pa.list_(i64)))],
+                names=["a", "b", "rank", "inter", "na", "nb", "residual"])
+
+    return both.mapInArrow(run, "a long, b long, rank int, inter long, na long, nb long, residual array<long>")
+
+
+def _linked(measured: DataFrame, percent: int) -> DataFrame:
+    union = F.col("na") + F.col("nb") - F.col("inter")
+    return measured.filter((F.col("inter") > 0) & (100 * F.col("inter") >= percent * union)).select("a", "b")
+
 
-    return both.mapInArrow(run, "a long, b long")
+def _stars(posts: DataFrame, held: DataFrame, t: float, size: int) -> DataFrame:
+    """a (head), b, rank: members against the heads of their lists; rank 1 for
+    the nearest head, 2 for the root above it."""
+    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(t))
+    listed = posts.withColumn("band", band)
+    head = F.max_by("id", F.struct("weight", -F.col("id"))).alias("a")
+    pairs = None
+    for keys in (["value"], ["value", "band"]):  # linked sets differ by at most t in size
+        heads = written(listed.groupBy(*keys).agg(head), "links-heads")
+        mine = listed.join(heads, keys).filter("a <> id").select("a", F.col("id").alias("b"))
+        pairs = mine if pairs is None else pairs.unionByName(mine)
+    seen = written(_compared(pairs.distinct(), held, t, size), "links-stars")
+    # The head with most shared values; heads weigh more than their members,
+    # so the way up ends.
+    near = seen.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("h"))
+    near = written(near, "links-near")
+    up = near.select("b", F.col("h").alias("r"))
+    while True:  # the way up doubles with each step
+        above = up.select(F.col("b").alias("_b"), F.col("r").alias("_r"))
+        step = up.join(above, F.col("r") == F.col("_b"), "left").select(
+            "b", F.col("r").alias("old"), F.coalesce("_r", "r").alias("r")).checkpoint()
+        up = step.select("b", "r")
+        if not step.filter("old <> r").limit(1).count():
+            break
+    roots = up.join(near, "b").filter("r <> h").select(F.col("r").alias("a"), "b", F.lit(2).alias("rank"))
+    top = near.join(roots.select("b", F.lit(True).alias("_above")), "b", "left").select(
+        F.col("h").alias("a"), "b", F.when(F.col("_above"), 1).otherwise(2).alias("rank"))
+    plain = seen.filter("plausible").select("a", "b", F.lit(0).alias("rank"))
+    return plain.unionByName(roots).unionByName(top).groupBy("a", "b").agg(F.max("rank").alias("rank"))
+
+
+def _across(measured: DataFrame, posts: DataFrame, comp: DataFrame, t: float, percent: int) -> DataFrame:
+    """a, b: pairs of different components that the stars leave possible."""
+    share = percent / (100.0 + percent)  # linked: intersection >= share * (na + nb)
+    comp = comp.select(F.col("node").alias("id"), "component")
+    one = F.max_by(F.struct("a", "inter", "nb", "residual"), "rank").alias("m")
+    own = measured.filter("residual IS NOT NULL").groupBy(F.col("b").alias("id")).agg(one).select(
+        F.col("m.a").alias("centre"), "id", "m.inter", F.col("m.nb").alias("n"), "m.residual")
+    own = written(own.join(comp, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"),
+                  "links-members")
+    differ = (F.col("x.c") != F.col("y.c")) & (100 * F.col("x.n") >= percent * F.col("y.n")) \
+        & (100 * F.col("y.n") >= percent * F.col("x.n"))
+    names = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+
+    # One centre, a shared residual shingle.
+    rest = own.select("centre", "id", "inter", "n", "c", F.explode("residual").alias("value"))
+    mixed = rest.groupBy("centre", "value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    rest = written(rest.join(mixed.select("centre", "value"), ["centre", "value"]), "links-residual")
+    x, y = rest.alias("x"), rest.alias("y")
+    pairs = (x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.value") == F.col("y.value"))
+                    & (F.col("x.id") < F.col("y.id")) & differ)
+             .groupBy("x.id", "y.id", "x.inter", "y.inter", "x.n", "y.n").agg(F.count("*").alias("s"))
+             .toDF("a", "b", "ia", "ib", "na", "nb", "s"))
+    shared = pairs.filter(F.least("ia", "ib") + F.col("s") >= share * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b")
+
+    # One centre, nothing shared beyond it: only sets up to ``cap`` shingles.
+    small = own.drop("residual").withColumn("cap", F.floor(F.col("inter") / share - F.col("n") + 1e-6))
+    low = small.groupBy("centre").agg(F.min("n").alias("low"), F.max("cap").alias("high"))
+    small = small.join(low, "centre").filter("cap >= low AND n <= high").drop("low", "high")
+    x, y = small.alias("x"), small.alias("y")
+    bounded = x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.id") < F.col("y.id")) & differ
+                     & (F.col("y.n") <= F.col("x.cap")) & (F.col("x.n") <= F.col("y.cap"))).select(*names)
+
+    # No common centre: pairs of a list.
+    tagged = (posts.join(comp, "id", "left").join(own.select("id", "centre"), "id", "left")
+              .select("value", "id", "n", F.coalesce("component", "id").alias("c"),
+                      F.coalesce("centre", "id").alias("centre")))
+    tagged = written(tagged, "links-tagged")
+    several = (tagged.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                           F.min("centre").alias("l2"), F.max("centre").alias("h2"))
+               .filter("lo <> hi AND l2 <> h2").select("value"))
+    tagged = tagged.join(written(several, "links-several"), "value")
+    x, y = tagged.alias("x"), tagged.alias("y")
+    apart = (F.col("x.centre") != F.col("y.centre")) & (F.col("x.centre") != F.col("y.id")) \
+        & (F.col("y.centre") != F.col("x.id"))
+    listed = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id"))
+                    & differ & apart).select(*names)
+    return shared.unionByName(bounded).unionByName(listed).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -148,30 +252,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     src = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     texts = written(src.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "sketch-texts")
 
-    # Round 1: a star per list and size band (linked sets differ by at most t).
-    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(t))
-    stars = posts.withColumn("band", band)
-    heads = stars.groupBy("value", "band").agg(F.min("id").alias("a"))
-    pairs = (stars.join(heads, ["value", "band"]).filter("a <> id")
-             .select("a", F.col("id").alias("b")).distinct())
-    first = written(_verified(_plausible(pairs, held, t, size), texts, shingle, percent), "links-1")
-    comp = connected_components(first)
-
-    # Round 2: pairs of a list that lie in different components.
-    tagged = (posts.join(comp.withColumnRenamed("node", "id"), "id", "left")
-              .withColumn("c", F.coalesce("component", "id")).drop("component"))
-    tagged = written(tagged, "links-tagged")
-    mixed = (tagged.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .filter("lo <> hi").select("value"))
-    tagged = tagged.join(mixed, "value")
-    x, y = tagged.alias("x"), tagged.alias("y")
-    rest = (x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.c") != F.col("y.c"))
-                   & (100 * F.col("x.n") >= percent * F.col("y.n"))
-                   & (100 * F.col("y.n") >= percent * F.col("x.n")))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    second = written(_verified(_plausible(rest, held, t, size), texts, shingle, percent), "links-2")
-    comp = connected_components(first.unionByName(second))
+    first = written(_measured(_stars(posts, held, t, size), texts, shingle), "links-1")
+    edges = _linked(first, percent)
+    comp = connected_components(edges)
+    more = _compared(_across(first, posts, comp, t, percent), held, t, size).filter("plausible")
+    second = written(_measured(more.select("a", "b", F.lit(0).alias("rank")), texts, shingle), "links-2")
+    comp = connected_components(edges.unionByName(_linked(second, percent)))
 
     names = classes.join(comp, classes["id"] == comp["node"], "left").select(
         "f1", "f2", F.col("n").alias("_n"), F.coalesce("component", "id").alias("c"))
