@@ -13,11 +13,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm import decontaminate, language, neardup, packing, substrings
-from shelfcast.llm.common import table, written
+from shelfcast.llm.common import bounded_batches, table, written
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters or with a narrow language margin go."""
+    bounded_batches(spark)
     model = language.fit(docs)
     found = language.identify(docs, model)
     return found.filter(~F.col("rejected")).select(*docs.columns)
@@ -25,6 +26,7 @@ def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8) the smallest id stays."""
+    bounded_batches(spark)
     gone = written(neardup.near_duplicates(docs).filter(~F.col("kept"))
                    .select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     few = gone.count() <= neardup.BROADCAST_IDS
@@ -33,6 +35,7 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of 50-word windows that an earlier document holds are cut."""
+    bounded_batches(spark)
     out = substrings.dedup_substrings(docs, keep=docs.columns)
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
     changed = F.col("n_removed") > 0
@@ -42,11 +45,13 @@ def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover a twentieth or more go."""
+    bounded_batches(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.filter(~F.col("contaminated")).select(*docs.columns)
 
 
 def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

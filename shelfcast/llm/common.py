@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,19 @@ from shelfcast.session import ensure_checkpoint_dir
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of one Arrow batch, so that a Python task holds little at a time.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch bound to ``BATCH_BYTES`` if it is above."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get(key).lower()).groups()
+    size = int(number) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit[:1], 1)
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df

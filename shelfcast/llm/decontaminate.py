@@ -178,21 +178,26 @@ def shingle_counts(df: DataFrame, text: str, block: Block) -> dict[int, int]:
 
 
 def _scan(df: DataFrame, keep: list[str], text: str, prefixes, last: bool) -> DataFrame:
-    """One block's pass: adds hit word ranges and items, or the final columns."""
+    """One block's pass: adds hit word ranges and items, or the final columns.
+
+    ``text`` is one of ``keep``, or ``_text``, which the last pass drops.
+    """
     made = [f.split()[0] for f in OUT.split(", ")]
-    fields = df.select(*keep).schema.fields
-    tail = StructType.fromDDL(OUT).fields if last else df.select("_text", "_hit", "_item").schema.fields
+    carried = keep if text in keep else [*keep, text]
+    out_keep = keep if last else carried
+    fields = df.select(*out_keep).schema.fields
+    tail = StructType.fromDDL(OUT).fields if last else df.select("_hit", "_item").schema.fields
     shared = df.sparkSession.sparkContext.broadcast(prefixes)
-    n = len(keep)
+    n, where, m = len(carried), carried.index(text), len(out_keep)
 
     def run(batches):
         import pyarrow as pa
 
         p = shared.value
         for batch in batches:
-            old_hit, old_item = batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist()
+            old_hit, old_item = batch.column(n).to_pylist(), batch.column(n + 1).to_pylist()
             rows = []
-            for lo, hi, buf, off in W.chunks(batch.column(n)):
+            for lo, hi, buf, off in W.chunks(batch.column(where)):
                 w = W.scan(buf, off, W.ALNUM_WORDS, W.LOWER)
                 pos, num = p.occurrences(w)
                 doc = w.doc[pos] if len(pos) else pos
@@ -220,16 +225,15 @@ def _scan(df: DataFrame, keep: list[str], text: str, prefixes, last: bool) -> Da
                     else:
                         rows.append((hits, items))
             cols = list(zip(*rows)) or [[]] * (5 if last else 2)
-            out = [batch.column(i) for i in range(n)]
+            out = [batch.column(i) for i in range(m)]
             if last:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
                 out += [pa.array(c, t) for c, t in zip(cols, types)]
             else:
-                out += [batch.column(n), pa.array(cols[0], pa.list_(pa.int64())),
-                        pa.array(cols[1], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(out, names=keep + (made if last else ["_text", "_hit", "_item"]))
+                out += [pa.array(cols[0], pa.list_(pa.int64())), pa.array(cols[1], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(out, names=out_keep + (made if last else ["_hit", "_item"]))
 
-    return df.select(*keep, "_text", "_hit", "_item").mapInArrow(run, StructType(fields + tail))
+    return df.select(*carried, "_hit", "_item").mapInArrow(run, StructType(fields + tail))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
@@ -240,12 +244,13 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", keep:
     keep = [c for c in (df.columns if keep is None else keep) if c not in made]
     windows = written(item_windows(benchmark, item, item_text, window), "bench-windows")
     n_blocks = 1 + windows.count() // block_windows
-    out = df.select(*keep, F.col(text).alias("_text"), F.array().cast("array<long>").alias("_hit"),
+    body = text if text in keep else "_text"  # a text that is carried is not sent twice
+    out = df.select(*keep, *([] if text in keep else [F.col(text).alias("_text")]), F.array().cast("array<long>").alias("_hit"),
                     F.array().cast("array<string>").alias("_item"))
     for b in range(n_blocks):
         mine = windows.filter(F.pmod(F.xxhash64("values"), F.lit(n_blocks)) == b)
         block = Block([(r[0], r[1]) for r in mine.collect()])  # about block_windows rows
-        out = _scan(out, keep, text, block.choose(shingle_counts(df, text, block)), b == n_blocks - 1)
+        out = _scan(out, keep, body, block.choose(shingle_counts(df, text, block)), b == n_blocks - 1)
     return out
 
 

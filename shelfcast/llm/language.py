@@ -106,7 +106,9 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     """``keep`` columns of ``df`` plus held_out, lang_pred, score, margin, rejected."""
     made = [f.split()[0] for f in OUT.split(", ")]
     keep = [c for c in (df.columns if keep is None else keep) if c not in made]
-    src = df.select(*keep, held_out(key).alias("held_out"), F.col(text).alias("_text"))
+    src = df.select(*keep, held_out(key).alias("held_out"),
+                    *([] if text in keep else [F.col(text).alias("_text")]))
+    at = keep.index(text) if text in keep else len(keep) + 1
     schema = StructType(src.select(*keep).schema.fields + StructType.fromDDL(OUT).fields)
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by fit's parameters
     n = len(keep)
@@ -117,7 +119,7 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
         engines = compressors(shared.value)
         for batch in batches:
             found = [classify(t.as_py(), shared.value, engines, min_margin, min_evidence)
-                     for t in batch.column(n + 1)]
+                     for t in batch.column(at)]
             cols = list(zip(*found)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n + 1)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfcast.llm import chat, decontaminate, htmltext, language, licenses, neardup, packing, quality, substrings, urls
-from shelfcast.llm.common import table
+from shelfcast.llm.common import bounded_batches, table
 
 
 def op1_sum_of_squares_packing(spark, sf_dir):
@@ -52,7 +52,15 @@ def op10_license_sentences(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (
+def _bounded(fn):
+    def run(spark, sf_dir):
+        bounded_batches(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+QUERIES = {f.__name__: _bounded(f) for f in (
     op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter,
     op5_template_extraction, op6_fm_index_dedup, op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,

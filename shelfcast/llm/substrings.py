@@ -17,8 +17,11 @@ start in a document with a smaller id.
 4. Occurrences take the runs of windows whose smallest document precedes
    their own, and the words those runs cover are cut.
 
-Shards hold about ``shard_words`` words of distinct fragments each; a shard
-count follows the data.
+Shards hold about ``shard_words`` words of distinct fragments each; the shard
+count follows the data.  A passage in very many documents has, at its ends,
+one minimiser with as many different fragments; minimisers with more than
+``hot_fragments`` of them are dealt window by window instead: equal windows
+are first reduced to one, and the shard follows the window's own hash.
 
 Edge cases: null and empty texts have no words; texts shorter than a window
 lose nothing; rows with a null id neither remove nor lose words; rows with the
@@ -40,7 +43,7 @@ from shelfcast.llm.common import written
 
 OUT = "n_words long, n_removed long, kept_sha256 string, kept_text string"
 GRAM = 8
-BROADCAST_RANGES = 1_000_000  # word ranges (about 16 MB) that may be broadcast
+BROADCAST_IDS = 1_000_000  # document ids (16 MB) that may be broadcast; more are joined by shuffle
 
 
 def _leftmost_minimum(h: np.ndarray, width: int) -> np.ndarray:
@@ -99,8 +102,12 @@ def _anchors(df: DataFrame, window: int) -> DataFrame:
     return df.mapInArrow(run, "doc long, row long, a long, f long, at int, n int")
 
 
-def _fragment_words(df: DataFrame, window: int) -> DataFrame:
-    """(doc, text, frags) -> (a, f, doc, words) with 64-bit word values."""
+def _fragment_words(df: DataFrame, window: int, single: bool) -> DataFrame:
+    """(doc, text, frags) -> (a, f, from, key, doc, words) with 64-bit word values.
+
+    One row per fragment, keyed by its minimiser, or (``single``) one per
+    window, keyed by the window's hash.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -113,25 +120,31 @@ def _fragment_words(df: DataFrame, window: int) -> DataFrame:
                 for i in range(lo, hi):
                     base = int(w.first[i - lo])
                     for x in frags[i]:
-                        s = base + x["at"]
-                        rows.append((x["a"], x["f"], docs[i], w.value[s:s + x["n"] + window - 1].tobytes()))
-                cols = list(zip(*rows)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    names=["a", "f", "doc", "words"])
-
-    return df.mapInArrow(run, "a long, f long, doc long, words binary")
+                        s, n = base + x["at"], x["n"]
+                        if not single:
+                            rows.append((x["a"], x["f"], 0, x["a"], docs[i], w.value[s:s + n + window - 1].tobytes()))
+                            continue
+                        own = W.Words(w.buf, w.start, w.end, w.value[s:s + n + window - 1], w.first,
+                                      np.zeros(n + window - 1, np.int64)).shingles(window)[0].view(np.int64)
+                        rows += [(x["a"], x["f"], k, int(own[k]), docs[i], w.value[s + k:s + k + window].tobytes())
+                                 for k in range(n)]
+                cols = list(zip(*rows)) or [[]] * 6
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                                 names=["a", "f", "from", "key", "doc", "words"])
+
+    return df.mapInArrow(run, "a long, f long, `from` int, key long, doc long, words binary")
 
 
 def _shard_matches(window: int):
-    """Table of one shard's fragments -> runs (a, f, from, n, least)."""
+    """Table of one shard's fragments -> runs (a, f, single, from, n, least)."""
 
     def run(table):
         import pyarrow as pa
 
         from shelfcast.llm.fmindex import FMIndex
 
-        a, f = table["a"].to_numpy(), table["f"].to_numpy()
+        a, f, single = (table[c].to_numpy() for c in ("a", "f", "single"))
         frags = [np.frombuffer(x, np.uint64) for x in table["words"].to_pylist()]
         index = FMIndex(frags, table["doc"].to_numpy(), window)
         got = index.smallest_owner()
@@ -140,35 +153,50 @@ def _shard_matches(window: int):
         at = np.concatenate([np.arange(len(g)) for g in got])
         new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])])
         n = np.diff(np.r_[new, len(least)])
-        return pa.table({"a": a[owner[new]], "f": f[owner[new]], "from": at[new].astype(np.int32),
+        return pa.table({"a": a[owner[new]], "f": f[owner[new]], "single": single[owner[new]], "from": at[new].astype(np.int32),
                          "n": n.astype(np.int32), "least": least[new]})
 
     return run
 
 
-def repeated_ranges(df: DataFrame, key: str, text: str, window: int, shard_words: int) -> DataFrame:
+def repeated_ranges(df: DataFrame, key: str, text: str, window: int, shard_words: int,
+                    hot_fragments: int) -> DataFrame:
     """doc, row, ranges: word ranges [start, end) that windows of earlier documents cover."""
     src = df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.col(text)).alias("row"),
                     F.col(text).alias("text")).filter("doc IS NOT NULL AND text IS NOT NULL")
     anchors = written(_anchors(src, window), "sub-anchors")
-    shared = (anchors.groupBy("a").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-              .filter("lo < hi").select("a"))
+    # Written, so that the join below is between two exchanges and a hot
+    # minimiser's occurrences can be split.
+    shared = written(anchors.groupBy("a").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                     .filter("lo < hi").select("a"), "sub-minimisers")
     found = written(anchors.join(shared, "a"), "sub-shared")
     distinct = written(found.groupBy("a", "f", "n").agg(F.min(F.struct("doc", "row", "at")).alias("x"))
                        .select("a", "f", "n", "x.*"), "sub-distinct")
     total = distinct.agg(F.count("*"), F.sum(F.col("n") + window - 1)).first()
     shards = 1 + (total[1] or 0) // shard_words
-    lists = written(distinct.groupBy("doc", "row").agg(
-        F.collect_list(F.struct("a", "f", "at", "n")).alias("frags")), "sub-lists")  # at most a document's own
-    owners = lists.select("doc", "row")
-    few = owners.count() <= BROADCAST_RANGES
-    texts = src.join(F.broadcast(owners) if few else owners, ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
-    taken = texts.join(lists, ["doc", "row"]).select("doc", "text", "frags")
-    pieces = _fragment_words(taken, window).withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
-    runs = pieces.groupBy("shard").applyInArrow(
-        _shard_matches(window), "a long, f long, `from` int, n int, least long")
-    runs = (written(runs, "sub-runs").groupBy("a", "f")
-            .agg(F.collect_list(F.struct("from", "n", "least")).alias("runs")))
+    hot = written(distinct.groupBy("a").count().filter(F.col("count") > hot_fragments).select("a"), "sub-hot")
+
+    def taken(part: DataFrame, label: str) -> DataFrame:
+        """doc, text, frags: fragments of each document that lends their words."""
+        lists = written(part.groupBy("doc", "row").agg(
+            F.collect_list(F.struct("a", "f", "at", "n")).alias("frags")), label)  # at most a document's own
+        owners = lists.select("doc", "row")
+        few = owners.count() <= BROADCAST_IDS
+        texts = src.join(F.broadcast(owners) if few else owners, ["doc", "row"], "left_semi")
+        return texts.dropDuplicates(["doc", "row"]).join(lists, ["doc", "row"]).select("doc", "text", "frags")
+
+    pieces = _fragment_words(taken(distinct.join(hot, "a", "left_anti"), "sub-lists"), window, False)
+    windows = written(_fragment_words(taken(distinct.join(hot, "a", "left_semi"), "sub-hot-lists"), window, True),
+                      "sub-hot-windows")
+    ones = windows.groupBy("key").agg(F.min("doc").alias("doc"), F.first("words").alias("words"))
+    pieces = pieces.select("a", "f", F.lit(False).alias("single"), "doc", "words").unionByName(
+        ones.select(F.col("key").alias("a"), F.col("key").alias("f"), F.lit(True).alias("single"), "doc", "words"))
+    runs = written(pieces.withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards))).groupBy("shard").applyInArrow(
+        _shard_matches(window), "a long, f long, single boolean, `from` int, n int, least long"), "sub-runs")
+    of_windows = windows.select("a", "f", "from", "key").join(
+        runs.filter("single").select(F.col("a").alias("key"), "n", "least"), "key").drop("key")
+    runs = written(runs.filter("NOT single").drop("single").unionByName(of_windows, allowMissingColumns=False)
+                   .groupBy("a", "f").agg(F.collect_list(F.struct("from", "n", "least")).alias("runs")), "sub-found")
     hit = (found.select("a", "f", "doc", "row", "at").join(runs, ["a", "f"])
            .select("doc", "row", "at", F.explode("runs").alias("r")).filter("r.least < doc"))
     start = F.col("at") + F.col("r.from")
@@ -176,10 +204,10 @@ def repeated_ranges(df: DataFrame, key: str, text: str, window: int, shard_words
         start.alias("s"), (start + F.col("r.n") + (window - 1)).alias("e"))).alias("ranges"))
 
 
-def _cut(df: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
+def _cut(df: DataFrame, keep: list[str], text: str, with_text: bool) -> DataFrame:
     made = [x.split()[0] for x in OUT.split(", ")][:None if with_text else 3]
     fields = df.select(*keep).schema.fields + StructType.fromDDL(OUT).fields[:len(made)]
-    n = len(keep)
+    n, where, spans = len(keep), df.columns.index(text), df.columns.index("_ranges")
 
     def run(batches):
         import pyarrow as pa
@@ -187,7 +215,7 @@ def _cut(df: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
         types = (pa.int64(), pa.int64(), pa.string(), pa.string())
         for batch in batches:
             rows = []
-            for t, ranges in zip(batch.column(n), batch.column(n + 1)):
+            for t, ranges in zip(batch.column(where), batch.column(spans)):
                 text = t.as_py()
                 parts = (text or "").encode().split()
                 total = len(parts)
@@ -208,7 +236,8 @@ def _cut(df: DataFrame, keep: list[str], with_text: bool) -> DataFrame:
 
 
 def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None,
-                     window: int = 50, shard_words: int = 400_000, with_text: bool = True) -> DataFrame:
+                     window: int = 50, shard_words: int = 400_000, hot_fragments: int = 2000,
+                     with_text: bool = True) -> DataFrame:
     """``keep`` columns plus n_words, n_removed, kept_sha256 and kept_text.
 
     ``kept_text`` is the text itself where nothing is removed, else the kept
@@ -216,13 +245,14 @@ def dedup_substrings(df: DataFrame, key: str = "doc_id", text: str = "text", kee
     """
     made = [x.split()[0] for x in OUT.split(", ")]
     keep = [c for c in (df.columns if keep is None else keep) if c not in made]
-    ranges = written(repeated_ranges(df, key, text, window, shard_words), "sub-ranges")
-    few = (ranges.agg(F.sum(F.size("ranges"))).first()[0] or 0) <= BROADCAST_RANGES
+    ranges = written(repeated_ranges(df, key, text, window, shard_words, hot_fragments), "sub-ranges")
     ranges = ranges.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("ranges").alias("_ranges"))
-    src = df.select(*keep, F.col(text).alias("_text"), F.col(key).cast("long").alias("_key"))
-    same = (src["_key"] == ranges["_doc"]) & (F.xxhash64(src["_text"]) == ranges["_row"])
-    out = src.join(F.broadcast(ranges) if few else ranges, same, "left")
-    return _cut(out.select(*keep, "_text", "_ranges"), keep, with_text)
+    body = text if text in keep else "_text"  # a text that is carried is not sent twice
+    src = df.select(*keep, *([] if text in keep else [F.col(text).alias("_text")]),
+                    F.col(key).cast("long").alias("_key"))
+    same = (src["_key"] == ranges["_doc"]) & (F.xxhash64(src[body]) == ranges["_row"])
+    out = src.join(ranges, same, "left")  # a broadcast only if Spark finds the written table small
+    return _cut(out.select(*keep, *([] if text in keep else ["_text"]), "_ranges"), keep, body, with_text)
 
 
 ORACLE = r"""

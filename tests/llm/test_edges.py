@@ -108,13 +108,13 @@ def substring_brute(rows, window):
     return out
 
 
-@pytest.mark.parametrize("shard_words", [400_000, 300])
-def test_substrings_brute_force(spark, docs, shard_words):
+@pytest.mark.parametrize("shard_words, hot", [(400_000, 2000), (300, 2000), (3000, 1)])
+def test_substrings_brute_force(spark, docs, shard_words, hot):
     base = words(21, 90, 40)
     more = [(200 + i, " ".join(words(30 + i, 20 + i, 30) + base[i % 7:60 + i % 25] + words(60 + i, 15, 30)))
             for i in range(25)] + [(300, " ".join(base * 3)), (301, " ".join(base * 2))]
     every = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
-    out = substrings.dedup_substrings(every, shard_words=shard_words)
+    out = substrings.dedup_substrings(every, shard_words=shard_words, hot_fragments=hot)
     want = substring_brute([(r.doc_id, r.text) for r in every.collect()], 50)
     got = as_dict(out)
     assert len(got) == len(want)
