@@ -56,13 +56,18 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._exact = Tokenizer.from_file(path)
-        spec = json.loads(self._exact.to_str())
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self._path, self._exact = path, None  # the library's object is loaded when a text needs it
         self._added = [t["content"] for t in spec["added_tokens"]]
         self._fast = self._ranked(spec)
 
+    def _library(self, text: str) -> list[int]:
+        if self._exact is None:
+            from tokenizers import Tokenizer
+            self._exact = Tokenizer.from_file(self._path)
+        return self._exact.encode(text, add_special_tokens=False).ids
+
     def _ranked(self, spec):
         import tiktoken
 
@@ -82,7 +87,7 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         if self._fast is None or any(t in text for t in self._added):
-            ids = self._exact.encode(text, add_special_tokens=False).ids
+            ids = self._library(text)
         else:
             ids = self._fast.encode_ordinary(text)
         return np.asarray(ids, "<u4").tobytes()
