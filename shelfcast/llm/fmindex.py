@@ -105,7 +105,10 @@ class FMIndex:
         """Starts and bounds of the runs of suffixes with equal first ``depth`` words."""
         n, at, new = len(sa), 0, np.zeros(len(sa), bool)
         new[0] = True
-        for j in sorted((s for s in ranks if depth & s), reverse=True):
+        spans = sorted((s for s in ranks if depth & s), reverse=True)
+        if sum(spans) < depth:  # the doubling ended below depth: all suffixes differ at its last span
+            spans = [max(ranks)]
+        for j in spans:
             where = np.minimum(sa + at, n - 1)
             value = np.where(sa + at < n, ranks[j][where], -1)
             new[1:] |= value[1:] != value[:-1]

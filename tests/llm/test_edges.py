@@ -125,6 +125,29 @@ def test_substrings_brute_force(spark, docs, shard_words, hot):
     assert substrings.dedup_substrings(docs.limit(0)).count() == 0
 
 
+def test_fm_index_early_distinct():
+    """All suffixes differ below the window length; equal windows are still whole windows."""
+    from shelfcast.llm.fmindex import FMIndex
+
+    for same in (2, 5, 9, 20, 49):  # words that the two texts share at their start
+        a = [f"s{k}" for k in range(same)] + [f"a{k}" for k in range(50 - same)]
+        b = [f"s{k}" for k in range(same)] + [f"b{k}" for k in range(50 - same)]
+        number = {w: k for k, w in enumerate(sorted({*a, *b}))}
+        frags = [np.array([number[w] for w in t], np.uint64) for t in (a, b)]
+        got = FMIndex(frags, np.array([1, 3]), 50).smallest_owner()
+        assert [g.tolist() for g in got] == [[1], [3]], same
+
+
+def test_substrings_copies_sharing_a_bigram(spark):
+    a = ["same", "start"] + [f"a{k}" for k in range(48)]
+    b = ["same", "start"] + [f"b{k}" for k in range(48)]
+    rows = [(1, " ".join(a)), (2, " ".join(a)), (3, " ".join(b)), (4, " ".join(b))]
+    got = as_dict(substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = substring_brute(rows, 50)
+    assert {i: (g.n_words, g.n_removed, g.kept_sha256) for i, g in got.items()} == want
+    assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 50, 0, 50]
+
+
 def test_decontaminate_brute_force(spark, docs):
     text = {r.doc_id: r.text for r in docs.collect()}
     items = [("b", " ".join(text[0].split()[20:50])), ("a", " ".join(text[0].split()[20:50]).upper()),
