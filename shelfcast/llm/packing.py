@@ -22,6 +22,7 @@ again after a loss writes the same ids for the same input.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +40,10 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 # The byte-level pre-tokenizer's pattern.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The fast loop's regex stack ends at a million white-space characters in a row.
+BLANK_RUN = 100_000
+_BLANKS = re.compile(r"\s{64,}")
+
 
 def _byte_of() -> dict[str, int]:
     """Characters that a byte-level vocabulary writes for bytes."""
@@ -52,7 +57,8 @@ class Encoder:
 
     The file's vocabulary and merges are run by a faster BPE loop where they
     allow it (no normaliser, merge order equal to id order); texts with the
-    strings of added tokens, and other files, go through the library itself.
+    strings of added tokens or very long runs of white space, and other files,
+    go through the library itself.
     """
 
     def __init__(self, path: str):
@@ -85,8 +91,12 @@ class Encoder:
         ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if i in known}
         return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @staticmethod
+    def _long_blanks(text: str) -> bool:
+        return len(text) > BLANK_RUN and any(m.end() - m.start() > BLANK_RUN for m in _BLANKS.finditer(text))
+
     def __call__(self, text: str) -> bytes:
-        if self._fast is None or any(t in text for t in self._added):
+        if self._fast is None or any(t in text for t in self._added) or self._long_blanks(text):
             ids = self._library(text)
         else:
             ids = self._fast.encode_ordinary(text)

@@ -204,6 +204,18 @@ def test_encoder_equals_library():
         assert enc(t) == np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize("text", [
+    " " * 1_200_000 + "a", "b\n" + "\n" * 1_200_000, "the word" + " \n\u3000" * 400_001 + " c",
+    " " * 100_000 + "a", " " * 100_001 + "a", "x " * 60_000 + " " * 99_999])
+def test_encoder_equals_library_long_blanks(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert packing.Encoder(path)(text) == np.asarray(want, "<u4").tobytes()
+
+
 def test_sum_of_squares_choice():
     sos, size = packing.SumOfSquares(16), 16
     count = [0] * 17
