@@ -1,14 +1,17 @@
 """Operator 10: licence scans by sentence rules.
 
-A text is cut into sentences (line ends, and full stops, exclamation or
-question marks before white space), each sentence is normalised (lower case,
-everything but letters and digits becomes one blank) and mapped to a known
-licence-sentence identifier.  A rule is an ordered list of identifiers; it
-matches where its identifiers follow each other in the text with at most
-``gap`` other sentences between two of them.  The lookup joins sentences with
-the fixed sentence table below (bounded: it is source code); only sentences
-that are known reach the shuffle by document.  A document whose known
-sentences are many is bounded by its own length.
+A text is cut into numbered pieces (line ends, and any of .!?:; before white
+space), each piece is normalised (lower case, everything but letters and
+digits becomes one blank, so comment marks vanish).  A known licence sentence
+is one piece or a run of pieces that follow each other: wrapped lines, parts
+around ':' or ';' and around the full stop of 'v.' are joined, other sentence
+ends are not crossed.  A rule is an ordered list of identifiers; it matches
+where its identifiers follow each other in the text with at most ``gap`` other
+pieces, blank ones counted, between the end of one and the start of the next.
+The lookup walks the beginnings of the fixed sentences below in the scan task
+(bounded: it is source code); only known sentences reach the shuffle by
+document.  A document whose known sentences are many is bounded by its own
+length.
 
 Edge cases: null, empty and unlicensed texts give no row; repeated rows of one
 ``doc_id`` with equal texts give one set of findings, with different texts
@@ -19,7 +22,10 @@ carried.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, functions as F
 
 # Sentences of public licence notices, normalised, by identifier.
 SENTENCES: dict[str, str] = {
@@ -68,15 +74,7 @@ RULES: list[tuple[str, str, tuple[str, ...], int]] = [
 ]
 
 CUT = r"[.!?:;]*\n|[.!?:;]+[ \t\r]+"
-
-
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9]+", " "))
-
-
-def _sentence_table(spark) -> DataFrame:
-    return spark.createDataFrame(
-        [(s, i) for i, s in SENTENCES.items()], "_sentence string, sid string")
+_CUT, _STOP, _OTHER = re.compile(CUT), re.compile(r"[.!?]"), re.compile(r"[^a-z0-9]+")
 
 
 def _rule_table(spark) -> DataFrame:
@@ -85,14 +83,71 @@ def _rule_table(spark) -> DataFrame:
         "rule string, licence string, ids array<string>, first_id string, gap int")
 
 
+def _links() -> dict[str, tuple[str | None, bool]]:
+    """Every word-wise beginning of a known sentence: (identifier if whole, whether one goes on)."""
+    out: dict[str, tuple[str | None, bool]] = {}
+    for sentence, sid in ((s, i) for i, s in SENTENCES.items()):
+        words = sentence.split(" ")
+        for k in range(1, len(words)):
+            start = " ".join(words[:k])
+            out[start] = (out.get(start, (None, False))[0], True)
+        out[sentence] = (sid, out.get(sentence, (None, False))[1])
+    return out
+
+
+def find_sentences(text: str, links: dict) -> Iterator[tuple[int, int, str]]:
+    """(first piece, last piece, identifier) of the known sentences of a text.
+
+    A sentence may run over pieces whose cut is a line end, ':' or ';', or a
+    full stop after 'v'; pieces without a letter or digit are passed over.
+    """
+    pieces, at = [], 0  # pieces with words: (number, normalised, ends a sentence)
+    for n, cut in enumerate(_CUT.finditer(text)):
+        pieces.append((n, text[at:cut.start()], cut[0]))
+        at = cut.end()
+    pieces.append((len(pieces), text[at:], ""))
+    words, hard = [], []
+    for n, raw, cut in pieces:
+        piece = _OTHER.sub(" ", raw.lower()).strip()
+        stop = bool(_STOP.search(cut)) and not (cut[0] == "." and (piece == "v" or piece.endswith(" v")))
+        if piece:
+            words.append((n, piece))
+            hard.append(stop)
+        elif stop and hard:
+            hard[-1] = True
+    for i, (n, piece) in enumerate(words):
+        joined, j = piece, i
+        while joined in links:
+            sid, more = links[joined]
+            if sid:
+                yield n, words[j][0], sid
+            if not more or hard[j] or j + 1 == len(words):
+                break
+            j += 1
+            joined = f"{joined} {words[j][1]}"
+
+
 def known_sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Known licence sentences: key, row hash, position of the sentence, identifier."""
-    spark = df.sparkSession
-    cut = df.select(F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_row"),
-                    F.posexplode(F.split(F.col(text), CUT)).alias("pos", "_raw"))
-    cut = cut.withColumn("_sentence", normalised(F.col("_raw"))).drop("_raw")
-    return (cut.join(F.broadcast(_sentence_table(spark)), "_sentence")
-            .select("_key", "_row", "pos", "sid"))
+    """Known licence sentences: key, row hash, first and last piece, identifier."""
+    kind = dict(df.select(F.col(key).alias("_key")).dtypes)["_key"]
+
+    def run(batches):
+        import pyarrow as pa
+
+        links = _links()
+        for batch in batches:
+            rows = []
+            for i, body in enumerate(batch.column(2)):
+                rows += [(i, *x) for x in find_sentences(body.as_py(), links)]
+            cols = list(zip(*rows)) or [[]] * 4
+            at = pa.array(cols[0], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(cols[1], pa.int32()),
+                 pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())],
+                names=["_key", "_row", "pos", "last", "sid"])
+
+    src = df.select(F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_row"), F.col(text).alias("_text"))
+    return src.filter("_text IS NOT NULL").mapInArrow(run, f"_key {kind}, _row long, pos int, last int, sid string")
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -100,16 +155,16 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     spark = df.sparkSession
     found = (known_sentences(df, key, text)
              .groupBy("_key", "_row")
-             .agg(F.sort_array(F.collect_set(F.struct("pos", "sid"))).alias("seq")))
+             .agg(F.sort_array(F.collect_set(F.struct("pos", "last", "sid"))).alias("seq")))
     starts = found.select("*", F.explode("seq").alias("at"))
     hits = starts.join(F.broadcast(_rule_table(spark)), F.col("at.sid") == F.col("first_id"))
-    # Walk the rule's identifiers; the state is the position of the last one.
+    # Walk the rule's identifiers; the state holds the last pieces reached.
     walk = F.aggregate(
-        F.slice("ids", F.lit(2), F.size("ids")), F.col("at.pos"),
-        lambda last, want: F.array_min(F.transform(
-            F.filter("seq", lambda s: (s["sid"] == want) & (s["pos"] > last)
-                     & (s["pos"] <= last + 1 + F.col("gap"))), lambda s: s["pos"])))
-    hits = hits.withColumn("last_pos", walk).filter(F.col("last_pos").isNotNull())
+        F.slice("ids", F.lit(2), F.size("ids")), F.array(F.col("at.last")),
+        lambda ends, want: F.array_distinct(F.transform(
+            F.filter("seq", lambda s: (s["sid"] == want) & F.exists(
+                ends, lambda e: (s["pos"] > e) & (s["pos"] <= e + 1 + F.col("gap")))), lambda s: s["last"])))
+    hits = hits.filter(F.size(walk) > 0)
     return (hits.groupBy(F.col("_key").alias(key), "rule", "licence")
             .agg(F.min("at.pos").cast("long").alias("first_sentence"),
                  F.countDistinct("at.pos").alias("n_matches")))

@@ -358,3 +358,86 @@ def test_license_sequences(spark):
     assert set(got) == {(1, "mit_full"), (1, "mit_titled"), (2, "mit_reference"), (6, "gpl3_notice")}
     assert got[2, "mit_reference"].n_matches == 2 and got[2, "mit_reference"].first_sentence == 1
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+NOTICES = {
+    "gpl3_notice": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "gpl2_notice": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "mpl2_notice": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "apache2_notice": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "mit_full": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL""",
+    "bsd3_full": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+}
+
+
+def test_license_original_notices(spark):
+    rows, rules = [], list(NOTICES)
+    for k, rule in enumerate(rules):
+        lines = NOTICES[rule].split("\n")
+        for form, text in enumerate(["\n".join(lines), "\r\n".join(lines), " ".join(lines),
+                                     "\n".join(f"# {x}" for x in lines), "/*\n" + "\n".join(f" * {x}" for x in lines)]):
+            rows.append((10 * k + form, text))
+    rows += [(900, "released under\nthe house.\nthe MIT. License"), (901, "licensed under CC. BY 4.0"),
+             (902, "Licensed under\nCC BY 4.0.")]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.rule)
+    for k, rule in enumerate(rules):
+        for form in range(5):
+            if (rule, form) == ("apache2_notice", 2):
+                continue  # its "copy at" sentence goes on with the address on one line
+            want = {rule} | ({"bsd2_full"} if rule == "bsd3_full" else set())
+            assert got.get(10 * k + form) == want, (rule, form)
+    assert 900 not in got and 901 not in got and got[902] == {"ccby4_reference"}
