@@ -8,13 +8,14 @@ one partial aggregation and no host is gathered in one task.  Classes of two
 tokens or more, once per page, on enough pages, form the skeleton.  A class is
 valid if its tokens stand in one order on all pages; valid classes nest by
 position into the template, whose gaps are slots.  The slot that holds most
-text on average over the host's pages is the article's; its enclosing element
-is extracted block by block.  Menus, headers, footers, sidebars, notices,
+text on average over the host's pages is the article's; the <article> or <main>
+around its richest element, or else the smallest element around all text that
+is not the template's, is extracted block by block.  Menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments inside it are skipped by
 element and by class or id.
 
 Hosts with fewer than ``MIN_PAGES`` pages have no classes to speak of; there
-the largest text of the page's own elements decides.
+the whole page is one slot.  Where all words stand in links, links count.
 
 Edge cases: null and empty html give empty text; null urls share one host;
 markup that never closes ends with its parent; html without tags is one block;
@@ -161,14 +162,14 @@ def skeleton(pages: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("token", "sig"))).alias("classes")))
 
 
-def _gaps(items, toks, known):
-    """Raw slots: (previous token, next token, words, words by path)."""
+def _gaps(items, toks, known, links=False):
+    """Raw slots: (previous token, next token, words, words by path), words in links if asked."""
     prev, words, by_path = 0, 0, defaultdict(int)
     for (kind, name, _, path, skip, link), t in zip(items, toks):
         if t in known:
             yield prev, t, words, by_path
             prev, words, by_path = t, 0, defaultdict(int)
-        if kind == TEXT and not skip and not link and t is not None:
+        if kind == TEXT and not skip and (links or not link) and t is not None:
             n = len(name.split())
             words += n
             by_path[path] += n
@@ -229,11 +230,11 @@ def templates(pages: DataFrame) -> DataFrame:
     return gaps.join(known, "host").join(valid, "host", "left")
 
 
-def main_path(items, toks, known, valid, slots) -> str | None:
-    """Path of the element that holds the article: the best slot's own path."""
+def main_path(items, toks, known, valid, slots, links=False) -> str | None:
+    """Path of the element that holds the article, found from the best slot's richest one."""
     best, where = 0.0, None
     score, paths = 0.0, defaultdict(int)
-    for prev, nxt, words, by_path in _gaps(items, toks, known):
+    for prev, nxt, words, by_path in _gaps(items, toks, known, links):
         score += slots.get((prev, nxt), float(words))
         for p, n in by_path.items():
             paths[p] += n
@@ -248,18 +249,35 @@ def main_path(items, toks, known, valid, slots) -> str | None:
         for i in range(len(parts) - 1, -1, -1):
             if parts[i] == name or parts[i].startswith(name + "."):
                 return ">".join(parts[:i + 1])
-    return where
+    # Lists, tables, quotes and sections have paths of their own: take the element around all
+    # text that is not the template's; a page mostly of repeated text is a copy, all of it counts.
+    own, every = {where: 0}, {where: 0}
+    for (kind, name, _, path, skip, link), t in zip(items, toks):
+        if kind == TEXT and t is not None and not skip and (links or not link):
+            n = len(name.split())
+            every[path] = every.get(path, 0) + n
+            if t not in known:
+                own[path] = own.get(path, 0) + n
+    for path in own if 2 * sum(own.values()) >= sum(every.values()) else every:
+        other, same = path.split(">"), 0
+        while same < min(len(parts), len(other)) and parts[same] == other[same]:
+            same += 1
+        parts = parts[:same]
+    return ">".join(parts)
 
 
 def extract(page: str, known=frozenset(), valid=frozenset(), slots=None) -> str:
     items = parse(page)
-    where = main_path(items, tokens(items), known, valid, slots or {})
+    toks = tokens(items)
+    where = main_path(items, toks, known, valid, slots or {})
+    if where is None:  # no words but in links
+        where = main_path(items, toks, known, valid, {}, links=True)
     if where is None:
         return ""
     blocks, words = [], []
     for kind, name, _, path, skip, _ in items:
         if kind == TEXT:
-            if not skip and (path == where or path.startswith(where + ">")):
+            if not skip and (not where or path == where or path.startswith(where + ">")):
                 words.append(_html.unescape(name))
         elif name in BLOCKS:
             blocks.append(words)

@@ -323,6 +323,39 @@ def test_html_extraction(spark):
     assert htmltext.extract_pages(df.limit(0)).count() == 0
 
 
+def test_html_without_article_element(spark):
+    chrome = "<header>Site</header><nav><a href='/'>menu</a></nav>{}<footer>foot</footer>"
+    bodies = {
+        "quote": "<div id=content><h1>Head</h1><p>one {0}</p><blockquote>a much longer quote {0} than all else</blockquote><p>end {0}</p></div>",
+        "table": "<div id=content><h1>Head</h1><p>one {0}</p><table><tr><td>cell {0} a b c</td><td>d e f g</td></tr></table></div>",
+        "list": "<div id=content><p>one {0}</p><ul><li>first point {0} of it</li><li>second point</li></ul><p>end {0}</p></div>",
+        "parts": "<div id=content><section class=a><p>one {0}</p></section><section class=b><p>two {0} is longer</p></section>"
+                 "<div class=c><p>three {0}</p></div></div>",
+        "links": "<div id=content><p><a href='/x'>one {0}</a></p><p><a href='/y'>two {0}</a></p></div>",
+        "bare": "<p>one {0}</p><ul><li>two {0} is longer than one</li></ul>",
+    }
+    want = {"quote": "Head\none {0}\na much longer quote {0} than all else\nend {0}",
+            "table": "Head\none {0}\ncell {0} a b c\nd e f g",
+            "list": "one {0}\nfirst point {0} of it\nsecond point\nend {0}",
+            "parts": "one {0}\ntwo {0} is longer\nthree {0}", "links": "one {0}\ntwo {0}",
+            "bare": "one {0}\ntwo {0} is longer than one"}
+    rows = []
+    for name, body in bodies.items():
+        rows += [(f"{name}1", f"http://{name}1.test/", f"<html><body>{chrome.format(body.format('x1'))}</body></html>")]
+        rows += [(f"{name}{i}", f"http://{name}.test/{i}", f"<html><body>{chrome.format(body.format(f'x{i}'))}</body></html>")
+                 for i in range(10, 16)]
+    rows.append(("none", "http://none.test/", bodies["bare"].format("x")))
+    copied = f"<html><body>{chrome.format(bodies['quote'].format('x'))}</body></html>"
+    rows += [(f"copy{i}", "http://copy.test/", copied) for i in range(4)]
+    got = {r.page_id: r.text for r in htmltext.extract_pages(spark.createDataFrame(
+        rows, "page_id string, url string, html string")).collect()}
+    for name, text in want.items():
+        for i in (1, *range(10, 16)):
+            assert got[f"{name}{i}"] == text.format(f"x{i}"), (name, i)
+    assert got["none"] == want["bare"].format("x")
+    assert all(got[f"copy{i}"] == want["quote"].format("x") for i in range(4))
+
+
 def test_chat_offsets_and_masks(spark):
     turns = [(1, 0, "system", "be kind"), (1, 1, "ann", "hello"), (1, 2, "bob", None), (1, 2, "bob", None),
              (1, 3, None, "hm"), (2, 0, "system", "alone"), (None, None, "ann", "x")]
