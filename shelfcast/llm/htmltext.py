@@ -48,6 +48,19 @@ RAW = frozenset(("script", "style"))
 NOISE = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?|consent|notices?|"
                    r"comments?|disqus|sidebar|menu|nav\w*|breadcrumbs?|share|sharing|social|related|"
                    r"newsletter|subscribe|footer|popup|modal|masthead|toolbar)(?:$|[\s_-])", re.I)
+# Ids of these are anchors made from titles; of a section the whole id can tell.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+# Elements that an opening tag ends if they are still open, up to the next structural one.
+_ROWS = frozenset("tr td th p".split())
+IMPLIED = {
+    "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
+    "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "tr": _ROWS,
+    "thead": _ROWS, "tbody": _ROWS | {"thead", "tbody", "tfoot"}, "tfoot": _ROWS | {"thead", "tbody", "tfoot"},
+    "option": frozenset(("option",)), "optgroup": frozenset(("option", "optgroup")),
+    **{t: frozenset(("p",)) for t in "address article aside blockquote center details div dl fieldset figcaption "
+       "figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table ul".split()}}
+PARENTS = {t: frozenset(("p",)) for t in "li dt dd td th caption figcaption summary".split()} | {
+    "tr": frozenset(("td", "th", "p")), **{t: _ROWS for t in ("thead", "tbody", "tfoot")}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"""\b(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _END = {t: re.compile(rf"</{t}\b[^>]*>|\Z", re.I) for t in RAW}
@@ -55,6 +68,17 @@ _END = {t: re.compile(rf"</{t}\b[^>]*>|\Z", re.I) for t in RAW}
 OPEN, CLOSE, TEXT = 0, 1, 2
 
 
+def _noise_label(name: str, attrs: list[tuple]) -> bool:
+    for key, a, b, c in attrs:
+        value = a or b or c
+        if key.lower() == "class" or name not in ANCHORED and name != "section":
+            if NOISE.search(value):
+                return True
+        elif name == "section" and (m := NOISE.match(value)) and m.end() == len(value):
+            return True
+    return False
+
+
 def parse(page: str) -> list[tuple]:
     """(kind, name or text, label, path, skipped, in link) in page order."""
     out, stack, at, link = [], [], 0, False  # stack: (name, path, skipped)
@@ -81,16 +105,30 @@ def parse(page: str) -> list[tuple]:
                     break
                 if name not in STRUCTURE and stack[i][0] in STRUCTURE:
                     break  # an inline end tag does not close an element around it
+                if name in PARENTS and stack[i][0] in PARENTS[name]:
+                    del stack[i:]  # its parent ends, which itself is not on the stack
+                    path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+                    break
             out.append((CLOSE, name, "", path, skip, link))
             continue
-        marks = " ".join(a or b or c for _, a, b, c in _ATTR.findall(m[3]))
+        ends = IMPLIED.get(name)
+        if ends:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in ends:
+                    del stack[i:]
+                    path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+                    break
+                if stack[i][0] in STRUCTURE:
+                    break
+        attrs = _ATTR.findall(m[3])
+        marks = " ".join(a or b or c for _, a, b, c in attrs)
         label = f"{name}.{marks}" if marks else name
         out.append((OPEN, name, label, path, skip, link))
         if name in RAW:
             pos = _END[name].search(page, pos).end()
         elif name not in VOID and not m[3].endswith("/"):
             noisy = (name in SKIPPED or (name == "header" and "article" not in path)
-                     or bool(marks and name not in ("html", "body") and NOISE.search(marks)))
+                     or bool(marks and name not in ("html", "body") and _noise_label(name, attrs)))
             if name == "a":
                 link = True
             if name in STRUCTURE or noisy:

@@ -356,6 +356,24 @@ def test_html_without_article_element(spark):
     assert all(got[f"copy{i}"] == want["quote"].format("x") for i in range(4))
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<h2 id='related-work'>Related</h2><p>text</p><h2 id=social-policy>Policy</h2>", "Related\ntext\nPolicy"),
+    ("<section id='menu-costs'><p id='share-prices'>costs</p></section>", "costs"),
+    ("<section id='comments'><p>reader</p></section><section class='share box'>x</section><p>text</p>", "text"),
+    ("<div id='share-box'>x</div><p>text</p>", "text"),
+    ("<p class='notice'>x<p>text<p>text", "text\ntext"),
+    ("<p class='notice'>x <b>y<div>text</div>", "text"),
+    ("<ul><li class='share'>x<li>text</ul><p>end", "text\nend"),
+    ("<ul><li class='share'>x<p>y<ul><li>z</ul>u<li>text</ul>", "text"),
+    ("<ul><li><p class=notice>x</li> tail<li>text</ul>", "tail\ntext"),
+    ("<dl><dt class=ad>x<dd>text<dd class=ad>y<dt>more</dl>", "text\nmore"),
+    ("<table><tr class=promo><td>x<tr><td>text<td class=ad>y<td>cell</table>", "text\ncell"),
+    ("<table><tr><td class=ad>x</tr><tr><td>text</table>", "text"),
+])
+def test_html_noise_blocks(body, want):
+    assert htmltext.extract(f"<html><body><article>{body}</article></body></html>") == want
+
+
 def test_chat_offsets_and_masks(spark):
     turns = [(1, 0, "system", "be kind"), (1, 1, "ann", "hello"), (1, 2, "bob", None), (1, 2, "bob", None),
              (1, 3, None, "hm"), (2, 0, "system", "alone"), (None, None, "ann", "x")]
