@@ -6,13 +6,14 @@ with equal occurrence vectors form an equivalence class; the vector is held as
 an order-free signature (xor of hashed page and count), so classes come from
 one partial aggregation and no host is gathered in one task.  Classes of two
 tokens or more, once per page, on enough pages, form the skeleton.  A class is
-valid if its tokens stand in one order on all pages; valid classes nest by
-position into the template, whose gaps are slots.  The slot that holds most
-text on average over the host's pages is the article's; the <article> or <main>
-around its richest element, or else the smallest element around all text that
-is not the template's, is extracted block by block.  Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments inside it are skipped by
-element and by class or id.
+valid if its tokens stand in one order on all pages; the tokens of valid
+classes cut a page into slots.  Classes are not nested, and classes on under
+``MIN_SHARE`` of a host's pages are left out.  The slot that holds most text on
+average over the host's pages points to the article; tag and class rules
+decide: the <article> or <main> around its richest element, or else the
+smallest element around all text that is not the template's, is extracted block
+by block.  Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles and reader comments inside it are skipped by element and by class or id.
 
 Hosts with fewer than ``MIN_PAGES`` pages have no classes to speak of; there
 the whole page is one slot.  Where all words stand in links, links count.
