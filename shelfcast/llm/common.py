@@ -46,3 +46,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def blank_words(text) -> F.Column:
     """Words between ASCII white space, unchanged; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
+
+
+_CUT = 1 << 22
+
+
+def byte_pieces(data: bytes, size: int = _CUT):
+    """A text's bytes in pieces of about ``size``, cut after an ASCII blank.
+
+    A run without blanks stays whole, so no word is ever cut.
+    """
+    at = 0
+    while len(data) - at > size:
+        end = at + size
+        while end < len(data) and data[end] not in b" \t\n\r\x0b\x0c":
+            end += 1
+        yield data[at:end]
+        at = end
+    yield data[at:] if at else data

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import chat, decontaminate, htmltext, language, licenses, neardup, packing, quality, substrings, urls
+from shelfcast.llm import (chat, decontaminate, htmltext, language, licenses, neardup, negatives, packing, pitmanyor,
+                           quality, spelling, substrings, urls)
 from shelfcast.llm.common import bounded_batches, table
 
 
@@ -52,6 +53,18 @@ def op10_license_sentences(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_pitman_yor_lm(spark, sf_dir):
+    return pitmanyor.pitman_yor(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"), noise_every=199)
+
+
+def op13_cover_tree_negatives(spark, sf_dir):
+    return negatives.negatives_query(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def _bounded(fn):
     def run(spark, sf_dir):
         bounded_batches(spark)
@@ -62,11 +75,13 @@ def _bounded(fn):
 
 QUERIES = {f.__name__: _bounded(f) for f in (
     op1_sum_of_squares_packing, op2_chat_rotation, op3_compression_language, op4_link_graph_filter,
-    op5_template_extraction, op6_fm_index_dedup, op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences)}
+    op5_template_extraction, op6_fm_index_dedup, op7_prefix_set_join, op8_bottom_k_near_dups, op9_quality_ledger, op10_license_sentences,
+    op11_pitman_yor_lm, op12_spelling_variants, op13_cover_tree_negatives)}
 ORACLES = {"op2_chat_rotation": chat.ORACLE, "op4_link_graph_filter": urls.ORACLE,
            "op5_template_extraction": htmltext.ORACLE,
            "op6_fm_index_dedup": substrings.ORACLE,
            "op7_prefix_set_join": decontaminate.ORACLE,
            "op8_bottom_k_near_dups": neardup.ORACLE,
            "op9_quality_ledger": quality.ORACLE,
-           "op10_license_sentences": licenses.ORACLE}
+           "op10_license_sentences": licenses.ORACLE,
+           "op13_cover_tree_negatives": negatives.ORACLE}

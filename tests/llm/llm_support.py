@@ -20,7 +20,7 @@ def words(seed, n, vocabulary=400):
 
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents pages benchmark labels conversations embeddings".split()
 
 
 @pytest.fixture(scope="session")
