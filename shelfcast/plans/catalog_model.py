@@ -2,9 +2,12 @@
 fixed-coefficient model), model fitting (L1-L13, K5, G3, G4),
 PACF (M2) and sinks (A6-A8).
 
-Values of trees and GLMs have no SQL form; their oracles check keys, labels
-and that every row got a finite prediction.  Least squares on one feature has
-one, so the linear queries are checked by value."""
+The learners are checked by value where SQL can fit the same model: least
+squares on one feature, shallow trees and boosted stumps (a best split is an
+aggregation over candidate thresholds), and a Poisson GLM (a fixed number of
+reweighted least-squares steps).  Forests and models above other models are
+compared with the mean of their training labels: the oracle computes that
+error, and expects the model's own to be smaller."""
 
 from __future__ import annotations
 
@@ -301,14 +304,22 @@ def _rows_sql(*extra: str) -> str:
     return with_views("v_sales", extra=[_ROWS_SQL, *extra])
 
 
-_HOLDOUT_SQL = _rows_sql() + "SELECT id, d_num, label, true AS scored FROM tr WHERE is_holdout"
+# The error of the training mean on the training rows, and a model's below it.
+_BETTER_SQL = _rows_sql("b AS (SELECT round(stddev_pop(label), 4) AS mean_rmse FROM tr WHERE NOT is_holdout)") + (
+    "SELECT id, d_num, label, mean_rmse, true AS better FROM tr, b WHERE is_holdout")
 
 
-def _scored(df, col: str = "prediction"):
-    """Key, label and whether the model gave a finite number: what SQL can
-    check of a fitted learner."""
-    ok = F.col(col).isNotNull() & ~F.isnan(col) & (F.abs(col) < float("inf"))
-    return df.select("id", "d_num", "label", ok.alias("scored"))
+def _compared(model, train, holdout, col: str = "prediction"):
+    """Scored holdout rows with the error of the training mean (by value in
+    SQL) and whether the model's training error is below it: false for a
+    constant or failed model.  Two numbers reach the driver."""
+    fit = model.transform(train).agg(
+        F.stddev_pop("label").alias("mean"),
+        F.sqrt(F.avg(F.pow(F.col("label") - F.col(col), 2))).alias("own")).first()
+    out = model.transform(holdout)
+    finite = F.col(col).isNotNull() & ~F.isnan(col) & (F.abs(col) < float("inf"))
+    return out.select("id", "d_num", "label", F.round(F.lit(fit["mean"]), 4).alias("mean_rmse"),
+                      (finite & F.lit(fit["own"] < 0.999 * fit["mean"])).alias("better"))
 
 
 @register("assemble_features", _rows_sql() + "SELECT id, d_num, label, " +
@@ -319,32 +330,205 @@ def q_assemble_features(spark, sf_dir):
                                                  for i, n in enumerate(FEATURES)])
 
 
-@register("fit_poisson", _HOLDOUT_SQL)
+# -- categorical features (L1) --
+
+# Codes are learnt on the holdout split's training rows of the first years, so
+# later rows hold values that were never seen.
+CAT_NUMERIC, CATEGORICAL = ["wday"], ["id", "event_name_1"]
+SEEN_UNTIL = 1500
+_CAT_SQL = f"""cr AS (
+  SELECT v.id, v.d_num, CAST(v.sales AS DOUBLE) AS label, CAST(c.wday AS DOUBLE) AS wday,
+         coalesce(c.event_name_1, chr(0)) AS event_name_1, v.d_num <= {SEEN_UNTIL} AND c.month <> 7 AS fitted
+  FROM v_sales v JOIN v_calendar c USING (d_num)),
+ids AS (SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS DOUBLE) AS code, count(*) OVER () AS k
+        FROM (SELECT DISTINCT id FROM cr WHERE fitted)),
+evs AS (SELECT event_name_1, CAST(row_number() OVER (ORDER BY event_name_1) - 1 AS DOUBLE) AS code, count(*) OVER () AS k
+        FROM (SELECT DISTINCT event_name_1 FROM cr WHERE fitted)),
+coded AS (
+  SELECT cr.id, d_num, label, wday, fitted, coalesce(ids.code, (SELECT max(k) FROM ids)) AS id_code,
+         coalesce(evs.code, (SELECT max(k) FROM evs)) AS event_code
+  FROM cr LEFT JOIN ids ON cr.id = ids.id LEFT JOIN evs ON cr.event_name_1 = evs.event_name_1)"""
+
+
+def _categorical_rows(spark, sf_dir):
+    """(rows with a features vector, the coder): brand and event as categories,
+    learnt on days up to ``SEEN_UNTIL`` outside July, so one event is unseen."""
+    cal = V.calendar_for_join(spark).select("d_num", F.col("wday").cast("double").alias("wday"), "month", "event_name_1")
+    rows = cut_lineage(_sales(spark, sf_dir).join(cal, "d_num").select(
+        "id", "d_num", F.col("sales").cast("double").alias("label"), "wday", "event_name_1",
+        ((F.col("d_num") <= SEEN_UNTIL) & (F.col("month") != 7)).alias("fitted")))
+    coder = ML.NominalFeatures(CAT_NUMERIC, CATEGORICAL).fit(rows.where("fitted"))
+    return coder.transform(rows), coder
+
+
+@register("assemble_features_categorical", with_views("v_sales", "v_calendar", extra=[_CAT_SQL]) + """
+SELECT id, d_num, label, wday, id_code, event_code,
+       CAST((SELECT max(k) + 1 FROM ids) AS INTEGER) AS id_categories,
+       CAST((SELECT max(k) + 1 FROM evs) AS INTEGER) AS event_categories FROM coded""")
+def q_assemble_features_categorical(spark, sf_dir):
+    """L1 with nominal metadata: the codes, and the number of categories that
+    the vector's metadata gives each coded feature."""
+    from shelfcast.plans import compiled as C
+    rows, _ = _categorical_rows(spark, sf_dir)
+    arity = C.nominal_arity(rows)
+    f = vector_to_array("features")
+    return rows.select("id", "d_num", "label", f[0].alias("wday"), f[1].alias("id_code"), f[2].alias("event_code"),
+                       F.lit(arity[1]).alias("id_categories"), F.lit(arity[2]).alias("event_categories"))
+
+
+# A regression tree orders a feature's categories by their mean label and
+# splits that order, so one aggregation per feature finds the best split.
+@register("fit_tree_categorical", with_views("v_sales", "v_calendar", extra=[_CAT_SQL, """
+long AS (SELECT label, 0 AS f, wday AS x FROM coded WHERE fitted
+         UNION ALL SELECT label, 1, id_code FROM coded WHERE fitted UNION ALL SELECT label, 2, event_code FROM coded WHERE fitted),
+v AS (SELECT f, x, count(*) AS n, sum(label) AS s, CASE f WHEN 0 THEN x ELSE avg(label) END AS o FROM long GROUP BY f, x),
+p AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY f) AS nt,
+             sum(s) OVER (PARTITION BY f) AS st FROM v WINDOW w AS (PARTITION BY f ORDER BY o)),
+best AS (SELECT f, o, sl / nl AS l, (st - sl) / (nt - nl) AS r FROM p WHERE nl < nt
+         ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, f LIMIT 1)"""]) + """
+SELECT c.id, c.d_num, c.label, round(CASE WHEN v.o <= best.o THEN best.l ELSE best.r END, 6) AS prediction
+FROM coded c CROSS JOIN best LEFT JOIN v ON v.f = best.f
+ AND v.x = CASE best.f WHEN 0 THEN wday WHEN 1 THEN id_code ELSE event_code END WHERE NOT fitted""")
+def q_fit_tree_categorical(spark, sf_dir):
+    """A tree on nominal features splits by category sets; the bins follow the
+    measured number of categories."""
+    rows, coder = _categorical_rows(spark, sf_dir)
+    model = ML.fit_tree(rows.where("fitted"), 1, max_bins=coder.max_bins())
+    return model.transform(rows.where("not fitted")).select(
+        "id", "d_num", "label", F.round("prediction", 6).alias("prediction"))
+
+
+# -- Poisson GLM (L2): reweighted least squares in SQL --
+
+_IRLS = """start AS (SELECT ln(avg(label)) AS a FROM tr WHERE NOT is_holdout),
+it AS (
+  SELECT 0 AS step, a, CAST(0 AS DOUBLE) AS b FROM start
+  UNION ALL
+  SELECT step + 1, (sz - (sw * sxz - sx * sz) / (sw * sxx - sx * sx) * sx) / sw, (sw * sxz - sx * sz) / (sw * sxx - sx * sx)
+  FROM (SELECT step, sum(mu) AS sw, sum(mu * x) AS sx, sum(mu * x * x) AS sxx,
+               sum(mu * (eta + (label - mu) / mu)) AS sz, sum(mu * x * (eta + (label - mu) / mu)) AS sxz
+        FROM (SELECT step, label, lag_7 AS x, a + b * lag_7 AS eta, exp(a + b * lag_7) AS mu
+              FROM it, tr WHERE NOT is_holdout AND step < 12) GROUP BY step)),
+glm AS (SELECT a, b FROM it WHERE step = 12)"""
+
+
+def _poisson(spark, sf_dir):
+    rows = _training_rows(spark, sf_dir, ["lag_7"])
+    return rows, ML.fit_poisson(rows.where(~F.col("is_holdout")))
+
+
+@register("fit_poisson", _rows_sql(_IRLS).replace("WITH ", "WITH RECURSIVE ", 1) +
+          "SELECT id, d_num, label, round(exp(a + b * lag_7), 3) AS prediction FROM tr, glm WHERE is_holdout")
 def q_fit_poisson(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
-    m = ML.fit_poisson(rows.where(~F.col("is_holdout")))
-    return _scored(m.transform(rows.where("is_holdout")))
+    """Log-link Poisson model on one lag; SQL fits the same by reweighted
+    least squares, so predictions are checked by value."""
+    rows, model = _poisson(spark, sf_dir)
+    return model.transform(rows.where("is_holdout")).select(
+        "id", "d_num", "label", F.round("prediction", 3).alias("prediction"))
 
 
-@register("fit_gbt_early_stop", _HOLDOUT_SQL)
-def q_fit_gbt(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
-    m = ML.fit_gbt_early_stop(rows.where(~F.col("is_holdout")), max_depth=4)
-    return _scored(m.transform(rows.where("is_holdout")))
+def _deviance(mu) -> F.Column:
+    y = F.col("label")
+    return 2 * F.sum(F.when(y > 0, y * F.ln(y / mu)).otherwise(F.lit(0.0)) - (y - mu))
+
+
+_DEV_SQL = "2 * sum(CASE WHEN label > 0 THEN label * ln(label / {0}) ELSE 0 END - (label - {0}))"
+
+
+@register("poisson_deviance", _rows_sql(_IRLS).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT round(a, 4) AS intercept, round(b, 6) AS coefficient,
+       round(CAST({_DEV_SQL.format('exp(a + b * lag_7)')} AS DOUBLE), 2) AS deviance,
+       round(CAST({_DEV_SQL.format('m')} AS DOUBLE), 2) AS null_deviance
+FROM tr, glm, (SELECT avg(label) AS m FROM tr WHERE NOT is_holdout) WHERE NOT is_holdout GROUP BY a, b""")
+def q_poisson_deviance(spark, sf_dir):
+    """Coefficients and the Poisson deviance of the fit against that of the mean."""
+    rows, model = _poisson(spark, sf_dir)
+    train = model.transform(rows.where(~F.col("is_holdout")))
+    mean = train.agg(F.avg("label")).first()[0]
+    return train.agg(_deviance(F.col("prediction")).alias("d"), _deviance(F.lit(mean)).alias("n")).select(
+        F.lit(round(model.intercept, 4)).alias("intercept"), F.lit(round(float(model.coefficients[0]), 6)).alias("coefficient"),
+        F.round("d", 2).alias("deviance"), F.round("n", 2).alias("null_deviance"))
+
+
+# -- boosted stumps in SQL (L3, L5, L14) --
+
+# Few distinct values, fewer than bins: every threshold is a candidate.
+STUMP_FEATURES = ["lag_7", "lag_28", "wday", "month"]
+BINS, ROUNDS, STEP = 4096, 5, 0.1
+
+
+def _chosen(alias: str, features) -> str:
+    return f"CASE {alias}.f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(features)) + " END"
+
 
+def _stump_value(alias: str, features) -> str:
+    return f"CASE WHEN {_chosen(alias, features)} <= {alias}.t THEN {alias}.l ELSE {alias}.r END"
 
-@register("fit_random_forest", _HOLDOUT_SQL)
+
+def _stumps_sql(rounds: int, train: str, features=None, src: str = "tr", name: str = "s") -> str:
+    """CTEs ``s1..`` (feature, threshold, left, right value) and ``sg1..``: the
+    rows with the prediction ``p1..`` after every round.  Round 1 fits the
+    label, later rounds twice the residual with the step as weight."""
+    features = features or STUMP_FEATURES
+    out = [f"{name}g0 AS (SELECT * FROM {src})"]
+    for r in range(1, rounds + 1):
+        y = "label" if r == 1 else f"2 * (label - p{r - 1})"
+        union = " UNION ALL ".join(f"SELECT {i} AS f, {c} AS x, {y} AS y FROM {name}g{r - 1} WHERE {train}"
+                                   for i, c in enumerate(features))
+        value = _stump_value(f"{name}{r}", features)
+        p = value if r == 1 else f"p{r - 1} + {STEP!r}::DOUBLE * ({value})"
+        out.append(f"""{name}{r} AS (SELECT f, (x + nx) / 2 AS t, sl / nl AS l, (st - sl) / (nt - nl) AS r FROM (
+  SELECT f, x, lead(x) OVER w AS nx, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+         sum(n) OVER (PARTITION BY f) AS nt, sum(s) OVER (PARTITION BY f) AS st
+  FROM (SELECT f, x, count(*) AS n, sum(y) AS s FROM ({union}) GROUP BY f, x) WINDOW w AS (PARTITION BY f ORDER BY x))
+  WHERE nx IS NOT NULL ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, f, t LIMIT 1),
+{name}g{r} AS (SELECT {name}g{r - 1}.*, {p} AS p{r} FROM {name}g{r - 1}, {name}{r})""")
+    return ",\n".join(out)
+
+
+@register("fit_gbt_early_stop", _rows_sql(_stumps_sql(ROUNDS, "NOT is_holdout"), "e AS (" + " UNION ALL ".join(
+    f"SELECT {r} AS round, avg(power(label - p{r}, 2)) AS error FROM sg{ROUNDS} WHERE is_holdout"
+    for r in range(1, ROUNDS + 1)) + ")") +
+    "SELECT CAST(round AS INTEGER) AS round, round(error, 4) AS error, "
+    "round = (SELECT arg_min(round, error) FROM e) AS is_best FROM e")
+def q_fit_gbt(spark, sf_dir):
+    """L3: the validation error of every boosting round, and the round kept."""
+    rows = _training_rows(spark, sf_dir, STUMP_FEATURES)
+    fit = ML.fit_gbt_rounds(rows.where(~F.col("is_holdout")), rows.where("is_holdout"),
+                            max_iter=ROUNDS, max_depth=1, step=STEP, max_bins=BINS)
+    return fit.history(spark).withColumn("error", F.round("error", 4))
+
+
+@register("fit_gbt_best_round", _rows_sql(_stumps_sql(ROUNDS, "NOT is_holdout"), "k AS (SELECT arg_min(round, error) AS best FROM (" +
+    " UNION ALL ".join(f"SELECT {r} AS round, avg(power(label - p{r}, 2)) AS error FROM sg{ROUNDS} WHERE is_holdout"
+                       for r in range(1, ROUNDS + 1)) + "))") +
+    "SELECT id, d_num, label, round(CASE best " + " ".join(f"WHEN {r} THEN p{r}" for r in range(1, ROUNDS + 1)) +
+    f" END, 4) AS prediction FROM sg{ROUNDS}, k WHERE is_holdout")
+def q_fit_gbt_best_round(spark, sf_dir):
+    """Holdout rows scored with the kept rounds, as one compiled expression."""
+    rows = _training_rows(spark, sf_dir, STUMP_FEATURES)
+    fit = ML.fit_gbt_rounds(rows.where(~F.col("is_holdout")), rows.where("is_holdout"),
+                            max_iter=ROUNDS, max_depth=1, step=STEP, max_bins=BINS)
+    f = vector_to_array("features")
+    held = rows.where("is_holdout").select("id", "d_num", "label", *[f[i].alias(c) for i, c in enumerate(STUMP_FEATURES)])
+    return held.select("id", "d_num", "label", F.round(fit.column(STUMP_FEATURES), 4).alias("prediction"))
+
+
+@register("fit_random_forest", _BETTER_SQL)
 def q_fit_random_forest(spark, sf_dir):
     rows = _training_rows(spark, sf_dir)
-    m = ML.fit_random_forest(rows.where(~F.col("is_holdout")))
-    return _scored(m.transform(rows.where("is_holdout")))
+    train = rows.where(~F.col("is_holdout"))
+    return _compared(ML.fit_random_forest(train), train, rows.where("is_holdout"))
 
 
-@register("fit_tree", _HOLDOUT_SQL)
+@register("fit_tree", _rows_sql(_stumps_sql(1, "NOT is_holdout")) +
+          "SELECT id, d_num, label, round(p1, 6) AS prediction FROM sg1 WHERE is_holdout")
 def q_fit_tree(spark, sf_dir):
-    rows = _training_rows(spark, sf_dir)
-    m = ML.fit_tree(rows.where(~F.col("is_holdout")), max_depth=4)
-    return _scored(m.transform(rows.where("is_holdout")))
+    """L5 of depth one on features with fewer values than bins: SQL finds the
+    same split, so predictions are checked by value."""
+    rows = _training_rows(spark, sf_dir, STUMP_FEATURES)
+    m = ML.fit_tree(rows.where(~F.col("is_holdout")), max_depth=1, max_bins=BINS)
+    return m.transform(rows.where("is_holdout")).select("id", "d_num", "label", F.round("prediction", 6).alias("prediction"))
 
 
 # Least squares on one feature has a closed form, so SQL checks its values.
@@ -381,21 +565,42 @@ def q_vote_mean(spark, sf_dir):
         "id", "d_num", "label", F.round("pred_vote", 2).alias("pred_vote"))
 
 
-@register("stack_models", _HOLDOUT_SQL)
+def _stack_sql() -> str:
+    """Two base models on one lag, per fold and on all training rows, and two
+    boosted stumps over their out-of-fold predictions."""
+    parts = []
+    for f in ("0", "1", "all"):
+        rows = "NOT is_holdout" + (f" AND kh % 2 <> {f}" if f != "all" else "")
+        parts.append(f"lin{f} AS (SELECT {_OLS} FROM tr WHERE {rows})")
+        parts.append(_stumps_sql(1, rows, ["lag_7"], name=f"b{f}_"))
+
+    def base(f: str, where: str) -> str:
+        stump = _stump_value(f"b{f}_1", ["lag_7"])
+        return (f"SELECT tr.id, d_num, label, is_holdout, lin{f}.a + lin{f}.b * lag_7 AS p_lin, {stump} AS p_tree "
+                f"FROM tr, lin{f}, b{f}_1 WHERE {where}")
+
+    meta = " UNION ALL ".join([base("0", "NOT is_holdout AND kh % 2 = 0"), base("1", "NOT is_holdout AND kh % 2 = 1"),
+                               base("all", "is_holdout")])
+    return _rows_sql(*parts, f"meta AS ({meta})", _stumps_sql(2, "NOT is_holdout", ["p_lin", "p_tree"], "meta", "f"))
+
+
+@register("stack_models", _stack_sql() + "SELECT id, d_num, label, round(p2, 4) AS prediction FROM fg2 WHERE is_holdout")
 def q_stack_models(spark, sf_dir):
-    """Base models on out-of-fold rows feed a final model, which then scores
-    the holdout that none of them saw."""
+    """Base models' out-of-fold predictions feed a boosted final model, which
+    then scores the holdout that none of them saw; checked by value."""
     from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-    rows = _training_rows(spark, sf_dir).withColumn("fold", K.key_bucket(2, "id", "d_num"))
+    rows = _training_rows(spark, sf_dir, ["lag_7"]).withColumn("fold", K.key_bucket(2, "id", "d_num"))
     stack = ML.stack_models(
         rows.where(~F.col("is_holdout")), "fold",
-        {"p_lin": lambda: LinearRegression(), "p_tree": lambda: DecisionTreeRegressor(maxDepth=4)},
-        lambda: GBTRegressor(maxIter=10, maxDepth=3, seed=7), 2)
-    return _scored(stack.transform(rows.where("is_holdout")))
+        {"p_lin": lambda: LinearRegression(), "p_tree": lambda: DecisionTreeRegressor(maxDepth=1, maxBins=BINS)},
+        lambda: GBTRegressor(maxIter=2, maxDepth=1, stepSize=STEP, maxBins=BINS), 2)
+    return stack.transform(rows.where("is_holdout")).select(
+        "id", "d_num", "label", F.round("prediction", 4).alias("prediction"))
 
 
 @register("two_stage_model", _rows_sql() + f"""
-SELECT id, d_num, label, true AS scored FROM tr WHERE is_holdout AND {_BUCKET} % 2 = 1""")
+SELECT id, d_num, label, true AS better, (SELECT round(stddev_pop(label), 4) FROM tr WHERE is_holdout AND {_BUCKET} % 2 = 0) AS mean_rmse
+FROM tr WHERE is_holdout AND {_BUCKET} % 2 = 1""")
 def q_two_stage_model(spark, sf_dir):
     """Stage 2 is fitted on half of stage 1's holdout with category and
     calendar context, and scored on the other half."""
@@ -405,19 +610,25 @@ def q_two_stage_model(spark, sf_dir):
     held = flat.where("is_holdout").withColumn("half", K.key_bucket(2, "id", "d_num"))
     first, second = ML.two_stage(flat.where(~F.col("is_holdout")), held.where("half = 0"),
                                  FEATURES, ["dept", "cat", "wday", "month"])
-    stage1 = first.transform(held.where("half = 1")).withColumnRenamed("prediction", "pred1") \
-        .drop("features")
-    return _scored(second.transform(stage1))
+    def stage1(part):
+        return first.transform(held.where(f"half = {part}")).withColumnRenamed("prediction", "pred1").drop("features")
+
+    return _compared(second, stage1(0), stage1(1))
 
 
-@register("random_search", "SELECT CAST(range AS INTEGER) AS trial, true AS scored "
-          f"FROM range({TRIALS}) WHERE (SELECT count(*) FROM lineitem) > 0")
+@register("random_search", _rows_sql() + f"""
+SELECT CAST(range AS INTEGER) AS trial, round(d, 3) AS spread, true AS plausible
+FROM range({TRIALS}), (SELECT stddev_pop(label) AS d FROM tr WHERE NOT is_holdout)""")
 def q_random_search(spark, sf_dir):
-    """Trials on deterministic key-hash folds."""
+    """Trials on deterministic key-hash folds; a trial's cross-validated error
+    must lie near the spread of the labels (by value in SQL), and trials differ."""
     rows = _training_rows(spark, sf_dir).where(~F.col("is_holdout")).withColumn(
         "fold", K.key_bucket(2, "id", "d_num").cast("int"))
     trials = ML.random_search(rows, n_iter=TRIALS, folds=2, parallelism=4, fold_col="fold")
-    return trials.select("trial", (F.col("rmse") < float("inf")).alias("scored"))
+    spread = rows.agg(F.stddev_pop("label")).first()[0]
+    differ = trials.agg(F.count_distinct("rmse")).first()[0] > 1
+    near = (F.col("rmse") > 0.5 * spread) & (F.col("rmse") < 1.2 * spread) & F.lit(differ)
+    return trials.select("trial", F.round(F.lit(spread), 3).alias("spread"), near.alias("plausible"))
 
 
 # One trial per candidate window: the error of predicting the value by the
@@ -451,18 +662,28 @@ def _time_folds(spark, sf_dir, features=None):
     return cut_lineage(K.timeseries_cv(_training_rows(spark, sf_dir, features), 3, 730, 28, 28))
 
 
-@register("top_importances", "SELECT feature, true AS scored FROM (VALUES " +
-          ", ".join(f"('{c}')" for c in FEATURES) + ") v(feature) WHERE (SELECT count(*) FROM lineitem) > 0")
+# The first split's feature and gain per time fold: a depth-one tree's whole importance.
+@register("top_importances", _rows_sql(_CV_ROLES, """lv AS (""" + " UNION ALL ".join(
+    f"SELECT fold, {i} AS f, '{c}' AS feature, {c} AS x, count(*) AS n, sum(label) AS s FROM cv WHERE role = 'train' GROUP BY fold, {c}"
+    for i, c in enumerate(["lag_7", "lag_28", "wday", "month"])) + """),
+pf AS (SELECT fold, f, feature, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY fold, f) AS nt,
+              sum(s) OVER (PARTITION BY fold, f) AS st FROM lv WINDOW w AS (PARTITION BY fold, f ORDER BY x)),
+bf AS (SELECT fold, feature FROM pf WHERE nl < nt
+       QUALIFY row_number() OVER (PARTITION BY fold ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, f, x) = 1)""") +
+    "SELECT v.feature, round(count(bf.fold) / 3.0, 6) AS importance FROM (VALUES " +
+    ", ".join(f"('{c}')" for c in ["lag_7", "lag_28", "wday", "month"]) +
+    ") v(feature) LEFT JOIN bf USING (feature) GROUP BY v.feature")
 def q_top_importances(spark, sf_dir):
-    """Features by mean importance over the time folds' trees; SQL checks the names."""
+    """Features by mean importance over the time folds' trees (G3); the trees
+    have one split, so SQL computes each feature's share."""
     from shelfcast.operators.aggs import top_importances
-    folds = _time_folds(spark, sf_dir)
+    folds = _time_folds(spark, sf_dir, STUMP_FEATURES)
     imps = None
     for f in range(3):
-        m = ML.fit_tree(folds.where((F.col("fold") == f) & (F.col("role") == "train")), 4)
-        imp = ML.importances(m, FEATURES, spark, f)
+        m = ML.fit_tree(folds.where((F.col("fold") == f) & (F.col("role") == "train")), 1, max_bins=BINS)
+        imp = ML.importances(m, STUMP_FEATURES, spark, f)
         imps = imp if imps is None else imps.unionByName(imp)
-    return top_importances(imps, 30).select("feature", (F.col("importance") >= 0).alias("scored"))
+    return top_importances(imps, 30).select("feature", F.round("importance", 6).alias("importance"))
 
 
 @register("fold_mean_predictions", _rows_sql(_CV_ROLES,
@@ -487,7 +708,7 @@ def q_fold_mean_predictions(spark, sf_dir):
 def q_persist_model(spark, sf_dir):
     rows = _training_rows(spark, sf_dir, ["lag_7"])
     m = ML.fit_linear(rows.where(~F.col("is_holdout")), reg=0.0)
-    loaded = ML.persist_model(m, spark, "linear_demo")
+    loaded = ML.persist_model(m, spark, "linear")
     return loaded.transform(rows.where("is_holdout")).select(
         "id", "d_num", "label", F.round("prediction", 2).alias("prediction"))
 
@@ -525,14 +746,46 @@ def q_pacf(spark, sf_dir):
     return out.select("id", "lag", F.round("pacf", 6).alias("pacf"))
 
 
-@register("recursive_forecast_ml", with_views("v_sales") + f"""
-SELECT DISTINCT id, CAST({ORIGIN} + range AS INTEGER) AS d_num, true AS scored
-FROM (SELECT DISTINCT id FROM v_sales) s, range({H})""")
+def _stump_rec_sql() -> str:
+    """The recursion with two boosted stumps; wday and month of the day ahead."""
+    day = f"({ORIGIN} + t)"
+    feats = _feat_sql("h", day)
+    known = {"lag_7": f"coalesce({feats['lag_7']}, 0.0)", "lag_28": f"coalesce({feats['lag_28']}, 0.0)",
+             "wday": "wd[t + 1]", "month": "mo[t + 1]"}
+
+    def value(r):
+        x = f"CASE s{r}.f " + " ".join(f"WHEN {i} THEN {known[c]}" for i, c in enumerate(STUMP_FEATURES)) + " END"
+        return f"CASE WHEN {x} <= s{r}.t THEN s{r}.l ELSE s{r}.r END"
+
+    return f"""hist0 AS (
+  SELECT id, list(struct_pack(d := d_num, s := CAST(sales AS DOUBLE)) ORDER BY d_num) AS h
+  FROM v_sales WHERE d_num BETWEEN {ORIGIN - MAX_LAGS} AND {ORIGIN - 1} GROUP BY id),
+kn AS (SELECT list(CAST(dayofweek(date) + 1 AS DOUBLE) ORDER BY d_num) AS wd, list(CAST(month(date) AS DOUBLE) ORDER BY d_num) AS mo
+       FROM v_calendar WHERE d_num BETWEEN {ORIGIN} AND {ORIGIN + H - 1}),
+rec AS (
+  SELECT id, wd, mo, 0 AS t, h FROM hist0, kn
+  UNION ALL
+  SELECT id, wd, mo, rec.t + 1, list_append(h, struct_pack(d := {ORIGIN} + rec.t, s := {value(1).replace('[t + 1]', '[rec.t + 1]').replace('+ t)', '+ rec.t)')}
+         + {STEP!r}::DOUBLE * ({value(2).replace('[t + 1]', '[rec.t + 1]').replace('+ t)', '+ rec.t)')})))
+  FROM rec, s1, s2 WHERE rec.t < {H}),
+fc AS (SELECT id, x.d AS d_num, x.s AS pred FROM (SELECT id, unnest(h) AS x FROM rec WHERE t = {H}) WHERE x.d >= {ORIGIN})"""
+
+
+@register("recursive_forecast_ml", with_views("v_sales", "v_calendar", extra=[
+    _ROWS_SQL, _stumps_sql(2, "true"), _stump_rec_sql()]).replace("WITH ", "WITH RECURSIVE ", 1) +
+    "SELECT id, d_num, round(pred, 4) AS pred FROM fc")
 def q_recursive_forecast_ml(spark, sf_dir):
-    feats6 = FEATURES[:6]
-    model = ML.fit_tree(_training_rows(spark, sf_dir, feats6), 4)
-    out = FC.recursive_forecast_ml(_sales(spark, sf_dir), ORIGIN, model, feats6, H, MAX_LAGS)
-    return out.select("id", "d_num", (F.abs("pred") < float("inf")).alias("scored"))
+    """L14 with a fitted boosted model on lags and on features known ahead,
+    compiled into the recursion; SQL fits the same two stumps."""
+    from pyspark.ml.regression import GBTRegressor
+    model = GBTRegressor(maxIter=2, maxDepth=1, stepSize=STEP, maxBins=BINS).fit(
+        _training_rows(spark, sf_dir, STUMP_FEATURES))
+    recent = _recent(spark, sf_dir)
+    days = V.calendar_for_join(spark).where(F.col("d_num").between(ORIGIN, ORIGIN + H - 1)).select(
+        "d_num", F.dayofweek("date").cast("double").alias("wday"), F.month("date").cast("double").alias("month"))
+    known = recent.select("id").distinct().join(F.broadcast(days))     # series x horizon days
+    out = FC.recursive_forecast_ml(recent, ORIGIN, model, STUMP_FEATURES, H, MAX_LAGS, exog=known)
+    return out.select("id", "d_num", F.round("pred", 4).alias("pred"))
 
 
 # -- sinks -------------------------------------------------------------------------

@@ -19,10 +19,11 @@ of the k rows ending L rows back, NULL unless all k exist and are non-NULL.
 
 Models: the fixed-coefficient linear model (``LinearModelSpec``) is written
 as column arithmetic, so it stays in the expression.  Fitted ``pyspark.ml``
-linear models convert to it with ``LinearModelSpec.from_ml``.  Any other
-fitted model (trees, GLM, ...) uses ``recursive_forecast_ml``: one narrow
-step per day over the per-series rows, with a reliable checkpoint every
-``checkpoint_every`` steps to cut the plan and the lineage.
+linear models convert to it with ``LinearModelSpec.from_ml``.  Fitted trees,
+forests, boosted trees, linear models and GLMs are compiled to SQL text
+(``plans.compiled``) and run inside the same fold (``recursive_forecast_ml``):
+no job per day, no vector column, and features known ahead (calendar, price,
+categories) stand beside the lags in every step.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators import windows as W
-from shelfcast.session import cut_lineage
+from shelfcast.plans import compiled as C
 
 DEFAULT_LAGS = (7, 28)
 DEFAULT_WINS = (7, 28)
@@ -96,6 +97,29 @@ def history_arrays(df: DataFrame, first_day: int, last_day: int, id_col: str = "
         F.col(value_col).cast("double").alias("sales")))).alias("hist"))
 
 
+def _start_rows(df: DataFrame, origin: int, horizon: int, max_lags: int,
+                active_days: DataFrame | None, id_col: str, series: DataFrame | None) -> DataFrame:
+    """(id, hist, _act): the rows a recursion starts from; ``_act`` lists the
+    days a series is forecast on, NULL for all."""
+    hist = history_arrays(df, origin - max_lags, origin - 1, id_col)
+    if series is not None:
+        hist = (series.select(id_col).distinct().join(hist, id_col, "left")
+                      .withColumn("hist", F.coalesce("hist", F.array().cast(
+                          "array<struct<d_num:int,sales:double>>"))))
+    if active_days is not None:
+        act = (active_days.where(F.col("d_num").between(origin, origin + horizon - 1))
+                          .groupBy(id_col).agg(F.collect_set(F.col("d_num").cast("int")).alias("_act")))
+        # A series with active days but no recent history still gets its
+        # forecasts (from an empty history: every feature NULL).
+        hist = (hist.join(act, id_col, "full")
+                    .withColumn("hist", F.coalesce("hist", F.array().cast(
+                        "array<struct<d_num:int,sales:double>>")))
+                    .withColumn("_act", F.coalesce("_act", F.array().cast("array<int>"))))
+    else:
+        hist = hist.withColumn("_act", F.lit(None).cast("array<int>"))
+    return hist
+
+
 def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags: int = 57,
                        model: LinearModelSpec = FIXED_MODEL, lags=DEFAULT_LAGS,
                        wins=DEFAULT_WINS, active_days: DataFrame | None = None,
@@ -118,23 +142,7 @@ def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags:
     terms of day and price features (``exog_effects``), added to the day's
     prediction before it feeds later lags; a missing row adds nothing.
     """
-    hist = history_arrays(df, origin - max_lags, origin - 1, id_col)
-    if series is not None:
-        hist = (series.select(id_col).distinct().join(hist, id_col, "left")
-                      .withColumn("hist", F.coalesce("hist", F.array().cast(
-                          "array<struct<d_num:int,sales:double>>"))))
-    if active_days is not None:
-        act = (active_days.where(F.col("d_num").between(origin, origin + horizon - 1))
-                          .groupBy(id_col).agg(F.collect_set(F.col("d_num").cast("int")).alias("_act")))
-        # A series with active days but no recent history still gets its
-        # forecasts (from an empty history: every feature NULL).
-        hist = (hist.join(act, id_col, "full")
-                    .withColumn("hist", F.coalesce("hist", F.array().cast(
-                        "array<struct<d_num:int,sales:double>>")))
-                    .withColumn("_act", F.coalesce("_act", F.array().cast("array<int>"))))
-    else:
-        hist = hist.withColumn("_act", F.lit(None).cast("array<int>"))
-
+    hist = _start_rows(df, origin, horizon, max_lags, active_days, id_col, series)
     if exog is not None:
         fx = (exog.where(F.col("d_num").between(origin, origin + horizon - 1)).groupBy(id_col)
                   .agg(F.collect_list(F.struct(F.col("d_num").cast("int").alias("d"), "effect")).alias("_fx")))
@@ -164,31 +172,65 @@ def recursive_forecast(df: DataFrame, origin: int, horizon: int = 28, max_lags:
     return out.select(*keep, F.inline("_f")).withColumnRenamed("sales", "pred")
 
 
+def _feature_sql(lags, wins) -> dict[str, str]:
+    """``_features`` as SQL text over ``vals``, the bound history values."""
+    out = {}
+    for lag in lags:
+        out[f"lag_{lag}"] = f"CASE WHEN size(vals) >= {lag} THEN element_at(vals, size(vals) - {lag - 1}) END"
+        for k in wins:
+            part = f"slice(vals, size(vals) - {lag + k - 2}, {k})"
+            # A NULL among the k values makes the sum NULL, as the window guard asks.
+            out[f"rmean_{lag}_{k}"] = (f"CASE WHEN size(vals) >= {lag + k - 1} "
+                                       f"THEN aggregate({part}, 0D, (s, z) -> s + z) / {k} END")
+    return out
+
+
 def recursive_forecast_ml(df: DataFrame, origin: int, fitted, feature_names: list[str],
                           horizon: int = 28, max_lags: int = 57, lags=DEFAULT_LAGS,
-                          wins=DEFAULT_WINS, id_col: str = "id",
-                          checkpoint_every: int = 7) -> DataFrame:
-    """L14 with any fitted ``pyspark.ml`` model taking a ``features`` vector.
-
-    One narrow step per day on the one-row-per-series state; NULL features
-    are scored as 0 (documented fill, so no series loses a day).
+                          wins=DEFAULT_WINS, id_col: str = "id", exog: DataFrame | None = None,
+                          active_days: DataFrame | None = None, alphas: list[float] | None = None,
+                          series: DataFrame | None = None, arity: dict[int, int] | None = None) -> DataFrame:
+    """L14 with a fitted ``pyspark.ml`` regression model, as one projection.
+
+    ``fitted`` takes a vector of ``feature_names`` in that order; it is
+    compiled to an expression (``compiled.model_sql``; ``arity`` for its
+    categorical features) and folded over the horizon like the linear form,
+    so the plan is one shuffle and one narrow step whatever the horizon and
+    the model's size.  ``exog``: (id, d_num, columns) with every feature that
+    is not a lag or rolling mean, known ahead for the horizon days.  NULL
+    features, and days without an ``exog`` row, are scored as 0 (documented
+    fill, so no series loses a day).  ``active_days``, ``alphas`` and
+    ``series`` as in ``recursive_forecast``.
     """
-    from pyspark.ml.feature import VectorAssembler
-
-    state = history_arrays(df, origin - max_lags, origin - 1, id_col)
-    assembler = VectorAssembler(inputCols=feature_names, outputCol="features")
-    for t in range(horizon):
-        day = origin + t
-        feats = _features(F.col("hist"), F.lit(day), max_lags, lags, wins)
-        scored = fitted.transform(assembler.transform(state.select(
-            id_col, "hist", *[F.coalesce(feats[n], F.lit(0.0)).alias(n) for n in feature_names])))
-        pred_col = fitted.getOrDefault("predictionCol")
-        state = scored.select(id_col, F.array_append("hist", F.struct(
-            F.lit(day).alias("d_num"), F.col(pred_col).cast("double").alias("sales"))).alias("hist"))
-        if checkpoint_every and (t + 1) % checkpoint_every == 0:
-            state = cut_lineage(state)
-    out = state.select(id_col, F.filter("hist", lambda x: x["d_num"] >= origin).alias("_f"))
-    return out.select(id_col, F.inline("_f")).withColumnRenamed("sales", "pred")
+    hist = _start_rows(df, origin, horizon, max_lags, active_days, id_col, series)
+    made = _feature_sql(lags, wins)
+    ahead = [n for n in feature_names if n not in made]
+    if ahead:
+        missing = [n for n in ahead if exog is None or n not in exog.columns]
+        if missing:
+            raise ValueError(f"features known ahead need an exog column: {missing}")
+        names = {n: f"x{i}" for i, n in enumerate(ahead)}
+        rows = exog.where(F.col("d_num").between(origin, origin + horizon - 1)).groupBy(id_col).agg(
+            F.map_from_entries(F.collect_list(F.struct(
+                F.col("d_num").cast("int"),
+                F.struct(*[F.col(n).cast("double").alias(a) for n, a in names.items()])))).alias("_known"))
+        hist = hist.join(rows, id_col, "left")
+        made |= {n: f"_known[{origin} + t].{a}" for n, a in names.items()}
+    if alphas:
+        hist = hist.withColumn("_alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
+    scored = C.model_sql(fitted, [f"v[{i}]" for i in range(len(feature_names))], arity)
+    vector = "array(" + ", ".join(f"coalesce({made[n]}, 0D)" for n in feature_names) + ")"
+    values = f"transform(filter(acc, r -> r.d_num >= {origin} + t - {max_lags}), r -> r.sales)"
+    value = C.let("vals", values, C.let("v", vector, scored))
+    day = f"CAST({origin} + t AS INT)"
+    step = (f"array_append(acc, named_struct('d_num', {day}, "
+            f"'sales', CAST({value}{' * _alpha' if alphas else ''} AS DOUBLE)))")
+    if active_days is not None:
+        step = f"CASE WHEN array_contains(_act, {day}) THEN {step} ELSE acc END"
+    final = F.expr(f"aggregate(sequence(0, {horizon - 1}), hist, (acc, t) -> {step})")
+    keep = [id_col] + (["_alpha"] if alphas else [])
+    out = hist.select(*keep, F.filter(final, lambda x: x["d_num"] >= origin).alias("_f"))
+    return out.select(*keep, F.inline("_f")).withColumnRenamed("sales", "pred")
 
 
 def exog_effects(rows: DataFrame, coefs: dict, id_col: str = "id") -> DataFrame:

@@ -17,10 +17,11 @@ Values of predictions therefore differ from the reference; the structure
 from __future__ import annotations
 
 import random
+import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor,
                                    GeneralizedLinearRegression, LinearRegression,
                                    RandomForestRegressor)
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators import project as P
+from shelfcast.plans import compiled as C
 from shelfcast.session import cut_lineage, ensure_checkpoint_dir
 
 
@@ -42,6 +44,71 @@ def assemble_features(df: DataFrame, feature_cols: list[str], label_col: str = "
                                        F.col(label_col).cast("double").alias("label"))
 
 
+#: Stands for NULL while values are numbered; it sorts before all others.
+_NULL = "\x00"
+
+
+class NominalFeatures:
+    """L1 with categorical features: codes with nominal metadata in the vector.
+
+    ``fit`` numbers every categorical column's values in sorted order (NULL
+    first, and only when NULLs exist, as J1 does); ``transform`` writes
+    ``features`` with the numeric columns first, then the codes.  A value that
+    was not seen in ``fit`` (or a NULL where there was none) gets a code of its
+    own, the last one.  The vector's metadata marks the codes as nominal with
+    their number of values, so Spark's trees split them by category sets.
+
+    The number of values is measured before any reaches the driver: a tree
+    needs a bin per category in every task, so a column above
+    ``max_categories`` raises and belongs in a numeric or sparse encoding.
+    """
+
+    def __init__(self, numeric: list[str], categorical: list[str], max_categories: int = 4096):
+        self.numeric, self.categorical, self.max_categories = list(numeric), list(categorical), max_categories
+        self.names = self.numeric + self.categorical
+        self.indexer = None
+
+    def _text(self, df: DataFrame) -> DataFrame:
+        return df.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)).alias(f"_v_{c}") for c in self.categorical])
+
+    def fit(self, df: DataFrame) -> "NominalFeatures":
+        if not self.categorical:
+            return self
+        text = self._text(df)
+        sizes = text.agg(*[F.approx_count_distinct(f"_v_{c}", 0.02).alias(c) for c in self.categorical]).first()
+        wide = {c: sizes[c] for c in self.categorical if sizes[c] > self.max_categories}
+        if wide:
+            raise ValueError(f"more than {self.max_categories} categories: {wide}")
+        self.indexer = StringIndexer(inputCols=[f"_v_{c}" for c in self.categorical],
+                                     outputCols=[f"_c_{c}" for c in self.categorical],
+                                     stringOrderType="alphabetAsc", handleInvalid="keep").fit(text)
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` plus ``features``; rows with a NULL numeric feature are dropped."""
+        out = P.drop_nulls(df, subset=self.numeric) if self.numeric else df
+        if self.categorical:
+            out = self.indexer.transform(self._text(out))
+        vec = VectorAssembler(inputCols=self.numeric + [f"_c_{c}" for c in self.categorical], outputCol="features")
+        return vec.transform(out).select(*df.columns, "features")
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        """``df`` with its categorical columns replaced by their codes (for ``exog`` rows)."""
+        if not self.categorical:
+            return df
+        coded = self.indexer.transform(self._text(df))
+        return coded.select(*[F.col(f"_c_{c}").alias(c) if c in self.categorical else F.col(c) for c in df.columns])
+
+    def arity(self) -> dict[int, int]:
+        """Feature index -> number of categories, the one for unseen values included."""
+        labels = self.indexer.labelsArray if self.categorical else []
+        return {len(self.numeric) + i: len(v) + 1 for i, v in enumerate(labels)}
+
+    def max_bins(self, least: int = 32) -> int:
+        """Bins a tree needs: one per category."""
+        return max([least, *self.arity().values()])
+
+
 def fit_poisson(train: DataFrame, reg: float = 0.0):
     """L2: count regression, Poisson family, log link."""
     return GeneralizedLinearRegression(family="poisson", link="log", maxIter=25,
@@ -57,14 +124,58 @@ def fit_gbt_early_stop(train: DataFrame, validation_col: str = "is_val", max_ite
                         seed=seed).fit(train)
 
 
-def fit_random_forest(train: DataFrame, trees: int = 20, max_depth: int = 5, seed: int = 7):
+class BoostedRounds:
+    """A boosted model with its error per round on validation rows.
+
+    ``history``: (round, error, is_best) with the mean squared error of the
+    first ``round`` trees; ``best`` is the round of the smallest error (the
+    first of equals), and ``transform`` scores with that many trees.
+    """
+
+    def __init__(self, model, errors: list[float]):
+        self.model, self.errors = model, errors
+        self.best = errors.index(min(errors)) + 1
+
+    def history(self, spark) -> DataFrame:
+        return spark.createDataFrame([(i + 1, e, i + 1 == self.best) for i, e in enumerate(self.errors)],
+                                     "round int, error double, is_best boolean")
+
+    def column(self, columns: list[str], arity: dict[int, int] | None = None):
+        """The kept trees over named columns (compiled, no vector)."""
+        return C.model_column(self.model, columns, arity, first=self.best)
+
+
+def fit_gbt_rounds(train: DataFrame, validation: DataFrame, max_iter: int = 100, max_depth: int = 5,
+                   step: float = 0.1, max_bins: int = 32, patience: int | None = None, seed: int = 7) -> BoostedRounds:
+    """L3 with its evaluation history: the trees are grown on ``train``, every
+    round's error is taken on ``validation``, and the best round is kept.
+
+    ``patience``: rounds without improvement after which boosting ends.  The
+    forest grows in steps of ``patience`` rounds, so no more than two such
+    steps are grown beyond the best round; a longer forest repeats the trees
+    of a shorter one (same rows, same seed), so the result does not depend on
+    the steps.
+    """
+    rounds = min(max_iter, patience or max_iter)
+    while True:
+        model = GBTRegressor(maxIter=rounds, maxDepth=max_depth, stepSize=step, maxBins=max_bins, seed=seed).fit(train)
+        errors = [float(e) for e in model.evaluateEachIteration(validation, "squared")]
+        best = errors.index(min(errors)) + 1
+        if rounds >= max_iter or (patience and rounds - best >= patience):
+            if patience:
+                errors = errors[:min(rounds, best + patience)]
+            return BoostedRounds(model, errors)
+        rounds = min(max_iter, max(rounds * 2, rounds + (patience or 0)))
+
+
+def fit_random_forest(train: DataFrame, trees: int = 20, max_depth: int = 5, seed: int = 7, max_bins: int = 32):
     """L4: bagged trees."""
-    return RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed).fit(train)
+    return RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed, maxBins=max_bins).fit(train)
 
 
-def fit_tree(train: DataFrame, max_depth: int = 5):
+def fit_tree(train: DataFrame, max_depth: int = 5, max_bins: int = 32):
     """A single regression tree."""
-    return DecisionTreeRegressor(maxDepth=max_depth).fit(train)
+    return DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins).fit(train)
 
 
 def fit_linear(train: DataFrame, reg: float = 0.01, l1_ratio: float = 0.5):
@@ -166,15 +277,16 @@ def fold_mean_predictions(preds: DataFrame, keys: list[str], col: str = "pred")
 
 
 def model_path(spark, name: str) -> str:
-    """A folder under the shared checkpoint directory (never machine-local on a cluster)."""
+    """A new folder under the shared checkpoint directory (never machine-local
+    on a cluster); every call names another one, so jobs do not meet."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/models/{name}"
+    return f"{base.rstrip('/')}/models/{name}-{uuid.uuid4().hex}"
 
 
 def persist_model(model, spark, name: str):
     """Save and load back (Pipeline models keep their stages)."""
     path = model_path(spark, name)
-    model.write().overwrite().save(path)
+    model.write().save(path)
     return type(model).load(path)
 
 
