@@ -67,17 +67,25 @@ def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "") ->
     return out
 
 
+#: One column per value up to here; a wider set belongs in a vector.
+MAX_COLUMNS = 1024
+
+
 def one_hot(df: DataFrame, col: str, prefix: str | None = None,
             values: list | None = None, drop: bool = False) -> DataFrame:
     """J3 (``prefix`` given, e.g. ``store_``) / J4 (names are the values):
     one 0/1 byte column per value.
 
-    The values become column names, so the schema holds them all; pass
-    ``values`` to skip the distinct job, or use ``one_hot_sparse`` where the
-    set is too wide for columns.
+    The values become column names, so the schema holds them all.  Without
+    ``values`` they are read from the data, at most ``MAX_COLUMNS`` + 1 of
+    them: a wider set raises and belongs in ``one_hot_vector`` or
+    ``one_hot_sparse``.
     """
     if values is None:
-        values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+        found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"{col} has more than {MAX_COLUMNS} values: use one_hot_vector")
+        values = sorted(r[0] for r in found)
     cols = [(F.col(col) == F.lit(v)).cast("byte").alias(f"{prefix or ''}{v}") for v in values]
     out = df.select("*", *cols)
     return out.drop(col) if drop else out
@@ -93,6 +101,27 @@ def one_hot_sparse(df: DataFrame, col: str, out: str = "one_hot") -> DataFrame:
         size.alias("size"), F.when(F.col("_code") >= 0, F.col("_code")).alias("index"))).drop("_code", "_null")
 
 
+def one_hot_vector(df: DataFrame, col: str, out: str = "one_hot") -> tuple[DataFrame, DataFrame]:
+    """J3/J4 as an ML sparse vector for any number of values: (rows with the
+    vector, dictionary (index, value)).
+
+    The codes come from the distributed code table (no value reaches the
+    driver, and the schema does not grow with them); a NULL value is the zero
+    vector.  The dictionary is a table, not schema metadata.
+    """
+    from pyspark.ml.feature import OneHotEncoderModel, OneHotEncoder
+
+    codes = code_table(df, [col])
+    known = codes.where(F.col("_code") >= 0)
+    size = (known.agg(F.max("_code")).first()[0] or 0) + 1
+    coded = _attach(df, codes, col).withColumn("_at", F.when(F.col("_code") >= 0, F.col("_code")).otherwise(size).cast("double"))
+    # The encoder learns only the number of codes: one row shows it the largest.
+    largest = df.sparkSession.range(1).select(F.lit(float(size)).alias("_at"))
+    encoder: OneHotEncoderModel = OneHotEncoder(inputCols=["_at"], outputCols=[out], dropLast=True).fit(largest)
+    rows = encoder.transform(coded).drop("_code", "_null", "_at")
+    return rows, known.select(F.col("_code").alias("index"), F.col("_val").alias("value"))
+
+
 def binary_encode(df: DataFrame, col: str, bits: int = 10, prefix: str | None = None) -> DataFrame:
     """Integer -> ``bits`` columns holding its zero-padded binary digits,
     most significant first (the value modulo 2**bits, as the reference keeps

@@ -4,13 +4,25 @@ The prediction of a query row is the mean label of its ``k`` nearest
 training rows (Euclidean distance, ties broken by the training id), as
 scikit-learn's ``KNeighborsRegressor`` with uniform weights.
 
-Queries and training rows are hashed into blocks of about ``block_rows``
-rows, and every pair of blocks is one task group (``cogroup``): queries are
-sent once per training block and training rows once per query block.  A task
-holds two blocks, computes true squared differences a few rows at a time and
-returns ``k`` candidates per query; one shuffle by query merges them.
-Nothing is collected or broadcast.  Exact kNN inspects every (query,
-training row) distance; that cost is inherent to the operator.
+Training rows belong to the cell of their nearest pivot (a bounded sample of
+training vectors), and a cell is cut by distance to its pivot into blocks of
+about ``block_rows`` rows; a block's table row holds its size and the smallest
+and largest distance ``r`` to the pivot.  By the triangle inequality every
+distance from a query q to a block of pivot p is at least
+``max(d(q, p) - r_max, r_min - d(q, p))``.  Two rounds:
+
+1. each query goes to its nearest blocks that together hold ``k`` rows; the
+   k-th distance found bounds its answer;
+2. it then goes only to the other blocks whose lower bound does not exceed
+   that distance.
+
+So block pairs that cannot hold a neighbour are never sent, and the result is
+exact whatever the pivots.  A (block, chunk of queries) pair is one task group
+that computes true squared differences and returns ``k`` candidates per query;
+one shuffle by query merges them.  Only the pivots and the block table (rows /
+``block_rows`` + pivots rows) reach the driver.  Where distances concentrate
+(random directions in many dimensions) no bound prunes, and all pairs are
+compared.
 """
 
 from __future__ import annotations
@@ -20,7 +32,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import cut_lineage
+
 CELLS = 4_000_000  # numbers per block of differences inside a task
+SLACK = 1e-9       # relative rounding of distances, on the safe side
+
+_CANDIDATES = "query_id long, vec_id long, dist2 double, label double"
+
+
+def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows to one vector, a bounded piece at a time."""
+    d = np.empty(len(x))
+    step = max(1, CELLS // max(1, x.shape[1]))
+    for s in range(0, len(x), step):
+        diff = x[s:s + step] - q
+        d[s:s + step] = np.einsum("ij,ij->i", diff, diff)
+    return d
 
 
 def _nearest(k: int):
@@ -33,11 +60,7 @@ def _nearest(k: int):
         vecs = np.stack(q["v"].to_numpy()).astype(np.float64)
         out = []
         for i, qid in enumerate(q["query_id"].to_numpy(np.int64)):
-            d = np.empty(len(x))
-            step = max(1, CELLS // x.shape[1])
-            for s in range(0, len(x), step):
-                diff = x[s:s + step] - vecs[i]
-                d[s:s + step] = np.einsum("ij,ij->i", diff, diff)
+            d = _distances(x, vecs[i])
             near = np.lexsort((ids, d))[:k] if len(d) <= 4 * k else _smallest(d, ids, k)
             out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[near], "dist2": d[near], "label": y[near]}))
         return pd.concat(out, ignore_index=True)
@@ -50,28 +73,156 @@ def _smallest(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return within[np.lexsort((ids[within], d[within]))[:k]]
 
 
+def _to_pivots(vecs: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances (rows x pivots)."""
+    return np.sqrt(np.stack([_distances(vecs, p) for p in pivots], axis=1))
+
+
+class Blocks:
+    """The block table as arrays: pivot, size, smallest and largest distance to the pivot."""
+
+    def __init__(self, pivots: np.ndarray, rows: pd.DataFrame):
+        rows = rows.sort_values(["cell", "ring"]).reset_index(drop=True)
+        self.pivots, self.names = pivots, rows["block"].to_numpy()
+        self.cell, self.size = rows["cell"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+        self.low, self.high = rows["low"].to_numpy(float), rows["high"].to_numpy(float)
+
+    def bounds(self, vecs: np.ndarray):
+        """(lower bound, distance to the pivot) of every (query, block)."""
+        d = _to_pivots(vecs, self.pivots)[:, self.cell]
+        slack = SLACK * (1.0 + d + self.high)
+        return np.maximum(np.maximum(d - self.high, self.low - d) - slack, 0.0), d
+
+    def first(self, bound: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+        """Blocks by rising bound until they hold k rows."""
+        order = np.lexsort((d, bound))
+        held = np.cumsum(self.size[order])
+        return order[:int(np.searchsorted(held, k)) + 1]
+
+
+def training_blocks(train: DataFrame, pivots: int = 64, block_rows: int = 20_000) -> tuple[DataFrame, Blocks]:
+    """(vec_id, v, label) rows with their ``block``, written once, and the block table.
+
+    Pivots are the rows with the smallest key hashes; a cell's rings are cut
+    at approximate quantiles of the distance, so the blocks of one cell nest.
+    """
+    spark = train.sparkSession
+    sample = train.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").collect()
+    points = np.array([r["v"] for r in sample], float)
+    shared = spark.sparkContext.broadcast(points)        # ``pivots`` vectors
+
+    def run(batches):
+        for t in batches:
+            if len(t):
+                d = _to_pivots(np.stack(t["v"].to_numpy()).astype(np.float64), shared.value)
+                t["cell"], t["far"] = d.argmin(1).astype(np.int32), d.min(1)
+                yield t
+
+    placed = cut_lineage(train.mapInPandas(run, "vec_id long, v array<double>, label double, cell int, far double"))
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(
+        "far", [i / 64 for i in range(1, 64)], 1000).alias("cuts"))
+    # A cell of n rows gets about n / block_rows rings, cut at evenly spaced percentiles.
+    rings = F.least(F.ceil(F.col("n") / block_rows), F.lit(64))
+    cuts = sizes.select(F.col("cell").alias("_cell"), F.transform(
+        F.filter(F.sequence(F.lit(1), F.lit(63)), lambda i: F.floor(i * rings / 64) > F.floor((i - 1) * rings / 64)),
+        lambda i: F.element_at("cuts", i.cast("int"))).alias("_cuts"), F.ceil(F.col("n") / (rings * block_rows)).alias("_parts"))
+    ring = F.size(F.filter("_cuts", lambda c: c < F.col("far")))
+    part = F.pmod(F.xxhash64("vec_id"), F.col("_parts"))
+    out = placed.join(cuts, F.col("cell") == F.col("_cell")).select(
+        "vec_id", "v", "label", "cell", "far", ring.alias("ring"),
+        F.concat_ws("/", "cell", ring, part).alias("block"))
+    out = cut_lineage(out)
+    rows = out.groupBy("block", "cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("low"),
+                                                    F.max("far").alias("high")).toPandas()
+    return out.select("vec_id", "v", "label", "block"), Blocks(points, rows)
+
+
+def _visit(train: DataFrame, visits: DataFrame, k: int, chunks: int) -> DataFrame:
+    """Candidates of every (query, block) visit; queries of a block in ``chunks`` groups."""
+    sent = visits.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
+    asked = sent.select(F.col("block").alias("_b"), F.col("chunk").alias("part")).distinct()
+    held = train.join(asked, F.col("block") == F.col("_b")).drop("_b")
+    return sent.groupBy("block", "chunk").cogroup(held.groupBy("block", "part")).applyInPandas(
+        _nearest(k), _CANDIDATES)
+
+
+def _first_visits(queries: DataFrame, blocks, k: int) -> DataFrame:
+    def run(batches):
+        b = blocks.value
+        for q in batches:
+            out = []
+            for i, (bound, d) in enumerate(zip(*b.bounds(np.stack(q["v"].to_numpy()).astype(np.float64)))) if len(q) else ():
+                out += [(q["query_id"].iat[i], q["v"].iat[i], b.names[j]) for j in b.first(bound, d, k)]
+            yield pd.DataFrame(out, columns=["query_id", "v", "block"])
+    return queries.mapInPandas(run, "query_id long, v array<double>, block string")
+
+
+def _other_visits(queries: DataFrame, blocks, k: int) -> DataFrame:
+    """``queries``: (query_id, v, reach), the k-th distance found so far (NULL: none)."""
+    def run(batches):
+        b = blocks.value
+        for q in batches:
+            out = []
+            for i, (bound, d) in enumerate(zip(*b.bounds(np.stack(q["v"].to_numpy()).astype(np.float64)))) if len(q) else ():
+                reach = q["reach"].iat[i]
+                within = np.ones(len(bound), bool) if np.isnan(reach) else bound <= reach * (1 + SLACK)
+                within[b.first(bound, d, k)] = False
+                out += [(q["query_id"].iat[i], q["v"].iat[i], b.names[j]) for j in np.flatnonzero(within)]
+            yield pd.DataFrame(out, columns=["query_id", "v", "block"])
+    return queries.mapInPandas(run, "query_id long, v array<double>, block string")
+
+
+def _merge(cands: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy("dist2", "vec_id")
+    return cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+
+
+def nearest_rows(train: DataFrame, queries: DataFrame, k: int, block_rows: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """(query_id, vec_id, dist2, label, _rn) of the k nearest rows, and the visits table
+    (round, visits, all): (query, block) pairs compared, and all there are."""
+    spark = train.sparkSession
+    placed, table = training_blocks(train, pivots, block_rows)
+    shared = spark.sparkContext.broadcast(table)          # rows / block_rows + pivots rows
+    queries = cut_lineage(queries)
+    total = queries.count()
+    chunks = 1 + total // block_rows
+    visits = cut_lineage(_first_visits(queries, shared, k))
+    found = cut_lineage(_merge(_visit(placed, visits, k, chunks), k))
+    reach = found.where(F.col("_rn") == k).select(F.col("query_id").alias("_q"), F.sqrt("dist2").alias("reach"))
+    asked = queries.join(reach, F.col("query_id") == F.col("_q"), "left").select("query_id", "v", "reach")
+    more = cut_lineage(_other_visits(asked, shared, k))
+    rest = _visit(placed, more, k, chunks)
+    best = _merge(found.drop("_rn").unionByName(rest), k)
+    every = F.lit(total * len(table.names)).cast("long")
+    count = lambda df, i: df.agg(F.count(F.lit(1)).alias("visits")).select(
+        F.lit(i).alias("round"), "visits", every.alias("all"))
+    return best, count(visits, 1).unionByName(count(more, 2))
+
+
 def knn_regress(train: DataFrame, queries: DataFrame, k: int = 50, block_rows: int = 20_000,
                 id_col: str = "vec_id", vec_col: str = "embedding",
-                label_col: str = "label") -> DataFrame:
+                label_col: str = "label", pivots: int = 64) -> DataFrame:
     """(query_id, prediction) for every query row.
 
     ``train``: (id, vector, label); ``queries``: (id, vector).  Distances are
     computed in float64 from the stored vectors.
     """
-    tr = train.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"),
-                      F.col(label_col).cast("double").alias("label"))
-    qs = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).alias("v"))
-    a = 1 + qs.count() // block_rows
-    b = 1 + tr.count() // block_rows
-
-    def copies(df: DataFrame, key: str, own: int, own_name: str, other: int, other_name: str) -> DataFrame:
-        return df.withColumn(own_name, F.pmod(F.xxhash64(key), F.lit(own))).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
-
-    left = copies(qs, "query_id", a, "_a", b, "_b").withColumn("_a", F.col("_a").cast("int"))
-    right = copies(tr, "vec_id", b, "_b", a, "_a").withColumn("_b", F.col("_b").cast("int"))
-    cands = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInPandas(
-        _nearest(k), "query_id long, vec_id long, dist2 double, label double")
-    w = Window.partitionBy("query_id").orderBy("dist2", "vec_id")
-    top = cands.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    return top.groupBy("query_id").agg(F.avg("label").alias("prediction"))
+    tr, qs = _inputs(train, queries, id_col, vec_col, label_col)
+    if tr.isEmpty():
+        return qs.select("query_id", F.lit(None).cast("double").alias("prediction")).limit(0)
+    best, _ = nearest_rows(tr, qs, k, block_rows, pivots)
+    return best.groupBy("query_id").agg(F.avg("label").alias("prediction"))
+
+
+def knn_visits(train: DataFrame, queries: DataFrame, k: int = 50, block_rows: int = 20_000,
+               id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
+               pivots: int = 64) -> DataFrame:
+    """(round, visits, all): how many (query, block) pairs each round compares, of all."""
+    tr, qs = _inputs(train, queries, id_col, vec_col, label_col)
+    return nearest_rows(tr, qs, k, block_rows, pivots)[1]
+
+
+def _inputs(train, queries, id_col, vec_col, label_col):
+    v = F.col(vec_col).cast("array<double>").alias("v")
+    return (train.select(F.col(id_col).cast("long").alias("vec_id"), v, F.col(label_col).cast("double").alias("label")),
+            queries.select(F.col(id_col).cast("long").alias("query_id"), v))

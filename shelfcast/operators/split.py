@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.ordering import global_row_number
 from shelfcast.session import cut_lineage
 
 
@@ -24,31 +25,101 @@ def key_bucket(m: int, *cols: str) -> Column:
     return key_hash(*cols) % m
 
 
+def _less(cols: list[str], values: list) -> Column:
+    """Rows that sort before ``values`` by ``cols`` (NULLs first, never NULL itself)."""
+    out, same = F.lit(False), F.lit(True)
+    for c, v in zip(cols, values):
+        low = F.lit(False) if v is None else F.coalesce(F.col(c) < F.lit(v), F.col(c).isNull())
+        out = out | (same & low)
+        same = same & F.col(c).eqNullSafe(F.lit(v))
+    return out
+
+
+def _equal(cols: list[str], values: list) -> Column:
+    out = F.lit(True)
+    for c, v in zip(cols, values):
+        out = out & F.col(c).eqNullSafe(F.lit(v))
+    return out
+
+
+def _nth_value(rows: DataFrame, value: Column, n: int, bits: tuple = (16, 0)):
+    """(value of the n-th row in the order of a 32-bit ``value``, rows below
+    it, rows at it), or None with fewer rows: a histogram by the upper 16 bits,
+    then one by the lower bits in the bucket of the n-th row.  Every histogram
+    is pre-aggregated and has at most 65,536 rows."""
+    below, cut, at = 0, None, 0
+    for shift in bits:
+        part = rows if cut is None else rows.where(F.shiftright(value, 16) == cut)
+        hist = part.groupBy(F.shiftright(value, shift).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        hit = (hist.select("_b", "_n", F.sum("_n").over(run).alias("_cum"))
+               .where(F.col("_cum") >= n - below).orderBy("_b").first())
+        if hit is None:
+            return None
+        cut, at, below = hit["_b"], hit["_n"], below + hit["_cum"] - hit["_n"]
+    return cut, below, at
+
+
+#: Equal rows written by one task when a group of them is cut.
+COPIES = 100_000
+
+
+def _first_copies(rows: DataFrame, n: int, flag: str) -> DataFrame:
+    """Rows that differ in few values but repeat without bound, ``n`` of them
+    flagged: equal rows are counted, the counts give each its share, and the
+    copies are written out again in pieces of ``COPIES`` over all tasks."""
+    cols = [F.col(f"`{c}`") for c in rows.columns]
+    counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    shared = counted.withColumn("_off", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+    pieces = shared.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(COPIES))).alias("_at"))
+    pieces = pieces.repartition(F.col("_at"), F.col("_off"))
+    last = F.least(F.col("_at") + COPIES, F.col("_n")) - 1
+    each = pieces.select(*cols, "_off", F.explode(F.sequence(F.col("_at"), last)).alias("_i"))
+    return each.withColumn(flag, F.col("_off") + F.col("_i") < n).drop("_off", "_i")
+
+
 def holdout_exact_n(df: DataFrame, n: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:
     """K1: exactly ``n`` holdout rows: the n smallest key hashes (ties broken
     by the key), flagged on every row.
 
-    No global sort: two histograms of the 32-bit hash, by its upper and, in
-    the bucket of the n-th row, its lower 16 bits (at most 65,536 rows each),
-    give the hash value of the n-th row; only rows of exactly that value (about
-    rows / 2**32 for unique keys) are ranked.  The hashed rows are written
-    once and every step reads that copy.
+    A distributed selection that writes nothing: two histograms of the 32-bit
+    key hash give the hash value of the n-th row; the counts of the keys with
+    that very value (about keys / 2**32 of them) give its key, and the flag is
+    a comparison with both, a filter without a shuffle of the rows.  Only if
+    the n-th row is one of several with the same key, those rows are selected
+    in the same way by a hash of the whole row, and only rows equal in every
+    column, of which any may be taken, are counted and written out again in
+    pieces; so a key that a third of all rows repeat is no single task's work.
+    The passes read the key columns alone.
     """
-    hashed = cut_lineage(df.withColumn("_h", key_hash(*keys)))
-    below, cut = 0, None
-    for bits in (16, 0):
-        part = hashed if cut is None else hashed.where(F.shiftright("_h", 16) == cut)
-        hist = part.groupBy(F.shiftright("_h", bits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-        run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        hit = (hist.select("_b", "_n", F.sum("_n").over(run).alias("_cum"))
-               .where(F.col("_cum") >= n - below).orderBy("_b").first())
-        if hit is None:  # fewer than n rows: all are in
-            return hashed.withColumn(flag, F.lit(True)).drop("_h")
-        cut, below = hit["_b"], below + hit["_cum"] - hit["_n"]
-    ties = hashed.where(F.col("_h") == cut).withColumn(
-        flag, F.row_number().over(Window.partitionBy("_h").orderBy(*keys)) <= n - below)
-    rest = hashed.where(F.col("_h") != cut).withColumn(flag, F.col("_h") < cut)
-    return rest.unionByName(ties).drop("_h")
+    h = key_hash(*keys)
+    inside = F.lit(False)
+    if n <= 0:
+        return df.withColumn(flag, inside)
+    found = _nth_value(df.select(*keys, h.alias("_h")), F.col("_h"), n)
+    if found is None:  # fewer than n rows: all are in
+        return df.withColumn(flag, F.lit(True))
+    cut, below, _ = found
+    counts = df.where(h == cut).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    last = (counts.select(*keys, "_n", F.sum("_n").over(run).alias("_cum"))
+            .where(F.col("_cum") >= n - below).orderBy(*keys).first())
+    values = [last[k] for k in keys]
+    at_key = (h == cut) & _equal(keys, values)
+    before = (h < cut) | ((h == cut) & _less(keys, values))
+    wanted = n - below - (last["_cum"] - last["_n"])     # of the rows with the last key
+    if wanted == last["_n"]:
+        return df.withColumn(flag, before | at_key)
+    row = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 32))
+    mine = df.where(at_key)
+    row_cut, row_below, at_row = _nth_value(mine.select(row.alias("_r")), F.col("_r"), wanted)
+    tied = at_key & (row == row_cut)
+    flagged = df.withColumn(flag, before | (at_key & (row < row_cut)) | (tied & F.lit(wanted - row_below == at_row)))
+    if wanted - row_below == at_row:
+        return flagged
+    copies = _first_copies(df.where(tied), wanted - row_below, flag)
+    return flagged.where(~tied).unionByName(copies)
 
 
 def holdout_fraction(df: DataFrame, pct: int, keys: list[str], flag: str = "is_holdout") -> DataFrame:
@@ -109,19 +180,28 @@ def timeseries_cv(df: DataFrame, n_splits: int, train_days: int, test_days: int,
                 .select("*", "_f.fold", "_f.role").drop("_f", "_t", "_dur"))
 
 
-def systematic_sample(df: DataFrame, every: int, order_cols: list[str]) -> DataFrame:
+def systematic_sample(df: DataFrame, every: int, order_cols: list[str], hot_rows: int = 1_000_000) -> DataFrame:
     """K6: every ``every``-th row in the given (total) order, starting with
     the first: the positional ``iloc[::k]``.
 
     Rows are counted per value of the first order column (a day), the counts
-    give each day's offset, and rows are numbered within their day: nothing
-    is written and no task sorts more than one day.
+    give each day's offset, and rows are numbered within their day.  A day
+    above ``hot_rows`` rows is not numbered by one task: the rows of such days
+    are cut into ranges of the whole order, written once, counted per range
+    and numbered by the ranges' tasks (``ordering.global_row_number``).
     """
     first = order_cols[0]
     days = df.groupBy(F.col(first).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("_d", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    hot = F.col("_n") > hot_rows
+    days = cut_lineage(days.select(
+        "_d", hot.alias("_hot"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        # Rows of earlier hot days: their numbering runs on over all hot days.
+        F.coalesce(F.sum(F.when(hot, F.col("_n"))).over(before), F.lit(0)).alias("_seen")))
+    rows = df.join(days, F.col(first).eqNullSafe(F.col("_d")))
     within = Window.partitionBy(first).orderBy(*order_cols)
-    numbered = df.withColumn("_rn", F.row_number().over(within)).join(
-        days, F.col(first).eqNullSafe(F.col("_d")))
-    return numbered.where((F.col("_off") + F.col("_rn") - 1) % every == 0).drop("_rn", "_d", "_off")
+    numbered = rows.where(~F.col("_hot")).withColumn("_rn", F.row_number().over(within).cast("long"))
+    if not days.where("_hot").isEmpty():
+        ranged = global_row_number(rows.where("_hot"), order_cols, out="_rn")
+        numbered = numbered.unionByName(ranged.withColumn("_rn", F.col("_rn") - F.col("_seen")))
+    return numbered.where((F.col("_start") + F.col("_rn") - 1) % every == 0).drop("_rn", "_d", "_start", "_hot", "_seen")

@@ -9,13 +9,16 @@ operator keeps its input's partitioning and order.
 Rolling statistics follow pandas ``rolling(k)``: the value is NULL unless all
 ``k`` rows of the frame hold a non-NULL value.  A rolling window of a lag is
 a shifted frame over the raw column (``rowsBetween(-(L+k-1), -L)``), the same
-thing without materialising the lag first.  Three evaluation strategies:
+thing without materialising the lag first.  Four evaluation strategies:
 
 * frame form (``rolling``): Spark re-aggregates the frame for every row,
   O(rows x k); any column type;
 * running totals (``rolling_sums_prefix``, ``rolling_std_prefix``): exact
   for whole-number columns (units sold), O(rows);
-* doubling (``rolling_extreme``): exact max / min, O(rows x log k).
+* doubling (``rolling_extreme``): exact max / min, O(rows x log k);
+* mergeable moments (``rolling_moments``): std, skewness and kurtosis of any
+  numeric column, O(rows x log k), centred at every merge, so large totals
+  lose no digits.
 
 The per-series partition is bounded by the number of days in the calendar,
 so the rows Spark buffers per key do not grow with the number of series or
@@ -73,32 +76,97 @@ def rolling(col: str, agg: Callable[[str], Column], k: int, w: WindowSpec,
     return F.when(F.count(col).over(f) == k, agg(col).over(f))
 
 
-def rolling_skew(col: str, k: int, w: WindowSpec, shift: int = 0) -> Column:
-    """Bias-corrected sample skewness (pandas ``rolling().skew()``).
-
-    Spark's ``skewness`` is the population moment g1; the sample estimate is
-    G1 = g1 * sqrt(n (n-1)) / (n-2).  A constant frame gives NULL.
-    """
-    f = frame(w, k, shift)
+def _merged(a: Column, b: Column, na: int, nb: int, order: int) -> list[Column]:
+    """Central moments (mean, M2 .. M_order) of two disjoint blocks together."""
+    n = float(na + nb)
+    d = b["mean"] - a["mean"]
+    out = [(a["mean"] + d * F.lit(nb / n)).alias("mean"),
+           (a["m2"] + b["m2"] + d * d * F.lit(na * nb / n)).alias("m2")]
+    if order >= 3:
+        skewed = d * d * d * F.lit(na * nb * (na - nb) / (n * n))
+        out.append((a["m3"] + b["m3"] + skewed + F.lit(3.0 / n) * d * (F.lit(float(na)) * b["m2"] - F.lit(float(nb)) * a["m2"]))
+                   .alias("m3"))
+    if order >= 4:
+        fourth = d * d * d * d * F.lit(na * nb * (na * na - na * nb + nb * nb) / n ** 3)
+        mixed = F.lit(6.0 / (n * n)) * d * d * (F.lit(float(na * na)) * b["m2"] + F.lit(float(nb * nb)) * a["m2"])
+        crossed = F.lit(4.0 / n) * d * (F.lit(float(na)) * b["m3"] - F.lit(float(nb)) * a["m3"])
+        out.append((a["m4"] + b["m4"] + fourth + mixed + crossed).alias("m4"))
+    return out
+
+
+def _statistic(kind: str, m: Column, k: int) -> Column:
+    """std (n-1), or pandas' bias-corrected skew and kurt, from central moments;
+    skew and kurt of a constant window are NULL."""
     n = float(k)
-    g1 = F.skewness(col).over(f)
-    flat = F.max(col).over(f) == F.min(col).over(f)
-    corr = (n * (n - 1)) ** 0.5 / (n - 2)
-    return F.when((F.count(col).over(f) == k) & ~flat, g1 * F.lit(corr))
-
-
-def rolling_kurt(col: str, k: int, w: WindowSpec, shift: int = 0) -> Column:
-    """Bias-corrected sample excess kurtosis (pandas ``rolling().kurt()``).
-
-    G2 = (n-1) / ((n-2)(n-3)) * ((n+1) g2 + 6), g2 = Spark ``kurtosis``.
+    if kind == "std":
+        return F.sqrt(m["m2"] / F.lit(n - 1))
+    flat = m["m2"] == 0
+    if kind == "skew":
+        g1 = F.lit(n ** 0.5) * m["m3"] / F.pow(m["m2"], 1.5)
+        return F.when(~flat, g1 * F.lit((n * (n - 1)) ** 0.5 / (n - 2)))
+    g2 = F.lit(n) * m["m4"] / (m["m2"] * m["m2"]) - 3.0
+    return F.when(~flat, F.lit((n - 1) / ((n - 2) * (n - 3))) * (F.lit(n + 1) * g2 + F.lit(6.0)))
+
+
+def rolling_moments(df: DataFrame, col: str, specs: list[tuple[str, str, int, int]], w: WindowSpec) -> DataFrame:
+    """Rolling std, skew and kurt of a numeric column in O(rows x log k).
+
+    ``specs``: (output name, "std" | "skew" | "kurt", k, shift).  A row's
+    blocks of 2, 4, 8, ... rows ending there come from merging the block of
+    half the size with the one before it (a lag by half the size); the k rows
+    of a window are the disjoint blocks of k's binary digits, merged the same
+    way.  Every merge works on central moments, so there is no difference of
+    large sums.  All levels and all windows share ``w``: more Window operators,
+    no further Exchange or Sort.  NULL unless the window holds k non-NULL
+    values (running counts); inside such a window no NULL takes part, so NULLs
+    count as 0 in the blocks.
     """
-    f = frame(w, k, shift)
-    n = float(k)
-    g2 = F.kurtosis(col).over(f)
-    flat = F.max(col).over(f) == F.min(col).over(f)
-    a = (n - 1) / ((n - 2) * (n - 3))
-    return F.when((F.count(col).over(f) == k) & ~flat,
-                  F.lit(a) * (F.lit(n + 1) * g2 + F.lit(6.0)))
+    if not specs:
+        return df
+    order = {"std": 2, "skew": 3, "kurt": 4}
+    top = max(order[kind] for _, kind, _, _ in specs)
+    top_level = max(k for _, _, k, _ in specs).bit_length() - 1
+    names = ["mean", "m2", "m3", "m4"][:top]
+    x = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    base = list(df.columns)
+    staged = df.select("*", F.count(col).over(run).alias("_mn"),
+                       F.struct(x.alias("mean"), *[F.lit(0.0).alias(n) for n in names[1:]]).alias("_b0"))
+    for j in range(top_level):
+        staged = staged.select("*", F.lag(f"_b{j}", 2 ** j).over(w).alias("_before"))
+        staged = staged.select(*[c for c in staged.columns if c != "_before"], F.when(
+            F.col("_before").isNotNull(), F.struct(*_merged(F.col("_before"), F.col(f"_b{j}"), 2 ** j, 2 ** j, top))).alias(f"_b{j + 1}"))
+
+    def back(c: str, n: int) -> Column:
+        return F.col(c) if n == 0 else F.lag(c, n).over(w)
+
+    # The blocks of every window, newest first; equal windows are read once.
+    windows = sorted({(k, shift) for _, _, k, shift in specs})
+    parts = {}
+    for k, shift in windows:
+        at, blocks = shift, []
+        for j in reversed(range(k.bit_length())):
+            if k >> j & 1:
+                blocks.append((f"_b{j}", at, 2 ** j))
+                at += 2 ** j
+        parts[k, shift] = blocks
+    lagged = {(c, n): f"_l{i}" for i, (c, n) in enumerate(sorted({(c, n) for b in parts.values() for c, n, _ in b}))}
+    counts = {k_s: f"_n{i}" for i, k_s in enumerate(windows)}
+    staged = staged.select(
+        *base, *[back(c, n).alias(a) for (c, n), a in lagged.items()],
+        *[(back("_mn", s) - F.coalesce(back("_mn", s + k), F.lit(0))).alias(a) for (k, s), a in counts.items()])
+    whole = {}
+    for i, (key, blocks) in enumerate(parts.items()):
+        (c, n, size), done = blocks[0], blocks[0][2]
+        current = lagged[c, n]
+        for step, (c, n, size) in enumerate(blocks[1:]):
+            name = f"_w{i}_{step}"
+            staged = staged.withColumn(name, F.struct(*_merged(F.col(lagged[c, n]), F.col(current), size, done, top)))
+            current, done = name, done + size
+        whole[key] = current
+    return staged.select(*base, *[
+        F.when(F.col(counts[k, s]) == k, _statistic(kind, F.col(whole[k, s]), k)).alias(name)
+        for name, kind, k, s in specs])
 
 
 def _whole(col: str, to: str) -> Column:
@@ -148,8 +216,8 @@ def rolling_std_prefix(df: DataFrame, col: str, specs: list[tuple[str, int, int]
     DECIMAL(38,0), exact for values up to about 1e15 on a series of a few
     thousand days; with n = k, std = sqrt((n S2 - S1^2) / (n (n - 1))).
     ``specs``: (output name, k, shift).  Skew and kurtosis are not built this
-    way: their fourth powers outgrow 38 digits on large totals, so they use
-    the frame form (``rolling_skew``, ``rolling_kurt``), which centres first.
+    way: their fourth powers outgrow 38 digits on large totals, so they come
+    from ``rolling_moments``, which centres at every merge.
     """
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     dec = "decimal(38,0)"
@@ -253,8 +321,7 @@ def rolling_std_of_lag(df: DataFrame, lag: int, wins: Iterable[int], col: str =
     w = w or series_window()
     if integral:
         return rolling_std_prefix(df, col, [(f"rstd_{lag}_{win}", win, lag) for win in wins], w)
-    return df.select("*", *[rolling(col, F.stddev_samp, win, w, shift=lag)
-                            .alias(f"rstd_{lag}_{win}") for win in wins])
+    return rolling_moments(df, col, [(f"rstd_{lag}_{win}", "std", win, lag) for win in wins], w)
 
 
 # --- F6-F9: horizon-shifted demand statistics --------------------------------
@@ -268,26 +335,21 @@ def rolling_horizon_features(df: DataFrame, horizon: int = 28,
 
     ``integral``: whole-number demand; means and stds then come from exact
     running totals (``rolling_sums_prefix`` / ``rolling_std_prefix``), O(rows)
-    instead of O(rows x window).  Skew and kurt always use the frame."""
+    instead of O(rows x window).  Skew and kurt, and the std of other columns,
+    come from ``rolling_moments``."""
     w = w or series_window()
+    moments = [(f"rolling_skew_t{moment_win}", "skew", moment_win, horizon),
+               (f"rolling_kurt_t{moment_win}", "kurt", moment_win, horizon)] if moment_win else []
     if integral:
         if mean_wins:
             df = rolling_sums_prefix(df, col, [(f"rolling_mean_t{k}", k, horizon)
                                                for k in mean_wins], w)
         if std_wins:
             df = rolling_std_prefix(df, col, [(f"rolling_std_t{k}", k, horizon) for k in std_wins], w)
-        cols = []
     else:
-        cols = [rolling(col, F.avg, k, w, shift=horizon).alias(f"rolling_mean_t{k}")
-                for k in mean_wins]
-        cols += [rolling(col, F.stddev_samp, k, w, shift=horizon).alias(f"rolling_std_t{k}")
-                 for k in std_wins]
-    if moment_win:
-        cols.append(rolling_skew(col, moment_win, w, shift=horizon)
-                    .alias(f"rolling_skew_t{moment_win}"))
-        cols.append(rolling_kurt(col, moment_win, w, shift=horizon)
-                    .alias(f"rolling_kurt_t{moment_win}"))
-    return df.select("*", *cols) if cols else df
+        df = df.select("*", *[rolling(col, F.avg, k, w, shift=horizon).alias(f"rolling_mean_t{k}") for k in mean_wins])
+        moments = [(f"rolling_std_t{k}", "std", k, horizon) for k in std_wins] + moments
+    return rolling_moments(df, col, moments, w)
 
 
 # --- F10-F13: price features -----------------------------------------------
@@ -311,9 +373,8 @@ def price_change_features(df: DataFrame, col: str = "sell_price", year_rows: int
         F.try_divide(prev - F.col(col), prev).alias("price_change_t1"),
         F.try_divide(year_max - F.col(col), year_max).alias("price_change_t365"),
     ]
-    cols += [rolling(col, F.stddev_samp, k, w).alias(f"rolling_price_std_t{k}")
-             for k in std_wins]
-    return df.select("*", *cols).drop("_year_max")
+    df = df.select("*", *cols).drop("_year_max")
+    return rolling_moments(df, col, [(f"rolling_price_std_t{k}", "std", k, 0) for k in std_wins], w)
 
 
 # --- F14 ---------------------------------------------------------------------

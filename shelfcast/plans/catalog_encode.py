@@ -72,6 +72,23 @@ def q_one_hot_plain(spark, sf_dir):
     return E.one_hot(p, "cat_id", drop=True)
 
 
+@register("one_hot_wide", """
+WITH v AS (SELECT CAST(l_partkey AS VARCHAR) AS part FROM lineitem),
+c AS (SELECT part, CAST(row_number() OVER (ORDER BY part) - 1 AS INTEGER) AS idx, count(*) OVER () AS size
+      FROM (SELECT DISTINCT part FROM v))
+SELECT l_orderkey, l_linenumber, CAST(size AS INTEGER) AS size, idx AS one_at
+FROM lineitem JOIN c ON part = CAST(l_partkey AS VARCHAR)""")
+def q_one_hot_wide(spark, sf_dir):
+    """One-hot over all part keys: the size of the sparse row and the place of
+    its one; nothing is collected and the schema does not grow."""
+    from shelfcast.sources.tables import read_table
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    rows = E.one_hot_sparse(lines, "part")
+    return rows.select("l_orderkey", "l_linenumber", F.col("one_hot.size").alias("size"),
+                       F.col("one_hot.index").alias("one_at"))
+
+
 @register("binary_encode", with_views("v_panel") + "SELECT DISTINCT item_id, " + ", ".join(
     f"CAST((CAST(regexp_extract(item_id, '#(\\d+)$', 1) AS BIGINT) >> {9 - i}) & 1 AS TINYINT) AS item_bin_{i}"
     for i in range(10)) + " FROM v_panel")
