@@ -35,6 +35,31 @@ def join_prices(panel: DataFrame, prices: DataFrame, how: str = "inner") -> Data
     return panel.join(prices, PRICE_KEYS, how)
 
 
+#: Columns that make a series, its price history and the layout of both.
+SERIES_KEYS = ["item_id", "store_id"]
+
+
+def join_series_prices(panel: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
+    """D2 / D4 on the layout that the price features need.
+
+    The prices of a series are one row, a map from week to price (at most one
+    entry per calendar week; a week given twice raises).  Panel and prices
+    then meet on (item, store) alone, so a window over the same keys
+    (``W.series_window(SERIES_KEYS)``) reuses the join's exchange and, in a
+    sort-merge join, its order: the panel is shuffled once for the join and
+    all price features (F10-F13).  ``join_prices`` on the three keys needs a
+    second exchange, but splits a series over many tasks.
+    """
+    week, price = PRICE_KEYS[-1], "sell_price"
+    by_series = prices.groupBy(*SERIES_KEYS).agg(
+        F.map_from_entries(F.collect_list(F.struct(week, price))).alias("_prices"))
+    # Merge, not broadcast: the window above reuses its partitioning and sort.
+    out = panel.join(by_series.hint("merge"), SERIES_KEYS, how)
+    if how == "inner":
+        out = out.where(F.map_contains_key("_prices", F.col(week)))
+    return out.withColumn(price, F.col("_prices")[F.col(week)]).drop("_prices")
+
+
 def join_product_left(ids: DataFrame, product: DataFrame, id_col: str = "id",
                       suffix_from: str = "_evaluation$", suffix_to: str = "_validation") -> DataFrame:
     """Evaluation ids take the attributes of their validation twin."""

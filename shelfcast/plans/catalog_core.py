@@ -93,10 +93,9 @@ def q_group_mean_multi(spark, sf_dir):
 
 @register("daily_mean_compare", with_views("v_sales", extra=[_FEATS_SQL]) + f"""
 SELECT d_num, avg(rmean_7_7) AS mean_recursive, avg(lag_7) AS mean_one_step, avg(sales) AS mean_actual
-FROM feats WHERE d_num >= {FDAY_NUM} GROUP BY d_num""")
+FROM feats GROUP BY d_num""")
 def q_daily_mean_compare(spark, sf_dir):
-    feats = _feats(spark, sf_dir).where(F.col("d_num") >= FDAY_NUM)
-    return A.daily_mean_compare(feats, {"rmean_7_7": "mean_recursive", "lag_7": "mean_one_step",
+    return A.daily_mean_compare(_feats(spark, sf_dir), {"rmean_7_7": "mean_recursive", "lag_7": "mean_one_step",
                                         "sales": "mean_actual"}, date_col="d_num")
 
 
@@ -264,13 +263,13 @@ def q_rewrite_suffix(spark, sf_dir):
 
 @register("format_labels", with_views("v_sales") + f"""
 SELECT id, d_num, 'd_' || CAST(d_num AS VARCHAR) AS d_label,
-       'F' || CAST(d_num - {FDAY_NUM} + 1 AS VARCHAR) AS f_label,
+       'F' || CAST((d_num - 1) % {HORIZON} + 1 AS VARCHAR) AS f_label,
        'lag_' || CAST(7 AS VARCHAR) AS lag_label
-FROM v_sales WHERE d_num >= {FDAY_NUM}""")
+FROM v_sales""")
 def q_format_labels(spark, sf_dir):
-    s = V.v_sales(spark, sf_dir).where(F.col("d_num") >= FDAY_NUM)
+    s = V.v_sales(spark, sf_dir)
     return s.select("id", "d_num", S.format_label("d_", F.col("d_num")).alias("d_label"),
-                    S.format_label("F", F.col("d_num") - FDAY_NUM + 1).alias("f_label"),
+                    S.format_label("F", (F.col("d_num") - 1) % HORIZON + 1).alias("f_label"),
                     S.format_label("lag_", F.lit(7)).alias("lag_label"))
 
 

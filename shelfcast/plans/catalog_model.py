@@ -815,8 +815,9 @@ def q_sink_training_extract(spark, sf_dir):
 # -- the whole job ---------------------------------------------------------------
 
 @register("forecast_job", with_views("v_sales") + f"""
-SELECT DISTINCT id || suffix AS id, {H} AS n_days, true AS scored
-FROM (SELECT DISTINCT id FROM v_sales WHERE d_num <= {TR_LAST}) s, (VALUES ('_validation'), ('_evaluation')) v(suffix)""")
+SELECT DISTINCT id || suffix AS id, {H} AS n_days, true AS complete, true AS plausible, spread
+FROM (SELECT DISTINCT id FROM v_sales WHERE d_num <= {TR_LAST}) s, (VALUES ('_validation'), ('_evaluation')) v(suffix),
+     (SELECT round(stddev_pop(sales), 4) AS spread FROM v_sales WHERE d_num <= {TR_LAST})""")
 def q_forecast_job(spark, sf_dir):
     """Train on the brand series, forecast 28 days with the fitted model, and
     return the checked, blended wide submission (validation + evaluation ids)."""
@@ -828,7 +829,14 @@ def q_forecast_job(spark, sf_dir):
         "id", "d_num", *[F.col(c).cast("double").alias(c) for c in EXOG])
     result = JOB.train_and_forecast(sales, TR_LAST, template_ids=template, known=known)
     finite = sum((F.abs(c) < float("inf")).cast("int") for c in _F_COLS)
-    return result.submission.select("id", F.lit(len(_F_COLS)).alias("n_days"), (finite == H).alias("scored"))
+    history = sales.where(F.col("d_num") <= TR_LAST).agg(
+        F.stddev_pop("sales").alias("spread"), F.min("sales").alias("low"), F.max("sales").alias("high")).first()
+    # The holdout error lies near the spread of the sales (by value in SQL), forecasts within their range.
+    near = 0.5 * history["spread"] < result.holdout_rmse < 1.1 * history["spread"]
+    inside = sum(F.col(c).between(float(history["low"]) * 0.9, float(history["high"]) * 1.1).cast("int") for c in _F_COLS)
+    return result.submission.select(
+        "id", F.lit(len(_F_COLS)).alias("n_days"), (finite == H).alias("complete"),
+        (F.lit(near) & (inside == H)).alias("plausible"), F.lit(round(float(history["spread"]), 4)).alias("spread"))
 
 
 @register("panel_job", with_views("v_panel", extra=[f"""h AS (

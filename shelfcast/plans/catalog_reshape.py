@@ -406,15 +406,15 @@ def q_join_template_inner(spark, sf_dir):
 
 @register("join_full_outer", with_views("v_sales", extra=[_FEATS_SQL]) + f"""
 SELECT id, d_num, a.pred1, b.pred2 FROM
-  (SELECT id, d_num, rmean_7_7 AS pred1 FROM feats WHERE d_num >= {FDAY_NUM - 10}) a
+  (SELECT id, d_num, rmean_7_7 AS pred1 FROM feats WHERE rmean_7_7 < sales) a
 FULL OUTER JOIN
-  (SELECT id, d_num, lag_7 AS pred2 FROM feats WHERE d_num >= {FDAY_NUM} AND id <> 'Brand#2') b
+  (SELECT id, d_num, lag_7 AS pred2 FROM feats WHERE lag_7 < sales) b
 USING (id, d_num)""")
 def q_join_full_outer(spark, sf_dir):
+    """The days on which either forecast was too low, over all rows."""
     feats = _feats(spark, sf_dir)
-    a = feats.where(F.col("d_num") >= FDAY_NUM - 10).select("id", "d_num", F.col("rmean_7_7").alias("pred1"))
-    b = feats.where((F.col("d_num") >= FDAY_NUM) & (F.col("id") != "Brand#2")) \
-        .select("id", "d_num", F.col("lag_7").alias("pred2"))
+    a = feats.where("rmean_7_7 < sales").select("id", "d_num", F.col("rmean_7_7").alias("pred1"))
+    b = feats.where("lag_7 < sales").select("id", "d_num", F.col("lag_7").alias("pred2"))
     return J.join_full_outer(a, b, ["id", "d_num"])
 
 

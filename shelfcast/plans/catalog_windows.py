@@ -19,9 +19,13 @@ FDAY = "2001-10-08"
 
 
 def _priced_panel(spark, sf_dir):
-    """v_panel inner-joined to weekly prices (drops unpriced days, §1.4.1)."""
+    """v_panel inner-joined to weekly prices (drops unpriced days, §1.4.1), on
+    the layout of the price windows."""
     panel, prices = V.panel_and_prices(spark, sf_dir)
-    return J.join_prices(panel.withColumn("wm_yr_wk", V.wm_yr_wk(F.col("d_num"))), prices, how="inner")
+    rows = panel.select("id", *J.SERIES_KEYS, "d_num", V.wm_yr_wk(F.col("d_num")).alias("wm_yr_wk"))
+    return J.join_series_prices(rows, prices, how="inner")
+
+
 
 
 _PRICED_PANEL_SQL = """priced AS (
@@ -168,8 +172,8 @@ def q_rolling_kurt_horizon(spark, sf_dir):
 SELECT id, d_num, sell_price, lag(sell_price, 1) {over()} - sell_price AS delta_price
 FROM priced""")
 def q_price_delta(spark, sf_dir):
-    df = _priced_panel(spark, sf_dir).select("id", "d_num", "sell_price")
-    return W.price_delta(df)
+    df = _priced_panel(spark, sf_dir)
+    return W.price_delta(df, w=W.series_window(J.SERIES_KEYS)).select("id", "d_num", "sell_price", "delta_price")
 
 
 @register("price_change_rel", with_views("v_panel", "v_prices", extra=[_PRICED_PANEL_SQL]) + f"""
@@ -177,8 +181,8 @@ SELECT id, d_num,
   (lag(sell_price, 1) {over()} - sell_price) / lag(sell_price, 1) {over()} AS price_change_t1
 FROM priced""")
 def q_price_change_rel(spark, sf_dir):
-    df = _priced_panel(spark, sf_dir).select("id", "d_num", "sell_price")
-    return W.price_change_features(df, std_wins=()).select("id", "d_num", "price_change_t1")
+    df = _priced_panel(spark, sf_dir)
+    return W.price_change_features(df, std_wins=(), w=W.series_window(J.SERIES_KEYS)).select("id", "d_num", "price_change_t1")
 
 
 @register("price_change_year", with_views("v_panel", "v_prices", extra=[_PRICED_PANEL_SQL]) + f"""
@@ -187,8 +191,8 @@ SELECT id, d_num,
     AS price_change_t365
 FROM priced""")
 def q_price_change_year(spark, sf_dir):
-    df = _priced_panel(spark, sf_dir).select("id", "d_num", "sell_price")
-    return W.price_change_features(df, std_wins=()).select("id", "d_num", "price_change_t365")
+    df = _priced_panel(spark, sf_dir)
+    return W.price_change_features(df, std_wins=(), w=W.series_window(J.SERIES_KEYS)).select("id", "d_num", "price_change_t365")
 
 
 @register("rolling_price_std", with_views("v_panel", "v_prices", extra=[_PRICED_PANEL_SQL]) + f"""
@@ -197,8 +201,8 @@ SELECT id, d_num,
   round({rolling('sell_price', 'stddev_samp', 30)}, 6) AS rolling_price_std_t30
 FROM priced""")
 def q_rolling_price_std(spark, sf_dir):
-    df = _priced_panel(spark, sf_dir).select("id", "d_num", "sell_price")
-    out = W.price_change_features(df, std_wins=(7, 30))
+    df = _priced_panel(spark, sf_dir)
+    out = W.price_change_features(df, std_wins=(7, 30), w=W.series_window(J.SERIES_KEYS))
     return out.select("id", "d_num", *[F.round(f"rolling_price_std_t{k}", 6)
                                        .alias(f"rolling_price_std_t{k}") for k in (7, 30)])
 

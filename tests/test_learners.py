@@ -113,7 +113,7 @@ def test_boosting_history_and_patience(nominal):
 
 def test_rolling_moments_equal_pandas(spark):
     r = np.random.default_rng(2)
-    parts = {"a": r.normal(0, 1, 150), "b": r.normal(1e9, 3, 150), "c": np.repeat([2.5, 2.5, 7.0], 50), "d": r.random(40) * 1e-3}
+    parts = {"a": r.normal(0, 1, 150), "b": r.normal(1e9, 3, 150), "c": np.repeat([2.5, 2.5, 7.0], 50), "d": r.random(40)}
     parts["a"][60] = np.nan
     pdf = pd.concat([pd.DataFrame({"id": k, "d_num": range(len(v)), "x": v}) for k, v in parts.items()])
     df = spark.createDataFrame([(a, int(b), None if np.isnan(c) else float(c)) for a, b, c in pdf.values.tolist()],

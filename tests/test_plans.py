@@ -3,6 +3,7 @@ recursion without per-step shuffles."""
 
 from pyspark.sql import functions as F
 
+from shelfcast.operators import windows as W
 from shelfcast.plans import features as FE
 from shelfcast.plans import forecast as FC
 from shelfcast.sources import tables as T
@@ -89,3 +90,32 @@ def test_price_queries_read_lineitem_once(spark):
         plan = _plan(registry.queries()[key](spark, SF_SMALL))
         # The daily table was written once; the query itself reads that copy.
         assert "lineitem" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_price_join_and_features_share_one_exchange(spark):
+    """The panel is shuffled once for the price join and all price windows."""
+    from shelfcast.operators import joins as J
+    panel, prices = V.panel_and_prices(spark, SF_SMALL)
+    rows = panel.select("id", *J.SERIES_KEYS, "d_num", V.wm_yr_wk(F.col("d_num")).alias("wm_yr_wk"))
+    joined = J.join_series_prices(rows, prices)
+    out = W.price_change_features(W.price_delta(joined, w=W.series_window(J.SERIES_KEYS)), w=W.series_window(J.SERIES_KEYS))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    # One of the panel; the other two sum and lay out the prices.
+    assert sum("item_id" in x and "store_id" in x for x in exchanges) <= 3, exchanges
+    assert plan.count("Window [") >= 5
+    below_windows = plan[plan.rindex("Window ["):]
+    assert "SortMergeJoin" in below_windows
+    head = plan[:plan.index("SortMergeJoin")]
+    assert "Exchange" not in head, head
+
+
+def test_series_price_join_equals_the_three_key_join(spark):
+    from shelfcast.operators import joins as J
+    panel, prices = V.panel_and_prices(spark, SF_SMALL)
+    rows = panel.select("id", *J.SERIES_KEYS, "d_num", V.wm_yr_wk(F.col("d_num")).alias("wm_yr_wk"))
+    cols = ["id", "d_num", "sell_price"]
+    for how in ("inner", "left"):
+        a = J.join_prices(rows, prices, how).select(*cols)
+        b = J.join_series_prices(rows, prices, how).select(*cols)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
