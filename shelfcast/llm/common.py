@@ -43,6 +43,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(df: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def blank_words(text) -> F.Column:
     """Words between ASCII white space, unchanged; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

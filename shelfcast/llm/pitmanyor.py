@@ -10,9 +10,11 @@ table of a context restaurant sends one customer to the parent.
 Words are dealt to buckets, and a bucket's task holds all tables of its words
 in every context.  A sweep reseats each customer given all others of its
 context and word: at a new table with weight ``(strength + discount * tables
-of the context) * P(word)``, at a table of s customers with ``s - discount``.
-Totals over contexts are those of the sweep before, and a word with very many
-customers in one context reseats 1/64 of them at a time.  The first
+of the context) * P(word)``, at a table of s customers with ``s - discount``;
+up to ``JOINT`` customers of a context and word are seated together, from the
+exact distribution of their seatings.  Totals over contexts are those of the
+sweep before, and a word with very many customers in one context reseats 1/64
+of them at a time.  The first
 ``burn_in`` sweeps are left out; the predictive probabilities of the later ones
 are averaged:
 
@@ -36,14 +38,16 @@ read; long texts are read in pieces.
 
 from __future__ import annotations
 
+import functools
+import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.common import byte_pieces, written
+from shelfcast.llm.common import byte_pieces, drop_written, written
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CONTEXTS = 1 << 16
@@ -76,9 +80,9 @@ class Block:
         n = 1
         for piece in byte_pieces(text):
             words = piece.translate(_FOLD).split()
-            self.ids.append(np.fromiter(map(self.vocab.__getitem__, words), np.int64, len(words)))
+            self.ids.append(np.fromiter(map(self.vocab.__getitem__, words), np.int32, len(words)))
             n += len(words)
-        self.ids.append(np.zeros(1, np.int64))
+        self.ids.append(np.zeros(1, np.int32))
         self.sizes.append(n)
         self.keys.append(key)
         self.held.append(key is not None and zlib.crc32(str(key).encode()) % 7 == 2)
@@ -86,13 +90,13 @@ class Block:
 
     def arrays(self):
         """(word, context, position, held out) of every token, and the words."""
-        word = np.concatenate(self.ids) if self.ids else np.empty(0, np.int64)
+        word = np.concatenate(self.ids)
         words = list(self.vocab)
-        code = np.array([zlib.crc32(w) for w in words], np.int64)
-        before = np.r_[0, word[:-1]] if len(word) else word     # an end token stands before each first word
-        pos = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        held = np.array(self.held, bool)[pos] if len(pos) else np.empty(0, bool)
-        return word, (code % CONTEXTS)[before], pos, held, words, code
+        code = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+        before = np.empty_like(word)                            # an end token stands before each first word
+        before[0], before[1:] = 0, word[:-1]
+        pos = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        return word, (code % CONTEXTS).astype(np.int32)[before], pos, np.array(self.held, bool)[pos], words, code
 
 
 def _read(batches):
@@ -107,10 +111,33 @@ def _read(batches):
         yield block
 
 
-def _lists(ends, values, kind):
+def _pack(values) -> bytes:
+    """Whole numbers from 0 in the fewest bytes each."""
+    values = np.asarray(values)
+    most = int(values.max(initial=0))
+    size = next(k for k in (1, 2, 4, 8) if most < 1 << 8 * k)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _unpack(data) -> np.ndarray:
+    data = memoryview(data)
+    return np.frombuffer(data[1:], f"<u{data[0]}").astype(np.int64)
+
+
+def _batch(rows, names):
+    """Arrow batch of (int or bytes or None) rows."""
     import pyarrow as pa
 
-    return pa.ListArray.from_arrays(pa.array(np.asarray(ends, np.int32)), pa.array(np.asarray(values, kind)))
+    kinds = {"bucket": pa.int32(), "block": pa.int64()}
+    cols = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.binary())) for n, c in zip(names, cols)], names=names)
+
+
+def _counted(key: np.ndarray):
+    """(distinct values, counts); ``key`` is sorted in place."""
+    key.sort()
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    return key[first], np.diff(np.r_[first, len(key)])
 
 
 def frequent(src: DataFrame) -> tuple[int, dict[bytes, set[int]]]:
@@ -125,9 +152,10 @@ def frequent(src: DataFrame) -> tuple[int, dict[bytes, set[int]]]:
         for block in _read(batches):
             word, ctx, _, _, words, _ = block.arrays()
             n = np.bincount(word, minlength=len(words))
-            big = np.flatnonzero(n >= HOT / 2 * len(word))
-            mine = np.isin(word, big)
-            pair, m = np.unique(word[mine] * CONTEXTS + ctx[mine], return_counts=True)
+            often = n >= HOT / 2 * len(word)
+            big = np.flatnonzero(often)
+            mine = often[word]
+            pair, m = _counted(word[mine].astype(np.int64) * CONTEXTS + ctx[mine])
             pair, m = pair[m >= HOT / 2 * len(word)], m[m >= HOT / 2 * len(word)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([None, *(words[i] for i in big), *(words[i] for i in pair // CONTEXTS)], pa.binary()),
@@ -152,38 +180,40 @@ def _home(code, ctx, hot, spread, buckets):
 
 def _entries(block: Block, hot: dict[bytes, set[int]], buckets: int, number: int, train_only: bool):
     """Rows (bucket, block, words, counts, ctx, pos, n): distinct (word, context[, document]) with
-    their tokens; n is negative for documents held out."""
-    import pyarrow as pa
-
+    their tokens, of one bucket each."""
     word, ctx, pos, held, words, code = block.arrays()
-    is_hot = np.array([w in hot for w in words], np.int64)
+    is_hot = np.fromiter((w in hot for w in words), np.int64, len(words))
     if train_only:
-        word, ctx, pos = word[~held], ctx[~held], 0 * pos[~held]
-    key, n = np.unique((word * CONTEXTS + ctx) * DOCS + pos, return_counts=True)
+        word, ctx = word[~held], ctx[~held]
+    key = word.astype(np.int64)
+    key *= CONTEXTS
+    key += ctx
+    key *= DOCS
+    if not train_only:
+        key += pos
+    del word, ctx, pos, held
+    key, n = _counted(key)
     pos, pair = key % DOCS, key // DOCS
     word, ctx = pair // CONTEXTS, pair % CONTEXTS
     spread = np.zeros(len(key), np.int64)
     if not train_only:
-        own = np.array(block.held, bool)
-        n = np.where(own[pos], -n, n)
         pairs = [i * CONTEXTS + c for i in np.flatnonzero(is_hot) for c in hot[words[i]]]
         spread[np.isin(pair, np.array(pairs, np.int64))] = number * 31 + 1
     home = _home(code[word], ctx, is_hot[word], spread, buckets)
     order = np.argsort(home, kind="stable")
     home, word, ctx, pos, n = home[order], word[order], ctx[order], pos[order], n[order]
-    first = np.flatnonzero(np.r_[True, (home[1:] != home[:-1]) | (word[1:] != word[:-1])]) if len(home) else np.empty(0, int)
-    at = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else np.empty(0, int)
-    word_ends = np.r_[np.searchsorted(first, at), len(first)]
-    ends = np.r_[at, len(home)]
-    names = pa.array([words[i] for i in word[first]], pa.binary())
-    return [pa.array(home[at], pa.int32()), pa.array(np.full(len(at), number), pa.int64()),
-            pa.ListArray.from_arrays(pa.array(word_ends.astype(np.int32)), names),
-            _lists(word_ends, np.diff(np.r_[first, len(home)]), np.int32),
-            _lists(ends, ctx.astype(np.uint16).view(np.int16), np.int16),
-            _lists(ends, pos, np.int16), _lists(ends, n, np.int32)]
-
-
-ROWS = "bucket int, block long, words array<binary>, counts array<int>, ctx array<short>, pos array<short>, n array<int>"
+    ends = np.r_[np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else [0], len(home)].astype(int)
+    for lo, hi in zip(ends[:-1], ends[1:]):
+        if lo == hi:
+            continue
+        own = word[lo:hi]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        yield (int(home[lo]), number, b" ".join([words[i] for i in own[first]]), _pack(np.diff(np.r_[first, hi - lo])),
+               _pack(ctx[lo:hi]), None if train_only else _pack(pos[lo:hi]), _pack(n[lo:hi]))
+
+
+#: Number lists are packed; words hold no blank, so they are joined by one.
+ROWS = "bucket int, block long, words binary, counts binary, ctx binary, pos binary, n binary"
 ROW_NAMES = ["bucket", "block", "words", "counts", "ctx", "pos", "n"]
 
 
@@ -193,41 +223,45 @@ def _number(k: int) -> int:
 
 def training_counts(src: DataFrame, hot, buckets: int) -> DataFrame:
     def run(batches):
-        import pyarrow as pa
-
         for k, block in enumerate(_read(batches)):
-            yield pa.RecordBatch.from_arrays(_entries(block, hot, buckets, _number(k), True), names=ROW_NAMES)
+            yield _batch(list(_entries(block, hot, buckets, _number(k), True)), ROW_NAMES)
 
     return src.mapInArrow(run, ROWS)
 
 
 def scored_tokens(src: DataFrame, hot, buckets: int) -> DataFrame:
-    """All documents' entries; one row more per block, with its ids."""
+    """All documents' entries; one row more per block, with its ids and numbers of tokens."""
+    names = [*ROW_NAMES, "ids", "sizes"]
+
     def run(batches):
         import pyarrow as pa
 
         for k, block in enumerate(_read(batches)):
-            cols = _entries(block, hot, buckets, _number(k), False)
-            none = pa.nulls(len(cols[0]), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*cols, none], names=[*ROW_NAMES, "ids"])
-            one = [pa.array([_number(k) % buckets], pa.int32()), pa.array([_number(k)], pa.int64()),
-                   *(pa.nulls(1, c.type) for c in cols[2:]), pa.array([block.keys], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(one, names=[*ROW_NAMES, "ids"])
+            rows = [(*row, None, None) for row in _entries(block, hot, buckets, _number(k), False)]
+            ids = pa.array(block.keys, pa.int64())
+            known = _pack(np.asarray(ids.is_valid()))
+            rows.append((_number(k) % buckets, _number(k), *[None] * 5,
+                         known + np.asarray(ids.fill_null(0), "<i8").tobytes(), _pack(block.sizes)))
+            yield _batch(rows, names)
 
-    return src.mapInArrow(run, ROWS + ", ids array<long>")
+    return src.mapInArrow(run, ROWS + ", ids binary, sizes binary")
 
 
-def _flat(column):
-    """Values of a list column, and the length of each list."""
+def _joined(rows):
+    """(distinct words, word of each entry, context, tokens, entries of each row) of packed rows."""
     import pyarrow as pa
-    import pyarrow.compute as pc
 
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten(), np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    words = [w for x in rows.column("words") for w in x.as_py().split(b" ")]
+    code = pa.array(words, pa.binary()).dictionary_encode()
+    parts = {k: [_unpack(x.as_buffer()) for x in rows.column(k)] for k in ("counts", "ctx", "n")}
+    each = np.repeat(np.asarray(code.indices).astype(np.int64), np.concatenate(parts["counts"]))
+    return (code.dictionary, each, np.concatenate(parts["ctx"]), np.concatenate(parts["n"]),
+            np.array([len(x) for x in parts["ctx"]]))
 
 
-STATE = ("bucket int, words array<binary>, pairs array<int>, ctx array<short>, customers array<int>, tables array<int>, "
-         "seated array<int>, total array<long>, parents array<int>, parent_seated array<int>, averages array<double>")
+STATE_NAMES = ["bucket", "words", "pairs", "ctx", "customers", "tables", "seated", "total", "parents", "parent_seated",
+               "averages"]
+STATE = "bucket int, " + ", ".join(f"{x} binary" for x in STATE_NAMES[1:])
 
 
 def initial_state(counts: DataFrame) -> DataFrame:
@@ -235,27 +269,31 @@ def initial_state(counts: DataFrame) -> DataFrame:
     def run(table):
         import pyarrow as pa
 
-        bucket = table.column("bucket")[0].as_py()
-        names, _ = _flat(table.column("words"))
-        per, _ = _flat(table.column("counts"))
-        code = names.dictionary_encode()
-        word = np.repeat(np.asarray(code.indices), np.asarray(per)).astype(np.int64)
-        ctx = np.asarray(_flat(table.column("ctx"))[0]).view(np.uint16).astype(np.int64)
-        n = np.asarray(_flat(table.column("n"))[0])
+        names, word, ctx, n, _ = _joined(table)
         pair, at = np.unique(word * CONTEXTS + ctx, return_inverse=True)
         c = np.bincount(at, weights=n, minlength=len(pair)).astype(np.int64)
-        pairs = np.bincount(pair // CONTEXTS, minlength=len(code.dictionary))
-        one = lambda x, kind: _lists([0, len(x)], x, kind)
-        return pa.table([
-            pa.array([bucket], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(code.dictionary)], pa.int32()), code.dictionary),
-            one(pairs, np.int32), one((pair % CONTEXTS).astype(np.uint16).view(np.int16), np.int16), one(c, np.int32),
-            one(np.ones(len(c)), np.int32), one(c, np.int32), one(np.zeros(len(c)), np.int64),
-            one(np.ones(len(pairs)), np.int32), one(pairs, np.int32), one([], np.float64)],
-            names=[x.split()[0] for x in STATE.split(", ")])
+        pairs = np.bincount(pair // CONTEXTS, minlength=len(names))
+        one = np.ones(len(c), np.int64)
+        row = (table.column("bucket")[0].as_py(), b" ".join(names.to_pylist()), _pack(pairs), _pack(pair % CONTEXTS),
+               _pack(c), _pack(one), _pack(c), _pack(0 * c), _pack(np.ones(len(pairs), np.int64)), _pack(pairs), b"")
+        return pa.Table.from_batches([_batch([row], STATE_NAMES)])
 
     return counts.groupBy("bucket").applyInArrow(run, STATE)
 
 
+def _shuffled(group, n_groups: int, rng):
+    """Indices by rising group, in random order within each: one sort of (group, draw, index)."""
+    index = max(1, len(group)).bit_length()
+    draw = 63 - n_groups.bit_length() - index
+    key = group.astype(np.int64) << draw
+    key |= rng.integers(0, 1 << draw, len(group))
+    key <<= index
+    key |= np.arange(len(group))
+    key.sort()
+    key &= (1 << index) - 1
+    return key
+
+
 def reseat(seated, group, weight, discount: float, rng, parts: int = 64):
     """One Gibbs sweep: every customer leaves its table and is seated again.
 
@@ -268,13 +306,12 @@ def reseat(seated, group, weight, discount: float, rng, parts: int = 64):
     own = group[table]
     size = np.bincount(own, minlength=n_groups)
     start = np.cumsum(size) - size
-    # Customers of one table or group are exchangeable: a random order within the group, dealt to parts.
-    order = np.lexsort((rng.random(len(own)), own))
-    turn = (np.arange(len(own)) - start[own]) % parts
-    turn_of = np.empty(len(own), np.int64)
-    turn_of[order] = turn
-    queue = np.argsort(turn_of, kind="stable")
-    ends = np.searchsorted(turn_of[queue], np.arange(parts + 1))
+    # A random order within each group, dealt to parts in turn.
+    order = _shuffled(own, n_groups, rng)
+    turn = ((np.arange(len(own)) - np.repeat(start, size)) % parts).astype(np.int64)
+    queue = np.sort(turn << 40 | order)
+    ends = np.searchsorted(queue, np.arange(parts + 1) << 40)
+    queue &= (1 << 40) - 1
     held = np.zeros(tables + len(own), np.int64)
     held[:tables] = seated
     count = size.copy()
@@ -286,8 +323,7 @@ def reseat(seated, group, weight, discount: float, rng, parts: int = 64):
         left, g = table[who], own[who]
         np.subtract.at(held, left, 1)
         np.subtract.at(count, g, 1)
-        gone = np.unique(left)
-        gone = gone[held[gone] == 0]
+        gone = np.unique(left[held[left] == 0])
         np.subtract.at(open_, np.where(gone < tables, group[np.minimum(gone, tables - 1)], own[gone - tables]), 1)
         table[who] = -1
         rest = count[g] - discount * open_[g]
@@ -316,7 +352,7 @@ def _resize(seated, group, want, rng):
     """Let random customers go, or seat more at tables of their own, until each group has ``want``."""
     table = np.repeat(np.arange(len(seated)), seated)
     own = group[table]
-    order = np.lexsort((rng.random(len(own)), own))
+    order = _shuffled(own, len(want), rng)
     size = np.bincount(own, minlength=len(want))
     rank = np.arange(len(own)) - (np.cumsum(size) - size)[own[order]]
     stay = order[rank < want[own[order]]]
@@ -351,24 +387,22 @@ class Totals:
         return STRENGTH + self.discount * self.tables
 
 
+#: Customers reseated together: bounds the arrays of a task.
+CHUNK = 1 << 18
+
+
 class Seats:
     """A bucket's state row as arrays."""
 
     def __init__(self, row: dict):
-        names = ("pairs", "ctx", "customers", "tables", "seated", "total", "parents", "parent_seated", "averages")
-        for k in names:
-            setattr(self, k, np.asarray(row[k].values))
-        self.words = row["words"].values
-        self.ctx = self.ctx.view(np.uint16).astype(np.int64)
+        for k in STATE_NAMES[2:-1]:
+            setattr(self, k, _unpack(row[k].as_buffer()))
+        self.words = row["words"].as_py().split(b" ")
+        self.averages = np.frombuffer(row["averages"].as_buffer(), "<f8")
         self.word = np.repeat(np.arange(len(self.pairs)), self.pairs)
 
     def hot_words(self, hot) -> list[int]:
-        if not hot:
-            return []
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        return np.flatnonzero(np.asarray(pc.is_in(self.words, pa.array(list(hot), pa.binary())))).tolist()
+        return [i for i, w in enumerate(self.words) if w in hot] if hot else []
 
     def parent_counts(self):
         """Parent customers and tables of each word, of this bucket."""
@@ -378,45 +412,101 @@ class Seats:
         """P(word); of a hot word with what other buckets hold of it, as of the last sweep."""
         n, t = (np.array(x, float) for x in self.parent_counts())
         for i in self.hot_words(totals.hot):
-            n[i], t[i] = totals.hot[self.words[i].as_py()][:2]
+            n[i], t[i] = totals.hot[self.words[i]][:2]
         return totals.word(n, t)
 
     def sweep(self, totals: Totals, rng) -> None:
-        p = self.word_probability(totals)
-        group = np.repeat(np.arange(len(self.tables)), self.tables)
-        seated, group = reseat(self.seated, group, totals.rise()[self.ctx] * p[self.word], totals.discount, rng)
-        self.seated, self.tables = seated, np.bincount(group, minlength=len(self.ctx))
+        weight = totals.rise()[self.ctx] * self.word_probability(totals)[self.word]
+        self.seated, self.tables = _reseat_all(self.seated, self.tables, weight, totals.discount, rng)
         want = np.bincount(self.word, weights=self.tables, minlength=len(self.pairs)).astype(np.int64)
         above = np.repeat(np.arange(len(self.pairs)), self.parents)
         seated, above = _resize(self.parent_seated, above, want, rng)
-        seated, above = reseat(seated, above, np.full(len(want), totals.base()), totals.parent_discount, rng)
-        self.parent_seated, self.parents = seated, np.bincount(above, minlength=len(want))
+        self.parent_seated, self.parents = _reseat_all(
+            seated, np.bincount(above, minlength=len(want)), np.full(len(want), totals.base()), totals.parent_discount, rng)
 
     def keep(self, totals: Totals) -> None:
         """Add this sample: tables per pair, and P(word)."""
         self.total = self.total + self.tables
         self.averages = np.concatenate([self.averages, self.word_probability(totals)])
 
-    def columns(self, bucket: int):
-        import pyarrow as pa
+    def row(self, bucket: int) -> tuple:
+        return (bucket, b" ".join(self.words), *(_pack(getattr(self, k)) for k in STATE_NAMES[2:-1]),
+                self.averages.astype("<f8").tobytes())
+
 
-        one = lambda x, kind: _lists([0, len(x)], x, kind)
-        return [pa.array([bucket], pa.int32()),
-                pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), self.words),
-                one(self.pairs, np.int32), one(self.ctx.astype(np.uint16).view(np.int16), np.int16),
-                one(self.customers, np.int32), one(self.tables, np.int32), one(self.seated, np.int32),
-                one(self.total, np.int64), one(self.parents, np.int32), one(self.parent_seated, np.int32),
-                one(self.averages, np.float64)]
+@functools.cache
+def _seatings(n: int, discount: float):
+    """Table sizes of all seatings of ``n`` customers, their numbers of tables, and their chance
+    up to weight ** tables: the ways to form them times the old customers' shares."""
+    def parts(left, most):
+        if not left:
+            yield ()
+        for k in range(min(left, most), 0, -1):
+            for rest in parts(left - k, k):
+                yield (k, *rest)
 
+    sizes = list(parts(n, n))
+    chance = []
+    for s in sizes:
+        ways = math.factorial(n) / math.prod(math.factorial(k) for k in s) / math.prod(
+            math.factorial(m) for m in Counter(s).values())
+        chance.append(ways * math.prod(math.prod(j - discount for j in range(1, k)) for k in s))
+    return sizes, np.array([len(s) for s in sizes]), np.array(chance)
 
-STATE_NAMES = [x.split()[0] for x in STATE.split(", ")]
 
+#: Groups up to here are seated jointly from all their seatings.
+JOINT = 8
 
-def _each(batches):
-    """(bucket, Seats) of every state row."""
+
+def _reseat_all(seated, tables, weight, discount: float, rng):
+    """One sweep over all groups: (seated, tables per group).
+
+    Groups of up to ``JOINT`` customers draw their whole seating at once from its exact conditional
+    distribution (a blocked Gibbs step); larger ones go through ``reseat`` in chunks of whole groups.
+    """
+    ends = np.cumsum(tables)
+    size = np.add.reduceat(seated, ends - tables) if len(tables) else np.empty(0, np.int64)
+    new_tables, drawn = tables.copy(), []
+    for n in range(2, JOINT + 1):
+        group = np.flatnonzero(size == n)
+        if not len(group):
+            continue
+        sizes, count, chance = _seatings(n, discount)
+        up = np.cumsum(chance * weight[group][:, None] ** count, axis=1)
+        pick = (rng.random(len(group))[:, None] * up[:, -1:] >= up[:, :-1]).sum(1)
+        new_tables[group] = count[pick]
+        drawn += [(group[pick == k], s) for k, s in enumerate(sizes)]
+    many = size > JOINT
+    pieces = np.repeat(many, tables)
+    own, group = seated[pieces], np.flatnonzero(many)
+    counts = tables[group]
+    moved, at, lo = [], np.cumsum(counts), 0
+    bounds = np.cumsum(size[group])
+    while lo < len(group):
+        hi = max(lo + 1, int(np.searchsorted(bounds, (bounds[lo - 1] if lo else 0) + CHUNK, "right")))
+        a, b = at[lo] - counts[lo], at[hi - 1]
+        got, which = reseat(own[a:b], np.repeat(np.arange(hi - lo), counts[lo:hi]), weight[group[lo:hi]], discount, rng)
+        new_tables[group[lo:hi]] = np.bincount(which, minlength=hi - lo)
+        moved.append(got)
+        lo = hi
+    out = np.ones(int(new_tables.sum()), np.int64)
+    start = np.cumsum(new_tables) - new_tables
+    for group, sizes in drawn:
+        for j, k in enumerate(sizes):
+            out[start[group] + j] = k
+    if moved:
+        out[np.repeat(many, new_tables)] = np.concatenate(moved)
+    return out, new_tables
+
+
+def _each(batches, pending: Totals | None = None):
+    """(bucket, Seats) of every state row; ``pending``: a sample that is still to be added."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.column(0)[i].as_py(), Seats({k: batch.column(j)[i] for j, k in enumerate(STATE_NAMES) if j})
+            seats = Seats({k: batch.column(j)[i] for j, k in enumerate(STATE_NAMES) if j})
+            if pending is not None:
+                seats.keep(pending)
+            yield batch.column(0)[i].as_py(), seats
 
 
 def summed(state: DataFrame, hot, discounts=None) -> Totals:
@@ -436,7 +526,7 @@ def summed(state: DataFrame, hot, discounts=None) -> Totals:
             cold = np.ones(len(n), bool)
             c = np.bincount(s.word, weights=s.customers, minlength=len(n))
             for i in s.hot_words(hot):
-                own[names.index(s.words[i].as_py())] += n[i], t[i], c[i]
+                own[names.index(s.words[i])] += n[i], t[i], c[i]
                 cold[i] = False
             ones += (n.sum(), t.sum(), cold.sum(), s.customers.sum(), (s.customers == 1).sum(),
                      (s.customers == 2).sum(), (n == 1).sum(), (n == 2).sum())
@@ -480,32 +570,21 @@ def fit(src: DataFrame, burn_in: int = 2, samples: int = 2, seed: int = 11) -> M
     counts = training_counts(src, hot, buckets)
     state = written(initial_state(counts), "pitmanyor-seats")
     totals = summed(state, hot)
-    kept = []
+    kept: list[Totals] = []
     for k in range(burn_in + samples):
         shared = spark.sparkContext.broadcast(totals)     # CONTEXTS numbers twice, 2 / HOT words
 
-        def run(batches, k=k, shared=shared):
-            import pyarrow as pa
-
-            for bucket, s in _each(batches):
-                rng = np.random.default_rng([seed, k, bucket])
-                s.sweep(shared.value, rng)
-                yield pa.RecordBatch.from_arrays(s.columns(bucket), names=STATE_NAMES)
+        def run(batches, k=k, shared=shared, again=bool(kept)):
+            now = shared.value
+            for bucket, s in _each(batches, now if again else None):
+                s.sweep(now, np.random.default_rng([seed, k, bucket]))
+                yield _batch([s.row(bucket)], STATE_NAMES)
 
-        state = written(state.mapInArrow(run, STATE), "pitmanyor-seats")
+        before, state = state, written(state.mapInArrow(run, STATE), "pitmanyor-seats")
+        drop_written(before)
         totals = summed(state, hot, (totals.discount, totals.parent_discount))
         if k >= burn_in:
             kept.append(totals)
-            shared = spark.sparkContext.broadcast(totals)
-
-            def add(batches, shared=shared):
-                import pyarrow as pa
-
-                for bucket, s in _each(batches):
-                    s.keep(shared.value)
-                    yield pa.RecordBatch.from_arrays(s.columns(bucket), names=STATE_NAMES)
-
-            state = state.mapInArrow(add, STATE)
     return Model(state, kept, totals, hot, buckets)
 
 
@@ -513,77 +592,75 @@ def hot_pairs(model: Model) -> dict[tuple[bytes, int], tuple[int, int]]:
     """(word, context) -> (customers, tables over all samples) of the pairs that are scored anywhere."""
     hot = {w: c for w, c in model.hot.items() if c}
 
+    last = model.samples[-1]
+
     def run(batches):
         import pyarrow as pa
 
         out = []
-        for _, s in _each(batches):
+        for _, s in _each(batches, last):
             for i in s.hot_words(hot):
-                w = s.words[i].as_py()
-                at = np.flatnonzero((s.word == i) & np.isin(s.ctx, list(hot[w])))
-                out += [(w, int(s.ctx[j]), int(s.customers[j]), int(s.total[j])) for j in at]
+                at = np.flatnonzero((s.word == i) & np.isin(s.ctx, list(hot[s.words[i]])))
+                out += [(s.words[i], int(s.ctx[j]), int(s.customers[j]), int(s.total[j])) for j in at]
         cols = list(zip(*out)) or [()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), *(pa.int64(),) * 3))],
                                          names=["word", "ctx", "c", "t"])
 
+    if not hot:
+        return {}
     rows = model.state.mapInArrow(run, "word binary, ctx long, c long, t long").collect()
     return {(bytes(r["word"]), r["ctx"]): (r["c"], r["t"]) for r in rows}
 
 
 class Scorer:
-    """Scores of a bucket's tokens; ``seats`` is None where no training document holds its words."""
+    """Probabilities of a bucket's tokens; ``seats`` is None where no training document holds its words.
 
-    def __init__(self, samples: list[Totals], pairs: dict, seats: Seats | None):
-        self.samples, self.pairs, self.seats = samples, pairs, seats
-        self.last = samples[-1]
+    ``names``: the distinct words that entries refer to by position.
+    """
 
-    def words(self, names):
-        """(index in the state or -1, training tokens, P(word) per sample) of distinct words."""
+    def __init__(self, samples: list[Totals], pairs: dict, names, seats: Seats | None):
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        self.samples, self.seats, self.last = samples, seats, samples[-1]
         n = len(names)
-        at, c = np.full(n, -1), np.zeros(n)
-        p = np.array([np.full(n, t.unknown()) for t in self.samples])
-        if s := self.seats:
-            at = np.asarray(pc.fill_null(pc.index_in(names, s.words), -1)).astype(np.int64)
-            own = at >= 0
-            c[own] = np.bincount(s.word, weights=s.customers, minlength=len(s.pairs))[at[own]]
-            p[:, own] = s.averages.reshape(len(self.samples), -1)[:, at[own]]
-        hot = list(self.last.hot)
-        for i in np.flatnonzero(np.asarray(pc.is_in(names, pa.array(hot, pa.binary())))) if hot else ():
-            w = names[i].as_py()
-            c[i] = self.last.hot[w][2]
-            p[:, i] = [t.word(*t.hot[w][:2]) for t in self.samples]
-        return at, c, p
-
-    def entries(self, names, word, ctx):
+        self.at, self.tokens = np.full(n, -1), np.zeros(n)
+        self.p = np.array([np.full(n, t.unknown()) for t in samples])
+        if s := seats:
+            self.at = np.asarray(pc.fill_null(pc.index_in(names, pa.array(s.words, pa.binary())), -1)).astype(np.int64)
+            own = self.at >= 0
+            self.tokens[own] = np.bincount(s.word, weights=s.customers, minlength=len(s.pairs))[self.at[own]]
+            self.p[:, own] = s.averages.reshape(len(samples), -1)[:, self.at[own]]
+            self.known = s.word * CONTEXTS + s.ctx
+        index = {w: i for i, w in enumerate(names.to_pylist()) if w in self.last.hot} if self.last.hot else {}
+        for w, i in index.items():
+            self.tokens[i] = self.last.hot[w][2]
+            self.p[:, i] = [t.word(*t.hot[w][:2]) for t in samples]
+        self.spread = np.array(sorted((index[w] * CONTEXTS + u, *v) for (w, u), v in pairs.items() if w in index),
+                               np.int64).reshape(-1, 3)
+        self.rise = [x.rise() for x in samples]
+
+    def entries(self, word, ctx):
         """(training tokens of the word, averaged P(word | context)) of each entry."""
-        at, c_word, p = self.words(names)
         c, t = np.zeros(len(word)), np.zeros(len(word))
         if s := self.seats:
-            known = s.word * CONTEXTS + s.ctx
-            key = at[word] * CONTEXTS + ctx
-            i = np.minimum(np.searchsorted(known, key), len(known) - 1)
-            hit = (known[i] == key) & (at[word] >= 0)
+            key = self.at[word] * CONTEXTS + ctx
+            i = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+            hit = (self.known[i] == key) & (self.at[word] >= 0)
             c[hit], t[hit] = s.customers[i[hit]], s.total[i[hit]]
-        if self.pairs:
-            index = {w: k for k, w in enumerate(names.to_pylist()) if w in self.last.hot}
-            mine = sorted((index[w] * CONTEXTS + u, *v) for (w, u), v in self.pairs.items() if w in index)
-            if mine:
-                known, cs, ts = (np.array(x) for x in zip(*mine))
-                key = word * CONTEXTS + ctx
-                i = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                hit = known[i] == key
-                c[hit], t[hit] = cs[i[hit]], ts[i[hit]]
+        if len(self.spread):
+            key = word * CONTEXTS + ctx
+            i = np.minimum(np.searchsorted(self.spread[:, 0], key), len(self.spread) - 1)
+            hit = self.spread[i, 0] == key
+            c[hit], t[hit] = self.spread[i[hit], 1], self.spread[i[hit], 2]
         m = len(self.samples)
-        down = sum(x.rise()[ctx] * p[k, word] for k, x in enumerate(self.samples))
+        down = sum(x[ctx] * p[word] for x, p in zip(self.rise, self.p))
         prob = (m * c - self.last.discount * t + down) / (m * (STRENGTH + self.last.customers[ctx]))
-        return c_word[word], prob
+        return self.tokens[word], prob
 
 
-PART = ("bucket int, block long, ids array<long>, pos array<short>, tokens array<int>, known array<int>, "
-        "base array<double>, score array<double>")
+PART_NAMES = ["bucket", "block", "ids", "sizes", "pos", "known", "base", "score"]
+PART = "bucket int, block long, ids binary, sizes binary, pos binary, known binary, base binary, score binary"
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
@@ -591,38 +668,35 @@ RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 def score(src: DataFrame, model: Model) -> DataFrame:
     spark = src.sparkSession
     shared = spark.sparkContext.broadcast((model.samples, hot_pairs(model)))  # bounded by CONTEXTS and 2 / HOT
-    names = [x.split()[0] for x in PART.split(", ")]
 
     def run(state, rows):
         import pyarrow as pa
         import pyarrow.compute as pc
 
         samples, pairs = shared.value
-        rows = rows.combine_chunks()
+        last = samples[-1]
         lists = pc.is_valid(rows.column("ids"))
         ids, rows = rows.filter(lists), rows.filter(pc.invert(lists))
-        none = lambda t: pa.nulls(ids.num_rows, pa.list_(t))
-        kinds = (pa.int16(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
-        out = [pa.table([ids.column("bucket"), ids.column("block"), ids.column("ids"), *map(none, kinds)], names=names)]
+        out = [(b, k, i, s, None, None, None, None) for b, k, i, s in zip(*(ids.column(x).to_pylist() for x in
+                                                                     ("bucket", "block", "ids", "sizes")))]
         if rows.num_rows:
-            state = state.combine_chunks()
-            seats = Seats({k: state.column(k)[0] for k in STATE_NAMES}) if state.num_rows else None
-            code = _flat(rows.column("words"))[0].dictionary_encode()
-            word = np.repeat(np.asarray(code.indices), np.asarray(_flat(rows.column("counts"))[0])).astype(np.int64)
-            ctx, size = _flat(rows.column("ctx"))
-            ctx = np.asarray(ctx).view(np.uint16).astype(np.int64)
-            pos = np.asarray(_flat(rows.column("pos"))[0]).astype(np.int64)
-            n = np.abs(np.asarray(_flat(rows.column("n"))[0]))
-            c, prob = Scorer(samples, pairs, seats).entries(code.dictionary, word, ctx)
-            last = samples[-1]
-            base = np.log10((c + 1) / (last.train + last.words + 1))
-            key, at = np.unique(np.repeat(np.arange(rows.num_rows), size) * DOCS + pos, return_inverse=True)
-            total = [np.bincount(at, weights=x, minlength=len(key)) for x in (n, n * (c > 0), n * base, n * np.log10(prob))]
-            ends = np.searchsorted(key // DOCS, np.arange(rows.num_rows + 1))
-            cols = [_lists(ends, x, k) for x, k in zip((key % DOCS, *total), (np.int16, np.int32, np.int32, float, float))]
-            out.append(pa.table([rows.column("bucket"), rows.column("block"), pa.nulls(rows.num_rows, pa.list_(pa.int64())),
-                                 *cols], names=names))
-        return pa.concat_tables(out)
+            seats = None
+            if state.num_rows:
+                seats = Seats({k: state.column(k)[0] for k in STATE_NAMES})
+                seats.keep(last)
+            names, word, ctx, n, size = _joined(rows)
+            scorer = Scorer(samples, pairs, names, seats)
+            at = np.r_[0, np.cumsum(size)]
+            for i, (bucket, block) in enumerate(zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist())):
+                own = slice(at[i], at[i + 1])                # a block at a time: the arrays stay small
+                c, prob = scorer.entries(word[own], ctx[own])
+                pos, back = np.unique(_unpack(rows.column("pos")[i].as_buffer()), return_inverse=True)
+                base = np.log10((c + 1) / (last.train + last.words + 1))
+                known, base, total = (np.bincount(back, weights=x, minlength=len(pos))
+                                      for x in (n[own] * (c > 0), n[own] * base, n[own] * np.log10(prob)))
+                out.append((bucket, block, None, None, _pack(pos), _pack(known.astype(np.int64)),
+                            base.astype("<f8").tobytes(), total.astype("<f8").tobytes()))
+        return pa.Table.from_batches([_batch(out, PART_NAMES)])
 
     parts = (model.state.groupBy("bucket").cogroup(scored_tokens(src, model.hot, model.buckets).groupBy("bucket"))
              .applyInArrow(run, PART))
@@ -632,16 +706,23 @@ def score(src: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        rows = rows.combine_chunks().sort_by("bucket")
+        rows = rows.sort_by("bucket")
         lists = pc.is_valid(rows.column("ids"))
-        ids = _flat(rows.filter(lists).column("ids"))[0]
-        rows = rows.filter(pc.invert(lists))
-        pos = np.asarray(_flat(rows.column("pos"))[0]).astype(np.int64)
-        n, known, base, own = (np.bincount(pos, weights=np.asarray(_flat(rows.column(k))[0]), minlength=len(ids))
-                               for k in ("tokens", "known", "base", "score"))
+        head = rows.filter(lists)
+        tokens = _unpack(head.column("sizes")[0].as_buffer())
+        data = head.column("ids")[0].as_py()
+        valid = _unpack(data[:len(tokens) + 1]) > 0
+        ids = pa.array(np.frombuffer(data[len(tokens) + 1:], "<i8"), mask=~valid)
         held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids.to_pylist()]
-        return pa.table([ids, pa.array(held, pa.bool_()), pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)),
-                         pa.array(np.full(len(ids), train, np.int64)), pa.array(base), pa.array(own)],
+        known, base, own = np.zeros((3, len(tokens)))
+        rows = rows.filter(pc.invert(lists))
+        for i in range(rows.num_rows):
+            pos = _unpack(rows.column("pos")[i].as_buffer())
+            known[pos] += _unpack(rows.column("known")[i].as_buffer())
+            base[pos] += np.frombuffer(rows.column("base")[i].as_buffer(), "<f8")
+            own[pos] += np.frombuffer(rows.column("score")[i].as_buffer(), "<f8")
+        return pa.table([ids, pa.array(held, pa.bool_()), pa.array(tokens), pa.array(known.astype(np.int64)),
+                         pa.array(np.full(len(tokens), train, np.int64)), pa.array(base), pa.array(own)],
                         names=[x.split()[0] for x in RESULT.split(", ")])
 
     return parts.groupBy("block").applyInArrow(close, RESULT)

@@ -101,10 +101,11 @@ def test_predictions_sum_to_one(spark):
     tables = model.state.toArrow().combine_chunks()
     assert tables.num_rows == 1
     seats = pitmanyor.Seats({k: tables.column(k)[0] for k in pitmanyor.STATE_NAMES})
-    scorer = pitmanyor.Scorer(model.samples, pitmanyor.hot_pairs(model), seats)
+    seats.keep(model.samples[-1])
+    scorer = pitmanyor.Scorer(model.samples, pitmanyor.hot_pairs(model), pa.array(seen, pa.binary()), seats)
     for before in (b"a", b"c", b"", b"not seen"):
         ctx = np.full(len(seen), zlib.crc32(before) % pitmanyor.CONTEXTS)
-        _, p = scorer.entries(pa.array(seen, pa.binary()), np.arange(len(seen)), ctx)
+        _, p = scorer.entries(np.arange(len(seen)), ctx)
         assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
 
 
