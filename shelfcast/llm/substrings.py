@@ -76,11 +76,9 @@ def fragments(w: W.Words, window: int):
     new = np.r_[True, (low[1:] != low[:-1]) | (st[1:] != st[:-1] + 1) | (w.doc[st[1:]] != w.doc[st[:-1]])]
     a = np.flatnonzero(new)
     s_lo, s_hi = st[a], st[np.r_[a[1:], len(st)] - 1]
-    # Hash of the fragment's words, from prefix sums.
-    pw, inv = W._powers(len(w.value) + 1)
-    total = np.zeros(len(w.value) + 1, np.uint64)
-    np.cumsum(w.value * pw[:len(w.value)], out=total[1:])
-    whole = W.mix((total[s_hi + window] - total[s_lo]) * inv[s_lo])
+    # A digest of the fragment's word values; fragments overlap by a window only.
+    data = memoryview(w.value.astype("<u8").tobytes())
+    whole = np.array([W.digest(data[8 * i:8 * j]) for i, j in zip(s_lo.tolist(), (s_hi + window).tolist())], np.uint64)
     doc = w.doc[s_lo]
     return doc, gram[low[a]], whole, s_lo - w.first[doc], s_hi - s_lo + 1
 

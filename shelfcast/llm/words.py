@@ -1,22 +1,24 @@
 """Vectorised words and shingles over Arrow string batches (numpy, inside tasks).
 
 Words are runs of word bytes.  Every separator class used here is ASCII, so
-cutting UTF-8 at byte level equals cutting at code points.  A word's value is
-a 64-bit polynomial hash of its bytes (from prefix sums, so no loop over
-words), mixed; a shingle's value folds the values of its words.
+cutting UTF-8 at byte level equals cutting at code points.  A word's value
+folds its bytes eight at a time into 64 bits through a bijection per step (all
+words at once, one numpy step per eight bytes of the longest), so two words of
+one length up to eight bytes never share a value, and others only by chance,
+at about 2**-64 a pair; no structure of the letters makes two words meet, as
+it does for polynomial hashes modulo 2**64.  A shingle's value folds the values of its words.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-_P = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
+_P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
-_POW = np.ones(1, np.uint64)
-_INV = np.ones(1, np.uint64)
 
 _ALL = np.arange(256, dtype=np.uint8)
 #: Words between ASCII white space.
@@ -27,16 +29,6 @@ ALNUM_WORDS = (((_ALL >= 0x30) & (_ALL <= 0x39)) | ((_ALL >= 0x61) & (_ALL <= 0x
 LOWER = np.where((_ALL >= 0x41) & (_ALL <= 0x5A), _ALL + 32, _ALL).astype(np.uint8)
 
 
-def _powers(n: int):
-    global _POW, _INV
-    if len(_POW) < n:
-        size = max(n, 1 << 20)
-        with np.errstate(over="ignore"):
-            _POW = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, _P, np.uint64)])
-            _INV = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, pow(_P, -1, 1 << 64), np.uint64)])
-    return _POW, _INV
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = x ^ (x >> np.uint64(30))
@@ -46,6 +38,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Words above this many bytes are folded on their own, not with the others.
+_LONG = 4096
+
+
+def _fold(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A value per run of ``size`` bytes from ``start``."""
+    value = mix(size.astype(np.uint64) * _P)
+    if not len(start):
+        return value
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    lanes = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (len(buf) + 1, 8), (1, 1))
+    rows, at, left = np.arange(len(start)), start, size
+    while len(rows):
+        lane = np.ascontiguousarray(lanes[at]).view("<u8").ravel()
+        short = left < 8
+        lane[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        value[rows] = mix((value[rows] ^ lane) * _P)
+        go = left > 8
+        rows, at, left = rows[go], at[go] + 8, left[go] - 8
+    return value
+
+
+def digest(data) -> int:
+    """64 bits of a cryptographic digest."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+
+
+def word_values(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
+    value = np.empty(len(start), np.uint64)
+    short = size <= _LONG
+    value[short] = _fold(buf, start[short], size[short])
+    for i in np.flatnonzero(~short):
+        value[i] = digest(buf[start[i]:end[i]].tobytes())
+    return value
+
+
 @dataclass
 class Words:
     buf: np.ndarray      # bytes of the chunk, folded
@@ -82,10 +111,7 @@ def scan(buf: np.ndarray, offsets: np.ndarray, word: np.ndarray, fold: np.ndarra
         s[1:] &= brk
         e[:-1] &= ~w[1:] | edge[1:n]
     start, end = np.flatnonzero(s), np.flatnonzero(e) + 1
-    pw, inv = _powers(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * pw[:n], out=total[1:])
-    value = mix((total[end] - total[start]) * inv[start]) if len(start) else np.empty(0, np.uint64)
+    value = word_values(b, start, end)
     first = np.searchsorted(start, off)
     doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
     return Words(b, start, end, value, first, doc)

@@ -492,3 +492,31 @@ def test_license_original_notices(spark):
             want = {rule} | ({"bsd2_full"} if rule == "bsd3_full" else set())
             assert got.get(10 * k + form) == want, (rule, form)
     assert 900 not in got and 901 not in got and got[902] == {"ccby4_reference"}
+
+
+def test_words_of_equal_polynomial_value_stay_apart(spark):
+    """The Thue-Morse word and its complement: equal for every odd base modulo 2**64."""
+    swap = str.maketrans("ab", "ba")
+    s = "a"
+    for _ in range(10):
+        s += s.translate(swap)
+    t = s.translate(swap)
+    from shelfcast.llm import decontaminate, neardup, substrings
+    df = spark.createDataFrame([(0, s), (1, t)], "doc_id long, text string")
+    assert all(r.kept for r in neardup.near_duplicates(df, shingle=3, percent=85).collect())
+    item = spark.createDataFrame([("i", s)], "item_id string, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.decontaminate(df, item).collect()} == {0: 1, 1: 0}
+    rest = " ".join(f"x{i}" for i in range(49))
+    long = spark.createDataFrame([(0, f"{s} {rest}"), (1, f"{t} {rest}")], "doc_id long, text string")
+    assert {r.n_removed for r in substrings.dedup_substrings(long, keep=["doc_id"]).collect()} == {0}
+    # The same structure over words, in one long run of shared surroundings.
+    words = [f"w{i}" for i in range(60)] + list(s) + [f"v{i}" for i in range(60)]
+    other = [f"w{i}" for i in range(60)] + list(t) + [f"v{i}" for i in range(60)]
+    runs = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(other))], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.dedup_substrings(runs, keep=["doc_id"]).collect()}
+    first = {tuple(words[i:i + 50]) for i in range(len(words) - 49)}
+    gone = set()
+    for i in range(len(other) - 49):
+        if tuple(other[i:i + 50]) in first:
+            gone |= set(range(i, i + 50))
+    assert got == {0: 0, 1: len(gone)}
