@@ -20,9 +20,10 @@ two rounds.
    is its residual.
 2. Only pairs that lie in different components now can matter.  Two classes of
    one centre C overlap in at most min(|X & C|, |Y & C|) + |shared residual|
-   shingles, so they are compared only if they share a residual shingle, or
-   are so small that the first term suffices.  Classes without a common
-   centre are compared if a list holds both.
+   shingles, so they are compared only if they share enough residual shingles
+   (found by the rarest ones of each residual), or are so small that the first
+   term suffices.  Classes without a common centre are compared if a list
+   holds both.
 
 Edge cases: null, empty and blank texts have an empty set and link with
 nothing; fewer words than a shingle give one shingle; repeated rows of an id
@@ -197,16 +198,27 @@ def _across(measured: DataFrame, posts: DataFrame, comp: DataFrame, t: float, pe
         & (100 * F.col("y.n") >= percent * F.col("x.n"))
     names = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
 
-    # One centre, a shared residual shingle.
-    rest = own.select("centre", "id", "inter", "n", "c", F.explode("residual").alias("value"))
-    mixed = rest.groupBy("centre", "value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    rest = written(rest.join(mixed.select("centre", "value"), ["centre", "value"]), "links-residual")
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = (x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.value") == F.col("y.value"))
-                    & (F.col("x.id") < F.col("y.id")) & differ)
-             .groupBy("x.id", "y.id", "x.inter", "y.inter", "x.n", "y.n").agg(F.count("*").alias("s"))
-             .toDF("a", "b", "ia", "ib", "na", "nb", "s"))
-    shared = pairs.filter(F.least("ia", "ib") + F.col("s") >= share * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b")
+    # One centre, a shared residual shingle.  A linked Y of X has at least t * n
+    # shingles, so X shares at least ``need`` residual shingles with it, and two
+    # prefixes of rarest residual shingles, each ``need`` - 1 short of all, meet.
+    rest = own.select("centre", "id", "c", F.explode("residual").alias("value"))
+    seen = rest.groupBy("centre", "value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df"))
+    seen = written(seen.filter("lo <> hi").select("centre", "value", "df"), "links-residual-values")
+    need = F.greatest(F.lit(1.0), F.ceil(share * (1 + percent / 100) * F.col("n") - F.col("inter") - 1e-6)).cast("int")
+    listed = (own.select("centre", "id", "inter", "n", "c", F.explode("residual").alias("value")).join(seen, ["centre", "value"])
+              .groupBy("centre", "id", "inter", "n", "c")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")))   # at most a residual
+    listed = written(listed.withColumn("take", F.size("v") - need + 1).filter("take > 0"), "links-residual")
+    first = listed.select("centre", "id", "n", "c", F.explode(F.slice("v", F.lit(1), F.col("take"))).alias("v")).select(
+        "centre", "id", "n", "c", F.col("v.value").alias("value"))
+    x, y = first.alias("x"), first.alias("y")
+    pairs = x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.value") == F.col("y.value"))
+                   & (F.col("x.id") < F.col("y.id")) & differ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    values = listed.select("id", "inter", "n", F.transform("v", lambda e: e["value"]).alias("v"))
+    x = values.select(F.col("id").alias("a"), F.col("inter").alias("ia"), F.col("n").alias("na"), F.col("v").alias("va"))
+    y = values.select(F.col("id").alias("b"), F.col("inter").alias("ib"), F.col("n").alias("nb"), F.col("v").alias("vb"))
+    both = F.least("ia", "ib") + F.size(F.array_intersect("va", "vb"))
+    shared = pairs.join(x, "a").join(y, "b").filter(both >= share * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b")
 
     # One centre, nothing shared beyond it: only sets up to ``cap`` shingles.
     small = own.drop("residual").withColumn("cap", F.floor(F.col("inter") / share - F.col("n") + 1e-6))
