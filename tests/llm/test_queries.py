@@ -65,3 +65,35 @@ def test_pipeline_stages(spark):
     pieces = C.STAGES[-1][1](spark, docs, SF).toPandas()
     assert set(pieces.doc_id) == {r.doc_id for r in docs.select("doc_id").collect()}
     assert Counter(C.run(spark, SF).columns) == Counter(pieces.columns)
+
+
+def test_pipeline_stages_carry_clashing_columns_and_edge_rows(spark):
+    import corpus_pipeline as C
+    from pyspark.sql import functions as F
+
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    odd = spark.createDataFrame([(9001, None, "en", "s", 0), (9002, "", None, None, 0), (None, "plain words of a text without id", "en", "s", 33)],
+                                "doc_id long, text string, lang string, source string, n_chars long").select(*base.columns)
+    clash = ["score", "held_out", "rejected", "n_words", "n_removed", "contaminated", "_key", "_ranges", "_hit", "_carried_3", "id", "n"]
+    docs = base.unionByName(odd)
+    for c in clash:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    twice = docs.unionAll(docs)
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, twice, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in clash), name
+        ids = Counter(r.doc_id for r in rows)
+        if name == "near_duplicates":
+            assert all(n == 1 for i, n in ids.items() if i is not None) and ids[None] == 2
+        else:
+            assert all(n == 2 for n in ids.values())
+        assert stage(spark, docs.limit(0), SF).collect() == []
+        if name == "language":
+            assert not {9001, 9002} & set(ids)
+        else:
+            assert {9001, 9002} <= set(ids)
+    assert C.STAGES[-1][1](spark, twice, SF).count() > 0
