@@ -68,7 +68,7 @@ def label_encode_keep_null(df: DataFrame, cols: list[str], suffix: str = "") ->
 
 
 #: One column per value up to here; a wider set belongs in a vector.
-MAX_COLUMNS = 1024
+MAX_COLUMNS = 4096
 
 
 def one_hot(df: DataFrame, col: str, prefix: str | None = None,
