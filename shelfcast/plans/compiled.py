@@ -104,18 +104,16 @@ def tree_sql(node: Split | Leaf, features: Sequence[str], arity: Mapping[int, in
             f"ELSE {tree_sql(node.right, features, arity)} END")
 
 
-def _balanced(terms: list[str]) -> str:
-    """A sum as a balanced tree: thousands of terms nest a dozen deep."""
-    if len(terms) == 1:
-        return terms[0]
-    half = len(terms) // 2
-    return f"({_balanced(terms[:half])} + {_balanced(terms[half:])})"
+def _total(terms: list[str]) -> str:
+    """A sum as one fold over an array: thousands of terms stay flat for the
+    parser and the analyzer, and are added in their order."""
+    return f"aggregate(array({', '.join(terms)}), 0D, (s, z) -> s + z)"
 
 
 def _linear_sql(model, features: Sequence[str]) -> str:
     terms = [number(float(model.intercept))]
     terms += [f"{number(float(c))} * {x}" for c, x in zip(model.coefficients, features) if float(c) != 0.0]
-    return _balanced(terms)
+    return _total(terms)
 
 
 #: Inverse link functions of generalized linear models.
@@ -140,8 +138,8 @@ def model_sql(model, features: Sequence[str], arity: Mapping[int, int] | None =
         if kind == "DecisionTreeRegressionModel":
             return parts[0][1]
         if kind == "RandomForestRegressionModel":
-            return f"({_balanced([f'({t})' for _, t in parts])} / {number(float(len(parts)))})"
-        return _balanced([f"{number(w)} * ({t})" for w, t in parts])
+            return f"{_total([t for _, t in parts])} / {number(float(len(parts)))}"
+        return _total([f"{number(w)} * {t}" for w, t in parts])
     if kind == "LinearRegressionModel":
         return _linear_sql(model, features)
     if kind == "GeneralizedLinearRegressionModel":
