@@ -21,8 +21,8 @@ two rounds.
 2. Only pairs that lie in different components now can matter.  Two classes of
    one centre C overlap in at most min(|X & C|, |Y & C|) + |shared residual|
    shingles, so they are compared only if they share enough residual shingles
-   (found by the rarest ones of each residual), or are so small that the first
-   term suffices.  Classes without a common centre are compared if a list
+   (found by the rarest ones of each residual, with their positions), or are so
+   small that the first term suffices.  Classes without a common centre are compared if a list
    holds both.
 
 Edge cases: null, empty and blank texts have an empty set and link with
@@ -198,22 +198,35 @@ def _across(measured: DataFrame, posts: DataFrame, comp: DataFrame, t: float, pe
         & (100 * F.col("y.n") >= percent * F.col("x.n"))
     names = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
 
-    # One centre, a shared residual shingle.  A linked Y of X has at least t * n
-    # shingles, so X shares at least ``need`` residual shingles with it, and two
-    # prefixes of rarest residual shingles, each ``need`` - 1 short of all, meet.
+    # One centre, a shared residual shingle.  Of a linked pair, the smaller set X
+    # shares at least 2 * share * n - inter residual shingles with the other, the
+    # larger at least t * n - inter; two prefixes of rarest residual shingles,
+    # each that number less one short of all, meet, and after their first common
+    # shingle enough others must follow in both.
     rest = own.select("centre", "id", "c", F.explode("residual").alias("value"))
     seen = rest.groupBy("centre", "value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df"))
     seen = written(seen.filter("lo <> hi").select("centre", "value", "df"), "links-residual-values")
-    need = F.greatest(F.lit(1.0), F.ceil(share * (1 + percent / 100) * F.col("n") - F.col("inter") - 1e-6)).cast("int")
+
+    def take(least: float):
+        need = F.greatest(F.lit(1.0), F.ceil(F.lit(least) * F.col("n") - F.col("inter") - 1e-6)).cast("int")
+        return F.greatest(F.size("v") - need + 1, F.lit(0))
+
     listed = (own.select("centre", "id", "inter", "n", "c", F.explode("residual").alias("value")).join(seen, ["centre", "value"])
               .groupBy("centre", "id", "inter", "n", "c")
               .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v")))   # at most a residual
-    listed = written(listed.withColumn("take", F.size("v") - need + 1).filter("take > 0"), "links-residual")
-    first = listed.select("centre", "id", "n", "c", F.explode(F.slice("v", F.lit(1), F.col("take"))).alias("v")).select(
-        "centre", "id", "n", "c", F.col("v.value").alias("value"))
-    x, y = first.alias("x"), first.alias("y")
+    listed = written(listed.withColumn("small", take(2 * share)).withColumn("large", take(percent / 100)).filter("large > 0"),
+                     "links-residual")
+
+    def prefix(length: str) -> DataFrame:
+        return (listed.select("centre", "id", "inter", "n", "c", F.size("v").alias("size"),
+                              F.posexplode(F.slice("v", F.lit(1), F.col(length))).alias("at", "e"))
+                .select("centre", "id", "inter", "n", "c", F.col("e.value").alias("value"), (F.col("size") - F.col("at")).alias("left")))
+
+    x, y = prefix("small").alias("x"), prefix("large").alias("y")
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    enough = F.least("x.left", "y.left") >= share * (F.col("x.n") + F.col("y.n")) - F.least("x.inter", "y.inter") - 1e-6
     pairs = x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.value") == F.col("y.value"))
-                   & (F.col("x.id") < F.col("y.id")) & differ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+                   & smaller & enough & differ).select(*names).distinct()
     values = listed.select("id", "inter", "n", F.transform("v", lambda e: e["value"]).alias("v"))
     x = values.select(F.col("id").alias("a"), F.col("inter").alias("ia"), F.col("n").alias("na"), F.col("v").alias("va"))
     y = values.select(F.col("id").alias("b"), F.col("inter").alias("ib"), F.col("n").alias("nb"), F.col("v").alias("vb"))
