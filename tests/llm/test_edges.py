@@ -520,3 +520,39 @@ def test_words_of_equal_polynomial_value_stay_apart(spark):
         if tuple(other[i:i + 50]) in first:
             gone |= set(range(i, i + 50))
     assert got == {0: 0, 1: len(gone)}
+
+
+@pytest.mark.parametrize("shingle, percent", [(3, 85), (5, 80), (3, 70)])
+def test_near_duplicate_families_equal_brute_force(spark, shingle, percent):
+    """Chains of mutated copies round a few centres: many members share residual shingles."""
+    import random
+
+    from shelfcast.llm import neardup
+
+    r, texts = random.Random(4), []
+    for g in range(8):
+        family = [[f"g{g}w{r.randrange(400)}" for _ in range(r.choice([30, 80, 150]))]]
+        for _ in range(35):
+            copy = list(r.choice(family))
+            for _ in range(r.randrange(0, max(2, len(copy) // 14))):
+                copy[r.randrange(len(copy))] = f"g{g}m{r.randrange(60)}"
+            if r.random() < 0.2:
+                copy = copy[:max(10, len(copy) - r.randrange(8))]
+            family.append(copy)
+        texts += family
+    sets = [set(zip(*[t[k:] for k in range(shingle)])) for t in texts]
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a & b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = root(i), root(j)
+                up[max(x, y)] = min(x, y)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(df, shingle=shingle, percent=percent).collect()}
+    assert got == {i: root(i) for i in range(len(sets))}
