@@ -1,8 +1,9 @@
 """Operator 3: language identification by compression.
 
 Per language, a raw-content zstandard dictionary is built from a bounded
-sample of labelled rows (``per_language`` texts of at most ``text_chars``
-characters, ``dictionary_bytes`` in all; chosen by a hash of the id, so the
+sample of labelled rows (the ``per_language`` distinct samples with the
+smallest hash of the id, each of at most ``text_chars`` characters,
+``dictionary_bytes`` in all, for the ``max_languages`` commonest labels; the
 sample does not depend on partitioning).  A text is lower-cased, everything
 that is no letter in ASCII becomes a blank, and the whole of it is compressed
 block by block with every dictionary; the smallest total wins, ties go to the
@@ -23,7 +24,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 OUT = "held_out boolean, lang_pred string, score double, margin double, rejected boolean"
@@ -49,25 +50,33 @@ def normalised(text: str) -> bytes:
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
         per_language: int = 400, text_chars: int = 1000, dictionary_bytes: int = 65536,
         max_languages: int = 400) -> Model:
-    """Two passes: counts per language, then the bounded sample."""
+    """Two passes: the commonest labels, then the bounded sample of each."""
     train = df.filter(F.col(key).isNotNull() & F.col(lang).isNotNull() & ~held_out(key))
-    counts = {r[0]: r[1] for r in train.groupBy(lang).count().limit(max_languages + 1).collect()}
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} distinct labels in {lang}")
+    common = train.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()
+    counts = {r[0]: r[1] for r in common}
     if not counts:
         return Model((), ())
     draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(1 << 30))
+    # Twice the wanted share is drawn before the shuffle; rows repeated under
+    # one id or text count once, so no id can crowd out a label.
     share = F.create_map(*[F.lit(x) for k, n in counts.items()
-                           for x in (k, min(1 << 30, int((1 << 30) * per_language / n) + 1))])
-    # About per_language rows of each language reach the driver, cut to text_chars.
-    rows = (train.filter(draw < share[F.col(lang)])
-            .select(lang, draw.alias("_d"), F.substring(text, 1, text_chars).alias("_t"))
-            .filter(F.col("_t").isNotNull()).orderBy("_d", "_t").limit(2 * per_language * len(counts)).collect())
+                           for x in (k, min(1 << 30, int((1 << 30) * 2 * per_language / n) + 1))])
+    drawn = (train.filter(draw < share[F.col(lang)])
+             .select(F.col(lang).alias("_l"), draw.alias("_d"), F.substring(text, 1, text_chars).alias("_t"))
+             .filter(F.col("_t").isNotNull()).groupBy("_l", "_t").agg(F.min("_d").alias("_d")))
+    first = Window.partitionBy("_l").orderBy("_d", "_t")
+    rows = (drawn.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= per_language)
+            .select("_l", "_d", "_t").collect())  # per_language * max_languages at most
     parts: dict[str, dict[bytes, None]] = {k: {} for k in counts}
-    for label, _, sample in rows:
+    for label, _, sample in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         parts[label].setdefault(normalised(sample))
     order = sorted(counts, key=lambda k: (-counts[k], k))
-    return Model(tuple(order), tuple(b"\n".join(parts[k])[:dictionary_bytes] for k in order))
+    return Model(tuple(order), tuple(_dictionary(parts[k], dictionary_bytes) for k in order))
+
+
+def _dictionary(samples, size: int) -> bytes:
+    """Samples on lines of their own, cut to ``size`` bytes at a character."""
+    return b"\n".join(samples)[:size].decode("utf-8", "ignore").encode("utf-8")
 
 
 def compressors(model: Model, level: int = 6):

@@ -51,6 +51,64 @@ def test_language_held_out_accuracy(spark):
     assert right.mean() > 0.98
 
 
+def test_language_against_plain_loop(spark):
+    """Predictions from the same dictionaries by the one-shot zstd API, text by text."""
+    import math
+    import unicodedata
+
+    import zstandard as zstd
+    from shelfcast.llm import language
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    rows += [(90001, None, "en"), (90002, "123 ...", None), (90003, "x", "en"), (90004, rows[0][1] * 40, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    train = Counter(l for i, _, l in rows if l is not None and zlib.crc32(str(i).encode()) % 4 != 2)
+    assert list(model.languages) == sorted(train, key=lambda k: (-train[k], k))
+    tools = []
+    for data in model.dictionaries:
+        params = zstd.ZstdCompressionParameters.from_level(6, dict_size=len(data), source_size=16384, write_content_size=False,
+                                                           write_checksum=False, write_dict_id=False)
+        tools.append(zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(data, dict_type=zstd.DICT_TYPE_RAWCONTENT),
+                                         compression_params=params))
+    got = {r.doc_id: r for r in language.identify(df, model).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        r = got[i]
+        if text is None or not any(unicodedata.category(c).startswith("L") for c in text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        low, body = text.lower().encode(), bytearray()
+        for b in low:
+            if b >= 128 or 97 <= b <= 122:
+                body.append(b)
+            elif not body or body[-1] != 32:
+                body.append(32)
+        sizes = [sum(len(t.compress(bytes(body[k:k + 16384]))) for k in range(0, len(body), 16384)) for t in tools]
+        best = sizes.index(min(sizes))
+        assert r.lang_pred == model.languages[best]
+        assert math.isclose(r.score, 1 / sum(2.0 ** -min(60, s - sizes[best]) for s in sizes))
+        margin = (sorted(sizes)[1] - sizes[best]) / sorted(sizes)[1]
+        assert math.isclose(r.margin, margin) and r.rejected == (margin < 0.005 and len(body) >= 200)
+
+
+def test_language_sample_of_many_labels(spark):
+    """Labels above the bound are not learned; one id or text that repeats crowds out nobody."""
+    from shelfcast.llm import language
+
+    rows = [(k, f"wort{k % 30} text {k}", f"l{k % 30:02d}") for k in range(900)]
+    seen = next(k for k in range(5, 900, 30) if zlib.crc32(str(k).encode()) % 4 != 2)  # learned from
+    rows += [(seen, "the same row again", "l05")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, max_languages=20)
+    assert len(model.languages) == 20 and model.languages[0] == "l05"
+    assert all(data for data in model.dictionaries)
+    assert model == language.fit(df.repartition(7), max_languages=20)
+    cut = language._dictionary(["h\u00e9".encode()] * 9, 10)
+    assert cut.decode("utf-8") and len(cut) <= 10
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as C
 
