@@ -49,64 +49,111 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.common import byte_pieces, drop_written, written
 
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CONTEXTS = 1 << 16
 RANGES = 64                 # parts of a hot word's contexts
 HOT = 1 / 500
 TOKENS = 1 << 20            # tokens of a block
 DOCS = 1 << 15              # documents of a block: positions fit a short
+PIECE = 1 << 22             # bytes of text split at a time
 BUCKET = 1_500_000          # tokens of a bucket
 STRENGTH = 1.0
 END = b""
 
 
-class _Ids(dict):
-    """bytes -> running number, given on first sight."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 class Block:
     """Tokens of some documents as numbers: word, context class, document."""
 
     def __init__(self):
-        self.vocab, self.ids, self.sizes, self.keys, self.held = _Ids(), [], [], [], []
-        self.vocab[END]
+        self.words, self.sizes, self.keys = [], [], []
         self.tokens = 0
 
-    def add(self, key, text: bytes) -> None:
-        n = 1
-        for piece in byte_pieces(text):
-            words = piece.translate(_FOLD).split()
-            self.ids.append(np.fromiter(map(self.vocab.__getitem__, words), np.int32, len(words)))
-            n += len(words)
-        self.ids.append(np.zeros(1, np.int32))
-        self.sizes.append(n)
-        self.keys.append(key)
-        self.held.append(key is not None and zlib.crc32(str(key).encode()) % 7 == 2)
-        self.tokens += n
+    def add(self, keys, words, sizes) -> None:
+        """Documents with their words one after another; ``sizes``: words and the end token of each."""
+        self.words.append(words)
+        self.sizes.append(sizes)
+        self.keys += keys
+        self.tokens += int(sizes.sum())
+
+    def lengths(self) -> np.ndarray:
+        return np.concatenate(self.sizes)
 
     def arrays(self):
-        """(word, context, position, held out) of every token, and the words."""
-        word = np.concatenate(self.ids)
-        words = list(self.vocab)
+        """(word, context, position, held out) of every token, and the words, the end token first."""
+        import pyarrow as pa
+
+        sizes = self.lengths()
+        parts = pa.chunked_array(self.words).dictionary_encode().chunks     # of one dictionary
+        if not parts:
+            parts = [self.words[0].dictionary_encode()]
+        word, inner = np.zeros(self.tokens, np.int32), np.ones(self.tokens, bool)
+        inner[np.cumsum(sizes) - 1] = False
+        word[inner] = np.concatenate([np.asarray(x.indices) for x in parts]) + 1
+        words = [END, *_bytes(parts[-1].dictionary.cast(pa.binary()))]
         code = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
         before = np.empty_like(word)                            # an end token stands before each first word
         before[0], before[1:] = 0, word[:-1]
-        pos = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
-        return word, (code % CONTEXTS).astype(np.int32)[before], pos, np.array(self.held, bool)[pos], words, code
+        pos = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        held = np.array([k is not None and zlib.crc32(str(k).encode()) % 7 == 2 for k in self.keys], bool)
+        return word, (code % CONTEXTS).astype(np.int32)[before], pos, held[pos], words, code
+
+
+def _bytes(values) -> list[bytes]:
+    """As ``to_pylist`` of an Arrow array without nulls, many times as fast."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _split(texts):
+    """(words of all texts, A-Z lower-cased, words of each text)."""
+    import pyarrow.compute as pc
+
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(texts)
+    n, blank = np.array(pc.list_value_length(lists), np.int64), np.asarray(pc.binary_length(texts)) == 0
+    words = lists.flatten()
+    if blank.any():                                             # a text without words has one empty one
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+        n[blank] = 0
+    return words, n
+
+
+def _documents(batches):
+    """(keys, their words, tokens of each) of the documents of a few megabytes at a time."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        texts = pc.fill_null(batch.column(1), "")
+        ends = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
+        lo = 0
+        while lo < len(texts):
+            start = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, start + PIECE, "right")))
+            part = texts.slice(lo, hi - lo)
+            if ends[hi - 1] - start > PIECE:                    # one long text, in pieces
+                kind = pa.large_binary() if pa.types.is_large_string(part.type) else pa.binary()
+                part = pa.array(list(byte_pieces(part[0].as_buffer().to_pybytes(), PIECE)), kind).view(part.type)
+            words, n = _split(part)
+            if len(n) != hi - lo:
+                n = n.sum(keepdims=True)
+            yield batch.column(0).slice(lo, hi - lo).to_pylist(), words, n + 1
+            lo = hi
 
 
 def _read(batches):
+    """Blocks of whole documents, closed by the one that reaches ``TOKENS`` or ``DOCS``."""
     block = Block()
-    for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+    for keys, words, sizes in _documents(batches):
+        ends, lo = np.cumsum(sizes), 0
+        while lo < len(keys):
+            start = ends[lo - 1] if lo else 0
+            full = int(np.searchsorted(ends, start + TOKENS - block.tokens)) + 1
+            hi = min(full, lo + DOCS - len(block.keys), len(keys))
+            # Words before a document: its tokens before without one end token each.
+            block.add(keys[lo:hi], words[start - lo:ends[hi - 1] - hi], sizes[lo:hi])
             if block.tokens >= TOKENS or len(block.keys) >= DOCS:
                 yield block
                 block = Block()
-            block.add(key, text.as_buffer().to_pybytes() if text.is_valid else b"")
+            lo = hi
     if block.keys:
         yield block
 
@@ -181,8 +228,11 @@ def _home(code, ctx, hot, spread, buckets):
 def _entries(block: Block, hot: dict[bytes, set[int]], buckets: int, number: int, train_only: bool):
     """Rows (bucket, block, words, counts, ctx, pos, n): distinct (word, context[, document]) with
     their tokens, of one bucket each."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     word, ctx, pos, held, words, code = block.arrays()
-    is_hot = np.fromiter((w in hot for w in words), np.int64, len(words))
+    is_hot = np.asarray(pc.is_in(pa.array(words, pa.binary()), pa.array(list(hot), pa.binary()))).astype(np.int64)
     if train_only:
         word, ctx = word[~held], ctx[~held]
     key = word.astype(np.int64)
@@ -193,14 +243,18 @@ def _entries(block: Block, hot: dict[bytes, set[int]], buckets: int, number: int
         key += pos
     del word, ctx, pos, held
     key, n = _counted(key)
-    pos, pair = key % DOCS, key // DOCS
-    word, ctx = pair // CONTEXTS, pair % CONTEXTS
-    spread = np.zeros(len(key), np.int64)
-    if not train_only:
-        pairs = [i * CONTEXTS + c for i in np.flatnonzero(is_hot) for c in hot[words[i]]]
-        spread[np.isin(pair, np.array(pairs, np.int64))] = number * 31 + 1
-    home = _home(code[word], ctx, is_hot[word], spread, buckets)
-    order = np.argsort(home, kind="stable")
+    pos, pair = (key % DOCS).astype(np.uint16), key // DOCS
+    word, ctx = (pair // CONTEXTS).astype(np.int32), (pair % CONTEXTS).astype(np.uint16)
+    home = _home(code, 0, 0, 0, buckets)[word]
+    own = np.flatnonzero(is_hot[word])                       # of hot words, by context too
+    if len(own):
+        spread = np.zeros(len(own), np.int64)
+        if not train_only:
+            pairs = [i * CONTEXTS + c for i in np.flatnonzero(is_hot) for c in hot[words[i]]]
+            spread[np.isin(pair[own], np.array(pairs, np.int64))] = number * 31 + 1
+        home[own] = _home(code[word[own]], ctx[own].astype(np.int64), 1, spread, buckets)
+    del key, pair
+    order = np.argsort(home.astype(np.uint16) if buckets <= 1 << 16 else home, kind="stable")
     home, word, ctx, pos, n = home[order], word[order], ctx[order], pos[order], n[order]
     ends = np.r_[np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else [0], len(home)].astype(int)
     for lo, hi in zip(ends[:-1], ends[1:]):
@@ -241,7 +295,7 @@ def scored_tokens(src: DataFrame, hot, buckets: int) -> DataFrame:
             ids = pa.array(block.keys, pa.int64())
             known = _pack(np.asarray(ids.is_valid()))
             rows.append((_number(k) % buckets, _number(k), *[None] * 5,
-                         known + np.asarray(ids.fill_null(0), "<i8").tobytes(), _pack(block.sizes)))
+                         known + np.asarray(ids.fill_null(0), "<i8").tobytes(), _pack(block.lengths())))
             yield _batch(rows, names)
 
     return src.mapInArrow(run, ROWS + ", ids binary, sizes binary")
