@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from shelfcast.session import cut_lineage
 
 CELLS = 4_000_000  # numbers per block of differences inside a task
+SENT = 1_000_000   # numbers per frame of query vectors sent to blocks
 SLACK = 1e-9       # relative rounding of distances, on the safe side
 
 _CANDIDATES = "query_id long, vec_id long, dist2 double, label double"
@@ -58,12 +59,15 @@ def _nearest(k: int):
         x = np.stack(t["v"].to_numpy()).astype(np.float64)
         ids, y = t["vec_id"].to_numpy(np.int64), t["label"].to_numpy(np.float64)
         vecs = np.stack(q["v"].to_numpy()).astype(np.float64)
-        out = []
-        for i, qid in enumerate(q["query_id"].to_numpy(np.int64)):
-            d = _distances(x, vecs[i])
+        found, dist = [], []
+        for q_vec in vecs:
+            d = _distances(x, q_vec)
             near = np.lexsort((ids, d))[:k] if len(d) <= 4 * k else _smallest(d, ids, k)
-            out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[near], "dist2": d[near], "label": y[near]}))
-        return pd.concat(out, ignore_index=True)
+            found.append(near)
+            dist.append(d[near])
+        near = np.concatenate(found)
+        return pd.DataFrame({"query_id": np.repeat(q["query_id"].to_numpy(np.int64), [len(f) for f in found]),
+                             "vec_id": ids[near], "dist2": np.concatenate(dist), "label": y[near]})
     return run
 
 
@@ -125,12 +129,16 @@ def training_blocks(train: DataFrame, pivots: int = 64, block_rows: int = 20_000
     rings = F.least(F.ceil(F.col("n") / block_rows), F.lit(64))
     cuts = sizes.select(F.col("cell").alias("_cell"), F.transform(
         F.filter(F.sequence(F.lit(1), F.lit(63)), lambda i: F.floor(i * rings / 64) > F.floor((i - 1) * rings / 64)),
-        lambda i: F.element_at("cuts", i.cast("int"))).alias("_cuts"), F.ceil(F.col("n") / (rings * block_rows)).alias("_parts"))
+        lambda i: F.element_at("cuts", i.cast("int"))).alias("_cuts"))
     ring = F.size(F.filter("_cuts", lambda c: c < F.col("far")))
+    ringed = placed.join(cuts, F.col("cell") == F.col("_cell")).select(
+        "vec_id", "v", "label", "cell", "far", ring.alias("ring"))
+    # Equal distances share a ring whatever their number: rings are cut by their true size.
+    parts = ringed.groupBy(F.col("cell").alias("_cell"), F.col("ring").alias("_ring")).agg(
+        F.greatest(F.round(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int").alias("_parts"))
     part = F.pmod(F.xxhash64("vec_id"), F.col("_parts"))
-    out = placed.join(cuts, F.col("cell") == F.col("_cell")).select(
-        "vec_id", "v", "label", "cell", "far", ring.alias("ring"),
-        F.concat_ws("/", "cell", ring, part).alias("block"))
+    out = ringed.join(parts, (F.col("cell") == F.col("_cell")) & (F.col("ring") == F.col("_ring"))).select(
+        "vec_id", "v", "label", "cell", "far", "ring", F.concat_ws("/", "cell", "ring", part).alias("block"))
     out = cut_lineage(out)
     rows = out.groupBy("block", "cell", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("low"),
                                                     F.max("far").alias("high")).toPandas()
@@ -146,14 +154,31 @@ def _visit(train: DataFrame, visits: DataFrame, k: int, chunks: int) -> DataFram
         _nearest(k), _CANDIDATES)
 
 
+def _sent(q: pd.DataFrame, b: Blocks, chosen):
+    """Frames (query_id, v, block) of the blocks that ``chosen(i, bound, d)`` names for each row ``i``.
+
+    A vector is repeated for each of its blocks, whose number grows with the
+    training rows: the bounds and the visits are made a bounded piece at a time.
+    """
+    vecs = q["v"].to_numpy()
+    step = max(1, CELLS // len(b.names))
+    for s in range(0, len(q), step):
+        bounds = b.bounds(np.stack(vecs[s:s + step]).astype(np.float64))
+        picked = [np.asarray(chosen(s + i, bound, d), np.int64) for i, (bound, d) in enumerate(zip(*bounds))]
+        row = np.repeat(np.arange(s, s + len(picked)), [len(j) for j in picked])
+        block = np.concatenate(picked)
+        size = max(1, SENT // max(1, len(vecs[0])))
+        for at in range(0, len(row), size):
+            own = row[at:at + size]
+            yield pd.DataFrame({"query_id": q["query_id"].to_numpy()[own], "v": vecs[own],
+                                "block": b.names[block[at:at + size]]})
+
+
 def _first_visits(queries: DataFrame, blocks, k: int) -> DataFrame:
     def run(batches):
         b = blocks.value
         for q in batches:
-            out = []
-            for i, (bound, d) in enumerate(zip(*b.bounds(np.stack(q["v"].to_numpy()).astype(np.float64)))) if len(q) else ():
-                out += [(q["query_id"].iat[i], q["v"].iat[i], b.names[j]) for j in b.first(bound, d, k)]
-            yield pd.DataFrame(out, columns=["query_id", "v", "block"])
+            yield from _sent(q, b, lambda i, bound, d: b.first(bound, d, k))
     return queries.mapInPandas(run, "query_id long, v array<double>, block string")
 
 
@@ -162,13 +187,13 @@ def _other_visits(queries: DataFrame, blocks, k: int) -> DataFrame:
     def run(batches):
         b = blocks.value
         for q in batches:
-            out = []
-            for i, (bound, d) in enumerate(zip(*b.bounds(np.stack(q["v"].to_numpy()).astype(np.float64)))) if len(q) else ():
-                reach = q["reach"].iat[i]
-                within = np.ones(len(bound), bool) if np.isnan(reach) else bound <= reach * (1 + SLACK)
+            reach = q["reach"].to_numpy(float)
+
+            def others(i, bound, d, reach=reach):
+                within = np.ones(len(bound), bool) if np.isnan(reach[i]) else bound <= reach[i] * (1 + SLACK)
                 within[b.first(bound, d, k)] = False
-                out += [(q["query_id"].iat[i], q["v"].iat[i], b.names[j]) for j in np.flatnonzero(within)]
-            yield pd.DataFrame(out, columns=["query_id", "v", "block"])
+                return np.flatnonzero(within)
+            yield from _sent(q, b, others)
     return queries.mapInPandas(run, "query_id long, v array<double>, block string")
 
 

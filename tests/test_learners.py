@@ -192,6 +192,36 @@ def test_one_hot_vector_and_width_guard(spark, monkeypatch):
     assert E.one_hot(df, "x", values=["a", "b", "c"]).columns == ["x", "a", "b", "c"]
 
 
+def test_knn_sends_bounded_frames():
+    """A batch of queries that visits every block is not held with a vector for each visit."""
+    r = np.random.default_rng(3)
+    n, names = 300, [f"{i}/0/0" for i in range(400)]
+    table = pd.DataFrame({"block": names, "cell": range(400), "ring": 0, "n": 5, "low": 0.0, "high": 100.0})
+    blocks = NB.Blocks(r.normal(0, 1, (400, 64)), table)
+    q = pd.DataFrame({"query_id": range(n), "v": list(r.normal(0, 1, (n, 64))), "reach": 9.0})
+
+    class Sent:
+        value = blocks
+
+    class Queries:
+        def mapInPandas(self, run, schema):
+            return list(run(iter([q])))
+
+    for visits, each in ((NB._first_visits(Queries(), Sent, 12), 3), (NB._other_visits(Queries(), Sent, 12), 397)):
+        assert max(len(f) for f in visits) * 64 <= 1_000_000 and not any(f.empty for f in visits)
+        rows = pd.concat(visits)
+        assert len(rows) == n * each == len(rows[["query_id", "block"]].drop_duplicates())
+        assert all((v == q["v"][i]).all() for i, v in zip(rows["query_id"][::50], rows["v"][::50]))
+
+
+def test_knn_cuts_rows_at_one_distance(spark):
+    """Copies of a vector have one distance to every pivot and still fill no block above its size."""
+    df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(*[F.when(F.col("id") < 2500, 1.0).otherwise(
+        F.col("id") * i) for i in (1, 2)]).alias("v"), (F.col("id") % 3).cast("double").alias("label"))
+    rows, blocks = NB.training_blocks(df, 4, 100)
+    assert sum(blocks.size) == rows.count() == 3000 and max(blocks.size) < 250
+
+
 def test_knn_prunes_clustered_rows_and_stays_exact(spark):
     r = np.random.default_rng(6)
     centre = r.normal(0, 100, (12, 6))
