@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from shelfcast.session import cut_lineage
 
 CELLS = 4_000_000  # numbers per block of differences inside a task
-SENT = 1_000_000   # numbers per frame of query vectors sent to blocks
+SENT = 1_000_000   # bounds, or numbers of query vectors sent to blocks, per frame
 SLACK = 1e-9       # relative rounding of distances, on the safe side
 
 _CANDIDATES = "query_id long, vec_id long, dist2 double, label double"
@@ -161,7 +161,7 @@ def _sent(q: pd.DataFrame, b: Blocks, chosen):
     training rows: the bounds and the visits are made a bounded piece at a time.
     """
     vecs = q["v"].to_numpy()
-    step = max(1, CELLS // len(b.names))
+    step = max(1, SENT // len(b.names))
     for s in range(0, len(q), step):
         bounds = b.bounds(np.stack(vecs[s:s + step]).astype(np.float64))
         picked = [np.asarray(chosen(s + i, bound, d), np.int64) for i, (bound, d) in enumerate(zip(*bounds))]
